@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from promptmill.functions import tokens as tk
 from promptmill.operators import chat, template as tp
-from promptmill.operators.split import repeated
 from promptmill.plans import fixtures as fx
-from promptmill.plans.kit import (CONV, DOCS, PAIRS, cat, digit, fmt, hex_digit, joined, q, query, rtrim, table, trim,
+from promptmill.plans.kit import (CONV, DOCS, PAIRS, digit, fmt, hex_digit, q, query, rtrim, table, trim,
                                   union, variants)
 
 P01_IN, P01_OUT = "[{lang}/{source}] {instruction}\n{head}\n", "Answer: {text}"
@@ -122,8 +120,9 @@ def p09(spark, sf):
     "question_response": {"instruction": "head", "output": "md5(text)", "system": "system"}}, "kind", DOCS))
 def p10(spark, sf):
     d = fx.docs(spark, sf).withColumn("answer_md5", F.md5("text"))
-    names = {s for s, _ in tp.PAIR_FIELDS.values()} | {"question"}
-    answers = {t for _, t in tp.PAIR_FIELDS.values()} | {"response"}
+    # column names are not case-sensitive, so INSTRUCTION and RESPONSE also serve the lower-case fields
+    names = {s for s, _ in tp.PAIR_FIELDS.values()}
+    answers = {t for _, t in tp.PAIR_FIELDS.values()} - {"response"}
     raw = d.select("doc_id", F.col("system").alias("system_prompt"), *[F.col("head").alias(n) for n in sorted(names)],
                    *[F.col("answer_md5").alias(n) for n in sorted(answers)])
     cases = {}
@@ -535,7 +534,7 @@ def _im(role: str, content: str) -> str:
  coalesce(array_to_string(list_transform(k[1:len(k) - 1], lambda x: '<|im_start|>' || x.role || chr(10) || x.content || '<|im_end|>' || chr(10)), ''), '') ||
  '<|im_start|>assistant' || chr(10) END AS prompt,
  CASE WHEN len(k) % 2 = 0 THEN k[len(k)].content || '<|im_end|>' || chr(10) END AS chosen,
- CASE WHEN len(k) % 2 = 0 THEN upper(k[1].content) || '<|im_end|>' || chr(10) END AS rejected FROM t""")
+ CASE WHEN len(k) % 2 = 0 THEN 'No: ' || k[1].content || '<|im_end|>' || chr(10) END AS rejected FROM t""")
 def p34(spark, sf):
     m = fx.conversations(spark, sf)
     leads = F.col("messages")[0]["role"] == "system"
@@ -544,7 +543,7 @@ def p34(spark, sf):
                     talk.alias("chosen"))
     rows = rows.withColumn("rejected", F.concat(
         F.slice("chosen", 1, F.greatest(F.size("chosen") - 1, F.lit(0))),
-        F.array(F.struct(F.lit("assistant").alias("role"), F.upper(F.col("chosen")[0]["content"]).alias("content")))))
+        F.array(F.struct(F.lit("assistant").alias("role"), F.concat(F.lit("No: "), F.col("chosen")[0]["content"]).alias("content")))))
     return rows.select("conv_id", "part", *tp.odds_ratio_format(rows))
 
 
