@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.text import col_of, cut_at, first_present, normalise_output
 from promptmill.functions.tokens import IGNORED, token_count, token_texts
+from promptmill.operators.labels import split_labelled
+from promptmill.operators.pack import unpacked
 
 # Joins ----------------------------------------------------------------------------------
 
@@ -360,18 +362,33 @@ TEXT_METRICS: dict[str, Callable[[Column, Column], Column]] = {
 def text_metrics(df: DataFrame, key: str, prediction: str = "prediction", references: str = "references",
                  metrics: tuple[str, ...] = ("exact_match", "edit_similarity", "token_f1")) -> DataFrame:
     """Mean per metric; with several references a prediction takes its best one."""
-    scores = {m: F.array_max(F.transform(references, lambda r, m=m: TEXT_METRICS[m](F.col(prediction), r)))
-              for m in metrics if m in TEXT_METRICS}
+
+    def best(metric: Callable[[Column, Column], Column]) -> Column:
+        return F.array_max(F.transform(references, lambda r: metric(F.col(prediction), r)))
+
+    scores = {m: best(TEXT_METRICS[m]) for m in metrics if m in TEXT_METRICS}
     rows = df.select(key, *[s.alias(m) for m, s in scores.items()])
     if "token_f1" in metrics:
         each = df.select(key, prediction, F.posexplode(references).alias("_n", "_r"))
         each = each.withColumn("_k", F.struct(key, "_n"))
-        best = token_overlap(each, "_k", prediction, "_r").groupBy(F.col(f"_k.{key}").alias(key)).agg(
+        overlap = token_overlap(each, "_k", prediction, "_r").groupBy(F.col(f"_k.{key}").alias(key)).agg(
             F.max("token_f1").alias("token_f1"))
-        rows = rows.join(best, key, "left").fillna({"token_f1": 0.0})
+        rows = rows.join(overlap, key, "left").fillna({"token_f1": 0.0})
     return rows.agg(*[F.avg(m).alias(f"eval_{m}") for m in metrics])
 
 
+def prediction_table(packed: DataFrame, order: list[str], rows: int | None = None) -> DataFrame:
+    """Prompt, correct and predicted ids of each packed member; the first ``rows`` in order.
+
+    ``predicted`` holds the model's choice at every position of the packed row.
+    """
+    flat = unpacked(packed, ["input_ids", "labels", "predicted"])
+    hits = F.filter(F.arrays_zip(F.col("labels"), F.col("predicted")), lambda p: p["labels"] != IGNORED)
+    out = flat.select(*order, "range", *split_labelled("input_ids", "labels"),
+                      F.transform(hits, lambda p: p["predicted"]).alias("predicted_ids"))
+    return out if rows is None else out.orderBy(*order, "range").limit(rows)
+
+
 def best_of(log: DataFrame, prompt: str = "prompt_id", attempt: str = "try", logprob: str = "logprob") -> DataFrame:
     """Mean log-probability per try and whether it is its prompt's best; the first of equals wins."""
     score = log.groupBy(prompt, attempt).agg(F.avg(logprob).alias("score"))

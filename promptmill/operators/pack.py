@@ -280,6 +280,8 @@ def blocks_of(packed: DataFrame, data: DataFrame, key: str, columns: list[str],
     """Members' arrays concatenated per block and padded to ``length``."""
     joined = packed.select("chunk", "block", "place", key).join(data.select(key, *columns), key)
     bins = joined.groupBy("chunk", "block").agg(F.sort_array(F.collect_list(F.struct("place", *columns))).alias("m"))
-    return bins.select("chunk", "block", *[
-        filled_up(F.slice(F.flatten(F.transform("m", lambda x, c=c: x[c])), 1, length), length, pads[c]).alias(c)
-        for c in columns])
+
+    def cat(name: str) -> Column:
+        return F.flatten(F.transform("m", lambda x: x[name]))
+
+    return bins.select("chunk", "block", *[filled_up(F.slice(cat(c), 1, length), length, pads[c]).alias(c) for c in columns])

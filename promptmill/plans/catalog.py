@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from promptmill.plans import queries_prompts, queries_tokens  # noqa: F401
+from promptmill.plans import queries_evaluate, queries_prompts, queries_rows, queries_tokens  # noqa: F401
 from promptmill.plans.kit import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

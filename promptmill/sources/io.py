@@ -114,10 +114,14 @@ def read_named(names: list[str], read: Callable[[str], DataFrame]) -> DataFrame:
 TEST_CASES = "data array<struct<test_cases:array<struct<input:string,output:string>>>>"
 
 
-def read_test_cases(spark: SparkSession, folder: str) -> DataFrame:
-    """(problem_id, case_no, input, expected) of one JSON file per problem, in one scan."""
-    files = spark.read.schema(TEST_CASES).option("multiLine", "true").json(f"{folder.rstrip('/')}/*.json")
-    named = files.withColumn("problem_id", F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1))
+def read_test_cases(spark: SparkSession, folder: str, id_pattern: str = r"([^/]+)\.json$") -> DataFrame:
+    """(problem_id, case_no, input, expected) of one JSON file per problem, in one scan.
+
+    ``id_pattern`` takes the problem id out of a file's path.
+    """
+    files = spark.read.schema(TEST_CASES).options(
+        multiLine="true", recursiveFileLookup="true", pathGlobFilter="*.json").json(folder)
+    named = files.withColumn("problem_id", F.regexp_extract(F.input_file_name(), id_pattern, 1))
     return named.select("problem_id", F.posexplode(F.col("data")[0]["test_cases"]).alias("case_no", "c")).select(
         F.url_decode("problem_id").alias("problem_id"), "case_no", "c.input", F.col("c.output").alias("expected"))
 

@@ -43,7 +43,7 @@ def compare(spark, con, name, fn, sql, sf_dir) -> list[str]:
         return [f"{name}: columns {cols} vs {theirs}"]
     got = sorted(tuple(normal(r[c]) for c in cols) for r in df.select(*cols).collect())
     want = sorted(tuple(normal(x) for x in r) for r in rel.project(", ".join(f'"{c}"' for c in cols)).fetchall())
-    problems = []
+    problems = [] if got else [f"{name}: no rows"]
     if len(got) != len(want):
         problems.append(f"{name}: {len(got)} rows vs {len(want)}")
     for g, w in zip(got, want):
