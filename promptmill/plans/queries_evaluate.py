@@ -229,7 +229,7 @@ TIMING_SQL = ("tm AS (SELECT event_id, event_type AS step, (1 << (" + digit("md5
 
 
 def timing(spark, sf):
-    return fx.events(spark, sf).select("event_id", F.col("event_type").alias("step"), F.shiftleft(F.lit(1), hex_digit(F.col("h"), 1) % 4).alias("batch_size"),
+    return fx.events(spark, sf).select("event_id", F.col("event_type").alias("step"), F.array(*[F.lit(n) for n in (1, 2, 4, 8)])[hex_digit(F.col("h"), 1) % 4].alias("batch_size"),
                                        (F.col("value") + 0.01).alias("latency_ms"), (1 + hex_digit(F.col("h"), 2)).alias("decode_length"))
 
 
