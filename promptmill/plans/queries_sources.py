@@ -297,7 +297,7 @@ def st04(spark, sf):
     _stateful(spark)
     root = scratch_path(spark, "st04")
     e = _event_stream(spark, sf).withColumn("h", F.md5(F.col("event_id").cast("string")))
-    tokens = e.select(F.col("user_id").alias("request_id"), F.col("event_id").alias("pos"),
+    tokens = e.select(F.col("user_id").alias("request_id"), "ts", F.col("event_id").alias("pos"),
                       F.when(hex_digit(F.col("h"), 1, 2) == 0, tk.EOS).otherwise(tk.FIRST_WORD_ID).alias("id"), F.col("event_type").alias("text"))
     done = jobs.stream_stop_rule(tokens, ("errorerror",), 50)
     jobs.run_available(done.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")

@@ -72,14 +72,40 @@ def stream_packed_pretrain(stream: DataFrame, out: str, checkpoint: str, key: st
     return run_available(stream.writeStream.foreachBatch(each), checkpoint)
 
 
-class Watchdog(StatefulProcessor):
-    """Counts violations in a row per run; the state is two numbers."""
+def _milliseconds(stamp) -> int:
+    return int(pd.Timestamp(stamp).timestamp() * 1000)
+
 
-    def __init__(self, threshold: float, patience: int, ttl_ms: int):
-        self.threshold, self.patience, self.ttl_ms = threshold, patience, ttl_ms
+class IdleState(StatefulProcessor):
+    """State per key that an event-time timer clears once the key has been silent for ``idle_ms``."""
+
+    idle_ms: int
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("violations", "violations int, stopped int", self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("state", self.state_schema)
+
+    def seen(self, frame: pd.DataFrame) -> None:
+        """Moves the timer behind the latest event."""
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(_milliseconds(frame["ts"].max()) + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class Watchdog(IdleState):
+    """Counts violations in a row per run; the state is two numbers."""
+
+    state_schema = "violations int, stopped int"
+
+    def __init__(self, threshold: float, patience: int, idle_ms: int):
+        self.threshold, self.patience, self.idle_ms = threshold, patience, idle_ms
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         count, stopped = self.state.get() if self.state.exists() else (0, 0)
@@ -90,32 +116,30 @@ class Watchdog(StatefulProcessor):
             if count >= self.patience and not stopped:
                 hit, stopped = int(step), 1
         self.state.update((count, stopped))
+        self.seen(frame)
         if hit is not None:
             yield pd.DataFrame({"run_id": [key[0]], "step": [hit], "violations": [self.patience]})
 
-    def close(self) -> None:
-        pass
-
 
-def stream_watchdog(events: DataFrame, threshold: float, patience: int = 3, ttl_ms: int = 86_400_000) -> DataFrame:
+def stream_watchdog(events: DataFrame, threshold: float, patience: int = 3, late: str = "1 hour",
+                    idle_ms: int = 86_400_000) -> DataFrame:
     """(run_id, ts, step, loss) to one row per run that must stop.
 
-    Rows of a run come in micro-batches of bounded size; only the two counters live on.
+    Rows of a run come in micro-batches of bounded size; only the two counters live on,
+    until the run has been silent for ``idle_ms``.
     """
-    return events.groupBy("run_id").transformWithStateInPandas(
-        Watchdog(threshold, patience, ttl_ms), "run_id long, step long, violations int", "Append", "ProcessingTime")
+    return events.withWatermark("ts", late).groupBy("run_id").transformWithStateInPandas(
+        Watchdog(threshold, patience, idle_ms), "run_id long, step long, violations int", "Append", "EventTime")
 
 
-class StopState(StatefulProcessor):
+class StopState(IdleState):
     """Follows a request's tokens until it finishes; the state is a count and a tail of text."""
 
+    state_schema = "tokens int, tail string, done int"
+
     def __init__(self, stops: tuple[str, ...], max_new_tokens: int, eos_id: int, idle_ms: int):
         self.stops, self.limit, self.eos_id, self.idle_ms = stops, max_new_tokens, eos_id, idle_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("request", "tokens int, tail string, done int")
-
     def finish(self, count: int, token: int, tail: str) -> str | None:
         if count >= self.limit:
             return "length"
@@ -136,12 +160,8 @@ class StopState(StatefulProcessor):
                 tail = tail[-200:]
             reason = self.finish(count, token, tail)
             done = int(reason is not None)
-        self.state.update((count, tail, done))
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        if done:
-            tail = ""
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        self.state.update((count, "" if done else tail, done))
+        self.seen(frame)
         if reason is not None:
             yield pd.DataFrame({"request_id": [key[0]], "finish_reason": [reason], "generated_tokens": [count]})
 
@@ -151,16 +171,13 @@ class StopState(StatefulProcessor):
         if not done:
             yield pd.DataFrame({"request_id": [key[0]], "finish_reason": ["idle"], "generated_tokens": [count]})
 
-    def close(self) -> None:
-        pass
-
 
 def stream_stop_rule(tokens: DataFrame, stops: tuple[str, ...], max_new_tokens: int, eos_id: int = tk.EOS,
-                     idle_ms: int = 600_000) -> DataFrame:
-    """(request_id, pos, id, text) to one row per finished request."""
-    return tokens.groupBy("request_id").transformWithStateInPandas(
+                     late: str = "1 hour", idle_ms: int = 86_400_000) -> DataFrame:
+    """(request_id, ts, pos, id, text) to one row per finished request; a silent one finishes as idle."""
+    return tokens.withWatermark("ts", late).groupBy("request_id").transformWithStateInPandas(
         StopState(stops, max_new_tokens, eos_id, idle_ms),
-        "request_id long, finish_reason string, generated_tokens int", "Append", "ProcessingTime")
+        "request_id long, finish_reason string, generated_tokens int", "Append", "EventTime")
 
 
 def stream_request_metrics(requests: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
