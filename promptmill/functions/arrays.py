@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 256
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    An expression used twice is evaluated twice when it holds a lambda, because
+    common-subexpression elimination does not see through lambda variables.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row, whatever reads them later.
+
+    The one-element explode keeps the optimizer from copying a costly expression
+    into filters and projections above it.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.explode(F.array(packed)).alias("_once")).select(
+        *kept, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
 def indices(a: Column) -> Column:
     """0 .. size-1, empty for an empty array."""
     return F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>"))

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from promptmill.functions.arrays import let
 from promptmill.functions.text import col_of
 
 # Ids 0-3 are special, word ids start at 16.
@@ -52,21 +53,25 @@ def encode(text: Column | str, max_len: int | None = None, bos: bool = False, eo
     removes it again.  Empty text stays empty.  ``eos_count`` marks are appended
     at most, one fewer where the text already ends with EOS.
     """
-    body = token_ids(text) if ids is None else ids
-    lead = F.array(F.lit(BOS))
-    filled = F.size(body) > 0
-    if max_len is not None:
-        body = F.slice(body, 1, max_len - 1 if bos else max_len)
-    if bos:
-        body = F.concat(lead, body)
-    if eos:
-        room = F.lit(eos_count) - F.when(F.element_at(body, -1) == EOS, 1).otherwise(0)
-        if max_len is not None:
-            room = F.least(room, F.lit(max_len) - F.size(body))
-        body = F.concat(body, F.array_repeat(F.lit(EOS), F.greatest(room, F.lit(0))))
-    if bos and strip_bos:
-        body = F.slice(body, 2, F.greatest(F.size(body) - 1, F.lit(0)))
-    return F.when(filled, body).otherwise(no_ids())
+    def close(words: Column) -> Column:
+        cut = words if max_len is None else F.slice(words, 1, max_len - 1 if bos else max_len)
+        return F.concat(F.array(F.lit(BOS)), cut) if bos else cut
+
+    def finish(body: Column) -> Column:
+        out = body
+        if eos:
+            room = F.lit(eos_count) - F.when(F.element_at(body, -1) == EOS, 1).otherwise(0)
+            if max_len is not None:
+                room = F.least(room, F.lit(max_len) - F.size(body))
+            out = F.concat(body, F.array_repeat(F.lit(EOS), F.greatest(room, F.lit(0))))
+        if bos and strip_bos:
+            out = F.slice(out, 2, F.size(body) + eos_count)
+        return out
+
+    def whole(words: Column) -> Column:
+        return F.when(F.size(words) > 0, let(close(words), finish)).otherwise(no_ids())
+
+    return let(token_ids(text) if ids is None else ids, whole)
 
 
 def ignored(n: Column | int) -> Column:
@@ -76,8 +81,7 @@ def ignored(n: Column | int) -> Column:
 
 def keep_last(text: Column | str, k: int) -> tuple[Column, Column]:
     """Left truncation: the last ``k`` tokens as ids and as text."""
-    words = token_texts(text)
-    tail = F.when(F.size(words) > k, F.slice(words, -k, k)).otherwise(words)
+    tail = let(token_texts(text), lambda w: F.when(F.size(w) > k, F.slice(w, -k, k)).otherwise(w))
     return F.transform(tail, token_id), F.array_join(tail, " ")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
-from promptmill.functions.arrays import indices, running_starts
+from promptmill.functions.arrays import indices, let, once, running_starts
 from promptmill.functions.text import col_of, fill, strip
 from promptmill.functions.tokens import BOS, EOS, IGNORED, PAD, encode, ignored, no_ids, token_ids
 from promptmill.operators.chat import PERSONA_MODEL_MARK
@@ -23,40 +23,51 @@ def attention(ids: Column) -> Column:
 
 def encoded(ids: Column, labels: Column) -> Column:
     """The tokenized row: ids, mask and labels."""
-    return F.struct(ids.alias("input_ids"), attention(ids).alias("attention_mask"), labels.alias("labels"))
+    return let(ids, lambda i: F.struct(i.alias("input_ids"), attention(i).alias("attention_mask"), labels.alias("labels")))
 
 
 def with_encoded(df: DataFrame, row: Column) -> DataFrame:
-    """Adds input_ids, attention_mask and labels; the row expression is evaluated once."""
+    """Adds input_ids, attention_mask and labels; the row is computed once, also below later filters."""
     names = ("input_ids", "attention_mask", "labels")
-    out = df.withColumn("_row", row)
+    out = once(df, _row=row)
     return out.withColumns({n: F.col(f"_row.{n}") for n in names}).drop("_row")
 
 
 def prompt_masked(prompt: Column | str, answer: Column | str, max_len: int | None = None, bos: bool = False,
                   train_on_inputs: bool = False, eos_count: int = 1) -> Column:
     """Prompt masked, answer trains, closed by EOS."""
-    p = encode(prompt, max_len, bos=bos)
-    a = encode(answer, max_len, bos=bos, eos=True, strip_bos=True, eos_count=eos_count)
-    return encoded(F.concat(p, a), F.concat(p if train_on_inputs else ignored(F.size(p)), a))
+    def row(p: Column, a: Column) -> Column:
+        return encoded(F.concat(p, a), F.concat(p if train_on_inputs else ignored(F.size(p)), a))
+
+    return let(encode(prompt, max_len, bos=bos), lambda p: let(
+        encode(answer, max_len, bos=bos, eos=True, strip_bos=True, eos_count=eos_count), lambda a: row(p, a)))
 
 
 def whole_text_masked(full: Column, prompt: Column, max_len: int | None = None,
                       train_on_inputs: bool = False) -> Column:
     """The full text is tokenized once and its first prompt-length labels are masked."""
-    ids = encode(full, max_len, eos=True)
-    if train_on_inputs:
-        return encoded(ids, ids)
-    n = F.least(tk.token_count(prompt), F.size(ids))
-    return encoded(ids, F.concat(ignored(n), F.slice(ids, n + 1, F.size(ids))))
+    def row(ids: Column) -> Column:
+        if train_on_inputs:
+            return encoded(ids, ids)
+        return let(F.least(tk.token_count(prompt), F.size(ids)), lambda n: encoded(
+            ids, F.concat(ignored(n), F.slice(ids, n + 1, F.size(ids)))))
+
+    return let(encode(full, max_len, eos=True), row)
+
+
+def flat_parts(parts: Column) -> Column:
+    """One tokenized row of an array of (ids, labels) parts."""
+    return let(parts, lambda p: encoded(F.flatten(F.transform(p, lambda x: x["ids"])),
+                                        F.flatten(F.transform(p, lambda x: x["labels"]))))
+
 
+def part(ids: Column, trains: Column) -> Column:
+    return let(ids, lambda t: F.struct(t.alias("ids"), F.when(trains, t).otherwise(ignored(F.size(t))).alias("labels")))
 
-def labelled(segments: Column, text: str = "text", trains: str = "trains") -> tuple[Column, Column]:
+
+def labelled(segments: Column, text: str = "text", trains: str = "trains") -> Column:
     """Ids and labels of an array of (text, trains) segments."""
-    ids = F.flatten(F.transform(segments, lambda s: token_ids(s[text])))
-    labels = F.flatten(F.transform(segments, lambda s: F.when(
-        F.coalesce(s[trains], F.lit(False)), token_ids(s[text])).otherwise(ignored(tk.token_count(s[text])))))
-    return ids, labels
+    return flat_parts(F.transform(segments, lambda s: part(token_ids(s[text]), F.coalesce(s[trains], F.lit(False)))))
 
 
 def turn_masked(messages: Column | str, before: str = "<|im_start|>{role}\n", roles_to_train=("assistant",),
@@ -77,16 +88,18 @@ def turn_masked(messages: Column | str, before: str = "<|im_start|>{role}\n", ro
         if training:
             trains = F.coalesce(x[training], trains)
         eos = {"all": F.lit(True), "turn": trains, "last": i == count - 1}[train_on_eos]
-        mark, body = token_ids(fill(before, {"role": x["role"]})), token_ids(x["content"])
         end = F.array(F.lit(EOS))
-        return F.struct(
-            F.concat(mark, body, end).alias("ids"),
-            F.concat(ignored(F.size(mark)), F.when(trains, body).otherwise(ignored(F.size(body))),
-                     F.when(eos, end).otherwise(ignored(1))).alias("labels"))
 
-    turns = F.transform(m, one)
-    return encoded(F.flatten(F.transform(turns, lambda t: t["ids"])),
-                   F.flatten(F.transform(turns, lambda t: t["labels"])))
+        def turn(mark: Column, body: Column) -> Column:
+            return F.struct(
+                F.concat(mark, body, end).alias("ids"),
+                F.concat(ignored(F.size(mark)), F.when(trains, body).otherwise(ignored(F.size(body))),
+                         F.when(eos, end).otherwise(ignored(1))).alias("labels"))
+
+        return let(token_ids(fill(before, {"role": x["role"]})), lambda k: let(
+            token_ids(x["content"]), lambda b: turn(k, b)))
+
+    return flat_parts(F.transform(m, one))
 
 
 PIECE_PATTERN = r"\s+|" + tk.WORD_PATTERN
@@ -95,14 +108,20 @@ PIECE_PATTERN = r"\s+|" + tk.WORD_PATTERN
 def token_spans(text: Column | str) -> Column:
     """(token, start, end) per token; a token reaches up to the next token's start."""
     t = col_of(text)
-    pieces = F.regexp_extract_all(t, F.lit(PIECE_PATTERN), F.lit(0))
-    starts = running_starts(F.transform(pieces, lambda p: F.length(p)))
-    placed = F.arrays_zip(pieces.alias("token"), starts.alias("start"))
-    kept = F.filter(placed, lambda p: ~p["token"].rlike(r"^\s"))
     last = F.length(t) - 1
-    return F.transform(kept, lambda p, i: F.struct(
-        p["token"].alias("token"), p["start"].alias("start"),
-        F.coalesce(F.try_element_at(kept, i + 2)["start"] - 1, last).cast("int").alias("end")))
+
+    def placed(pieces: Column) -> Column:
+        starts = running_starts(F.transform(pieces, lambda p: F.length(p)))
+        return let(starts, lambda s: F.transform(
+            pieces, lambda p, i: F.struct(p.alias("token"), s[i].alias("start"))))
+
+    def ended(kept: Column) -> Column:
+        return F.transform(kept, lambda p, i: F.struct(
+            p["token"].alias("token"), p["start"].alias("start"),
+            F.coalesce(F.try_element_at(kept, i + 2)["start"] - 1, last).cast("int").alias("end")))
+
+    all_pieces = let(F.regexp_extract_all(t, F.lit(PIECE_PATTERN), F.lit(0)), placed)
+    return let(F.filter(all_pieces, lambda p: ~p["token"].rlike(r"^\s")), ended)
 
 
 def span_masked(df: DataFrame, text: str, details: str) -> DataFrame:
@@ -110,7 +129,7 @@ def span_masked(df: DataFrame, text: str, details: str) -> DataFrame:
 
     The intermediate arrays are columns of their own so that each is built once.
     """
-    out = df.withColumn("_t", token_spans(text))
+    out = once(df, _t=token_spans(text))
     out = out.withColumns({"_s": F.transform("_t", lambda t: t["start"]), "_e": F.transform("_t", lambda t: t["end"])})
     n = F.size("_t")
 
@@ -121,8 +140,7 @@ def span_masked(df: DataFrame, text: str, details: str) -> DataFrame:
         last = F.when((last < n - 1) & (F.try_element_at(F.col("_s"), last + 2) < d["end_offset"]), last + 1).otherwise(last)
         return F.struct(first.alias("first"), last.alias("last"), d["train"].alias("train"))
 
-    out = out.withColumn("_d", F.transform(details, snapped))
-    out = out.withColumn("input_ids", F.transform("_t", lambda t: tk.token_id(t["token"])))
+    out = once(out, _d=F.transform(details, snapped), input_ids=F.transform("_t", lambda t: tk.token_id(t["token"])))
     labels = F.transform("input_ids", lambda x, i: F.when(F.exists("_d", lambda d: d["train"] & (
         d["first"] <= d["last"]) & (i >= d["first"]) & (i <= d["last"])), x).otherwise(F.lit(IGNORED)))
     return out.withColumn("labels", labels).drop("_t", "_s", "_e", "_d")
@@ -132,7 +150,7 @@ def weighted_labels(segments: Column) -> Column:
     """Ids and labels of weighted segments; weight zero masks, a missing weight trains."""
     flagged = F.transform(segments, lambda s: F.struct(
         s["text"].alias("text"), (F.coalesce(s["weight"], F.lit(1)) != 0).alias("trains")))
-    return encoded(*labelled(flagged))
+    return labelled(flagged)
 
 
 # Windows over long texts ----------------------------------------------------------------
@@ -166,11 +184,12 @@ def explode_windows(df: DataFrame, windows: Column, out: str = "input_ids") -> D
 def source_target(source: Column | str, target: Column | str, source_max: int, target_max: int,
                   train_on_source: bool = False, predict: bool = False) -> Column:
     """BOS + source and target + EOS, each cut at its own limit."""
-    s = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(source)), 1, source_max)
+    source_ids = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(source)), 1, source_max)
     if predict:
-        return encoded(s, ignored(F.size(s)))
-    t = F.slice(F.concat(token_ids(target), F.array(F.lit(EOS))), 1, target_max)
-    return encoded(F.concat(s, t), F.concat(s if train_on_source else ignored(F.size(s)), t))
+        return let(source_ids, lambda s: encoded(s, ignored(F.size(s))))
+    target_ids = F.slice(F.concat(token_ids(target), F.array(F.lit(EOS))), 1, target_max)
+    return let(source_ids, lambda s: let(target_ids, lambda t: encoded(
+        F.concat(s, t), F.concat(s if train_on_source else ignored(F.size(s)), t))))
 
 
 # Marks of the two fixed-length chat markups and the default system line.
@@ -180,12 +199,18 @@ CODER_TURNS = {"user": "### Instruction:\n{content}\n", "assistant": "### Respon
 ROLE_MARK = "<|{role}|>\n"
 
 
-def fixed_length(ids: Column, labels: Column, length: int, cut_label: int) -> Column:
+def fixed_length(row: Column, length: int, cut_label: int) -> Column:
     """Padded with EOS / -100 to ``length``, or cut with EOS forced last."""
     def fit(a: Column, pad: int, last: int) -> Column:
         return F.when(F.size(a) < length, F.concat(a, F.array_repeat(F.lit(pad), length - F.size(a)))).otherwise(
             F.concat(F.slice(a, 1, length - 1), F.array(F.lit(last))))
-    return F.struct(fit(ids, EOS, EOS).alias("input_ids"), fit(labels, IGNORED, cut_label).alias("labels"))
+    return let(row, lambda r: F.struct(fit(r["input_ids"], EOS, EOS).alias("input_ids"),
+                                       fit(r["labels"], IGNORED, cut_label).alias("labels")))
+
+
+def lead_part(ids: Column) -> Column:
+    """An array with one masked part."""
+    return F.array(part(ids, F.lit(False)))
 
 
 def coder_chat(messages: Column | str, length: int) -> Column:
@@ -193,43 +218,40 @@ def coder_chat(messages: Column | str, length: int) -> Column:
     m = col_of(messages)
     has_system = F.exists(m, lambda x: x["role"] == "system")
     lead = F.when(has_system, no_ids()).otherwise(token_ids(F.lit(CODER_SYSTEM)))
-    lead = F.concat(F.array(F.lit(BOS)), lead)
-    segments = F.transform(m, lambda x: F.struct(
-        F.when(x["role"] == "system", x["content"])
-        .when(x["role"] == "user", fill(CODER_TURNS["user"], {"content": x["content"]}))
-        .otherwise(fill(CODER_TURNS["assistant"], {"content": x["content"]})).alias("text"),
-        (~x["role"].isin("user", "system")).alias("trains")))
-    ids, labels = labelled(segments)
-    return fixed_length(F.concat(lead, ids), F.concat(ignored(F.size(lead)), labels), length, IGNORED)
+
+    def one(x: Column) -> Column:
+        text = (F.when(x["role"] == "system", x["content"])
+                .when(x["role"] == "user", fill(CODER_TURNS["user"], {"content": x["content"]}))
+                .otherwise(fill(CODER_TURNS["assistant"], {"content": x["content"]})))
+        return part(token_ids(text), ~x["role"].isin("user", "system"))
+
+    parts = F.concat(lead_part(F.concat(F.array(F.lit(BOS)), lead)), F.transform(m, one))
+    return fixed_length(flat_parts(parts), length, IGNORED)
 
 
 def role_chat(messages: Column | str, length: int) -> Column:
     """``<|role|>`` lines with EOS after each answer; answers and their EOS train."""
     def one(x: Column) -> Column:
-        mark, body = token_ids(fill(ROLE_MARK, {"role": x["role"]})), token_ids(strip(x["content"]))
-        end = F.concat(body, F.array(F.lit(EOS)))
         answer = x["role"] == "assistant"
-        return F.struct(F.concat(mark, F.when(answer, end).otherwise(body)).alias("ids"),
-                        F.concat(ignored(F.size(mark)),
-                                 F.when(answer, end).otherwise(ignored(F.size(body)))).alias("labels"))
-    turns = F.transform(col_of(messages), one)
-    ids = F.concat(F.array(F.lit(BOS)), F.flatten(F.transform(turns, lambda t: t["ids"])))
-    labels = F.concat(ignored(1), F.flatten(F.transform(turns, lambda t: t["labels"])))
-    return fixed_length(ids, labels, length, EOS)
+        mark = part(token_ids(fill(ROLE_MARK, {"role": x["role"]})), F.lit(False))
+        end = F.when(answer, F.array(F.lit(EOS))).otherwise(no_ids())
+        return F.array(mark, part(F.concat(token_ids(strip(x["content"])), end), answer))
+
+    parts = F.concat(lead_part(F.array(F.lit(BOS))), F.flatten(F.transform(col_of(messages), one)))
+    return fixed_length(flat_parts(parts), length, EOS)
 
 
 def inst_encoded(segments: Column, length: int) -> Column:
     """[INST] chat: BOS first, questions masked, cut or padded to ``length``."""
-    ids, labels = labelled(segments)
-    ids, labels = F.concat(F.array(F.lit(BOS)), ids), F.concat(ignored(1), labels)
-
     def fit(a: Column, pad: int) -> Column:
         return F.concat(F.slice(a, 1, length),
                         F.array_repeat(F.lit(pad), F.greatest(length - F.size(a), F.lit(0))))
 
-    kept = fit(ids, PAD)
-    return F.struct(kept.alias("input_ids"), fit(labels, IGNORED).alias("labels"),
-                    F.transform(kept, lambda x: (x != PAD).cast("int")).alias("attention_mask"))
+    parts = F.concat(lead_part(F.array(F.lit(BOS))),
+                     F.transform(segments, lambda s: part(token_ids(s["text"]), s["trains"])))
+    return let(flat_parts(parts), lambda r: F.struct(
+        fit(r["input_ids"], PAD).alias("input_ids"), fit(r["labels"], IGNORED).alias("labels"),
+        F.transform(fit(r["input_ids"], PAD), lambda x: (x != PAD).cast("int")).alias("attention_mask")))
 
 
 def persona_encoded(segments: Column) -> Column:
@@ -237,42 +259,43 @@ def persona_encoded(segments: Column) -> Column:
     mark_len = tk.token_count(F.lit(PERSONA_MODEL_MARK))
 
     def one(s: Column) -> Column:
-        ids = token_ids(s["text"])
-        model = s["role"] == "bot"
-        whole = (F.when(s["role"] == "system", F.concat(F.array(F.lit(BOS)), ids))
-                 .when(model, F.concat(ids, F.array(F.lit(EOS)))).otherwise(ids))
-        labels = F.when(model, F.concat(ignored(mark_len), F.slice(whole, mark_len + 1, F.size(whole)))).otherwise(
-            ignored(F.size(whole)))
-        return F.struct(whole.alias("ids"), labels.alias("labels"))
+        def turn(ids: Column) -> Column:
+            model = s["role"] == "bot"
+            whole = (F.when(s["role"] == "system", F.concat(F.array(F.lit(BOS)), ids))
+                     .when(model, F.concat(ids, F.array(F.lit(EOS)))).otherwise(ids))
+            return let(whole, lambda w: F.struct(w.alias("ids"), F.when(model, F.concat(
+                ignored(mark_len), F.slice(w, mark_len + 1, F.size(w)))).otherwise(ignored(F.size(w))).alias("labels")))
+        return let(token_ids(s["text"]), turn)
 
-    parts = F.transform(segments, one)
-    return encoded(F.flatten(F.transform(parts, lambda p: p["ids"])),
-                   F.flatten(F.transform(parts, lambda p: p["labels"])))
+    return flat_parts(F.transform(segments, one))
 
 
 def raw_segments(segments: Column | str, train_on_inputs: bool = False) -> Column:
     """(text, label) segments kept as they are."""
-    ids, labels = labelled(col_of(segments), trains="label")
-    return encoded(ids, ids if train_on_inputs else labels)
+    return flat_parts(F.transform(col_of(segments), lambda s: part(
+        token_ids(s["text"]), F.lit(train_on_inputs) | F.coalesce(s["label"], F.lit(False)))))
 
 
-def odds_ratio_pair(prompt: Column, chosen: Column, rejected: Column) -> list[Column]:
-    """Both sides with labels and the prompt mask of the chosen side."""
-    p, c, r = token_ids(prompt), token_ids(chosen), token_ids(rejected)
+def odds_ratio_pair(df: DataFrame, prompt: Column | str, chosen: Column | str, rejected: Column | str) -> DataFrame:
+    """Adds both sides with labels and the prompt mask of the chosen side."""
+    t = once(df, _p=token_ids(prompt), _c=token_ids(chosen), _r=token_ids(rejected))
+    p, c, r = F.col("_p"), F.col("_c"), F.col("_r")
     n = F.size(p)
-    return [F.concat(p, c).alias("input_ids"), F.concat(ignored(n), c).alias("labels"),
-            attention(F.concat(p, c)).alias("attention_mask"),
-            F.concat(p, r).alias("rejected_input_ids"), F.concat(ignored(n), r).alias("rejected_labels"),
-            attention(F.concat(p, r)).alias("rejected_attention_mask"),
-            F.concat(attention(p), F.array_repeat(F.lit(0), F.size(c))).alias("prompt_attention_mask")]
+    return t.withColumns({
+        "input_ids": F.concat(p, c), "labels": F.concat(ignored(n), c),
+        "attention_mask": F.array_repeat(F.lit(1), n + F.size(c)),
+        "rejected_input_ids": F.concat(p, r), "rejected_labels": F.concat(ignored(n), r),
+        "rejected_attention_mask": F.array_repeat(F.lit(1), n + F.size(r)),
+        "prompt_attention_mask": F.concat(attention(p), F.array_repeat(F.lit(0), F.size(c)))}).drop("_p", "_c", "_r")
 
 
-def reward_pair_encoded(chosen: Column | str, rejected: Column | str, max_len: int) -> list[Column]:
-    c, r = encode(chosen, max_len), encode(rejected, max_len)
-    return [c.alias("input_ids_chosen"), attention(c).alias("attention_mask_chosen"),
-            F.lit(1.0).alias("labels_chosen"), r.alias("input_ids_rejected"),
-            attention(r).alias("attention_mask_rejected"), F.lit(0.0).alias("labels_rejected"),
-            F.greatest(F.size(c), F.size(r)).alias("length")]
+def reward_pair_encoded(df: DataFrame, chosen: Column | str, rejected: Column | str, max_len: int) -> DataFrame:
+    """Adds both sides cut at ``max_len``, their constant labels and the pair's length."""
+    t = once(df, input_ids_chosen=encode(chosen, max_len), input_ids_rejected=encode(rejected, max_len))
+    c, r = F.col("input_ids_chosen"), F.col("input_ids_rejected")
+    return t.withColumns({"attention_mask_chosen": attention(c), "labels_chosen": F.lit(1.0),
+                          "attention_mask_rejected": attention(r), "labels_rejected": F.lit(0.0),
+                          "length": F.greatest(F.size(c), F.size(r))})
 
 
 def without_bos(ids: str, others: tuple[str, ...]) -> dict[str, Column]:
@@ -306,8 +329,7 @@ def skipped_positions(df: DataFrame, key: str, ids: str = "input_ids", max_conte
     else:
         step = F.floor(n / chunk_count).cast("int")
         points = F.transform(F.array(*[F.lit(k) for k in range(1, chunk_count)]), lambda k: (k * step).cast("int"))
-    points = F.concat(points, F.array(n))
-    points = F.when(points[0] < 2, F.slice(points, 2, F.size(points))).otherwise(points)
+    points = let(F.concat(points, F.array(n)), lambda p: F.when(p[0] < 2, F.slice(p, 2, F.size(p))).otherwise(p))
 
     start = F.struct(F.lit(0).alias("from"), F.lit(0).alias("skipped"), F.lit(0).alias("k"),
                      F.array().cast("array<struct<from:int,to:int,skip:int>>").alias("parts"))
@@ -320,10 +342,10 @@ def skipped_positions(df: DataFrame, key: str, ids: str = "input_ids", max_conte
         return F.struct(point.alias("from"), skip.alias("skipped"), (s["k"] + 1).alias("k"),
                         F.concat(s["parts"], F.array(part)).alias("parts"))
 
-    out = df.withColumn("_p", F.aggregate(points, start, step_on, lambda s: s["parts"]))
+    out = once(df, _p=F.aggregate(points, start, step_on, lambda s: s["parts"]))
     spread = F.transform(F.filter("_p", lambda p: p["to"] > p["from"]),
                          lambda p: F.sequence(p["from"] + p["skip"], p["to"] + p["skip"] - 1))
-    out = out.withColumn("position_ids", F.flatten(spread)).drop("_p")
+    out = once(out, position_ids=F.flatten(spread)).drop("_p")
     return out.withColumns({"length": F.size("position_ids"),
                             "sequence_len": F.element_at("position_ids", -1)})
 

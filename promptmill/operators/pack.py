@@ -63,13 +63,13 @@ def _sum_state() -> Column:
 
 
 def next_fit(df: DataFrame, key: str, length: str, capacity: int, ordinal: str = "ordinal",
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Rows go to the open block until the next does not fit."""
-    grouped = chunked(df, key, [length], ordinal, chunk_rows)
+             chunk_rows: int = CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows go to the open block until the next does not fit; small ``carry`` columns go along."""
+    grouped = chunked(df, key, [length, *carry], ordinal, chunk_rows)
     blocks = greedy_blocks(F.col("rows"), _sum_state(),
                            lambda s, r: F.struct((s["used"] + r[length]).cast("long").alias("used")),
                            lambda s, r: s["used"] + r[length] <= capacity)
-    return flat_blocks(grouped, blocks, key, [length])
+    return flat_blocks(grouped, blocks, key, [length, *carry])
 
 
 def longest_first(packed: DataFrame, length: str, key: str) -> DataFrame:
@@ -117,13 +117,13 @@ def constant_length(df: DataFrame, key: str, length: str, needs_separator: str,
 
 
 def character_buffers(df: DataFrame, key: str, characters: str, budget: str, ordinal: str = "ordinal",
-                      chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                      chunk_rows: int = CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Buffers that close once they hold ``budget`` characters (a column with one value)."""
-    grouped = chunked(df, key, [characters, budget], ordinal, chunk_rows)
+    grouped = chunked(df, key, [characters, budget, *carry], ordinal, chunk_rows)
     blocks = greedy_blocks(F.col("rows"), _sum_state(),
                            lambda s, r: F.struct((s["used"] + r[characters]).cast("long").alias("used")),
                            lambda s, r: s["used"] < r[budget])
-    return flat_blocks(grouped, blocks, key, [characters])
+    return flat_blocks(grouped, blocks, key, [characters, *carry])
 
 
 def budget_batches(df: DataFrame, key: str, input_length: str, max_new_tokens: str, prefill_budget: int,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
+from promptmill.functions.arrays import once
 from promptmill.operators import chat, labels
 from promptmill.plans.kit import hex_digit, table
 from promptmill.plans.registry import instruction_rows
@@ -61,7 +62,8 @@ def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
 def document_lengths(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id and the length of the encoded row, without building ids."""
     prompt = F.concat("instruction", F.lit("\n"), "input", F.lit("\n"))
-    return docs(spark, sf).select("doc_id", "lang", "source", (tk.token_count(prompt) + tk.token_count("output") + 1).alias("n"))
+    rows = once(docs(spark, sf), n=tk.token_count(prompt) + tk.token_count("output") + 1)
+    return rows.select("doc_id", "lang", "source", "n")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

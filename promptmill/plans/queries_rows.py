@@ -11,6 +11,7 @@ from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import REQUESTS_SQL
 from promptmill.plans.kit import (DOCS, PAIRS, cat, count, dig, digest, fold, ids, joined, q, query, rep, table)
 from promptmill.plans.queries_tokens import ENC_SQL, out
+from promptmill.session import materialise
 
 LEN_SQL = f"ln AS (SELECT doc_id, lang, source, {count('instruction || chr(10) || input || chr(10)')} + {count('output')} + 1 AS n FROM d)"
 
@@ -289,7 +290,8 @@ def multipack_sql(capacity: int, chunk: int) -> str:
 
 
 def multipacked(spark, sf, capacity: int, chunk: int):
-    rows = fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n")
+    # ids and lengths are small and read twice (bucket counts, rows), the text is read once
+    rows = materialise(fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n"), "lengths")
     return pack.multipack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", capacity, chunk_rows=chunk)
 
 
@@ -305,7 +307,7 @@ def k03_chunked(spark, sf):
 
 @query("k04_first_fit_decreasing")
 def k04(spark, sf):
-    rows = fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n")
+    rows = materialise(fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n"), "lengths")
     return pack.ffd_pack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", 4096)
 
 
@@ -420,6 +422,6 @@ def k11(spark, sf):
     ratio = ev.characters_per_token(d, "text", "doc_id", 400)
     rows = d.select("doc_id", F.length("text").alias("c"), tk.token_count("text").alias("t"))
     numbered = order.ordinal(rows, "doc_id").withColumn("budget", ratio.scalar() * 4096)
-    buffers = pack.character_buffers(numbered, "doc_id", "c", "budget").join(rows.select("doc_id", "t"), "doc_id")
+    buffers = pack.character_buffers(numbered, "doc_id", "c", "budget", carry=("t",))
     return buffers.groupBy("block").agg(F.count(F.lit(1)).alias("texts"), F.sum("c").alias("characters"),
                                         F.floor(F.sum(F.col("t") + 1) / 1024).alias("sequences"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
+from promptmill.functions.arrays import once
 from promptmill.operators import chat, labels as lb, split, template as tp
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import TOKEN_LOG_SQL
@@ -31,8 +32,8 @@ def out(df, *keep, columns=("input_ids", "labels"), hashed=True):
 def t01(spark, sf):
     d = fx.documents(spark, sf)
     some = F.when(F.col("lang") == "es", "").otherwise(F.col("text"))
-    rows = d.select("doc_id", tk.encode("text").alias("whole"), tk.encode("text", MAX, eos=True).alias("cut"),
-                    tk.encode(some, MAX, bos=True, eos=True, strip_bos=True).alias("stripped"))
+    rows = once(d, whole=tk.encode("text"), cut=tk.encode("text", MAX, eos=True),
+                stripped=tk.encode(some, MAX, bos=True, eos=True, strip_bos=True))
     return out(rows, "doc_id", columns=("whole", "cut", "stripped"))
 
 
@@ -47,7 +48,7 @@ def t02(spark, sf):
     d = fx.docs(spark, sf)
     prompt = F.concat("instruction", F.lit("\n"), "input", F.lit("\n"))
     rows = lb.with_encoded(d, lb.prompt_masked(prompt, "output"))
-    rows = rows.withColumn("all_labels", lb.prompt_masked(prompt, "output", train_on_inputs=True)["labels"])
+    rows = once(rows, all_labels=lb.prompt_masked(prompt, "output", train_on_inputs=True)["labels"])
     return out(rows, "doc_id", columns=("input_ids", "labels", "all_labels"))
 
 
@@ -69,7 +70,7 @@ def t03(spark, sf):
  b AS (SELECT doc_id, i[1:{MAX}] || {rep(2, f"CASE WHEN len(i) = 0 THEN 0 ELSE least(3, {MAX} - len(i[1:{MAX}])) END")} AS i FROM a)
  SELECT doc_id, len(i) AS n, {dig('i')} AS input_ids FROM b""")
 def t04(spark, sf):
-    rows = fx.documents(spark, sf).select("doc_id", tk.encode("text", MAX, eos=True, eos_count=3).alias("input_ids"))
+    rows = once(fx.documents(spark, sf).select("doc_id", "text"), input_ids=tk.encode("text", MAX, eos=True, eos_count=3))
     return out(rows, "doc_id", columns=("input_ids",))
 
 
@@ -148,7 +149,7 @@ def t07(spark, sf):
  b AS (SELECT doc_id, i, unnest(range((len(i) + 127) // 128)) AS w FROM a)
  SELECT doc_id, w AS "window", len(i[w * 128 + 1:w * 128 + 128]) AS n, {dig('i[w * 128 + 1:w * 128 + 128]')} AS input_ids FROM b""")
 def t08(spark, sf):
-    rows = fx.documents(spark, sf).select("doc_id", tk.encode("text", eos=True).alias("input_ids"))
+    rows = once(fx.documents(spark, sf).select("doc_id", "text"), input_ids=tk.encode("text", eos=True)).drop("text")
     return out(lb.explode_windows(rows, lb.chunks("input_ids", 128)), "doc_id", "window", columns=("input_ids",))
 
 
@@ -156,7 +157,7 @@ def t08(spark, sf):
  b AS (SELECT doc_id, i, unnest(range(1 + greatest(0, ceil((len(i) - 511) / 255.0)::BIGINT))) AS w FROM a)
  SELECT doc_id, w AS "window", len(i[w * 255 + 1:w * 255 + 511]) + 1 AS n, {dig('(i[w * 255 + 1:w * 255 + 511] || [2])')} AS input_ids FROM b""")
 def t09(spark, sf):
-    rows = fx.documents(spark, sf).select("doc_id", tk.token_ids("text").alias("input_ids"))
+    rows = once(fx.documents(spark, sf).select("doc_id", "text"), input_ids=tk.token_ids("text")).drop("text")
     return out(lb.explode_windows(rows, lb.strided_windows("input_ids", 512, 256)), "doc_id", "window", columns=("input_ids",))
 
 
@@ -224,7 +225,7 @@ def t14(spark, sf):
  {cat(rep(-100, 'len(p)') + ' || r')} AS rejected_labels, {cat(rep(1, 'len(p)') + ' || ' + rep(0, 'len(c)'))} AS prompt_attention_mask FROM a""")
 def t15(spark, sf):
     p = fx.pairs(spark, sf)
-    rows = p.select("pair_id", *lb.odds_ratio_pair(F.col("prompt"), F.col("chosen"), F.col("rejected")))
+    rows = lb.odds_ratio_pair(p, "prompt", "chosen", "rejected")
     return out(rows, "pair_id", columns=("input_ids", "labels", "rejected_input_ids", "rejected_labels", "prompt_attention_mask"), hashed=False)
 
 
@@ -234,7 +235,7 @@ def t15(spark, sf):
 def t16(spark, sf):
     p = fx.pairs(spark, sf)
     text = tp.marked_prompt(p, "chatml", "prompt")
-    rows = p.select("pair_id", *lb.reward_pair_encoded(F.concat(text, "chosen"), F.concat(text, "rejected"), 200))
+    rows = lb.reward_pair_encoded(p, F.concat(text, "chosen"), F.concat(text, "rejected"), 200)
     return out(rows, "pair_id", "length", "labels_chosen", "labels_rejected", columns=("input_ids_chosen", "input_ids_rejected"), hashed=False)
 
 
@@ -256,14 +257,14 @@ T18_KEYS = "k AS (SELECT src, row_number() OVER (ORDER BY md5('0|' || src), src)
  SELECT doc_id, index, len(i) AS n, {dig('i')} AS input_ids FROM a JOIN k USING (src)""")
 def t18(spark, sf):
     d = fx.documents(spark, sf).withColumn("src", F.concat_ws("-", "source", "lang"))
-    rows = split.encode_keys(d, split.dictionary(d, "src"), "src").withColumn("input_ids", tk.encode("text", 2048))
+    rows = once(split.encode_keys(d, split.dictionary(d, "src"), "src"), input_ids=tk.encode("text", 2048))
     return out(rows, "doc_id", "index", columns=("input_ids",))
 
 
 @query("t19_length_positions", f"""WITH a AS (SELECT doc_id, {count('text')} AS length FROM documents)
  SELECT doc_id, length, {dig('range(length)')} AS position_ids FROM a""")
 def t19(spark, sf):
-    rows = fx.documents(spark, sf).select("doc_id", tk.token_ids("text").alias("input_ids"))
+    rows = once(fx.documents(spark, sf).select("doc_id", "text"), input_ids=tk.token_ids("text"))
     return rows.select("doc_id", *lb.positions("input_ids")).select("doc_id", "length", digest("position_ids").alias("position_ids"))
 
 
@@ -277,7 +278,7 @@ def t19(spark, sf):
  g AS (SELECT doc_id, n, flatten(list_transform(ps, lambda p: range(p.a, p.b))) AS pos FROM f)
  SELECT doc_id, n AS length, pos[len(pos)] AS sequence_len, {dig('pos')} AS position_ids FROM g""")
 def t20(spark, sf):
-    rows = fx.documents(spark, sf).select("doc_id", tk.token_ids("text").alias("input_ids"))
+    rows = once(fx.documents(spark, sf).select("doc_id", "text"), input_ids=tk.token_ids("text"))
     done = lb.skipped_positions(rows, "doc_id", chunk_count=4)
     return done.select("doc_id", "length", "sequence_len", digest("position_ids").alias("position_ids"))
 
@@ -322,7 +323,8 @@ def t23(spark, sf):
 def t24(spark, sf):
     from promptmill.plans.kit import table
     d = fx.documents(spark, sf).join(table(spark, sf, "labels").select("doc_id", "toxic"), "doc_id")
-    rows = d.select("doc_id", *lb.classification("text", "toxic", 512)).withColumn("labels", F.col("labels").cast("double"))
+    ids_, label = lb.classification("text", "toxic", 512)
+    rows = once(d, input_ids=ids_, labels=label.cast("double"))
     return out(rows, "doc_id", "labels", columns=("input_ids",))
 
 

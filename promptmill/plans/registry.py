@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
+from promptmill.functions.arrays import once
 from promptmill.functions.text import fill
 from promptmill.operators import chat, dedup, labels, pack, template
 from promptmill.operators.evaluate import outputs_with_cases, test_case_score
@@ -146,15 +147,16 @@ def _user_defined(df: DataFrame, c: dict) -> DataFrame:
 
 @strategy("completion.load")
 def _completion(df: DataFrame, c: dict) -> DataFrame:
-    ids = tk.encode(c.get("field", "text"), eos=True)
-    rows = df.select(*c.get("keep", []), ids.alias("input_ids"))
+    rows = once(df.select(*c.get("keep", []), F.col(c.get("field", "text")).alias("_text")),
+                input_ids=tk.encode("_text", eos=True)).drop("_text")
     flat = labels.explode_windows(rows, labels.chunks("input_ids", c["sequence_len"]))
     return labels.with_encoded(flat, labels.encoded(F.col("input_ids"), F.col("input_ids")))
 
 
 @strategy("pretrain.load")
 def _pretrain(df: DataFrame, c: dict) -> DataFrame:
-    rows = df.select(*c.get("keep", []), tk.token_ids(c.get("field", "text")).alias("input_ids"))
+    rows = once(df.select(*c.get("keep", []), F.col(c.get("field", "text")).alias("_text")),
+                input_ids=tk.token_ids("_text")).drop("_text")
     flat = labels.explode_windows(rows, labels.strided_windows("input_ids", c["sequence_len"], c.get("stride", 256)))
     return labels.with_encoded(flat, labels.encoded(F.col("input_ids"), F.col("input_ids")))
 
@@ -269,26 +271,23 @@ def instruction_rows(docs: DataFrame) -> DataFrame:
 def prepare_and_pack(docs: DataFrame, capacity: int = 2048, seed: int = 42) -> DataFrame:
     """Rows, tokens, bins and efficiency per language of a packed supervised table.
 
-    Lengths are all that packing needs, so ids are never built here: the text is
-    read once for hash and token counts, and only (id, length) is shuffled.
+    Lengths are all that packing needs, so ids are never built here.  The text is read
+    once, for its hash and token counts; equal rows combine before the shuffle; what is
+    left, a few numbers per row, is written out and packed.
     """
     rows = instruction_rows(docs)
     prompt = fill("{instruction}\n{input}\n")
     counted = rows.select(
         "doc_id", "lang", dedup.row_hash("instruction", "input", "output").alias("hash"),
         tk.token_count(prompt).alias("n_prompt"), (tk.token_count("output") + 1).alias("n_answer"))
-    counted = counted.withColumn("n", F.col("n_prompt") + F.col("n_answer"))
-    fitting = counted.filter(F.col("n").between(2, capacity) & (F.col("n_answer") > 0))
-    first = fitting.groupBy("hash").agg(
-        F.min(F.struct("doc_id", "lang", "n", "n_answer")).alias("r")).select("r.*")
-    numbered = shuffled_ordinal(first, seed, "doc_id")
-    bins = pack.next_fit(numbered, "doc_id", "n", capacity)
-    used = bins.join(first.select("doc_id", "lang", "n_answer"), "doc_id")
-    per_bin = used.groupBy("lang", "chunk", "block").agg(
+    # the length band reads aggregated values, so it is not evaluated again below the aggregate
+    first = counted.groupBy("hash").agg(F.min(F.struct("doc_id", "lang", "n_prompt", "n_answer")).alias("r")).select(
+        "r.doc_id", "r.lang", (F.col("r.n_prompt") + F.col("r.n_answer")).alias("n"), "r.n_answer")
+    fitting = materialise(first.filter(F.col("n").between(2, capacity) & (F.col("n_answer") > 1)), "lengths")
+    bins = pack.next_fit(shuffled_ordinal(fitting, seed, "doc_id"), "doc_id", "n", capacity, carry=("lang", "n_answer"))
+    per_bin = bins.groupBy("lang", "chunk", "block").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.sum("n_answer").alias("trained"))
     return per_bin.groupBy("lang").agg(
         F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"), F.sum("trained").alias("trained_tokens"),
         F.count(F.lit(1)).alias("bins_touched"),
         F.round(F.sum("tokens") / (F.count(F.lit(1)) * capacity), 6).alias("share_of_bins"))
-
-

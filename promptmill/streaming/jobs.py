@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from pyspark.sql.types import StructType
 
 from promptmill.functions import tokens as tk
-from promptmill.functions.arrays import indices
+from promptmill.functions.arrays import indices, once
 from promptmill.operators import labels, pack
 from promptmill.operators.filters import length_fits
 from promptmill.operators.order import ordinal, shuffled_ordinal
@@ -32,10 +32,9 @@ def write_batch(df: DataFrame, out: str, batch_id: int) -> None:
 
 def pretrain_blocks(docs: DataFrame, key: str, text: str, max_tokens: int, buffer: int = pack.CHUNK_ROWS) -> DataFrame:
     """Concatenate-and-pad blocks of one table or micro-batch."""
-    numbered = ordinal(docs.select(key, text), key)
-    sized = numbered.withColumn("n", pack.concat_pad_lengths(tk.token_count(text), max_tokens))
-    packed = pack.next_fit(sized.select(key, "ordinal", "n"), key, "n", max_tokens, chunk_rows=buffer)
-    data = docs.select(key, tk.token_ids(text).alias("ids")).select(key, *pack.concat_pad_rows("ids", max_tokens))
+    sized = docs.select(key, pack.concat_pad_lengths(tk.token_count(text), max_tokens).alias("n"))
+    packed = pack.next_fit(ordinal(sized, key), key, "n", max_tokens, chunk_rows=buffer)
+    data = once(docs.select(key, text), ids=tk.token_ids(text)).select(key, *pack.concat_pad_rows("ids", max_tokens))
     columns = ["input_ids", "labels", "attention_mask"]
     return pack.blocks_of(packed, data, key, columns, max_tokens, pack.PADDING)
 
@@ -54,7 +53,7 @@ def packed_pretrain(docs: DataFrame, key: str, text: str, max_tokens: int, batch
                     seed: int | str = 42, window_tokens: int | None = None, numbered: bool = True) -> DataFrame:
     """Windows of text, over-long ones dropped, packed to ``batch_size`` x ``max_tokens`` and built."""
     width = window_tokens or max_tokens
-    flat = labels.explode_windows(docs.select(key, tk.token_ids(text).alias("input_ids")),
+    flat = labels.explode_windows(once(docs.select(key, text), input_ids=tk.token_ids(text)).drop(text),
                                   labels.strided_windows("input_ids", width, stride))
     flat = flat.withColumn("row_id", F.concat_ws("-", key, "window")).filter(length_fits("input_ids", max_tokens))
     data = flat.select("row_id", "input_ids", F.col("input_ids").alias("labels"),
