@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from promptmill.plans.catalog import QUERIES  # noqa: E402
 from promptmill.plans.kit import table  # noqa: E402
 from promptmill.plans.registry import prepare_and_pack  # noqa: E402
-from promptmill.session import local_session  # noqa: E402
+from promptmill.session import SPREAD, local_session, spread  # noqa: E402
 
 HEADLINES = ["p02_instruction_styles", "p24_chat_templates", "p28_preference_flat", "t01_tokenize", "t02_prompt_mask",
              "t05_turn_mask", "t08_completion_chunks", "t21_label_weights", "f01_length_band", "f09_request_validation",
@@ -33,12 +33,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = sys.argv[1:] or ["prepare_and_pack", *HEADLINES]
-    spark = local_session(cpus, "bench")
+    spark = local_session(cpus, "bench", **{SPREAD: cpus})
     finish(table(spark, sf, "documents").limit(10))
     finish(table(spark, sf, "documents").groupBy("lang").count())
 
     def flagship(spark, sf):
-        return prepare_and_pack(table(spark, sf, "documents"))
+        return prepare_and_pack(spread(table(spark, sf, "documents")))
 
     known = {"prepare_and_pack": flagship, **QUERIES}
     times = {}

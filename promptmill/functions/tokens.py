@@ -36,8 +36,10 @@ def token_id(token: Column) -> Column:
     return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("int") + F.lit(FIRST_WORD_ID)
 
 
-def token_ids(text: Column | str) -> Column:
-    return F.transform(token_texts(text), token_id)
+def token_ids(text: Column | str, limit: int | Column | None = None) -> Column:
+    """Ids of the text, or of its first ``limit`` tokens only."""
+    words = token_texts(text)
+    return F.transform(words if limit is None else F.slice(words, 1, limit), token_id)
 
 
 def token_count(text: Column | str) -> Column:
@@ -71,7 +73,7 @@ def encode(text: Column | str, max_len: int | None = None, bos: bool = False, eo
     def whole(words: Column) -> Column:
         return F.when(F.size(words) > 0, let(close(words), finish)).otherwise(no_ids())
 
-    return let(token_ids(text) if ids is None else ids, whole)
+    return let(token_ids(text, max_len) if ids is None else ids, whole)
 
 
 def ignored(n: Column | int) -> Column:

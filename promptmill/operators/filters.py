@@ -9,8 +9,9 @@ from promptmill.functions.text import col_of, filled
 from promptmill.functions.tokens import IGNORED, token_count
 
 
-def length_fits(ids: Column | str, sequence_len: int = 2048, min_len: int = 2) -> Column:
-    return F.size(col_of(ids)).between(min_len, sequence_len)
+def length_fits(length: Column, sequence_len: int = 2048, min_len: int = 2) -> Column:
+    """A row's length lies in the band; a token count does as well as the size of its ids."""
+    return length.between(min_len, sequence_len)
 
 
 def has_trainable(labels: Column | str) -> Column:

@@ -184,10 +184,10 @@ def explode_windows(df: DataFrame, windows: Column, out: str = "input_ids") -> D
 def source_target(source: Column | str, target: Column | str, source_max: int, target_max: int,
                   train_on_source: bool = False, predict: bool = False) -> Column:
     """BOS + source and target + EOS, each cut at its own limit."""
-    source_ids = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(source)), 1, source_max)
+    source_ids = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(source, source_max)), 1, source_max)
     if predict:
         return let(source_ids, lambda s: encoded(s, ignored(F.size(s))))
-    target_ids = F.slice(F.concat(token_ids(target), F.array(F.lit(EOS))), 1, target_max)
+    target_ids = F.slice(F.concat(token_ids(target, target_max), F.array(F.lit(EOS))), 1, target_max)
     return let(source_ids, lambda s: let(target_ids, lambda t: encoded(
         F.concat(s, t), F.concat(s if train_on_source else ignored(F.size(s)), t))))
 
@@ -306,7 +306,7 @@ def without_bos(ids: str, others: tuple[str, ...]) -> dict[str, Column]:
 
 
 def classification(text: Column | str, label: Column | str, max_len: int) -> list[Column]:
-    ids = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(text)), 1, max_len)
+    ids = F.slice(F.concat(F.array(F.lit(BOS)), token_ids(text, max_len)), 1, max_len)
     return [ids.alias("input_ids"), col_of(label).cast("float").alias("labels")]
 
 

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promptmill.functions.arrays import indices, let
 from promptmill.functions.text import col_of
 from promptmill.functions.tokens import EOS, IGNORED, PAD
 from promptmill.operators.order import chunk_of
@@ -31,15 +32,19 @@ def greedy_blocks(rows: Column, fresh: Column, grow: Callable[[Column, Column],
     begin = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("i"), fresh.alias("state"))
 
     def step(acc: Column, row: Column) -> Column:
-        stay = (acc["i"] > 0) & fits(acc["state"], row)
-        state = F.when(stay, acc["state"]).otherwise(fresh)
-        starts = F.when(stay, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(acc["i"])))
-        return F.struct(starts.alias("starts"), (acc["i"] + 1).cast("int").alias("i"), grow(state, row).alias("state"))
+        def placed(stay: Column) -> Column:
+            starts = F.when(stay, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(acc["i"])))
+            state = let(F.when(stay, acc["state"]).otherwise(fresh), lambda s: grow(s, row))
+            return F.struct(starts.alias("starts"), (acc["i"] + 1).cast("int").alias("i"), state.alias("state"))
 
-    starts = F.aggregate(rows, begin, step, lambda acc: acc["starts"])
-    ends = F.concat(F.slice(starts, 2, F.size(rows)), F.array(F.size(rows)))
-    bounds = F.arrays_zip(starts.alias("a"), ends.alias("b"))
-    return F.transform(bounds, lambda x: F.slice(rows, x["a"] + 1, x["b"] - x["a"]))
+        return let((acc["i"] > 0) & fits(acc["state"], row), placed)
+
+    def cut(starts: Column) -> Column:
+        n = F.size(starts)
+        return F.transform(starts, lambda a, k: F.slice(
+            rows, a + 1, F.when(k + 1 < n, starts[k + 1]).otherwise(F.size(rows)) - a))
+
+    return let(F.aggregate(rows, begin, step, lambda acc: acc["starts"]), cut)
 
 
 def chunked(df: DataFrame, key: str, fields: list[str], ordinal: str = "ordinal",
@@ -89,12 +94,23 @@ def concat_pad_lengths(length: Column | str, max_tokens: int) -> Column:
     return F.least(col_of(length), F.lit(max_tokens - 2)) + 2
 
 
-def concat_pad_rows(ids: Column | str, max_tokens: int) -> list[Column]:
-    """ids, labels and mask of one text, closed by EOS and PAD."""
-    a = F.slice(col_of(ids), 1, max_tokens - 2)
-    return [F.concat(a, F.array(F.lit(EOS), F.lit(PAD))).alias("input_ids"),
-            F.concat(a, F.array(F.lit(EOS), F.lit(IGNORED))).alias("labels"),
-            F.concat(F.array_repeat(F.lit(1), F.size(a) + 1), F.array(F.lit(0))).alias("attention_mask")]
+def concat_pad_blocks(packed: DataFrame, data: DataFrame, key: str, max_tokens: int, ids: str = "ids") -> DataFrame:
+    """Blocks of texts closed by EOS and PAD, filled up to ``max_tokens``.
+
+    Only ids are shuffled; labels and mask follow from them inside the block.
+    """
+    joined = packed.select("chunk", "block", "place", key).join(
+        data.select(key, F.slice(ids, 1, max_tokens - 2).alias("ids")), key)
+    blocks = joined.groupBy("chunk", "block").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("m"))
+
+    def cat(close: Callable[[Column], Column], pad: int) -> Column:
+        return filled_up(F.flatten(F.transform("m", lambda x: close(x["ids"]))), max_tokens, pad)
+
+    return blocks.select(
+        "chunk", "block",
+        cat(lambda i: F.concat(i, F.array(F.lit(EOS), F.lit(PAD))), PAD).alias("input_ids"),
+        cat(lambda i: F.concat(i, F.array(F.lit(EOS), F.lit(IGNORED))), IGNORED).alias("labels"),
+        cat(lambda i: F.concat(F.array_repeat(F.lit(1), F.size(i) + 1), F.array(F.lit(0))), 0).alias("attention_mask"))
 
 
 def constant_length(df: DataFrame, key: str, length: str, needs_separator: str, capacity: int,
@@ -158,7 +174,7 @@ def budget_batches(df: DataFrame, key: str, input_length: str, max_new_tokens: s
     def within(s: Column) -> Column:
         return (s["prefill"] <= prefill_budget) & (s["prefill"] + s["decode"] + speculate <= token_budget)
 
-    blocks = greedy_blocks(F.col("rows"), fresh, grow, lambda s, r: within(grow(s, r)))
+    blocks = greedy_blocks(F.col("rows"), fresh, grow, lambda s, r: let(grow(s, r), within))
     per_block = grouped.select("chunk", *queue, F.posexplode(blocks).alias("batch", "members"))
     total = F.aggregate("members", fresh, grow)
     sized = per_block.withColumns({"size": F.size("members"), "_t": total}).withColumns({
@@ -214,19 +230,22 @@ def packed_rows(members: DataFrame, data: DataFrame, key: str, numbered: bool =
                 by: tuple[str, ...] = ("chunk", "block"), place: str = "place") -> DataFrame:
     """Concatenated ids, labels and positions per bin; the mask is ones, or the member's number.
 
-    A bin's group is bounded by its token capacity.
+    A bin's group is bounded by its token capacity.  Positions are carried only where
+    ``data`` brings its own; otherwise each member counts from 0.
     """
-    joined = members.select(*by, F.col(place).alias("place"), key).join(
-        data.select(key, "input_ids", "labels", "position_ids"), key)
-    bins = joined.groupBy(*by).agg(F.sort_array(F.collect_list(
-        F.struct("place", "input_ids", "labels", "position_ids"))).alias("m"))
+    own = "position_ids" in data.columns
+    fields = ["input_ids", "labels", *(["position_ids"] if own else [])]
+    joined = members.select(*by, F.col(place).alias("place"), key).join(data.select(key, *fields), key)
+    bins = joined.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("place", *fields))).alias("m"))
 
     def cat(name: str) -> Column:
         return F.flatten(F.transform("m", lambda x: x[name])).alias(name)
 
+    positions = cat("position_ids") if own else F.flatten(
+        F.transform("m", lambda x: indices(x["input_ids"]))).alias("position_ids")
     mask = F.flatten(F.transform("m", lambda x, i: F.array_repeat(
         (i + 1) if numbered else F.lit(1), F.size(x["input_ids"]))))
-    return bins.select(*by, cat("input_ids"), cat("labels"), cat("position_ids"), mask.alias("attention_mask"),
+    return bins.select(*by, cat("input_ids"), cat("labels"), positions, mask.alias("attention_mask"),
                        F.size("m").alias("members"))
 
 
@@ -273,15 +292,3 @@ def unpacked(df: DataFrame, columns: list[str], positions: str = "position_ids")
     rest = [c for c in df.columns if c not in columns]
     flat = df.filter(n > 0).select(*rest, *columns, F.posexplode(ranges).alias("range", "_r"))
     return flat.select(*[c for c in rest], "range", *[F.slice(c, F.col("_r.a"), F.col("_r.n")).alias(c) for c in columns])
-
-
-def blocks_of(packed: DataFrame, data: DataFrame, key: str, columns: list[str], length: int,
-              pads: dict[str, int]) -> DataFrame:
-    """Members' arrays concatenated per block and padded to ``length``."""
-    joined = packed.select("chunk", "block", "place", key).join(data.select(key, *columns), key)
-    bins = joined.groupBy("chunk", "block").agg(F.sort_array(F.collect_list(F.struct("place", *columns))).alias("m"))
-
-    def cat(name: str) -> Column:
-        return F.flatten(F.transform("m", lambda x: x[name]))
-
-    return bins.select("chunk", "block", *[filled_up(F.slice(cat(c), 1, length), length, pads[c]).alias(c) for c in columns])

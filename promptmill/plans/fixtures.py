@@ -10,10 +10,11 @@ from promptmill.functions.arrays import once
 from promptmill.operators import chat, labels
 from promptmill.plans.kit import hex_digit, table
 from promptmill.plans.registry import instruction_rows
+from promptmill.session import spread
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,7 +25,7 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations")
+    return spread(table(spark, sf, "conversations"))
 
 
 def conversations(spark: SparkSession, sf: str) -> DataFrame:

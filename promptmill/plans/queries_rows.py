@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
-from promptmill.functions.arrays import indices
 from promptmill.operators import chat, dedup, evaluate as ev, filters, labels as lb, order, pack, split, template as tp
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import REQUESTS_SQL
@@ -21,8 +20,8 @@ LEN_SQL = f"ln AS (SELECT doc_id, lang, source, {count('instruction || chr(10) |
 
 @query("f01_length_band", f"WITH {DOCS}, {LEN_SQL} SELECT doc_id, n FROM ln WHERE n BETWEEN 2 AND 512")
 def f01(spark, sf):
-    rows = fx.encoded_documents(spark, sf)
-    return rows.filter(filters.length_fits("input_ids", 512)).select("doc_id", F.size("input_ids").alias("n"))
+    rows = fx.document_lengths(spark, sf)
+    return rows.filter(filters.length_fits(F.col("n"), 512)).select("doc_id", "n")
 
 
 @query("f02_trainable", f"""WITH {ENC_SQL} SELECT conv_id, part, len(i) AS n FROM (SELECT conv_id, part, i, l[1:40] AS l FROM enc)
@@ -318,7 +317,7 @@ _K05 = f"""{multipack_sql(2048, pack.CHUNK_ROWS)}, pl AS (SELECT grp AS chunk, b
 
 
 def packed(spark, sf, numbered=True):
-    data = fx.encoded_documents(spark, sf).filter(filters.length_fits("input_ids")).withColumn("position_ids", indices(F.col("input_ids")))
+    data = fx.encoded_documents(spark, sf).filter(filters.length_fits(F.size("input_ids")))
     return pack.packed_rows(multipacked(spark, sf, 2048, pack.CHUNK_ROWS), data, "doc_id", numbered)
 
 

@@ -32,8 +32,8 @@ def out(df, *keep, columns=("input_ids", "labels"), hashed=True):
 def t01(spark, sf):
     d = fx.documents(spark, sf)
     some = F.when(F.col("lang") == "es", "").otherwise(F.col("text"))
-    rows = once(d, whole=tk.encode("text"), cut=tk.encode("text", MAX, eos=True),
-                stripped=tk.encode(some, MAX, bos=True, eos=True, strip_bos=True))
+    rows = once(d, whole=tk.encode("text"), stripped=tk.encode(some, MAX, bos=True, eos=True, strip_bos=True))
+    rows = rows.withColumn("cut", tk.encode("text", MAX, eos=True, ids=F.col("whole")))
     return out(rows, "doc_id", columns=("whole", "cut", "stripped"))
 
 
@@ -47,8 +47,8 @@ T02_PROMPT = "{instruction}\n{input}\n"
 def t02(spark, sf):
     d = fx.docs(spark, sf)
     prompt = F.concat("instruction", F.lit("\n"), "input", F.lit("\n"))
-    rows = lb.with_encoded(d, lb.prompt_masked(prompt, "output"))
-    rows = once(rows, all_labels=lb.prompt_masked(prompt, "output", train_on_inputs=True)["labels"])
+    rows = once(d, row=lb.prompt_masked(prompt, "output"), kept=lb.prompt_masked(prompt, "output", train_on_inputs=True))
+    rows = rows.select("doc_id", "row.input_ids", "row.labels", F.col("kept.labels").alias("all_labels"))
     return out(rows, "doc_id", columns=("input_ids", "labels", "all_labels"))
 
 

@@ -32,6 +32,19 @@ def local_session(cores: int | str = "*", app: str = "promptmill", **conf: str)
     return spark
 
 
+SPREAD = "spark.promptmill.spread"
+
+
+def spread(df):
+    """Rows dealt out to as many tasks as the setting ``spark.promptmill.spread`` says; as is where it is unset.
+
+    For a small text table kept in one row group, which Spark reads in one task.  A
+    large table has enough splits and must not pay for a shuffle of its text.
+    """
+    tasks = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from pyspark.sql.types import StructType
 
 from promptmill.functions import tokens as tk
-from promptmill.functions.arrays import indices, once
+from promptmill.functions.arrays import once
 from promptmill.operators import labels, pack
 from promptmill.operators.filters import length_fits
 from promptmill.operators.order import ordinal, shuffled_ordinal
@@ -34,9 +34,8 @@ def pretrain_blocks(docs: DataFrame, key: str, text: str, max_tokens: int, buffe
     """Concatenate-and-pad blocks of one table or micro-batch."""
     sized = docs.select(key, pack.concat_pad_lengths(tk.token_count(text), max_tokens).alias("n"))
     packed = pack.next_fit(ordinal(sized, key), key, "n", max_tokens, chunk_rows=buffer)
-    data = once(docs.select(key, text), ids=tk.token_ids(text)).select(key, *pack.concat_pad_rows("ids", max_tokens))
-    columns = ["input_ids", "labels", "attention_mask"]
-    return pack.blocks_of(packed, data, key, columns, max_tokens, pack.PADDING)
+    data = docs.select(key, tk.token_ids(text, max_tokens - 2).alias("ids"))
+    return pack.concat_pad_blocks(packed, data, key, max_tokens)
 
 
 def stream_pretrain(stream: DataFrame, out: str, checkpoint: str, key: str = "doc_id", text: str = "text",
@@ -55,9 +54,8 @@ def packed_pretrain(docs: DataFrame, key: str, text: str, max_tokens: int, batch
     width = window_tokens or max_tokens
     flat = labels.explode_windows(once(docs.select(key, text), input_ids=tk.token_ids(text)).drop(text),
                                   labels.strided_windows("input_ids", width, stride))
-    flat = flat.withColumn("row_id", F.concat_ws("-", key, "window")).filter(length_fits("input_ids", max_tokens))
-    data = flat.select("row_id", "input_ids", F.col("input_ids").alias("labels"),
-                       indices(F.col("input_ids")).alias("position_ids"))
+    flat = flat.withColumn("row_id", F.concat_ws("-", key, "window")).filter(length_fits(F.size("input_ids"), max_tokens))
+    data = flat.select("row_id", "input_ids", F.col("input_ids").alias("labels"))
     sized = shuffled_ordinal(flat.select("row_id", F.size("input_ids").alias("n")), seed, "row_id")
     bins = pack.multipack(sized, "row_id", "n", max_tokens * batch_size)
     return pack.packed_rows(bins, data, "row_id", numbered)
