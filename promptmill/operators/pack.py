@@ -94,13 +94,22 @@ def concat_pad_lengths(length: Column | str, max_tokens: int) -> Column:
     return F.least(col_of(length), F.lit(max_tokens - 2)) + 2
 
 
+def with_members(members: DataFrame, data: DataFrame, key: str) -> DataFrame:
+    """Token arrays joined to their places by the unique key.
+
+    Spark's size estimate knows nothing of array lengths, so the arrays must never be
+    taken for a small side; the places are hashed and the arrays stream past unsorted.
+    """
+    return members.hint("shuffle_hash").join(data, key)
+
+
 def concat_pad_blocks(packed: DataFrame, data: DataFrame, key: str, max_tokens: int, ids: str = "ids") -> DataFrame:
     """Blocks of texts closed by EOS and PAD, filled up to ``max_tokens``.
 
     Only ids are shuffled; labels and mask follow from them inside the block.
     """
-    joined = packed.select("chunk", "block", "place", key).join(
-        data.select(key, F.slice(ids, 1, max_tokens - 2).alias("ids")), key)
+    joined = with_members(packed.select("chunk", "block", "place", key),
+                          data.select(key, F.slice(ids, 1, max_tokens - 2).alias("ids")), key)
     blocks = joined.groupBy("chunk", "block").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("m"))
 
     def cat(close: Callable[[Column], Column], pad: int) -> Column:
@@ -235,7 +244,7 @@ def packed_rows(members: DataFrame, data: DataFrame, key: str, numbered: bool =
     """
     own = "position_ids" in data.columns
     fields = ["input_ids", "labels", *(["position_ids"] if own else [])]
-    joined = members.select(*by, F.col(place).alias("place"), key).join(data.select(key, *fields), key)
+    joined = with_members(members.select(*by, F.col(place).alias("place"), key), data.select(key, *fields), key)
     bins = joined.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("place", *fields))).alias("m"))
 
     def cat(name: str) -> Column:
