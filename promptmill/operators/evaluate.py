@@ -400,16 +400,17 @@ def best_of(log: DataFrame, prompt: str = "prompt_id", attempt: str = "try", log
 # Run checks -----------------------------------------------------------------------------
 
 
-def first_violation(df: DataFrame, run: str, time: str, step: str, loss: str, threshold: float, patience: int = 3,
-                    bucket_seconds: int = 86_400) -> DataFrame:
-    """Per run, the first row that ends ``patience`` losses above ``threshold`` in a row.
+def first_violation(df: DataFrame, run: str, step: str, loss: str, threshold: float, patience: int = 3,
+                    bucket_bits: int = 16) -> DataFrame:
+    """Per run, the first step that ends ``patience`` losses above ``threshold`` in a row.
 
-    Rows are ranked inside (run, time bucket); buckets are summed up by an aggregate and
-    carry the last good row across, so one run's rows are never in a single window.
+    Steps are unique integers, so a bucket of 2**bucket_bits steps bounds the rows any
+    window sees, however hot a run is.  Buckets are summed up by an aggregate and carry
+    the last good row across.
     """
-    rows = df.select(run, time, step, (F.col(loss) > threshold).alias("_bad"),
-                     F.floor(F.unix_timestamp(time) / bucket_seconds).alias("_b"))
-    inside = Window.partitionBy(run, "_b").orderBy(time, step)
+    rows = df.select(run, step, (F.col(loss) > threshold).alias("_bad"),
+                     F.shiftright(F.col(step).cast("long"), bucket_bits).alias("_b"))
+    inside = Window.partitionBy(run, "_b").orderBy(step)
     rows = rows.withColumn("_rn", F.row_number().over(inside))
     rows = rows.withColumn("_good", F.max(F.when(~F.col("_bad"), F.col("_rn"))).over(
         inside.rowsBetween(Window.unboundedPreceding, 0)))

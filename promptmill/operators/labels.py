@@ -75,8 +75,8 @@ def turn_masked(messages: Column | str, before: str = "<|im_start|>{role}\n", ro
                 training: str | None = None, detail: str | None = None) -> Column:
     """Per-turn labels of a chat whose turns are mark, content, EOS.
 
-    A turn trains by its own flag, else by having train spans, else by its role.
-    ``train_on_eos`` is all, turn or last.
+    A turn trains by its own flag, else by having spans, else by its role; a turn with
+    spans trains only the tokens its train spans cover.  ``train_on_eos`` is all, turn or last.
     """
     m = col_of(messages)
     count = F.size(m)
@@ -92,12 +92,14 @@ def turn_masked(messages: Column | str, before: str = "<|im_start|>{role}\n", ro
 
         def turn(mark: Column, body: Column) -> Column:
             return F.struct(
-                F.concat(mark, body, end).alias("ids"),
-                F.concat(ignored(F.size(mark)), F.when(trains, body).otherwise(ignored(F.size(body))),
-                         F.when(eos, end).otherwise(ignored(1))).alias("labels"))
+                F.concat(mark, body["ids"], end).alias("ids"),
+                F.concat(ignored(F.size(mark)), body["labels"], F.when(eos, end).otherwise(ignored(1))).alias("labels"))
 
-        return let(token_ids(fill(before, {"role": x["role"]})), lambda k: let(
-            token_ids(x["content"]), lambda b: turn(k, b)))
+        body = part(token_ids(x["content"]), trains)
+        if detail:
+            spanned = trains & (F.coalesce(F.size(x[detail]), F.lit(0)) > 0)
+            body = F.when(spanned, span_labels(x["content"], x[detail])).otherwise(body)
+        return let(token_ids(fill(before, {"role": x["role"]})), lambda k: let(body, lambda b: turn(k, b)))
 
     return flat_parts(F.transform(m, one))
 
@@ -124,26 +126,36 @@ def token_spans(text: Column | str) -> Column:
     return let(F.filter(all_pieces, lambda p: ~p["token"].rlike(r"^\s")), ended)
 
 
-def span_masked(df: DataFrame, text: str, details: str) -> DataFrame:
-    """Labels from character spans: spans snap outward to tokens, covered tokens of a train span train.
+def span_labels(text: Column | str, details: Column) -> Column:
+    """Ids and labels from character spans: spans snap outward to tokens, covered tokens of a train span train."""
 
-    The intermediate arrays are columns of their own so that each is built once.
-    """
-    out = once(df, _t=token_spans(text))
-    out = out.withColumns({"_s": F.transform("_t", lambda t: t["start"]), "_e": F.transform("_t", lambda t: t["end"])})
-    n = F.size("_t")
-
-    def snapped(d: Column) -> Column:
-        first = F.size(F.filter("_s", lambda s: s < d["begin_offset"]))
-        first = F.when((first > 0) & (F.try_element_at(F.col("_e"), first) > d["begin_offset"]), first - 1).otherwise(first)
-        last = F.size(F.filter("_e", lambda e: e <= d["end_offset"])) - 1
-        last = F.when((last < n - 1) & (F.try_element_at(F.col("_s"), last + 2) < d["end_offset"]), last + 1).otherwise(last)
-        return F.struct(first.alias("first"), last.alias("last"), d["train"].alias("train"))
-
-    out = once(out, _d=F.transform(details, snapped), input_ids=F.transform("_t", lambda t: tk.token_id(t["token"])))
-    labels = F.transform("input_ids", lambda x, i: F.when(F.exists("_d", lambda d: d["train"] & (
-        d["first"] <= d["last"]) & (i >= d["first"]) & (i <= d["last"])), x).otherwise(F.lit(IGNORED)))
-    return out.withColumn("labels", labels).drop("_t", "_s", "_e", "_d")
+    def labels(t: Column, starts: Column, ends: Column) -> Column:
+        n = F.size(t)
+
+        def snapped(d: Column) -> Column:
+            first = F.size(F.filter(starts, lambda s: s < d["begin_offset"]))
+            last = F.size(F.filter(ends, lambda e: e <= d["end_offset"])) - 1
+            return F.struct(
+                F.when((first > 0) & (F.try_element_at(ends, first) > d["begin_offset"]), first - 1).otherwise(first).alias("first"),
+                F.when((last < n - 1) & (F.try_element_at(starts, last + 2) < d["end_offset"]), last + 1).otherwise(last).alias("last"),
+                d["train"].alias("train"))
+
+        def marked(spans: Column, ids: Column) -> Column:
+            return F.struct(ids.alias("ids"), F.transform(ids, lambda x, i: F.when(
+                F.exists(spans, lambda d: d["train"] & (i >= d["first"]) & (i <= d["last"])), x)
+                .otherwise(F.lit(IGNORED))).alias("labels"))
+
+        return let(F.transform(details, snapped), lambda spans: let(
+            F.transform(t, lambda x: tk.token_id(x["token"])), lambda ids: marked(spans, ids)))
+
+    return let(token_spans(text), lambda t: let(
+        F.transform(t, lambda x: x["start"]), lambda starts: let(
+            F.transform(t, lambda x: x["end"]), lambda ends: labels(t, starts, ends))))
+
+
+def span_masked(df: DataFrame, text: str, details: str) -> DataFrame:
+    out = once(df, _row=span_labels(text, F.col(details)))
+    return out.withColumns({"input_ids": F.col("_row.ids"), "labels": F.col("_row.labels")}).drop("_row")
 
 
 def weighted_labels(segments: Column) -> Column:

@@ -63,11 +63,12 @@ def ordinal(df: DataFrame, key: str, out: str = "ordinal", levels: int = 1) -> D
 
 
 def shuffled_ordinal(df: DataFrame, seed: int | str, *keys: str, out: str = "ordinal",
-                     digits: int = 3) -> DataFrame:
+                     digits: int = 4) -> DataFrame:
     """Dense 0-based number in seeded shuffle order.
 
     Buckets are the leading hex digits of an md5 over a unique key: 16**digits
-    buckets of equal expected size.  Take 4 digits above about 10**10 rows.
+    buckets of equal expected size, whose count table (65,536 rows by default) is all
+    that one task ever sums up.
     """
     keyed = df.withColumn("_h", shuffle_key(seed, *keys)).withColumn("_b", F.substring("_h", 1, digits))
     return _number(keyed, "_b", [F.col("_h"), *[F.col(k) for k in keys]], 0, out).drop("_h")

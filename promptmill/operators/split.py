@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.text import col_of
 from promptmill.operators.order import chunk_of, ordinal, shuffle_key, shuffled_ordinal, unit_interval
+from promptmill.session import materialise
 
 
 def shard(df: DataFrame, key: str, shards: int, index: int, seed: int = 42) -> DataFrame:
@@ -105,9 +106,18 @@ def dictionary(keys: DataFrame, key: str, out: str = "index", seed: int = 0) ->
     return shuffled_ordinal(keys.select(key).distinct(), seed, key, out=out)
 
 
-def encode_keys(df: DataFrame, index: DataFrame, key: str) -> DataFrame:
-    """The index joined back; Spark picks broadcast or a skew-aware shuffle by the dictionary's size."""
-    return df.join(index, key)
+BROADCAST_ROWS = 100_000
+
+
+def encode_keys(df: DataFrame, index: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The index joined back.
+
+    The dictionary is written out and counted; up to ``broadcast_rows`` rows it is
+    broadcast, beyond that both sides are shuffled and AQE splits a hot key.
+    """
+    written = materialise(index, "dictionary")
+    small = written.count() <= broadcast_rows
+    return df.join(F.broadcast(written) if small else written.hint("merge"), key)
 
 
 def batches(df: DataFrame, key: str, size: int, out: str = "batch") -> DataFrame:

@@ -334,11 +334,11 @@ def a19(spark, sf):
     return ev.best_of(log).withColumn("score", r6(F.col("score")))
 
 
-@query("w01_consecutive_violations", """WITH r AS (SELECT user_id, event_id, value > 40 AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+@query("w01_consecutive_violations", """WITH r AS (SELECT user_id, event_id, value > 40 AS bad, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
  g AS (SELECT *, rn - coalesce(max(rn) FILTER (NOT bad) OVER (PARTITION BY user_id ORDER BY rn), 0) AS streak FROM r)
  SELECT user_id, min(rn) AS step_number, arg_min(event_id, rn) AS event_id FROM g WHERE streak >= 4 GROUP BY user_id""")
 def w01(spark, sf):
-    return ev.first_violation(table(spark, sf, "events"), "user_id", "ts", "event_id", "value", 40.0, 4)
+    return ev.first_violation(table(spark, sf, "events"), "user_id", "event_id", "value", 40.0, 4)
 
 
 # Scalar functions -----------------------------------------------------------------------

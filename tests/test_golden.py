@@ -149,6 +149,19 @@ def test_run_weights(spark):
     assert [round(x, 6) for x in got] == [0.5, 0.5, 0, 1, 0, 0, 0.333333, 0.333333, 0.333333]
 
 
+def test_turns_with_training_spans(spark):
+    spans = "training_detail array<struct<begin_offset int, end_offset int, train boolean>>"
+    schema = f"messages array<struct<role string, content string, training boolean, {spans}>>".replace(" int", ":int").replace(
+        " boolean", ":boolean").replace(" string", ":string").replace("messages array", "messages array").replace("detail array", "detail:array")
+    messages = [("user", "one two", None, None), ("assistant", "aa bb cc dd", None, [(4, 6, True), (9, 10, False)]),
+                ("assistant", "ee ff", False, [(0, 1, True)])]
+    df = spark.createDataFrame([(messages,)], schema)
+    row = df.select(lb.turn_masked("messages", training="training", detail="training_detail").alias("r")).select("r.*").first()
+    trained = [x for x in row.labels if x != tk.IGNORED]
+    ids = spark.range(1).select(tk.token_ids(F.lit("bb"))).first()[0]
+    assert trained == ids + [tk.EOS] and len(row.labels) == len(row.input_ids)
+
+
 def chat_frame(spark, *roles):
     return spark.createDataFrame([(1, i, r, f"t{i}") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
 
