@@ -294,17 +294,9 @@ def map_critique(df: DataFrame, kind: str) -> list[Column]:
     return [fill(lead + CREATIVE_TURN, {"instruction": source}).alias("prompt"), target.alias("output")]
 
 
-_REFLECT_MIDDLE = (
-    " You, the Assistant, should generate a response as if it were an abstract for an academic or technical paper "
-    "on the query along with a methodology. Then generate an Agent Reflection where you create a long form response "
-    "as if from subject matter expert, be verbose, diligent, and creative in your application of knowledge, apply it "
-    "through the lens of the response generated by the assistant. Look for flawed reasoning, faulty logic, or other "
-    "mistakes in the method. Finally, generate a final response and method for the user with the Assistant abstract "
-    "and Reflection analysis as augmentations to the generation\n\n")
 # Reflection system lines, turns and labels.
-REFLECT_SYSTEM = ("Below is an instruction that describes a task, paired with an input that provides further context."
-                  + _REFLECT_MIDDLE)
-REFLECT_BARE_SYSTEM = "Below is an instruction that describes a task." + _REFLECT_MIDDLE
+REFLECT_SYSTEM = "Below is an instruction that describes a task, paired with an input that provides further context. You, the Assistant, should generate a response as if it were an abstract for an academic or technical paper on the query along with a methodology. Then generate an Agent Reflection where you create a long form response as if from subject matter expert, be verbose, diligent, and creative in your application of knowledge, apply it through the lens of the response generated by the assistant. Look for flawed reasoning, faulty logic, or other mistakes in the method. Finally, generate a final response and method for the user with the Assistant abstract and Reflection analysis as augmentations to the generation\n\n"
+REFLECT_BARE_SYSTEM = "Below is an instruction that describes a task. You, the Assistant, should generate a response as if it were an abstract for an academic or technical paper on the query along with a methodology. Then generate an Agent Reflection where you create a long form response as if from subject matter expert, be verbose, diligent, and creative in your application of knowledge, apply it through the lens of the response generated by the assistant. Look for flawed reasoning, faulty logic, or other mistakes in the method. Finally, generate a final response and method for the user with the Assistant abstract and Reflection analysis as augmentations to the generation\n\n"
 REFLECT = {
     "instruct": (STYLES["instruct"].turn, STYLES["instruct"].bare_turn,
                  "### Thought:\n{output}\n\n### Agent Reflection:\n{reflection}\n\n### Final Response:\n{corrected}"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
-from promptmill.operators import chat, dedup, evaluate as ev, filters, labels as lb, order, pack, split, template as tp
+from promptmill.operators import chat, dedup, evaluate as ev, filters, labels as lb, order, pack, split
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import REQUESTS_SQL
-from promptmill.plans.kit import (DOCS, PAIRS, cat, count, dig, digest, fold, ids, joined, q, query, rep, table)
+from promptmill.plans.kit import DOCS, PAIRS, cat, count, dig, digit, fold, hex_digit, ids, query, rep, table
 from promptmill.plans.queries_tokens import ENC_SQL, out
 from promptmill.session import materialise
 
@@ -24,10 +26,12 @@ def f01(spark, sf):
     return rows.filter(filters.length_fits(F.col("n"), 512)).select("doc_id", "n")
 
 
-@query("f02_trainable", f"""WITH {ENC_SQL} SELECT conv_id, part, len(i) AS n FROM (SELECT conv_id, part, i, l[1:40] AS l FROM enc)
- WHERE len(list_filter(l, lambda z: z <> -100)) > 0""")
+@query("f02_trainable", f"""WITH {ENC_SQL} SELECT conv_id, part, len(i) AS n FROM enc
+ WHERE len(list_filter(l, lambda z: z <> -100)) > 0 AND {digit('md5(conv_id::VARCHAR)', 1)} >= 4""")
 def f02(spark, sf):
-    rows = fx.encoded_conversations(spark, sf).withColumn("labels", F.slice("labels", 1, 40))
+    masked = hex_digit(F.md5(F.col("conv_id").cast("string")), 1) < 4
+    rows = fx.encoded_conversations(spark, sf).withColumn("labels", F.when(
+        masked, F.transform("labels", lambda x: F.lit(tk.IGNORED))).otherwise(F.col("labels")))
     return rows.filter(filters.has_trainable("labels")).select("conv_id", "part", F.size("input_ids").alias("n"))
 
 
@@ -67,17 +71,19 @@ def f07(spark, sf):
     return fx.documents(spark, sf).filter(filters.example_fits("text", 300)).select("doc_id")
 
 
-def choice_words() -> list[str]:
-    return ["A", "B", "C", "D"]
+CHOICES = ("A", "B", "C", "D")
+
+
+def word_id(word: str) -> int:
+    return tk.FIRST_WORD_ID + int(hashlib.md5(word.encode()).hexdigest()[:7], 16)
 
 
 @query("f08_choice_answer", f"""SELECT doc_id, upper(lang[1:1]) AS choice FROM documents
  WHERE upper(lang[1:1]) IN ('A', 'B', 'C', 'D')""")
 def f08(spark, sf):
-    spark_ids = [16 + int(__import__("hashlib").md5(w.encode()).hexdigest()[:7], 16) for w in choice_words()]
     d = fx.documents(spark, sf).withColumn("choice", F.upper(F.substring("lang", 1, 1)))
     rows = lb.with_encoded(d, lb.prompt_masked("text", "choice"))
-    return rows.filter(filters.choice_answer("labels", spark_ids)).select("doc_id", "choice")
+    return rows.filter(filters.choice_answer("labels", [word_id(w) for w in CHOICES])).select("doc_id", "choice")
 
 
 F09_SQL = """CASE WHEN coalesce(best_of, 1) < 1 OR coalesce(best_of, 1) > 2 THEN 'best_of'
@@ -247,9 +253,6 @@ def r13(spark, sf):
 
 # Packing --------------------------------------------------------------------------------
 
-ROWS_BY_ID = "SELECT {grp} AS grp, row_number() OVER (PARTITION BY {grp} ORDER BY o) AS i, doc_id AS key, n FROM {src}"
-
-
 def fold_over(source: str, capacity: int, chunk: int = pack.CHUNK_ROWS) -> str:
     """Recursion over documents in the order ``o`` (0-based) of ``source``."""
     return fold(f"SELECT o // {chunk} AS grp, row_number() OVER (PARTITION BY o // {chunk} ORDER BY o) AS i, doc_id AS key, n FROM ({source})", capacity)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from promptmill.functions import tokens as tk
 from promptmill.operators import chat, dedup
 from promptmill.plans import fixtures as fx, registry
-from promptmill.plans.kit import DOCS, hex_digit, query, table
+from promptmill.plans.kit import DOCS, count, dig, hex_digit, ids, query, rep, table
 from promptmill.plans.queries_evaluate import CASES_SQL, cases
+from promptmill.plans.queries_prompts import _instruction_sql
 from promptmill.plans.queries_tokens import out
 from promptmill.session import scratch_path
 from promptmill.sources import io
@@ -46,7 +47,7 @@ def s01(spark, sf):
     return dedup.union_all([*parts, lines.withColumn("format", F.lit("text"))])
 
 
-@query("s02_path_resolution")
+@query("s02_path_resolution", "SELECT kind, doc_id FROM documents, (SELECT unnest(['saved folder', 'file', 'data_files']) AS kind)")
 def s02(spark, sf):
     root, d = scratch_path(spark, "s02"), _docs(spark, sf)
     d.write.parquet(f"{root}/saved")
@@ -99,7 +100,13 @@ def s07(spark, sf):
     return io.read_test_cases(spark, root, r"problem_id=([^/]+)/")
 
 
-@query("s08_prepared_cache")
+def _chunks_sql(length: int) -> str:
+    """doc_id, w, i: completion blocks of the documents."""
+    return (f"SELECT doc_id, w, i[w * {length} + 1:w * {length} + {length}] AS i FROM (SELECT doc_id, i, unnest(range((len(i) + {length - 1}) // {length})) AS w "
+            f"FROM (SELECT doc_id, {ids('text')} || [2] AS i FROM documents))")
+
+
+@query("s08_prepared_cache", f"""SELECT doc_id, w AS "window", len(i) AS n, {dig('i')} AS input_ids, {dig('i')} AS labels FROM ({_chunks_sql(512)})""")
 def s08(spark, sf):
     root = scratch_path(spark, "s08")
     config = {"sequence_len": 512, "datasets": [{"path": "documents", "type": "completion"}], "tokenizer": "words"}
@@ -164,7 +171,7 @@ def s11(spark, sf):
     return read.fillna("")
 
 
-@query("s12_text_stream")
+@query("s12_text_stream", "SELECT doc_id, length(text) AS characters FROM documents")
 def s12(spark, sf):
     root = scratch_path(spark, "s12")
     stream = io.text_stream(spark, sf, DOC_SCHEMA, "documents*.parquet")
@@ -184,7 +191,7 @@ def s13(spark, sf):
                        F.col("m")[names["message_field_role"]].alias("role"), F.col("m")[names["message_field_content"]].alias("content"))
 
 
-@query("s14_format_sample")
+@query("s14_format_sample", f"WITH {DOCS} SELECT input, output FROM d ORDER BY doc_id LIMIT 1")
 def s14(spark, sf):
     root = scratch_path(spark, "s14")
     io.write_format_sample(fx.docs(spark, sf), "doc_id", root)
@@ -197,7 +204,20 @@ U01_KINDS = {"alpaca": {}, "alpaca_chat.load_concise": {}, "summarizetldr": {},
              "pretrain": {"sequence_len": 512, "stride": 64}}
 
 
-@query("u01_strategy_registry")
+def _u01_sql(kind: str, prompt: str, output: str) -> str:
+    return f"SELECT '{kind}' AS strategy, doc_id, {count(prompt)} + {count(output)} + 1 AS n, {count(output)} + 1 AS trained FROM "
+
+
+_CONTEXT_TURN = "text || chr(10) || '===' || chr(10) || head"
+_U01_SQL = f"""WITH {DOCS}, t AS (SELECT doc_id, head AS output, text AS instruction, '' AS input FROM d), x AS (SELECT doc_id, lang AS output, {_CONTEXT_TURN} AS instruction, '' AS input FROM d)
+ {_u01_sql('alpaca', _instruction_sql('alpaca', 'instruct', False), 'output')} d UNION ALL {_u01_sql('alpaca_chat.load_concise', _instruction_sql('concise', 'chat', False), 'output')} d
+ UNION ALL {_u01_sql('summarizetldr', _instruction_sql('summarize', 'chat', False), 'output')} t UNION ALL {_u01_sql('context_qa', _instruction_sql('context', 'chat', False), 'output')} x
+ UNION ALL SELECT 'completion', doc_id, len(i), len(i) FROM ({_chunks_sql(256)})
+ UNION ALL SELECT 'pretrain', doc_id, len(i[w * 447 + 1:w * 447 + 511]) + 1, len(i[w * 447 + 1:w * 447 + 511]) + 1 FROM (SELECT doc_id, i, unnest(range(1 + greatest(0, ceil((len(i) - 511) / 447.0)::BIGINT))) AS w
+ FROM (SELECT doc_id, {ids('text')} AS i FROM documents))"""
+
+
+@query("u01_strategy_registry", _U01_SQL)
 def u01(spark, sf):
     d = fx.docs(spark, sf).withColumns({"article": F.col("text"), "summary": F.col("head"), "question": F.col("head"), "answer": F.col("lang")})
     parts = [registry.apply_strategy(d, k, {**c, "keep": ["doc_id"]}).select(
@@ -242,7 +262,8 @@ def u04(spark, sf):
     return fx.documents(spark, sf).select("doc_id", F.size(tk.plug_in(load)(F.col("text"))).alias("n"))
 
 
-@query("u05_tokenized_bypass")
+@query("u05_tokenized_bypass", f"""WITH {DOCS}, a AS (SELECT doc_id, {ids("instruction || chr(10) || input || chr(10)")} AS p, {ids('output')} || [2] AS o FROM d)
+ SELECT doc_id, len(p || o) AS n, {dig('p || o')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || o')} AS labels FROM a""")
 def u05(spark, sf):
     rows = fx.encoded_documents(spark, sf)
     return out(registry.apply_strategy(rows, "alpaca", {"sequence_len": 16}), "doc_id")
