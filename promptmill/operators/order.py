@@ -53,7 +53,7 @@ def _number(bucketed: DataFrame, bucket: str, order: list[Column], levels: int,
 
 
 def ordinal(df: DataFrame, key: str, out: str = "ordinal", levels: int = 1) -> DataFrame:
-    """Dense 0-based number in the order of a unique integer ``key``.
+    """Dense 0-based number in the order of a unique integer ``key`` that is never null.
 
     A bucket is a range of 2**16 key values, so it holds at most 2**16 rows however
     the keys are spread.  ``levels`` = 1 covers keys below 2**48, 2 all 64 bits.

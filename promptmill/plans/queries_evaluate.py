@@ -15,6 +15,24 @@ from promptmill.plans.kit import (DOCS, PAIRS, cat, count, dig, digest, digit, h
 from promptmill.plans.queries_prompts import CATEGORISED_SQL, JUDGES_SQL, categorised, judges
 from promptmill.plans.queries_rows import LEN_SQL, _K05, multipack_sql, multipacked, packed
 from promptmill.plans.queries_tokens import ENC_SQL
+from promptmill.plans.registry import prepare_and_pack
+
+# The headline table ---------------------------------------------------------------------
+
+_X01 = f"""WITH RECURSIVE {DOCS}, u AS (SELECT doc_id, lang, {count("instruction || chr(10) || input || chr(10)")} AS np, {count('output')} + 1 AS na FROM d
+ WHERE doc_id IN (SELECT min(doc_id) FROM d GROUP BY instruction, input, output)),
+ r AS (SELECT o // 10000 AS grp, row_number() OVER (PARTITION BY o // 10000 ORDER BY o) AS i, lang, n, na FROM (
+ SELECT *, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS o FROM (SELECT doc_id, lang, np + na AS n, na FROM u WHERE np + na BETWEEN 2 AND 2048 AND na > 1))),
+ f AS (SELECT grp, i, lang, n, na, 0 AS block, n::BIGINT AS used FROM r WHERE i = 1 UNION ALL SELECT r.grp, r.i, r.lang, r.n, r.na,
+ CASE WHEN f.used + r.n <= 2048 THEN f.block ELSE f.block + 1 END, CASE WHEN f.used + r.n <= 2048 THEN f.used + r.n ELSE r.n END FROM f JOIN r ON r.grp = f.grp AND r.i = f.i + 1)
+ SELECT lang, count(*) AS rows, sum(n)::BIGINT AS tokens, sum(na)::BIGINT AS trained_tokens, count(DISTINCT grp * 1000000 + block) AS bins_touched,
+ round(sum(n) / (count(DISTINCT grp * 1000000 + block) * 2048)::DOUBLE, 6) AS share_of_bins FROM f GROUP BY lang"""
+
+
+@query("x01_packed_summary", _X01)
+def x01(spark, sf):
+    return prepare_and_pack(fx.documents(spark, sf))
+
 
 # Joins ----------------------------------------------------------------------------------
 
