@@ -98,9 +98,9 @@ def with_members(members: DataFrame, data: DataFrame, key: str) -> DataFrame:
     """Token arrays joined to their places by the unique key.
 
     Spark's size estimate knows nothing of array lengths, so the arrays must never be
-    taken for a small side; the places are hashed and the arrays stream past unsorted.
+    taken for a small side; a sort-merge join can spill on both sides.
     """
-    return members.hint("shuffle_hash").join(data, key)
+    return members.hint("merge").join(data, key)
 
 
 def concat_pad_blocks(packed: DataFrame, data: DataFrame, key: str, max_tokens: int, ids: str = "ids") -> DataFrame:
