@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promptmill.llm import simhash
+from promptmill.llm import quality, simhash
 from promptmill.session import materialise
 
-STAGES = [("simhash_dedup", simhash.stage)]
+STAGES = [("quality", quality.stage), ("simhash_dedup", simhash.stage)]
 
 # The stages train models and run tokenizer libraries, which SQL cannot express; tests/llm compares with brute force.
 ORACLE_SQL = None

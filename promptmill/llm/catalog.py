@@ -1,6 +1,7 @@
 """The corpus queries and their DuckDB SQL."""
 
+from promptmill.llm.quality import op1_quality
 from promptmill.llm.simhash import op7_simhash
 
-QUERIES = {"op7_simhash": op7_simhash}
+QUERIES = {"op1_quality": op1_quality, "op7_simhash": op7_simhash}
 ORACLES: dict[str, str] = {}
