@@ -1,7 +1,9 @@
 """The corpus queries and their DuckDB SQL."""
 
+from promptmill.llm import decontaminate
+from promptmill.llm.decontaminate import op10_decontaminate
 from promptmill.llm.quality import op1_quality
 from promptmill.llm.simhash import op7_simhash
 
-QUERIES = {"op1_quality": op1_quality, "op7_simhash": op7_simhash}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_quality": op1_quality, "op7_simhash": op7_simhash, "op10_decontaminate": op10_decontaminate}
+ORACLES: dict[str, str] = {"op10_decontaminate": decontaminate.SQL}
