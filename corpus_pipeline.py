@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from promptmill.llm import decontaminate, quality, simhash
+from promptmill.llm import decontaminate, personal, pieces, quality, simhash
 from promptmill.session import materialise
 
-STAGES = [("quality", quality.stage), ("simhash_dedup", simhash.stage), ("decontaminate", decontaminate.stage)]
+STAGES = [("quality", quality.stage), ("simhash_dedup", simhash.stage), ("decontaminate", decontaminate.stage),
+          ("personal", personal.stage), ("pieces", pieces.stage)]
 
 # The stages train models and run tokenizer libraries, which SQL cannot express; tests/llm compares with brute force.
 ORACLE_SQL = None

@@ -2,8 +2,11 @@
 
 from promptmill.llm import decontaminate
 from promptmill.llm.decontaminate import op10_decontaminate
+from promptmill.llm.personal import op8_personal
+from promptmill.llm.pieces import op3_pieces
 from promptmill.llm.quality import op1_quality
 from promptmill.llm.simhash import op7_simhash
 
-QUERIES = {"op1_quality": op1_quality, "op7_simhash": op7_simhash, "op10_decontaminate": op10_decontaminate}
+QUERIES = {"op1_quality": op1_quality, "op3_pieces": op3_pieces, "op7_simhash": op7_simhash, "op8_personal": op8_personal,
+           "op10_decontaminate": op10_decontaminate}
 ORACLES: dict[str, str] = {"op10_decontaminate": decontaminate.SQL}
