@@ -113,10 +113,10 @@ def token_totals(df: DataFrame, by: str | None = None) -> DataFrame:
         F.sum(supervised("labels")).alias("supervised_tokens"))
 
 
-def characters_per_token(df: DataFrame, text: str, key: str, rows: int = 400) -> DataFrame:
-    """Over the first ``rows`` rows in key order."""
-    first = df.select(key, text).orderBy(key).limit(rows)
-    return first.agg((F.sum(F.length(text)) / F.sum(token_count(text))).alias("chars_per_token"))
+def characters_per_token(df: DataFrame, text: str, key: str | None = None, rows: int | None = None) -> DataFrame:
+    """Over all rows, or the first ``rows`` in the order of ``key``."""
+    some = df.select(text) if rows is None else df.select(key, text).orderBy(key).limit(rows)
+    return some.agg((F.sum(F.length(text)) / F.sum(token_count(text))).alias("chars_per_token"))
 
 
 def steps_packed(tokens: Column, efficiency: float, sequence_len: int, batch_size: int, epochs: float) -> Column:
@@ -134,7 +134,7 @@ def steps_plain(rows: Column, batch_size: int, epochs: float) -> Column:
 
 def packing_efficiency(packed: DataFrame, length: str, capacity: int) -> DataFrame:
     """Bins, used tokens and efficiency, rounded up to 0.01; bins are counted from per-bin sums."""
-    bins = packed.groupBy("chunk", "block").agg(F.sum(length).alias("used"))
+    bins = packed.groupBy("block").agg(F.sum(length).alias("used"))
     total = bins.agg(F.count(F.lit(1)).alias("bins"), F.sum("used").alias("used"))
     share = F.col("used") / (F.col("bins") * capacity)
     return total.select("bins", "used", share.alias("efficiency"), (F.ceil(share * 100) / 100).alias("estimate"))
@@ -377,16 +377,18 @@ def text_metrics(df: DataFrame, key: str, prediction: str = "prediction", refere
     return rows.agg(*[F.avg(m).alias(f"eval_{m}") for m in metrics])
 
 
-def prediction_table(packed: DataFrame, order: list[str], rows: int | None = None) -> DataFrame:
-    """Prompt, correct and predicted ids of each packed member; the first ``rows`` in order.
-
-    ``predicted`` holds the model's choice at every position of the packed row.
-    """
-    flat = unpacked(packed, ["input_ids", "labels", "predicted"])
+def prediction_split(rows: DataFrame) -> DataFrame:
+    """Prompt, correct and predicted ids of rows with ids, labels and ``predicted``, the model's choice at every position."""
     hits = F.filter(F.arrays_zip(F.col("labels"), F.col("predicted")), lambda p: p["labels"] != IGNORED)
-    out = flat.select(*order, "range", *split_labelled("input_ids", "labels"),
-                      F.transform(hits, lambda p: p["predicted"]).alias("predicted_ids"))
-    return out if rows is None else out.orderBy(*order, "range").limit(rows)
+    rest = [c for c in rows.columns if c not in ("input_ids", "labels", "predicted")]
+    return rows.select(*rest, *split_labelled("input_ids", "labels"),
+                       F.transform(hits, lambda p: p["predicted"]).alias("predicted_ids"))
+
+
+def prediction_table(packed: DataFrame, order: list[str], rows: int | None = None) -> DataFrame:
+    """``prediction_split`` of each member of packed rows; the first ``rows`` in order."""
+    flat = unpacked(packed, ["input_ids", "labels", "predicted"]).select(*order, "range", "input_ids", "labels", "predicted")
+    return prediction_split(flat if rows is None else flat.orderBy(*order, "range").limit(rows))
 
 
 def best_of(log: DataFrame, prompt: str = "prompt_id", attempt: str = "try", logprob: str = "logprob") -> DataFrame:

@@ -1,9 +1,8 @@
 """Packing: restartable running budgets, bins, packed rows, padding, unpacking.
 
-A budget that starts over when it is full is a fold, not a window frame.  It runs
-over (id, length) only, inside chunks of a numbered order, so a group holds at most
-``chunk_rows`` small records; token arrays are joined to the result afterwards.
-A chunk as large as the table gives the single-sequence result.
+A budget that starts over when it is full is a fold, not a window frame.  It runs over (id, length) only; token arrays
+are joined to the result afterwards.  Bins, stream blocks and character buffers are one sequence over the whole table
+(``folds``); where the operation itself has a buffer of rows, the fold restarts with each buffer.
 """
 
 from __future__ import annotations
@@ -18,10 +17,9 @@ from pyspark.sql import functions as F
 from promptmill.functions.arrays import indices, let
 from promptmill.functions.text import col_of
 from promptmill.functions.tokens import EOS, IGNORED, PAD
+from promptmill.operators import folds
 from promptmill.operators.order import chunk_of
 
-CHUNK_ROWS = 10_000
-
 
 def greedy_blocks(rows: Column, fresh: Column, grow: Callable[[Column, Column], Column],
                   fits: Callable[[Column, Column], Column]) -> Column:
@@ -47,9 +45,9 @@ def greedy_blocks(rows: Column, fresh: Column, grow: Callable[[Column, Column],
     return let(F.aggregate(rows, begin, step, lambda acc: acc["starts"]), cut)
 
 
-def chunked(df: DataFrame, key: str, fields: list[str], ordinal: str = "ordinal",
-            chunk_rows: int = CHUNK_ROWS, by: tuple[str, ...] = ()) -> DataFrame:
-    """(chunk, rows): the ordered small records of each chunk (and of each ``by`` group inside it)."""
+def chunked(df: DataFrame, key: str, fields: list[str], chunk_rows: int, ordinal: str = "ordinal",
+            by: tuple[str, ...] = ()) -> DataFrame:
+    """(chunk, rows): the ordered small records of each buffer of rows (and of each ``by`` group inside it)."""
     record = F.struct(F.col(ordinal).alias("ordinal"), F.col(key).alias("key"), *fields)
     return (df.withColumn("chunk", chunk_of(ordinal, chunk_rows)).groupBy("chunk", *by)
             .agg(F.sort_array(F.collect_list(record)).alias("rows")))
@@ -68,23 +66,28 @@ def _sum_state() -> Column:
 
 
 def next_fit(df: DataFrame, key: str, length: str, capacity: int, ordinal: str = "ordinal",
-             chunk_rows: int = CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+             chunk_rows: int = folds.CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows go to the open block until the next does not fit; small ``carry`` columns go along."""
-    grouped = chunked(df, key, [length, *carry], ordinal, chunk_rows)
-    blocks = greedy_blocks(F.col("rows"), _sum_state(),
-                           lambda s, r: F.struct((s["used"] + r[length]).cast("long").alias("used")),
-                           lambda s, r: s["used"] + r[length] <= capacity)
-    return flat_blocks(grouped, blocks, key, [length, *carry])
+    return folds.blocks(df, ordinal, F.col(length), F.col(length), capacity, [key, length, *carry], chunk_rows)
+
+
+def next_fit_in_buffers(df: DataFrame, key: str, length: str, capacity: int, buffer: int, ordinal: str = "ordinal") -> DataFrame:
+    """As ``next_fit``, but each ``buffer`` of rows (chunk) starts anew."""
+    grouped = chunked(df, key, [length], buffer, ordinal)
+    cut = greedy_blocks(F.col("rows"), _sum_state(),
+                        lambda s, r: F.struct((s["used"] + r[length]).cast("long").alias("used")),
+                        lambda s, r: s["used"] + r[length] <= capacity)
+    return flat_blocks(grouped, cut, key, [length])
 
 
 def longest_first(packed: DataFrame, length: str, key: str) -> DataFrame:
     """Places inside a bin in order of falling length."""
-    order = Window.partitionBy("chunk", "block").orderBy(F.col(length).desc(), F.col("place"))
+    order = Window.partitionBy("block").orderBy(F.col(length).desc(), F.col("place"))
     return packed.withColumn("place", F.row_number().over(order) - 1)
 
 
 def multipack(df: DataFrame, key: str, length: str, capacity: int, ordinal: str = "ordinal",
-              chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+              chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Bins as the one-bin-per-step allocator makes them: the longest prefix that fits, longest first inside."""
     return longest_first(next_fit(df, key, length, capacity, ordinal, chunk_rows), length, key)
 
@@ -123,45 +126,35 @@ def concat_pad_blocks(packed: DataFrame, data: DataFrame, key: str, max_tokens:
 
 
 def constant_length(df: DataFrame, key: str, length: str, needs_separator: str, capacity: int,
-                    ordinal: str = "ordinal", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                    ordinal: str = "ordinal", chunk_rows: int = folds.CHUNK_ROWS) -> DataFrame:
     """Stream packing: a separator where the text lacks one; over-long texts close the block and are dropped.
 
     ``segment`` counts rows since the block opened, a dropped opener included.
     """
-    grouped = chunked(df, key, [length, needs_separator], ordinal, chunk_rows)
-
-    def size(r: Column) -> Column:
-        return r[length] + r[needs_separator].cast("int")
-
-    blocks = greedy_blocks(
-        F.col("rows"), _sum_state(),
-        lambda s, r: F.struct((s["used"] + F.when(r[length] <= capacity, size(r)).otherwise(0)).cast("long").alias("used")),
-        lambda s, r: s["used"] + size(r) <= capacity)
-    flat = flat_blocks(grouped, blocks, key, [length, needs_separator])
-    return (flat.filter(F.col(length) <= capacity).withColumn("segment", F.col("place") + 1))
+    size = F.col(length) + F.col(needs_separator).cast("int")
+    packed = folds.blocks(df, ordinal, size, F.when(F.col(length) <= capacity, size).otherwise(0), capacity,
+                          [key, length, needs_separator], chunk_rows)
+    return packed.filter(F.col(length) <= capacity).withColumn("segment", F.col("place") + 1)
 
 
 def character_buffers(df: DataFrame, key: str, characters: str, budget: str, ordinal: str = "ordinal",
-                      chunk_rows: int = CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+                      chunk_rows: int = folds.CHUNK_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Buffers that close once they hold ``budget`` characters (a column with one value)."""
-    grouped = chunked(df, key, [characters, budget, *carry], ordinal, chunk_rows)
-    blocks = greedy_blocks(F.col("rows"), _sum_state(),
-                           lambda s, r: F.struct((s["used"] + r[characters]).cast("long").alias("used")),
-                           lambda s, r: s["used"] < r[budget])
-    return flat_blocks(grouped, blocks, key, [characters, *carry])
+    # whole characters are below the budget up to the number before its ceiling
+    return folds.blocks(df, ordinal, F.lit(0), F.col(characters), F.ceil(budget) - 1, [key, characters, *carry], chunk_rows)
 
 
 def budget_batches(df: DataFrame, key: str, input_length: str, max_new_tokens: str, prefill_budget: int,
                    token_budget: int, queue: tuple[str, ...] = (), min_size: int = 1, padded: bool = True,
                    block_size: int = 1, window: int | None = None, speculate: int = 0, ordinal: str = "ordinal",
-                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int = 10_000) -> DataFrame:
     """Requests in arrival order until prefill, or prefill and decode, exceed their budget.
 
     Arrivals are taken in intakes of ``chunk_rows``; batches are made per queue inside an
     intake.  ``held`` marks a batch below ``min_size``, ``over_budget`` a request too large
     for any batch.
     """
-    grouped = chunked(df, key, [input_length, max_new_tokens], ordinal, chunk_rows, queue)
+    grouped = chunked(df, key, [input_length, max_new_tokens], chunk_rows, ordinal, queue)
 
     def rounded(x: Column) -> Column:
         return F.ceil(x / block_size) * block_size
@@ -198,17 +191,26 @@ def budget_batches(df: DataFrame, key: str, input_length: str, max_new_tokens: s
 
 
 def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Bin number of each length: longest first, each into the first bin with room."""
-    order = np.argsort(-lengths, kind="stable")
-    room = np.full(len(lengths), capacity, dtype=np.int64)
-    bins = np.empty(len(lengths), dtype=np.int64)
-    opened = 0
+    """Bin number of each length: longest first, each into the first bin with room.
+
+    A tree over the bins holds the most room below each node, so a bin is found in as many steps as the tree is deep.
+    """
+    order = np.argsort(-lengths, kind="stable").tolist()
+    leaves = 1 << max(0, len(order) - 1).bit_length()
+    most = [capacity] * (2 * leaves)
+    sizes, bins = lengths.tolist(), np.empty(len(order), dtype=np.int64)
     for i in order:
-        free = room[:opened] >= lengths[i]
-        place = int(free.argmax()) if free.any() else opened
-        opened = max(opened, place + 1)
-        room[place] -= lengths[i]
-        bins[i] = place
+        at = 1
+        if sizes[i] <= most[1]:
+            while at < leaves:
+                at = 2 * at if most[2 * at] >= sizes[i] else 2 * at + 1
+        else:  # longer than a bin: the first that is still empty
+            at = leaves + next(k for k in range(leaves) if most[leaves + k] == capacity)
+        bins[i] = at - leaves
+        most[at] -= sizes[i]
+        while at > 1:
+            at //= 2
+            most[at] = max(most[2 * at], most[2 * at + 1])
     return bins
 
 
@@ -219,9 +221,8 @@ def fits_in(lengths: np.ndarray, capacity: int, bins: int) -> bool:
     return bool(lengths.max() <= capacity and first_fit_decreasing(lengths, capacity).max() < bins)
 
 
-def ffd_pack(df: DataFrame, key: str, length: str, capacity: int, ordinal: str = "ordinal",
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """First-fit-decreasing bins per chunk; only ids and lengths go through Python."""
+def ffd_pack(df: DataFrame, key: str, length: str, capacity: int, chunk_rows: int, ordinal: str = "ordinal") -> DataFrame:
+    """First-fit-decreasing bins per group of ``chunk_rows`` rows; only ids and lengths go through Python."""
     small = df.select(chunk_of(ordinal, chunk_rows).alias("chunk"), F.col(ordinal).cast("long").alias("ordinal"),
                       F.col(key).cast("long").alias(key), F.col(length).cast("long").alias(length))
 
@@ -236,7 +237,7 @@ def ffd_pack(df: DataFrame, key: str, length: str, capacity: int, ordinal: str =
 
 
 def packed_rows(members: DataFrame, data: DataFrame, key: str, numbered: bool = False,
-                by: tuple[str, ...] = ("chunk", "block"), place: str = "place") -> DataFrame:
+                by: tuple[str, ...] = ("block",), place: str = "place") -> DataFrame:
     """Concatenated ids, labels and positions per bin; the mask is ones, or the member's number.
 
     A bin's group is bounded by its token capacity.  Positions are carried only where

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions import text as tx, tokens as tk
 from promptmill.functions.arrays import indices
-from promptmill.operators import evaluate as ev
-from promptmill.operators.pack import CHUNK_ROWS
+from promptmill.operators import evaluate as ev, pack
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import TOKEN_LOG_SQL
 from promptmill.plans.kit import (DOCS, PAIRS, cat, count, dig, digest, digit, hex_digit, joined, query, r6, table, trim,
@@ -21,12 +20,12 @@ from promptmill.plans.registry import prepare_and_pack
 
 _X01 = f"""WITH RECURSIVE {DOCS}, u AS (SELECT doc_id, lang, {count("instruction || chr(10) || input || chr(10)")} AS np, {count('output')} + 1 AS na FROM d
  WHERE doc_id IN (SELECT min(doc_id) FROM d GROUP BY instruction, input, output)),
- r AS (SELECT o // 10000 AS grp, row_number() OVER (PARTITION BY o // 10000 ORDER BY o) AS i, lang, n, na FROM (
+ r AS (SELECT o + 1 AS i, lang, n, na FROM (
  SELECT *, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS o FROM (SELECT doc_id, lang, np + na AS n, na FROM u WHERE np + na BETWEEN 2 AND 2048 AND na > 1))),
- f AS (SELECT grp, i, lang, n, na, 0 AS block, n::BIGINT AS used FROM r WHERE i = 1 UNION ALL SELECT r.grp, r.i, r.lang, r.n, r.na,
- CASE WHEN f.used + r.n <= 2048 THEN f.block ELSE f.block + 1 END, CASE WHEN f.used + r.n <= 2048 THEN f.used + r.n ELSE r.n END FROM f JOIN r ON r.grp = f.grp AND r.i = f.i + 1)
- SELECT lang, count(*) AS rows, sum(n)::BIGINT AS tokens, sum(na)::BIGINT AS trained_tokens, count(DISTINCT grp * 1000000 + block) AS bins_touched,
- round(sum(n) / (count(DISTINCT grp * 1000000 + block) * 2048)::DOUBLE, 6) AS share_of_bins FROM f GROUP BY lang"""
+ f AS (SELECT i, lang, n, na, 0 AS block, n::BIGINT AS used FROM r WHERE i = 1 UNION ALL SELECT r.i, r.lang, r.n, r.na,
+ CASE WHEN f.used + r.n <= 2048 THEN f.block ELSE f.block + 1 END, CASE WHEN f.used + r.n <= 2048 THEN f.used + r.n ELSE r.n END FROM f JOIN r ON r.i = f.i + 1)
+ SELECT lang, count(*) AS rows, sum(n)::BIGINT AS tokens, sum(na)::BIGINT AS trained_tokens, count(DISTINCT block) AS bins_touched,
+ round(sum(n) / (count(DISTINCT block) * 2048)::DOUBLE, 6) AS share_of_bins FROM f GROUP BY lang"""
 
 
 @query("x01_packed_summary", _X01)
@@ -131,19 +130,19 @@ def a02(spark, sf):
     return ev.token_totals(fx.encoded_documents(spark, sf), "lang")
 
 
-@query("a03_chars_per_token", f"""SELECT round(sum(length(text)) / sum({count('text')})::DOUBLE, 6) AS chars_per_token FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 400)""")
+@query("a03_chars_per_token", f"""SELECT round(sum(length(text)) / sum({count('text')})::DOUBLE, 6) AS chars_per_token FROM documents""")
 def a03(spark, sf):
-    return ev.characters_per_token(fx.documents(spark, sf), "text", "doc_id").select(r6(F.col("chars_per_token")).alias("chars_per_token"))
+    return ev.characters_per_token(fx.documents(spark, sf), "text").select(r6(F.col("chars_per_token")).alias("chars_per_token"))
 
 
-_BINS = multipack_sql(4096, CHUNK_ROWS) + ", bn AS (SELECT grp, block, sum(n)::BIGINT AS used FROM f GROUP BY grp, block)"
+_BINS = multipack_sql(4096) + ", bn AS (SELECT block, sum(n)::BIGINT AS used FROM f GROUP BY block)"
 
 
 @query("a04_step_estimate", _BINS + """, t AS (SELECT sum(used)::BIGINT AS tokens, count(*) AS bins, (SELECT count(*) FROM f) AS rows FROM bn)
  SELECT ((floor(0.99::DOUBLE * tokens / 0.95::DOUBLE / 2048 / 8) - 1) * 3)::BIGINT AS packed, floor(floor(bins * 2 / 8) * 3)::BIGINT AS binned, ceil(rows * 3 / 8)::BIGINT AS plain FROM t""")
 def a04(spark, sf):
-    bins = multipacked(spark, sf, 4096, CHUNK_ROWS)
-    per = bins.groupBy("chunk", "block").agg(F.sum("n").alias("used"), F.count(F.lit(1)).alias("rows"))
+    bins = multipacked(spark, sf, 4096)
+    per = bins.groupBy("block").agg(F.sum("n").alias("used"), F.count(F.lit(1)).alias("rows"))
     t = per.agg(F.sum("used").alias("tokens"), F.count(F.lit(1)).alias("bins"), F.sum("rows").alias("rows"))
     return t.select(ev.steps_packed(F.col("tokens"), 0.95, 2048, 8, 3).cast("long").alias("packed"),
                     ev.steps_binned(F.col("bins"), 2, 8, 3).cast("long").alias("binned"),
@@ -153,7 +152,7 @@ def a04(spark, sf):
 @query("a05_packing_efficiency", _BINS + """ SELECT count(*) AS bins, sum(used)::BIGINT AS used, round(sum(used) / (count(*) * 4096)::DOUBLE, 6) AS efficiency,
  ceil(sum(used) / (count(*) * 4096)::DOUBLE * 100) / 100 AS estimate, greatest(0, 2 * floor(0.99::DOUBLE * floor(sum(used) / 2) / 0.95::DOUBLE / 4096) - 1)::BIGINT AS length FROM bn""")
 def a05(spark, sf):
-    e = ev.packing_efficiency(multipacked(spark, sf, 4096, CHUNK_ROWS), "n", 4096)
+    e = ev.packing_efficiency(multipacked(spark, sf, 4096), "n", 4096)
     return e.select("bins", "used", r6(F.col("efficiency")).alias("efficiency"), "estimate",
                     ev.length_estimate(F.col("used"), 0.95, 4096, world=2).cast("long").alias("length"))
 
@@ -336,13 +335,15 @@ def a17_edit(spark, sf):
     return p.select("pair_id", r6(ev.edit_similarity(c, r)).alias("similarity"))
 
 
-@query("a18_prediction_table", f"""{_K05}, o AS (SELECT chunk, block, place - 1 AS "range", p, o FROM pl JOIN t USING (doc_id) ORDER BY chunk, block, place LIMIT 200)
- SELECT chunk, block, "range", {dig('p')} AS prompt_ids, {dig('o')} AS completion_ids, {dig('list_transform(o, lambda z: z + 1)')} AS predicted_ids FROM o""")
+@query("a18_prediction_table", f"""{_K05}, o AS (SELECT block, place - 1 AS "range", p, o FROM pl JOIN t USING (doc_id) ORDER BY block, place LIMIT 200)
+ SELECT block, "range", {dig('p')} AS prompt_ids, {dig('o')} AS completion_ids, {dig('list_transform(o, lambda z: z + 1)')} AS predicted_ids FROM o""")
 def a18(spark, sf):
-    rows = packed(spark, sf).select("chunk", "block", "input_ids", "labels", "position_ids",
-                                    F.transform("input_ids", lambda x: x + 1).alias("predicted"))
-    done = ev.prediction_table(rows, ["chunk", "block"], 200)
-    return done.select("chunk", "block", "range", *[digest(c).alias(c) for c in ("prompt_ids", "completion_ids", "predicted_ids")])
+    # the 200 rows are chosen by their places; arrays are joined to those only
+    members = multipacked(spark, sf, 2048).select("block", F.col("place").alias("range"), "doc_id").orderBy("block", "range").limit(200)
+    data = fx.encoded_documents(spark, sf).select("doc_id", "input_ids", "labels")
+    rows = pack.with_members(members, data, "doc_id").withColumn("predicted", F.transform("input_ids", lambda x: x + 1))
+    done = ev.prediction_split(rows)
+    return done.select("block", "range", *[digest(c).alias(c) for c in ("prompt_ids", "completion_ids", "predicted_ids")])
 
 
 @query("a19_best_of", f"""WITH {TOKEN_LOG_SQL}, s AS (SELECT request_id // 1000 AS prompt_id, request_id % 1000 AS try, avg(logprob) AS score FROM tl GROUP BY 1, 2)

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from promptmill.functions import tokens as tk
-from promptmill.operators import chat, dedup, evaluate as ev, filters, labels as lb, order, pack, split
+from promptmill.operators import chat, dedup, evaluate as ev, filters, folds, labels as lb, order, pack, split
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import REQUESTS_SQL
 from promptmill.plans.kit import DOCS, PAIRS, cat, count, dig, digit, fold, hex_digit, ids, query, rep, table
@@ -253,22 +253,22 @@ def r13(spark, sf):
 
 # Packing --------------------------------------------------------------------------------
 
-def fold_over(source: str, capacity: int, chunk: int = pack.CHUNK_ROWS) -> str:
-    """Recursion over documents in the order ``o`` (0-based) of ``source``."""
-    return fold(f"SELECT o // {chunk} AS grp, row_number() OVER (PARTITION BY o // {chunk} ORDER BY o) AS i, doc_id AS key, n FROM ({source})", capacity)
+BUFFER = 10_000
 
 
-_BY_ID = f"SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, least({count('text')}, 1022) + 2 AS n FROM documents"
-
-
-@query("k01_concat_pad", fold_over(_BY_ID, 1024) + f""", t AS (SELECT doc_id, ({ids('text')})[1:1022] AS i FROM documents),
+K01_SQL = fold(f"""SELECT o // {BUFFER} AS grp, row_number() OVER (PARTITION BY o // {BUFFER} ORDER BY o, w) AS i, doc_id || '-' || w AS key, least(n - w * 1022, 1022) + 2 AS n
+ FROM (SELECT *, unnest(range(0, greatest(1, (n + 1021) // 1022))) AS w FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, {count('text')} AS n FROM documents))""", 1024) + f""",
+ t AS (SELECT doc_id || '-' || w AS key, ids[w * 1022 + 1:w * 1022 + 1022] AS i FROM (SELECT *, unnest(range(0, greatest(1, (len(ids) + 1021) // 1022))) AS w FROM (SELECT doc_id, {ids('text')} AS ids FROM documents))),
  b AS (SELECT f.grp AS chunk, f.block, flatten(list(t.i || [2, 0] ORDER BY f.i)) AS ids, flatten(list(t.i || [2, -100] ORDER BY f.i)) AS l,
- flatten(list({rep(1, 'len(t.i) + 1')} || [0] ORDER BY f.i)) AS a FROM f JOIN t ON t.doc_id = f.key GROUP BY f.grp, f.block)
+ flatten(list({rep(1, 'len(t.i) + 1')} || [0] ORDER BY f.i)) AS a FROM f JOIN t ON t.key = f.key GROUP BY f.grp, f.block)
  SELECT chunk, block, 1024 AS n, {dig(f"ids || {rep(0, '1024 - len(ids)')}")} AS input_ids, {dig(f"l || {rep(-100, '1024 - len(l)')}")} AS labels,
- {dig(f"a || {rep(0, '1024 - len(a)')}")} AS attention_mask FROM b""")
+ {dig(f"a || {rep(0, '1024 - len(a)')}")} AS attention_mask FROM b"""
+
+
+@query("k01_concat_pad", K01_SQL)
 def k01(spark, sf):
     from promptmill.streaming.jobs import pretrain_blocks
-    return out(pretrain_blocks(fx.documents(spark, sf), "doc_id", "text", 1024), "chunk", "block",
+    return out(pretrain_blocks(fx.documents(spark, sf), "doc_id", "text", 1024, BUFFER), "chunk", "block",
                columns=("input_ids", "labels", "attention_mask"))
 
 
@@ -286,47 +286,59 @@ def k02(spark, sf):
 _SHUFFLED = f"SELECT doc_id, row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS o, n FROM ln WHERE n BETWEEN 2 AND 2048"
 
 
-def multipack_sql(capacity: int, chunk: int) -> str:
-    rows = f"SELECT o // {chunk} AS grp, row_number() OVER (PARTITION BY o // {chunk} ORDER BY o) AS i, doc_id AS key, n FROM ({_SHUFFLED})"
+def multipack_sql(capacity: int) -> str:
+    rows = f"SELECT 0 AS grp, row_number() OVER (ORDER BY o) AS i, doc_id AS key, n FROM ({_SHUFFLED})"
     return fold(rows, capacity).replace("WITH RECURSIVE ", f"WITH RECURSIVE {DOCS}, {LEN_SQL}, ")
 
 
-def multipacked(spark, sf, capacity: int, chunk: int):
+def multipacked(spark, sf, capacity: int, chunk: int = folds.CHUNK_ROWS):
     # ids and lengths are small and read twice (bucket counts, rows), the text is read once
     rows = materialise(fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n"), "lengths")
     return pack.multipack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", capacity, chunk_rows=chunk)
 
 
-@query("k03_multipack", multipack_sql(4096, pack.CHUNK_ROWS) + " SELECT grp AS chunk, block, key AS doc_id, n, row_number() OVER (PARTITION BY grp, block ORDER BY n DESC, i) - 1 AS place FROM f")
+_K03 = multipack_sql(4096) + " SELECT block, key AS doc_id, n, row_number() OVER (PARTITION BY block ORDER BY n DESC, i) - 1 AS place FROM f"
+
+
+@query("k03_multipack", _K03)
 def k03(spark, sf):
-    return multipacked(spark, sf, 4096, pack.CHUNK_ROWS).select("chunk", "block", "doc_id", "n", "place")
+    return multipacked(spark, sf, 4096).select("block", "doc_id", "n", "place")
 
 
-@query("k03_multipack_chunked", multipack_sql(4096, 128) + " SELECT grp AS chunk, block, key AS doc_id, n, row_number() OVER (PARTITION BY grp, block ORDER BY n DESC, i) - 1 AS place FROM f")
+@query("k03_multipack_chunked", _K03)
 def k03_chunked(spark, sf):
-    return multipacked(spark, sf, 4096, 128).select("chunk", "block", "doc_id", "n", "place")
+    """The same bins, folded in chunks of 128 rows."""
+    return multipacked(spark, sf, 4096, 128).select("block", "doc_id", "n", "place")
+
+
+# rows that one first-fit-decreasing call sorts and places: part of the operation, as its result depends on it
+GROUP_ROWS = 10_000
 
 
-@query("k04_first_fit_decreasing")
+@query("k04_first_fit_decreasing", f"""WITH RECURSIVE {DOCS}, {LEN_SQL}, s AS MATERIALIZED (SELECT o // {GROUP_ROWS} AS chunk, row_number() OVER (PARTITION BY o // {GROUP_ROWS} ORDER BY n DESC, o) AS i, doc_id, n FROM ({_SHUFFLED})),
+ f AS (SELECT chunk, i, doc_id, n, 0::BIGINT AS bin, [4096 - n] AS room FROM s WHERE i = 1 UNION ALL
+ SELECT chunk, i, doc_id, n, bin, CASE WHEN bin = len(room) THEN room || [4096 - n] ELSE list_concat(room[:bin], [room[bin + 1] - n], room[bin + 2:]) END FROM (
+ SELECT s.*, f.room, coalesce(list_position(list_transform(f.room, lambda x: x >= s.n), true) - 1, len(f.room))::BIGINT AS bin FROM f JOIN s ON s.chunk = f.chunk AND s.i = f.i + 1))
+ SELECT chunk, bin, doc_id, n FROM f""")
 def k04(spark, sf):
     rows = materialise(fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n"), "lengths")
-    return pack.ffd_pack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", 4096)
+    return pack.ffd_pack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", 4096, GROUP_ROWS)
 
 
-_K05 = f"""{multipack_sql(2048, pack.CHUNK_ROWS)}, pl AS (SELECT grp AS chunk, block, key AS doc_id, row_number() OVER (PARTITION BY grp, block ORDER BY n DESC, i) AS place FROM f),
+_K05 = f"""{multipack_sql(2048)}, pl AS (SELECT block, key AS doc_id, row_number() OVER (PARTITION BY block ORDER BY n DESC, i) AS place FROM f),
  t AS (SELECT doc_id, {ids('instruction || chr(10) || input || chr(10)')} AS p, {ids('output')} || [2] AS o FROM d),
- b AS (SELECT chunk, block, count(*) AS members, flatten(list(p || o ORDER BY place)) AS i, flatten(list({rep(-100, 'len(p)')} || o ORDER BY place)) AS l,
- flatten(list(range(len(p || o)) ORDER BY place)) AS pos, flatten(list({rep('place', 'len(p || o)')} ORDER BY place)) AS a FROM pl JOIN t USING (doc_id) GROUP BY chunk, block)"""
+ b AS (SELECT block, count(*) AS members, flatten(list(p || o ORDER BY place)) AS i, flatten(list({rep(-100, 'len(p)')} || o ORDER BY place)) AS l,
+ flatten(list(range(len(p || o)) ORDER BY place)) AS pos, flatten(list({rep('place', 'len(p || o)')} ORDER BY place)) AS a FROM pl JOIN t USING (doc_id) GROUP BY block)"""
 
 
 def packed(spark, sf, numbered=True):
     data = fx.encoded_documents(spark, sf).filter(filters.length_fits(F.size("input_ids")))
-    return pack.packed_rows(multipacked(spark, sf, 2048, pack.CHUNK_ROWS), data, "doc_id", numbered)
+    return pack.packed_rows(multipacked(spark, sf, 2048), data, "doc_id", numbered)
 
 
-@query("k05_packed_rows", _K05 + f" SELECT chunk, block, members, len(i) AS n, {dig('i')} AS input_ids, {dig('l')} AS labels, {dig('pos')} AS position_ids, {dig('a')} AS attention_mask FROM b")
+@query("k05_packed_rows", _K05 + f" SELECT block, members, len(i) AS n, {dig('i')} AS input_ids, {dig('l')} AS labels, {dig('pos')} AS position_ids, {dig('a')} AS attention_mask FROM b")
 def k05(spark, sf):
-    return out(packed(spark, sf), "chunk", "block", "members", columns=("input_ids", "labels", "position_ids", "attention_mask"))
+    return out(packed(spark, sf), "block", "members", columns=("input_ids", "labels", "position_ids", "attention_mask"))
 
 
 _BATCHED = "bt AS (SELECT *, (row_number() OVER (ORDER BY conv_id, part) - 1) // 8 AS batch FROM enc), mx AS (SELECT batch, (max(len(i)) + 63) // 64 * 64 AS m FROM bt GROUP BY batch)"
@@ -359,11 +371,11 @@ def k07(spark, sf):
     return out(rows, "pair_id", "batch", columns=("input_ids_j", "input_ids_k", "chosen", "rejected"), hashed=False)
 
 
-@query("k08_unpack", f"""{_K05} SELECT chunk, block, place - 1 AS "range", len(p || o) AS n, {dig('p || o')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || o')} AS labels
+@query("k08_unpack", f"""{_K05} SELECT block, place - 1 AS "range", len(p || o) AS n, {dig('p || o')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || o')} AS labels
  FROM pl JOIN t USING (doc_id)""")
 def k08(spark, sf):
-    rows = pack.unpacked(packed(spark, sf).select("chunk", "block", "input_ids", "labels", "position_ids"), ["input_ids", "labels"])
-    return out(rows.drop("position_ids"), "chunk", "block", "range")
+    rows = pack.unpacked(packed(spark, sf).select("block", "input_ids", "labels", "position_ids"), ["input_ids", "labels"])
+    return out(rows.drop("position_ids"), "block", "range")
 
 
 _K09_REQ = ("SELECT request_id, queue, row_number() OVER (ORDER BY request_id) - 1 AS o, 1 + ('0x' || substr(md5(request_id::VARCHAR), 1, 2))::INT * 4 AS n, "
@@ -414,14 +426,14 @@ def k10(spark, sf):
     return split.batches(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 100).select("o_orderkey", "batch")
 
 
-@query("k11_character_buffers", f"""WITH RECURSIVE ra AS MATERIALIZED (SELECT sum(length(text))::DOUBLE / sum({count('text')}) * 4096 AS budget FROM (SELECT text FROM documents ORDER BY doc_id LIMIT 400)),
+@query("k11_character_buffers", f"""WITH RECURSIVE ra AS MATERIALIZED (SELECT sum(length(text))::DOUBLE / sum({count('text')}) * 4096 AS budget FROM documents),
  s AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, length(text) AS c, {count('text')} AS t FROM documents),
  f AS (SELECT doc_id, i, c, t, 0 AS block, c::BIGINT AS used FROM s WHERE i = 1 UNION ALL
  SELECT s.doc_id, s.i, s.c, s.t, CASE WHEN f.used < budget THEN f.block ELSE f.block + 1 END, CASE WHEN f.used < budget THEN f.used + s.c ELSE s.c END FROM f JOIN s ON s.i = f.i + 1, ra)
  SELECT block, count(*) AS texts, sum(c)::BIGINT AS characters, (sum(t + 1) // 1024)::BIGINT AS sequences FROM f GROUP BY block""")
 def k11(spark, sf):
     d = fx.documents(spark, sf)
-    ratio = ev.characters_per_token(d, "text", "doc_id", 400)
+    ratio = ev.characters_per_token(d, "text")
     rows = d.select("doc_id", F.length("text").alias("c"), tk.token_count("text").alias("t"))
     numbered = order.ordinal(rows, "doc_id").withColumn("budget", ratio.scalar() * 4096)
     buffers = pack.character_buffers(numbered, "doc_id", "c", "budget", carry=("t",))

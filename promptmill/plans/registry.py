@@ -285,7 +285,7 @@ def prepare_and_pack(docs: DataFrame, capacity: int = 2048, seed: int = 42) -> D
         "r.doc_id", "r.lang", (F.col("r.n_prompt") + F.col("r.n_answer")).alias("n"), "r.n_answer")
     fitting = materialise(first.filter(F.col("n").between(2, capacity) & (F.col("n_answer") > 1)), "lengths")
     bins = pack.next_fit(shuffled_ordinal(fitting, seed, "doc_id"), "doc_id", "n", capacity, carry=("lang", "n_answer"))
-    per_bin = bins.groupBy("lang", "chunk", "block").agg(
+    per_bin = bins.groupBy("lang", "block").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.sum("n_answer").alias("trained"))
     return per_bin.groupBy("lang").agg(
         F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens"), F.sum("trained").alias("trained_tokens"),

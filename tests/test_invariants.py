@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from promptmill.operators import chat, dedup, evaluate as ev, labels as lb, order, pack, split
+from promptmill.functions import tokens as tk
+from promptmill.operators import chat, dedup, evaluate as ev, folds, labels as lb, order, pack, split
 from promptmill.plans import fixtures as fx
 from promptmill.plans.catalog import QUERIES
 from promptmill.session import scratch_path
@@ -25,16 +27,30 @@ def next_fit(lengths, capacity):
     return blocks
 
 
-@pytest.mark.parametrize("chunk", [7, 10_000])
-def test_next_fit_is_the_plain_loop(spark, chunk):
-    rnd = random.Random(chunk)
-    lengths = [rnd.randint(1, 60) for _ in range(300)]
-    df = spark.createDataFrame([(i, i, n) for i, n in enumerate(lengths)], "id long, ordinal long, n int")
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1000, 10_000])
+def test_next_fit_is_the_plain_loop_for_any_chunk_size(spark, chunk):
+    rnd = random.Random(3)
+    n = 300 if chunk < 64 else 25_000
+    lengths = [rnd.choice([0, 1, rnd.randint(1, 60), rnd.randint(1, 60), 140]) for _ in range(n)]
+    df = spark.createDataFrame([(i, i, n) for i, n in enumerate(lengths)], "id long, ordinal long, n int").repartition(7)
     got = {}
     for r in pack.next_fit(df, "id", "n", 100, chunk_rows=chunk).orderBy("id").collect():
-        got.setdefault((r.chunk, r.block), []).append(r.n)
-    want = [b for c in range(0, 300, chunk) for b in next_fit(lengths[c:c + chunk], 100)]
-    assert [got[k] for k in sorted(got)] == want
+        got.setdefault(r.block, []).append(r.n)
+        assert r.place == len(got[r.block]) - 1
+    assert [got[k] for k in range(len(got))] == next_fit(lengths, 100)
+
+
+def test_folds_compose():
+    rnd = random.Random(9)
+    for _ in range(300):
+        rows = [(rnd.randint(0, 9), rnd.randint(0, 9)) for _ in range(rnd.randint(1, 40))]
+        cuts = sorted({0, len(rows), *(rnd.randrange(len(rows)) for _ in range(4))})
+        parts = [folds.summary(*(np.array(x) for x in zip(*rows[a:b])), 12) for a, b in zip(cuts, cuts[1:])]
+        for state in (folds.START, (rnd.randint(0, 20), 3, 5)):
+            used, inside, block = state
+            for cost, gain in rows:
+                used, inside, block = (used + gain, inside + 1, block) if used + cost <= 12 else (gain, 1, block + 1)
+            assert folds.leave(folds.compose(parts), state) == (used, inside, block)
 
 
 def test_constant_length_against_loop(spark):
@@ -49,8 +65,35 @@ def test_constant_length_against_loop(spark):
         if n <= 100:
             want.append((i, block, idx))
             used += n + sep
-    got = pack.constant_length(df, "id", "n", "sep", 100).orderBy("id").select("id", "block", "segment").collect()
-    assert [tuple(r) for r in got] == want
+    for chunk in (3, 64, 10_000):
+        got = pack.constant_length(df, "id", "n", "sep", 100, chunk_rows=chunk).orderBy("id").select("id", "block", "segment").collect()
+        assert [tuple(r) for r in got] == want
+
+
+def test_character_buffers_against_loop(spark):
+    rnd = random.Random(4)
+    rows = [(i, i, rnd.choice([0, 5, 30, 400]), 99.5) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, ordinal long, c int, budget double")
+    want, used, block = [], None, -1
+    for i, _, c, budget in rows:
+        if used is None or used >= budget:
+            block, used = block + 1, 0
+        used += c
+        want.append((i, block))
+    for chunk in (3, 64, 10_000):
+        got = pack.character_buffers(df, "id", "c", "budget", chunk_rows=chunk).orderBy("id").select("id", "block").collect()
+        assert [tuple(r) for r in got] == want
+
+
+def test_pretrain_blocks_hold_every_token(spark):
+    texts = ["", "one", " ".join(f"w{i}" for i in range(50)), "a b c d e f g h", "x " * 8]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    blocks = jobs.pretrain_blocks(df, "doc_id", "text", 10, 3).collect()
+    assert all(len(r.input_ids) == 10 for r in blocks)
+    trained = sum(sum(x not in (-100, 0, 2) for x in r.labels) for r in blocks)
+    assert trained == sum(r.n for r in df.select(tk.token_count("text").alias("n")).collect())
+    cut = jobs.pretrain_blocks(df, "doc_id", "text", 10, 3, truncate=True).collect()
+    assert sum(sum(x not in (-100, 0, 2) for x in r.labels) for r in cut) == 1 + 8 + 8 + 8
 
 
 def test_ffd_bins_hold_every_id_once(spark, sf):
