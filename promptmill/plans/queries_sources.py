@@ -17,7 +17,9 @@ from promptmill.plans import fixtures as fx, registry
 from promptmill.plans.kit import DOCS, count, dig, hex_digit, ids, query, rep, table
 from promptmill.plans.queries_evaluate import CASES_SQL, cases
 from promptmill.plans.queries_prompts import _instruction_sql
+from promptmill.plans.queries_rows import BUFFER, K01_SQL
 from promptmill.plans.queries_tokens import out
+from promptmill import session
 from promptmill.session import scratch_path
 from promptmill.sources import io
 from promptmill.streaming import jobs
@@ -233,7 +235,10 @@ def u02(spark, sf):
     return registry.call_model(fx.docs(spark, sf), "doc_id", "instruction", load)
 
 
-@query("u03_generate_and_refine")
+@query("u03_generate_and_refine", """WITH b AS (SELECT item_id, text, length(text || length(text) || ' characters' || chr(10) || 'Correct code:' || chr(10)) % 2 = 1 AS echoes FROM benchmark),
+ c AS (SELECT item_id, echoes, unnest(string_split(text, '. ')) AS expected FROM b),
+ r AS (SELECT item_id, trim(expected, chr(10)) = trim(CASE WHEN echoes THEN expected ELSE upper(expected) END, chr(10)) AS hit FROM c)
+ SELECT item_id, t AS try, round(avg(hit::INT), 6) AS score, count(*) AS cases FROM r, (SELECT unnest([1, 2]) AS t) GROUP BY item_id, t""")
 def u03(spark, sf):
     """Feedback, refined program, outputs and score with pure functions in place of models."""
     b = table(spark, sf, "benchmark").select("item_id", F.col("item_id").alias("problem_id"), F.col("text").alias("model_input"))
@@ -276,36 +281,51 @@ def _document_stream(spark, sf):
     return io.text_stream(spark, sf, DOC_SCHEMA, "documents*.parquet")
 
 
-@query("st01_stream_pretrain")
+# one file is one micro-batch here
+@query("st01_stream_pretrain", f"SELECT 0 AS batch_id, chunk, block, n, input_ids, labels FROM ({K01_SQL})")
 def st01(spark, sf):
     root = scratch_path(spark, "st01")
-    jobs.stream_pretrain(_document_stream(spark, sf), f"{root}/out", f"{root}/checkpoint", max_tokens=1024)
+    jobs.stream_pretrain(_document_stream(spark, sf), f"{root}/out", f"{root}/checkpoint", max_tokens=1024, buffer=BUFFER)
     return out(spark.read.parquet(f"{root}/out"), "batch_id", "chunk", "block")
 
 
-@query("st02_stream_packed_pretrain")
+_ST02 = f"""WITH RECURSIVE t AS MATERIALIZED (SELECT doc_id, {ids('text')} AS i FROM documents),
+ w AS MATERIALIZED (SELECT doc_id || '-' || w AS key, i[w * 447 + 1:w * 447 + 511] || [2] AS i FROM (SELECT *, unnest(range(0, 1 + greatest(0, ceil((len(i) - 511) / 447.0))::INT)) AS w FROM t)),
+ s AS MATERIALIZED (SELECT key, i, len(i) AS n, row_number() OVER (ORDER BY md5('42|' || key), key) AS o FROM w WHERE len(i) BETWEEN 2 AND 512),
+ f AS (SELECT key, o, n, 0 AS block, n::BIGINT AS used FROM s WHERE o = 1 UNION ALL
+ SELECT s.key, s.o, s.n, CASE WHEN f.used + s.n <= 2048 THEN f.block ELSE f.block + 1 END, CASE WHEN f.used + s.n <= 2048 THEN f.used + s.n ELSE s.n END FROM f JOIN s ON s.o = f.o + 1),
+ b AS (SELECT block, count(*) AS members, flatten(list(s.i ORDER BY f.n DESC, f.o)) AS ids FROM f JOIN s USING (key) GROUP BY block)
+ SELECT 0 AS batch_id, block, members, len(ids) AS n, {dig('ids')} AS input_ids, {dig('ids')} AS labels FROM b"""
+
+
+@query("st02_stream_packed_pretrain", _ST02)
 def st02(spark, sf):
     root = scratch_path(spark, "st02")
     jobs.stream_packed_pretrain(_document_stream(spark, sf), f"{root}/out", f"{root}/checkpoint", max_tokens=512, batch_size=4, stride=64)
-    return out(spark.read.parquet(f"{root}/out"), "batch_id", "chunk", "block", "members")
+    return out(spark.read.parquet(f"{root}/out"), "batch_id", "block", "members")
 
 
 EVENT_SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
 def _event_stream(spark, sf):
-    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet").parquet(sf)
+    # a micro-batch is a bounded number of files, so a backlog is not read at once
+    files = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet").option("maxFilesPerTrigger", 8)
+    return files.parquet(sf)
 
 
-def _stateful(spark) -> None:
-    """State in RocksDB, as transformWithState needs."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def _stateful(spark):
+    """A session that keeps state in RocksDB, as transformWithState needs; the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", session.DEFAULTS["spark.sql.streaming.stateStore.providerClass"])
+    return own
 
 
-@query("st03_stream_watchdog")
+@query("st03_stream_watchdog", """WITH r AS (SELECT user_id, event_id, value > 40 AS bad, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+ g AS (SELECT *, rn - coalesce(max(rn) FILTER (NOT bad) OVER (PARTITION BY user_id ORDER BY rn), 0) AS streak FROM r)
+ SELECT user_id AS run_id, arg_min(event_id, rn) AS step, 4 AS violations FROM g WHERE streak >= 4 GROUP BY user_id""")
 def st03(spark, sf):
-    _stateful(spark)
+    spark = _stateful(spark)
     root = scratch_path(spark, "st03")
     e = _event_stream(spark, sf).select(F.col("user_id").alias("run_id"), "ts", F.col("event_id").alias("step"), F.col("value").alias("loss"))
     hits = jobs.stream_watchdog(e, 40.0, 4)
@@ -313,9 +333,12 @@ def st03(spark, sf):
     return spark.read.schema("run_id long, step long, violations int").parquet(f"{root}/out")
 
 
-@query("st04_stream_stop_rule")
+@query("st04_stream_stop_rule", """WITH t AS (SELECT user_id, row_number() OVER w AS c, ('0x' || substr(md5(event_id::VARCHAR), 1, 2))::INT = 0 AS eos,
+ string_agg(event_type, '') OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS tail FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+ r AS (SELECT *, CASE WHEN c >= 50 THEN 'length' WHEN eos THEN 'eos_token' WHEN ends_with(tail, 'errorerror') THEN 'stop_sequence' END AS reason FROM t)
+ SELECT user_id AS request_id, arg_min(reason, c) AS finish_reason, min(c)::INTEGER AS generated_tokens FROM r WHERE reason IS NOT NULL GROUP BY user_id""")
 def st04(spark, sf):
-    _stateful(spark)
+    spark = _stateful(spark)
     root = scratch_path(spark, "st04")
     e = _event_stream(spark, sf).withColumn("h", F.md5(F.col("event_id").cast("string")))
     tokens = e.select(F.col("user_id").alias("request_id"), "ts", F.col("event_id").alias("pos"),
@@ -325,7 +348,10 @@ def st04(spark, sf):
     return spark.read.schema("request_id long, finish_reason string, generated_tokens int").parquet(f"{root}/out")
 
 
-@query("st05_stream_request_metrics")
+@query("st05_stream_request_metrics", """WITH e AS (SELECT epoch(ts)::BIGINT // 86400 * 86400 AS bucket, ('0x' || substr(md5(event_id::VARCHAR), 1, 2))::INT > 1 AS ok,
+ value + 0.5 AS d, 1 + ('0x' || substr(md5(event_id::VARCHAR), 3, 1))::INT AS n FROM events)
+ SELECT bucket, count(*) AS requests, count(*) FILTER (NOT ok) AS failed, (sum(n) FILTER (ok))::BIGINT AS new_tokens, quantile_disc(d, 0.5) FILTER (ok) AS p50,
+ quantile_disc(d, 0.9) FILTER (ok) AS p90, quantile_disc(d, 0.99) FILTER (ok) AS p99 FROM e GROUP BY bucket""")
 def st05(spark, sf):
     root = scratch_path(spark, "st05")
     e = _event_stream(spark, sf).withColumn("h", F.md5(F.col("event_id").cast("string")))

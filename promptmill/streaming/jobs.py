@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StructType
 
 from promptmill.functions import tokens as tk
 from promptmill.functions.arrays import once
 from promptmill.operators import labels, pack
 from promptmill.operators.filters import length_fits
 from promptmill.operators.order import ordinal, shuffled_ordinal
+from promptmill.session import materialise
 
 
 def run_available(writer, checkpoint: str) -> StreamingQuery:
@@ -30,16 +31,26 @@ def write_batch(df: DataFrame, out: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
 
-def pretrain_blocks(docs: DataFrame, key: str, text: str, max_tokens: int, buffer: int = pack.CHUNK_ROWS) -> DataFrame:
-    """Concatenate-and-pad blocks of one table or micro-batch."""
-    sized = docs.select(key, pack.concat_pad_lengths(tk.token_count(text), max_tokens).alias("n"))
-    packed = pack.next_fit(ordinal(sized, key), key, "n", max_tokens, chunk_rows=buffer)
-    data = docs.select(key, tk.token_ids(text, max_tokens - 2).alias("ids"))
-    return pack.concat_pad_blocks(packed, data, key, max_tokens)
+def pretrain_blocks(docs: DataFrame, key: str, text: str, max_tokens: int, buffer: int, truncate: bool = False) -> DataFrame:
+    """Concatenate-and-pad blocks of one table or micro-batch, packed anew for each ``buffer`` of texts.
+
+    A text longer than a block goes on in further windows; with ``truncate`` only its first window is kept.
+    """
+    width = max_tokens - 2
+    last = F.floor((F.greatest(F.col("tokens"), F.lit(1)) - 1) / width).cast("int")
+    windows = F.explode(F.sequence(F.lit(0), F.lit(0) if truncate else last)).alias("window")
+    # the text is read once for its counts, which are numbered and packed, and once for its ids
+    sized = materialise(docs.select(key, tk.token_count(text).alias("tokens")), "lengths")
+    each = ordinal(sized, key).select("ordinal", key, "tokens", windows).select(
+        "ordinal", F.struct(key, "window").alias("item"), (F.least(F.col("tokens") - F.col("window") * width, F.lit(width)) + 2).alias("n"))
+    packed = pack.next_fit_in_buffers(each, "item", "n", max_tokens, buffer)
+    ids = once(docs.select(key, text), ids=tk.token_ids(text, width if truncate else None)).withColumn("tokens", F.size("ids"))
+    data = ids.select(key, "ids", windows).select(F.struct(key, "window").alias("item"), F.slice("ids", F.col("window") * width + 1, width).alias("ids"))
+    return pack.concat_pad_blocks(packed, data, "item", max_tokens)
 
 
 def stream_pretrain(stream: DataFrame, out: str, checkpoint: str, key: str = "doc_id", text: str = "text",
-                    max_tokens: int = 2048, buffer: int = pack.CHUNK_ROWS) -> StreamingQuery:
+                    max_tokens: int = 2048, buffer: int = 10_000) -> StreamingQuery:
     """Text to packed blocks, buffers flushed per micro-batch."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -107,23 +118,22 @@ class Watchdog(IdleState):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         count, stopped = self.state.get() if self.state.exists() else (0, 0)
         frame = pd.concat(list(rows)).sort_values(["ts", "step"])
-        hit = None
-        for step, loss in zip(frame["step"], frame["loss"]):
-            count = count + 1 if loss > self.threshold else 0
-            if count >= self.patience and not stopped:
-                hit, stopped = int(step), 1
-        self.state.update((count, stopped))
+        place = np.arange(len(frame))
+        fine = np.maximum.accumulate(np.where(frame["loss"].to_numpy() > self.threshold, -1, place))
+        streak = np.where(fine < 0, count + place + 1, place - fine)
+        hits = np.flatnonzero(streak >= self.patience)
+        self.state.update((int(streak[-1]), int(stopped or hits.size > 0)))
         self.seen(frame)
-        if hit is not None:
-            yield pd.DataFrame({"run_id": [key[0]], "step": [hit], "violations": [self.patience]})
+        if hits.size and not stopped:
+            yield pd.DataFrame({"run_id": [key[0]], "step": [int(frame["step"].iloc[hits[0]])], "violations": [self.patience]})
 
 
 def stream_watchdog(events: DataFrame, threshold: float, patience: int = 3, late: str = "1 hour",
                     idle_ms: int = 86_400_000) -> DataFrame:
     """(run_id, ts, step, loss) to one row per run that must stop.
 
-    Rows of a run come in micro-batches of bounded size; only the two counters live on,
-    until the run has been silent for ``idle_ms``.
+    A run's rows of one micro-batch are held together, so the source must bound a trigger (``maxFilesPerTrigger``); only the
+    two counters live on, until the run has been silent for ``idle_ms``.
     """
     return events.withWatermark("ts", late).groupBy("run_id").transformWithStateInPandas(
         Watchdog(threshold, patience, idle_ms), "run_id long, step long, violations int", "Append", "EventTime")
@@ -137,30 +147,36 @@ class StopState(IdleState):
     def __init__(self, stops: tuple[str, ...], max_new_tokens: int, eos_id: int, idle_ms: int):
         self.stops, self.limit, self.eos_id, self.idle_ms = stops, max_new_tokens, eos_id, idle_ms
 
-    def finish(self, count: int, token: int, tail: str) -> str | None:
-        if count >= self.limit:
-            return "length"
-        if token == self.eos_id:
-            return "eos_token"
-        ends = tail[:-1] if tail.endswith("\n") else tail
-        return "stop_sequence" if any(tail.endswith(s) or ends.endswith(s) for s in self.stops) else None
+    def first(self, count: int, tail: str, ids: np.ndarray, texts: list[str]) -> tuple[int, str | None]:
+        """Place of the token that ends the request and why; the number of tokens and None if none does."""
+        length = self.limit - count - 1
+        ends_ids = np.flatnonzero(ids == self.eos_id)
+        found = [(length, 0, "length")] if length < len(ids) else []
+        found += [(int(ends_ids[0]), 1, "eos_token")] if ends_ids.size else []
+        upto = min([f[0] for f in found], default=len(ids) - 1) + 1
+        text = tail + "".join(texts[:upto])
+        at = {int(e): i for i, e in reversed(list(enumerate(len(tail) + np.cumsum([len(t) for t in texts[:upto]]))))}
+        for stop in self.stops:
+            # a token also ends it if it puts one line feed behind the stop text
+            ends = [m.end() for m in re.finditer(f"(?={re.escape(stop)})", text)]
+            for e in (e + len(stop) for e in ends):
+                found += [(at[x], 2, "stop_sequence") for x in (e, e + 1) if x in at and (x == e or text[e] == "\n")]
+        return min(found)[::2] if found else (len(ids), None)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         count, tail, done = self.state.get() if self.state.exists() else (0, "", 0)
         frame = pd.concat(list(rows)).sort_values("pos")
-        reason = None
-        for token, text in zip(frame["id"], frame["text"]):
-            if done:
-                break
-            count, tail = count + 1, tail + text
-            if len(tail) > 300:  # fixed values: a tail over 300 characters keeps its last 200
-                tail = tail[-200:]
-            reason = self.finish(count, token, tail)
-            done = int(reason is not None)
-        self.state.update((count, "" if done else tail, done))
         self.seen(frame)
-        if reason is not None:
-            yield pd.DataFrame({"request_id": [key[0]], "finish_reason": [reason], "generated_tokens": [count]})
+        if done:
+            return
+        texts = frame["text"].tolist()
+        place, reason = self.first(count, tail, frame["id"].to_numpy(), texts)
+        if reason is None:
+            keep = max(map(len, self.stops), default=0) + 1
+            self.state.update((count + len(texts), (tail + "".join(texts))[-keep:], 0))
+            return
+        self.state.update((count + place + 1, "", 1))
+        yield pd.DataFrame({"request_id": [key[0]], "finish_reason": [reason], "generated_tokens": [count + place + 1]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         count, _, done = self.state.get() if self.state.exists() else (0, "", 1)
@@ -191,15 +207,8 @@ def stream_request_metrics(requests: DataFrame, width: str = "1 day", late: str
         *[F.col("latency")[i].alias(n) for i, n in enumerate(("p50", "p90", "p99"))])
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def stream_budget_batches(requests: DataFrame, out: str, waiting: str, checkpoint: str, prefill_budget: int,
-                          token_budget: int, min_size: int = 1, intake: int = pack.CHUNK_ROWS) -> StreamingQuery:
+                          token_budget: int, min_size: int = 1, intake: int = 10_000) -> StreamingQuery:
     """Budget batches per queue as requests arrive; batches below ``min_size`` wait for the next micro-batch.
 
     The waiting table is versioned by batch id: batch k reads version k-1 and writes
@@ -208,7 +217,9 @@ def stream_budget_batches(requests: DataFrame, out: str, waiting: str, checkpoin
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = _read_or_empty(spark, f"{waiting}/version={batch_id - 1}", batch.schema).unionByName(batch)
+        # only the first batch has no version before it; any other that can't be read is an error
+        held = spark.read.schema(batch.schema).parquet(f"{waiting}/version={batch_id - 1}") if batch_id else batch.limit(0)
+        rows = held.unionByName(batch)
         numbered = ordinal(rows, "request_id")
         made = pack.budget_batches(numbered, "request_id", "input_length", "max_new_tokens", prefill_budget,
                                    token_budget, ("queue",), min_size, chunk_rows=intake)
