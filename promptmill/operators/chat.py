@@ -300,21 +300,24 @@ def inst_turns(messages: Column | str = "messages") -> Column:
 
 
 def inst_segments(messages: Column | str = "messages") -> Column:
-    """(text, trains) per turn; null where the conversation is refused."""
+    """(text, trains) segments; null where the conversation is refused.  The mark before an answer does not train."""
     m = col_of(messages)
     system = F.concat(F.lit(INST_SYSTEM[0]),
                       F.when(m[0]["role"] == "system", m[0]["content"]).otherwise(INST_DEFAULT_SYSTEM),
                       F.lit(INST_SYSTEM[1]))
 
+    def piece(text: Column, trains: bool) -> Column:
+        return F.struct(text.alias("text"), F.lit(trains).alias("trains"))
+
     def one(x: Column, i: Column) -> Column:
-        user = i % 2 == 0
-        mark = F.when(user, INST_MARKS[0]).otherwise(INST_MARKS[1])
-        after = F.when(user, INST_SEPARATORS[0]).otherwise(INST_SEPARATORS[1])
-        text = F.when(i == 0, F.concat(system, strip(x["content"]))).otherwise(
-            F.concat(mark, F.lit(" "), strip(x["content"]), after))
-        return F.struct(text.alias("text"), (~user).alias("trains"))
-
-    return F.transform(inst_turns(m), one)
+        said = strip(x["content"])
+        question = F.when(i == 0, F.concat(system, said)).otherwise(
+            F.concat(F.lit(INST_MARKS[0] + " "), said, F.lit(INST_SEPARATORS[0])))
+        answer = F.concat(F.lit(" "), said, F.lit(INST_SEPARATORS[1]))
+        return F.when(i % 2 == 0, F.array(piece(question, False))).otherwise(
+            F.array(piece(F.lit(INST_MARKS[1]), False), piece(answer, True)))
+
+    return F.flatten(F.transform(inst_turns(m), one))
 
 
 def inst_prompt(messages: Column | str = "messages") -> Column:

@@ -52,12 +52,20 @@ def _number(bucketed: DataFrame, bucket: str, order: list[Column], levels: int,
             .drop(bucket, "start"))
 
 
-def ordinal(df: DataFrame, key: str, out: str = "ordinal", levels: int = 1) -> DataFrame:
+def key_levels(df: DataFrame, key: str) -> int:
+    """How often bucket counts must be cut into ranges so that one task sums up at most 2**17 of them."""
+    low, high = df.agg(F.min(F.col(key).cast("long")), F.max(F.col(key).cast("long"))).first()
+    bits = max((abs(x).bit_length() for x in (low, high) if x is not None), default=0)
+    return max(0, -(-bits // BUCKET_BITS) - 2)
+
+
+def ordinal(df: DataFrame, key: str, out: str = "ordinal", levels: int | None = None) -> DataFrame:
     """Dense 0-based number in the order of a unique integer ``key`` that is never null.
 
     A bucket is a range of 2**16 key values, so it holds at most 2**16 rows however
-    the keys are spread.  ``levels`` = 1 covers keys below 2**48, 2 all 64 bits.
+    the keys are spread.  ``levels`` follows from the largest key: 0 below 2**32, 1 below 2**48, 2 for all 64 bits.
     """
+    levels = key_levels(df, key) if levels is None else levels
     bucketed = df.withColumn("_b", F.shiftright(F.col(key).cast("long"), BUCKET_BITS))
     return _number(bucketed, "_b", [F.col(key)], levels, out)
 

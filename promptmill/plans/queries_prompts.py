@@ -372,10 +372,10 @@ INST_CTE = (CONV + ", c1 AS (SELECT conv_id, part, m, CASE WHEN m[1].role = 'sys
             "c2 AS (SELECT *, CASE WHEN rest[1].role <> 'user' THEN rest[2:] ELSE rest END AS st FROM c1), "
             "c3 AS (SELECT *, CASE WHEN st[len(st)].role = 'user' THEN st[1:len(st) - 1] ELSE st END AS kept, "
             "len(rest) >= 2 AND len(list_filter(list_transform(st, lambda x, i: (x.role = 'user') <> (i % 2 = 1)), lambda b: b)) = 0 AS ok FROM c2), "
-            f"c4 AS (SELECT conv_id, part, ok, list_transform(kept, lambda x, i: {{'text': CASE WHEN i = 1 THEN {q(chat.INST_SYSTEM[0])} || "
-            f"CASE WHEN m[1].role = 'system' THEN m[1].content ELSE {q(chat.INST_DEFAULT_SYSTEM)} END || {q(chat.INST_SYSTEM[1])} || "
-            f"{trim('x.content')} ELSE CASE WHEN i % 2 = 1 THEN '[INST]' ELSE '[/INST]' END || ' ' || {trim('x.content')} || "
-            "CASE WHEN i % 2 = 1 THEN ' ' ELSE ' </s><s>' END END, 'trains': i % 2 = 0}) AS seg FROM c3)")
+            "c4 AS (SELECT conv_id, part, ok, flatten(list_transform(kept, lambda x, i: CASE WHEN i = 1 THEN [{'text': '[INST] <<SYS>>' || chr(10) || "
+            f"CASE WHEN m[1].role = 'system' THEN m[1].content ELSE {q(chat.INST_DEFAULT_SYSTEM)} END || chr(10) || '<</SYS>>' || chr(10) || chr(10) || "
+            f"{trim('x.content')}, 'trains': false}}] WHEN i % 2 = 1 THEN [{{'text': '[INST] ' || {trim('x.content')} || ' ', 'trains': false}}] "
+            f"ELSE [{{'text': '[/INST]', 'trains': false}}, {{'text': ' ' || {trim('x.content')} || ' </s><s>', 'trains': true}}] END)) AS seg FROM c3)")
 
 
 @query("p25_inst_chat", f"""WITH {INST_CTE} SELECT conv_id, part, CASE WHEN ok THEN

@@ -270,3 +270,16 @@ def test_first_fit_decreasing():
     bins = pack.first_fit_decreasing(a, 10)
     assert all(a[bins == b].sum() <= 10 for b in set(bins)) and bins.max() + 1 == 4
     assert pack.fits_in(a, 10, 4) and not pack.fits_in(a, 10, 3) and not pack.fits_in(np.array([11]), 10, 9)
+
+
+def test_inst_marks_do_not_train(spark):
+    turns = [("system", "Be kind."), ("user", " Hi "), ("assistant", "Hello"), ("user", "More"), ("assistant", "No")]
+    df = spark.createDataFrame([([{"role": r, "content": c} for r, c in turns],)], "messages array<struct<role:string,content:string>>")
+    segments = df.select(chat.inst_segments("messages").alias("s")).first().s
+    assert [tuple(x) for x in segments] == [
+        ("[INST] <<SYS>>\nBe kind.\n<</SYS>>\n\nHi", False), ("[/INST]", False), (" Hello </s><s>", True),
+        ("[INST] More ", False), ("[/INST]", False), (" No </s><s>", True)]
+    row = df.select(lb.inst_encoded(chat.inst_segments("messages"), 200).alias("r")).first().r
+    mark = df.select(tk.token_ids(F.lit("[/INST]")).alias("i")).first().i
+    at = [k for k in range(len(row.input_ids)) if row.input_ids[k:k + len(mark)] == mark]
+    assert len(at) == 2 and all(x == -100 for k in at for x in row.labels[k:k + len(mark)])

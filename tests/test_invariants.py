@@ -108,8 +108,18 @@ def test_ordinal_is_dense_for_sparse_keys(spark):
     keys = sorted({rnd.randrange(2 ** 47) for _ in range(500)} | set(range(100)) | {-(2 ** 40), 2 ** 47 - 1})
     rnd.shuffle(keys)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
-    got = {r.k: r.ordinal for r in order.ordinal(df, "k", levels=2).collect()}
-    assert got == {k: i for i, k in enumerate(sorted(keys))}
+    for levels in (None, 2):
+        got = {r.k: r.ordinal for r in order.ordinal(df, "k", levels=levels).collect()}
+        assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_ordinal_of_hashed_keys_sums_few_counts_in_one_task(spark):
+    df = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    assert order.key_levels(df, "k") == 2 and order.key_levels(spark.range(70_000).toDF("k"), "k") == 0
+    tops = df.select(F.shiftright("k", 48).alias("top")).distinct().count()
+    assert tops <= 1 << 16
+    got = order.ordinal(df, "k").orderBy("k").select("ordinal").collect()
+    assert [r.ordinal for r in got] == list(range(3000))
 
 
 @pytest.mark.parametrize("parts", [1, 3, 11])
