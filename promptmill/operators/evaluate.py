@@ -352,6 +352,64 @@ def edit_similarity(prediction: Column | str, reference: Column | str) -> Column
     return F.when(longest == 0, 1.0).otherwise(1 - F.levenshtein(p, r) / longest)
 
 
+# The replacements of the 13a tokenization, and the orders and weight of the character score.
+BLEU_PLAIN = [("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
+BLEU_SPLIT = [(r"([{-~\[-` -&(-+:-@/])", " $1 "), (r"([^0-9])([.,])", "$1 $2 "), (r"([.,])([^0-9])", " $1 $2"), (r"([0-9])(-)", "$1 $2 ")]
+BLEU_ORDER, CHRF_ORDER, CHRF_BETA = 4, 6, 2
+
+
+def bleu_words(text: Column | str) -> Column:
+    t = col_of(text)
+    for old, new in BLEU_PLAIN:
+        t = F.replace(t, F.lit(old), F.lit(new))
+    t = F.concat(F.lit(" "), t, F.lit(" "))
+    for form, new in BLEU_SPLIT:
+        t = F.regexp_replace(t, form, new)
+    return F.filter(F.split(t, r"\s+"), lambda w: w != "")
+
+
+def characters(text: Column | str) -> Column:
+    """Characters without white space."""
+    return F.filter(F.split(F.regexp_replace(col_of(text), r"\s", ""), ""), lambda c: c != "")
+
+
+def _gram_sums(df: DataFrame, key: str, prediction: Column, reference: Column, order: int) -> DataFrame:
+    """Per order: n-grams of all predictions and references, and matches, clipped text by text."""
+    sides = df.select(F.col(key).alias("_key"), F.explode(F.array(
+        F.struct(F.lit(1).alias("p"), F.lit(0).alias("r"), prediction.alias("t")),
+        F.struct(F.lit(0).alias("p"), F.lit(1).alias("r"), reference.alias("t")))).alias("s")).select("_key", "s.*")
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(order)), lambda n: F.when(F.size("t") >= n, F.transform(
+        F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.struct(n.alias("n"), F.array_join(F.slice("t", i, n), "\u0001").alias("g"))))
+        .otherwise(F.array().cast("array<struct<n:int,g:string>>"))))
+    counts = sides.select("_key", "p", "r", F.explode(grams).alias("x")).groupBy("_key", "x").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    return counts.groupBy(F.col("x.n").alias("n")).agg(F.sum("p").alias("p"), F.sum("r").alias("r"), F.sum(F.least("p", "r")).alias("hit"))
+
+
+def corpus_bleu(df: DataFrame, key: str, prediction: str = "prediction", reference: str = "reference") -> DataFrame:
+    """BLEU of a whole table with one reference a row (key unique): 13a words, four orders, exponential smoothing of orders without a match."""
+    sums = _gram_sums(df, key, bleu_words(prediction), bleu_words(reference), BLEU_ORDER)
+    at = [F.first(F.when(F.col("n") == n, F.struct("p", "r", "hit")), ignorenulls=True).alias(f"o{n}") for n in range(1, BLEU_ORDER + 1)]
+    one = sums.agg(*at)
+    total, empty = F.lit(0.0), F.lit(0)
+    for n in range(1, BLEU_ORDER + 1):
+        p, hit = F.coalesce(F.col(f"o{n}.p"), F.lit(0)), F.coalesce(F.col(f"o{n}.hit"), F.lit(0))
+        empty = empty + F.when(hit == 0, 1).otherwise(0)
+        share = F.when(hit > 0, hit / p).otherwise(1 / (F.pow(F.lit(2.0), empty) * p))
+        total = total + F.when(p > 0, F.log(share))
+    words_p, words_r = F.coalesce(F.col("o1.p"), F.lit(0)), F.coalesce(F.col("o1.r"), F.lit(0))
+    short = F.when(words_p < words_r, F.exp(1 - words_r / words_p)).otherwise(1.0)
+    return one.select(F.coalesce(F.when(F.col("o1.hit") > 0, 100 * short * F.exp(total / BLEU_ORDER)), F.lit(0.0)).alias("bleu"))
+
+
+def corpus_chrf(df: DataFrame, key: str, prediction: str = "prediction", reference: str = "reference") -> DataFrame:
+    """Character F-score of a whole table with one reference a row: mean precision and recall over the orders both sides have."""
+    sums = _gram_sums(df, key, characters(prediction), characters(reference), CHRF_ORDER).filter("p > 0 and r > 0")
+    means = sums.agg(F.avg(F.col("hit") / F.col("p")).alias("p"), F.avg(F.col("hit") / F.col("r")).alias("r"))
+    weight = CHRF_BETA ** 2
+    return means.select(F.coalesce(F.when(F.col("p") + F.col("r") > 0, 100 * (1 + weight) * F.col("p") * F.col("r") / (weight * F.col("p") + F.col("r"))),
+                                   F.lit(0.0)).alias("chrf"))
+
+
 # Metrics that are a column expression over prediction and reference.
 TEXT_METRICS: dict[str, Callable[[Column, Column], Column]] = {
     "exact_match": lambda p, r: (p == r).cast("double"),

@@ -322,17 +322,54 @@ def a17(spark, sf):
     return done.select(*[r6(F.col(c)).alias(c) for c in done.columns])
 
 
-# DuckDB's edit distance counts bytes, so this oracle compares texts with other letters replaced.
+# DuckDB's edit distance counts bytes, so its side gives each other letter an ASCII code that no text has.
+_LETTERS = "éèêëàâîïôûçœÉÈÊÀÂÎÔÇäöüßÄÖÜñáíóúÑÁÍÓÚ"
+_CODES = " || ".join(f"chr({k})" for k in [*range(1, 9), *range(14, 32), 35, 94, 96, 123, 125, 126, 127, 91, 93, 95, 60][:len(_LETTERS)])
+
+
 def _ascii(c: str) -> str:
-    return f"regexp_replace({c}, '[^\\x00-\\x7F]', '?', 'g')"
+    return f"translate({c}, '{_LETTERS}', {_CODES})"
 
 
 @query("a17_edit_similarity", f"""WITH {PAIRS}, a AS (SELECT pair_id, {_ascii('chosen')} AS c, {_ascii('rejected')} AS r FROM p)
  SELECT pair_id, round(1 - levenshtein(c, r) / greatest(length(c), length(r))::DOUBLE, 6) AS similarity FROM a""")
 def a17_edit(spark, sf):
-    p = fx.pairs(spark, sf)
-    c, r = (F.regexp_replace(x, r"[^\x00-\x7F]", "?") for x in ("chosen", "rejected"))
-    return p.select("pair_id", r6(ev.edit_similarity(c, r)).alias("similarity"))
+    return fx.pairs(spark, sf).select("pair_id", r6(ev.edit_similarity("chosen", "rejected")).alias("similarity"))
+
+
+def _bleu_words(c: str) -> str:
+    t = f"replace(replace(replace(replace(replace(replace(replace({c}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' '), '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"
+    t = f"regexp_replace(' ' || {t} || ' ', '([\\{{-\\~\\[-\\` -\\&\\(-\\+\\:-\\@\\/])', ' \\1 ', 'g')"
+    t = f"regexp_replace({t}, '([^0-9])([\\.,])', '\\1 \\2 ', 'g')"
+    t = f"regexp_replace({t}, '([\\.,])([^0-9])', ' \\1 \\2', 'g')"
+    t = f"regexp_replace({t}, '([0-9])(-)', '\\1 \\2 ', 'g')"
+    return f"list_filter(regexp_split_to_array({t}, '\\s+'), lambda w: w <> '')"
+
+
+def _grams_sql(p: str, r: str, order: int) -> str:
+    return f"""WITH {PAIRS}, w AS (SELECT pair_id, {p} AS p, {r} AS r FROM p),
+ g AS (SELECT pair_id, n, array_to_string(p[i:i + n - 1], '|~|') AS g, 1 AS a, 0 AS b FROM (SELECT *, unnest(range(1, len(p) - n + 2)) AS i FROM w, range(1, {order + 1}) t(n))
+ UNION ALL SELECT pair_id, n, array_to_string(r[i:i + n - 1], '|~|'), 0, 1 FROM (SELECT *, unnest(range(1, len(r) - n + 2)) AS i FROM w, range(1, {order + 1}) t(n))),
+ c AS (SELECT n, sum(a) AS p, sum(b) AS r, sum(least(a, b)) AS hit FROM (SELECT pair_id, n, g, sum(a) AS a, sum(b) AS b FROM g GROUP BY ALL) GROUP BY n)"""
+
+
+@query("a17_bleu", _grams_sql(_bleu_words("chosen"), _bleu_words("rejected"), 4) + """,
+ z AS (SELECT *, CASE WHEN hit = 0 THEN 1 / (pow(2, count(*) FILTER (hit = 0) OVER (ORDER BY n)) * p) ELSE hit / p END AS share FROM c)
+ SELECT round(100 * (SELECT least(1, exp(1 - r / p)) FROM c WHERE n = 1) * exp(avg(ln(share))), 6) AS bleu FROM z""")
+def a17_bleu(spark, sf):
+    rows = fx.pairs(spark, sf).select("pair_id", F.col("chosen").alias("prediction"), F.col("rejected").alias("reference"))
+    return ev.corpus_bleu(rows, "pair_id").select(r6(F.col("bleu")).alias("bleu"))
+
+
+def _letters(c: str) -> str:
+    return f"list_filter(regexp_split_to_array(regexp_replace({c}, '\\s', '', 'g'), ''), lambda x: x <> '')"
+
+
+@query("a17_chrf", _grams_sql(_letters("chosen"), _letters("rejected"), 6) + """,
+ m AS (SELECT avg(hit / p) AS p, avg(hit / r) AS r FROM c) SELECT round(500 * p * r / (4 * p + r), 6) AS chrf FROM m""")
+def a17_chrf(spark, sf):
+    rows = fx.pairs(spark, sf).select("pair_id", F.col("chosen").alias("prediction"), F.col("rejected").alias("reference"))
+    return ev.corpus_chrf(rows, "pair_id").select(r6(F.col("chrf")).alias("chrf"))
 
 
 @query("a18_prediction_table", f"""{_K05}, o AS (SELECT block, place - 1 AS "range", p, o FROM pl JOIN t USING (doc_id) ORDER BY block, place LIMIT 200)
