@@ -32,6 +32,14 @@ def conversations(spark: SparkSession, sf: str) -> DataFrame:
     return chat.rollup(turns(spark, sf))
 
 
+# turns a conversation may have before ids of two conversations could meet
+MOST_TURNS = 10_000_000
+
+
+def turn_id():
+    return F.col("conv_id") * MOST_TURNS + F.col("turn")
+
+
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """User turn, the answer after it, and the answer at the same turn of the next conversation."""
     t = turns(spark, sf)
@@ -42,7 +50,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("text").alias("other"))
     s = t.filter("role = 'system' and turn = 0").select("conv_id", F.col("text").alias("system"))
     out = u.join(a, ["conv_id", "turn"]).join(r, ["conv_id", "turn"], "left").join(s, "conv_id", "left")
-    return out.select((F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "conv_id",
+    return out.select(turn_id().alias("pair_id"), "conv_id",
                       F.coalesce("system", F.lit("")).alias("system"), "prompt", "chosen",
                       F.coalesce("other", "prompt").alias("rejected"))
 
@@ -107,14 +115,14 @@ REQUESTS_SQL = """rq AS (SELECT event_id AS request_id, user_id AS queue, ts,
 def token_log(spark: SparkSession, sf: str) -> DataFrame:
     """Generated tokens: the words of every assistant turn, with log-probabilities from their hash."""
     answers = turns(spark, sf).filter("role = 'assistant'").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"), F.posexplode(tk.token_texts("text")).alias("pos", "text"))
+        turn_id().alias("request_id"), F.posexplode(tk.token_texts("text")).alias("pos", "text"))
     h = F.md5(F.concat_ws("|", "request_id", "pos", "text"))
     return answers.withColumns({
         "id": F.when(hex_digit(h, 1, 2) == 0, F.lit(tk.EOS)).otherwise(tk.token_id(F.col("text"))),
         "logprob": -(hex_digit(h, 3, 4) + 1) / 8192.0, "special": hex_digit(h, 7) == 0, "h": h})
 
 
-TOKEN_LOG_SQL = """tl0 AS (SELECT conv_id * 1000 + turn AS request_id, unnest(range(len(w))) AS pos, unnest(w) AS text
+TOKEN_LOG_SQL = """tl0 AS (SELECT conv_id * 10000000 + turn AS request_id, unnest(range(len(w))) AS pos, unnest(w) AS text
  FROM (SELECT conv_id, turn, regexp_extract_all(text, '\\p{L}+|\\p{N}+|[^\\s\\p{L}\\p{N}]') AS w FROM conversations
  WHERE role = 'assistant')),
  tl AS (SELECT *, CASE WHEN ('0x' || substr(h, 1, 2))::INT = 0 THEN 2 ELSE 16 + ('0x' || substr(md5(text), 1, 7))::INT END AS id,

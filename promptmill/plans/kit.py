@@ -131,7 +131,7 @@ DOCS = ("d AS (SELECT doc_id, lang, source, text, 'Write a ' || source || ' text
 CONV = ("c AS (SELECT conv_id, turn // 1000 AS part, list({'role': role, 'content': text} ORDER BY turn) AS m "
         "FROM conversations GROUP BY conv_id, turn // 1000)")
 
-PAIRS = ("p AS (SELECT u.conv_id * 1000 + u.turn AS pair_id, u.conv_id, coalesce(s.text, '') AS system, u.text AS prompt, "
+PAIRS = ("p AS (SELECT u.conv_id * 10000000 + u.turn AS pair_id, u.conv_id, coalesce(s.text, '') AS system, u.text AS prompt, "
          "a.text AS chosen, coalesce(r.text, u.text) AS rejected FROM conversations u "
          "JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' "
          "LEFT JOIN conversations r ON r.conv_id = u.conv_id + 1 AND r.turn = a.turn AND r.role = 'assistant' "

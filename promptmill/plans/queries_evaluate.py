@@ -383,10 +383,10 @@ def a18(spark, sf):
     return done.select("block", "range", *[digest(c).alias(c) for c in ("prompt_ids", "completion_ids", "predicted_ids")])
 
 
-@query("a19_best_of", f"""WITH {TOKEN_LOG_SQL}, s AS (SELECT request_id // 1000 AS prompt_id, request_id % 1000 AS try, avg(logprob) AS score FROM tl GROUP BY 1, 2)
+@query("a19_best_of", f"""WITH {TOKEN_LOG_SQL}, s AS (SELECT request_id // 10000000 AS prompt_id, request_id % 10000000 AS try, avg(logprob) AS score FROM tl GROUP BY 1, 2)
  SELECT prompt_id, try, round(score, 6) AS score, (row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, try) = 1)::INT AS is_best FROM s""")
 def a19(spark, sf):
-    log = fx.token_log(spark, sf).select(F.floor(F.col("request_id") / 1000).alias("prompt_id"), (F.col("request_id") % 1000).alias("try"), "logprob")
+    log = fx.token_log(spark, sf).select(F.expr("request_id div 10000000").alias("prompt_id"), (F.col("request_id") % fx.MOST_TURNS).alias("try"), "logprob")
     return ev.best_of(log).withColumn("score", r6(F.col("score")))
 
 
