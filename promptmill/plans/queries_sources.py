@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from promptmill.functions import tokens as tk
 from promptmill.operators import chat, dedup
 from promptmill.plans import fixtures as fx, registry
-from promptmill.plans.kit import DOCS, count, dig, hex_digit, ids, query, rep, table
+from promptmill.plans.kit import CONV, DOCS, PAIRS, count, dig, hex_digit, ids, query, rep, table
 from promptmill.plans.queries_evaluate import CASES_SQL, cases
 from promptmill.plans.queries_prompts import _instruction_sql
 from promptmill.plans.queries_rows import BUFFER, K01_SQL
@@ -235,6 +235,76 @@ def u02(spark, sf):
     return registry.call_model(fx.docs(spark, sf), "doc_id", "instruction", load)
 
 
+@query("u02_model_call_status", f"""WITH {DOCS} SELECT doc_id, CASE WHEN length(instruction) % 5 > 0 THEN length(instruction) || ' characters' END AS prediction,
+ CASE WHEN length(instruction) % 5 > 0 THEN 'ok' ELSE 'ValueError' END AS status FROM d""")
+def u02_status(spark, sf):
+    def load():
+        def client(texts):
+            if len(texts[0]) % 5 == 0:
+                raise ValueError("no answer")
+            return [f"{len(t)} characters" for t in texts]
+        return client
+    return registry.call_model(fx.docs(spark, sf), "doc_id", "instruction", load, retries=1, batch=1, status="status")
+
+
+_CHATML_PROMPT = "'<|im_start|>user' || chr(10) || prompt || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)"
+
+
+def _chat_pairs(spark, sf):
+    """Pairs whose prompt is a conversation and whose answers are messages."""
+    def message(role: str, text: str):
+        return F.struct(F.lit(role).alias("role"), F.col(text).alias("content"))
+    return fx.pairs(spark, sf).select("pair_id", F.array(message("user", "prompt")).alias("messages"),
+                                      message("assistant", "chosen").alias("chosen"), message("assistant", "rejected").alias("rejected"))
+
+
+@query("u01_dpo_chat_template", f"""WITH {PAIRS} SELECT pair_id, {_CHATML_PROMPT} AS prompt, chosen || '<|im_end|>' AS chosen, rejected || '<|im_end|>' AS rejected FROM p""")
+def u01_dpo(spark, sf):
+    return registry.apply_strategy(_chat_pairs(spark, sf), "dpo.chat_template.default", {"keep": ["pair_id"]})
+
+
+@query("u01_bradley_terry_chat_template", f"""WITH {PAIRS}, a AS (SELECT pair_id, ({ids(_CHATML_PROMPT + " || chosen || '<|im_end|>'")})[1:200] AS c, ({ids(_CHATML_PROMPT + " || rejected || '<|im_end|>'")})[1:200] AS r FROM p)
+ SELECT pair_id, len(c) AS n, {dig('c')} AS input_ids_chosen, {dig('r')} AS input_ids_rejected FROM a""")
+def u01_reward(spark, sf):
+    rows = registry.apply_strategy(_chat_pairs(spark, sf), "bradley_terry.chat_template", {"keep": ["pair_id"], "sequence_len": 200})
+    return out(rows, "pair_id", columns=("input_ids_chosen", "input_ids_rejected"))
+
+
+@query("u01_orpo_chat_template", f"""WITH {CONV}, t AS (SELECT conv_id, part, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS k FROM c),
+ x AS (SELECT conv_id, part, array_to_string(list_transform(k[1:len(k) - 1], lambda y: '<|im_start|>' || y.role || chr(10) || y.content || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) AS p,
+ k[len(k)].content || '<|im_end|>' || chr(10) AS c, 'No.<|im_end|>' || chr(10) AS r FROM t WHERE len(k) % 2 = 0 AND len(k) > 0),
+ i AS (SELECT conv_id, part, {ids('p')} AS p, {ids('c')} AS c, {ids('r')} AS r FROM x)
+ SELECT conv_id, part, len(p || c) AS n, {dig('p || c')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || c')} AS labels, {dig('p || r')} AS rejected_input_ids FROM i""")
+def u01_orpo(spark, sf):
+    m = F.col("messages")
+    talk = F.when(m[0]["role"] == "system", chat.tail(m)).otherwise(m)
+    rows = fx.conversations(spark, sf).select("conv_id", "part", talk.alias("chosen")).filter(F.size("chosen") > 0)
+    other = F.array(F.struct(F.lit("assistant").alias("role"), F.lit("No.").alias("content")))
+    rows = rows.withColumn("rejected", F.concat(F.slice("chosen", 1, F.size("chosen") - 1), other))
+    done = registry.apply_strategy(rows, "orpo.chat_template", {"keep": ["conv_id", "part"]})
+    return out(done, "conv_id", "part", columns=("input_ids", "labels", "rejected_input_ids"))
+
+
+_BROKEN = "CASE WHEN conv_id % 7 = 0 AND turn = 1 THEN 'narrator' ELSE role END"
+
+
+@query("u01_chat_rejects", f"""WITH c AS (SELECT conv_id, turn // 1000 AS part, list({{'role': {_BROKEN}, 'content': text}} ORDER BY turn) AS m FROM conversations GROUP BY conv_id, turn // 1000),
+ k AS (SELECT *, len(list_filter(m, lambda x: x.role = 'narrator')) > 0 AS odd FROM c)
+ SELECT conv_id, part, 'chat_template' AS strategy, CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END AS reason,
+ CASE WHEN NOT odd THEN list_sum(list_transform(m, lambda x: {count("'<|im_start|>' || x.role || chr(10)")} + {count('x.content')} + 1))::INTEGER END AS n FROM k
+ UNION ALL SELECT conv_id, part, 'messages.chat', CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END, CASE WHEN NOT odd THEN
+ list_sum(list_transform(m, lambda x: {count("'<|im_start|>' || x.role || chr(10)")} + {count('x.content')} + {count("'<|im_end|>'")}))::INTEGER END FROM k""")
+def u01_rejects(spark, sf):
+    turns = fx.turns(spark, sf).withColumn("role", F.when((F.col("conv_id") % 7 == 0) & (F.col("turn") == 1), "narrator").otherwise(F.col("role")))
+    rows, parts = chat.rollup(turns), []
+    for name in ("chat_template", "messages.chat"):
+        c = {"keep": ["conv_id", "part"]}
+        done = registry.apply_strategy(rows, name, c).select("conv_id", "part", F.lit("accepted").alias("reason"), F.size("input_ids").alias("n"))
+        left = registry.rejected_rows(rows, name, c).withColumn("n", F.lit(None).cast("int"))
+        parts.append(done.unionByName(left).withColumn("strategy", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 @query("u03_generate_and_refine", """WITH b AS (SELECT item_id, text, length(text || length(text) || ' characters' || chr(10) || 'Correct code:' || chr(10)) % 2 = 1 AS echoes FROM benchmark),
  c AS (SELECT item_id, echoes, unnest(string_split(text, '. ')) AS expected FROM b),
  r AS (SELECT item_id, trim(expected, chr(10)) = trim(CASE WHEN echoes THEN expected ELSE upper(expected) END, chr(10)) AS hit FROM c)

@@ -163,6 +163,8 @@ def _pretrain(df: DataFrame, c: dict) -> DataFrame:
 
 @strategy("chat_template.load")
 def _chat(df: DataFrame, c: dict) -> DataFrame:
+    """Conversations with an unknown role are left out; ``rejected_rows`` gives them with the reason."""
+    df = df.filter(~chat.unknown_roles(c.get("field_messages", "messages")))
     turns = chat.conversation_thread(c.get("field_messages", "messages"), c.get("drop_system_message", False))
     row = labels.turn_masked(turns, roles_to_train=tuple(c.get("roles_to_train", ["assistant"])),
                              train_on_inputs=c.get("train_on_inputs", False), train_on_eos=c.get("train_on_eos", "turn"))
@@ -177,6 +179,7 @@ def _input_output(df: DataFrame, c: dict) -> DataFrame:
 
 @strategy("llama2_chat.load")
 def _inst(df: DataFrame, c: dict) -> DataFrame:
+    df = df.filter(chat.inst_turns("messages").isNotNull())
     return labels.with_encoded(df, labels.inst_encoded(chat.inst_segments("messages"), c["sequence_len"])).select(
         *c.get("keep", []), *TOKENIZED)
 
@@ -207,34 +210,97 @@ STRATEGIES["kto.user_defined.default"] = lambda df, c: df.select(
 STRATEGIES["bradley_terry.llama3.icr"] = lambda df, c: df.select(*c.get("keep", []), *template.reward_pair(df))
 
 
+def _said(df: DataFrame, field: str) -> Column:
+    """Text of an answer given as text or as a message."""
+    return F.col(f"{field}.content") if df.schema[field].dataType.typeName() == "struct" else F.col(field)
+
+
+@strategy("dpo.chat_template.default")
+def _preference_chat(df: DataFrame, c: dict) -> DataFrame:
+    name = c.get("chat_template", "chatml")
+    prompt = chat.render_chat(c.get("field_messages", "messages"), name, add_generation_prompt=True)
+    answers = [chat.answer_text(_said(df, c.get(f"field_{k}", k)), name).alias(k) for k in ("chosen", "rejected")]
+    return df.select(*c.get("keep", []), prompt.alias("prompt"), *answers)
+
+
+@strategy("orpo.chat_template.argilla")
+def _odds_ratio_text(df: DataFrame, c: dict) -> DataFrame:
+    """Prompt and both answers as text; conversations of an odd number of turns have no last answer and are left out."""
+    texts = template.odds_ratio_format(df, c.get("chat_template", "chatml"))
+    return df.filter(F.size("chosen") % 2 == 0).select(*c.get("keep", []), *texts)
+
+
+@strategy("orpo.chat_template.load")
+def _odds_ratio(df: DataFrame, c: dict) -> DataFrame:
+    return labels.odds_ratio_pair(_odds_ratio_text(df, c), "prompt", "chosen", "rejected").drop("prompt", "chosen", "rejected")
+
+
+@strategy("bradley_terry.chat_template.load")
+def _reward_chat(df: DataFrame, c: dict) -> DataFrame:
+    rows = _preference_chat(df, c)
+    return labels.reward_pair_encoded(rows, F.concat("prompt", "chosen"), F.concat("prompt", "rejected"), c["sequence_len"]).drop(
+        "prompt", "chosen", "rejected")
+
+
+@strategy("messages.chat.load")
+def _weighted_chat(df: DataFrame, c: dict) -> DataFrame:
+    field = c.get("field_messages", "messages")
+    messages = chat.weighted_messages(field, c.get("message_field_role", "role"), c.get("message_field_content", "content"),
+                                      c.get("message_field_training"), c.get("train_on_inputs", False))
+    known = df.filter(~chat.unknown_roles(field, chat.WEIGHTED_ROLES))
+    return labels.with_encoded(known, labels.weighted_labels(chat.weighted_segments(messages, c.get("chat_template", "chatml")))).select(
+        *c.get("keep", []), *TOKENIZED)
+
+
+def rejected_rows(df: DataFrame, kind: str, config: dict | None = None) -> DataFrame:
+    """The ``keep`` columns and a reason for each row that a chat strategy leaves out."""
+    c = config or {}
+    field = c.get("field_messages", "messages")
+    name = kind if kind in STRATEGIES else f"{kind}.load"
+    reasons = {
+        "chat_template.load": F.when(chat.unknown_roles(field), "unknown role"),
+        "messages.chat.load": F.when(chat.unknown_roles(field, chat.WEIGHTED_ROLES), "unknown role"),
+        "llama2_chat.load": F.when(chat.inst_turns(field).isNull(), "roles do not alternate"),
+    } if field in df.columns else {}
+    if name not in reasons:
+        return df.limit(0).select(*c.get("keep", []), F.lit(None).cast("string").alias("reason"))
+    return df.select(*c.get("keep", []), reasons[name].alias("reason")).filter("reason is not null")
+
+
 # Model calls ----------------------------------------------------------------------------
 
 
 def call_model(df: DataFrame, key: str, prompt: str, load_client: Callable[[], Callable[[list[str]], list[str]]],
-               out: str = "prediction", retries: int = 3, wait_seconds: float = 0.0, batch: int = 100) -> DataFrame:
+               out: str = "prediction", retries: int = 3, wait_seconds: float = 0.0, batch: int = 100,
+               status: str | None = None) -> DataFrame:
     """(key, ``out``): the user's model run over prompts in batches, one client per task.
 
-    A batch that still fails after ``retries`` gives the text ``error``.  Save the result
-    before using it twice, or a recomputed task calls the model again.
+    A batch that still fails after ``retries`` gives the text ``error``; with ``status`` a column of that name says
+    ok or the error's type, and failed rows have no text.  Save the result before using it twice, or a recomputed
+    task calls the model again.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = load_client()
 
-        def ask(texts: list[str]) -> list[str]:
+        def ask(texts: list[str]) -> tuple[list, str]:
+            failed = "none"
             for attempt in range(retries):
                 try:
-                    return client(texts)
-                except Exception:
+                    return client(texts), "ok"
+                except Exception as e:
+                    failed = type(e).__name__
                     time.sleep(wait_seconds * (attempt + 1))
-            return ["error"] * len(texts)
+            return [None if status else "error"] * len(texts), failed
 
         for frame in frames:
             for i in range(0, len(frame), batch):
                 part = frame.iloc[i:i + batch]
-                yield pd.DataFrame({key: part[key], out: ask(part[prompt].tolist())})
+                answers, how = ask(part[prompt].tolist())
+                yield pd.DataFrame({key: part[key], out: answers, **({status: how} if status else {})})
 
-    return df.select(key, prompt).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, {out} string")
+    extra = f", {status} string" if status else ""
+    return df.select(key, prompt).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, {out} string{extra}")
 
 
 def refine(requests: DataFrame, cases: DataFrame, key: str, feedback_client, code_client, run_client,
