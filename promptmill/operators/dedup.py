@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.session import materialise
+
 
 def row_hash(*columns: str) -> Column:
     """SHA-256 of the row as JSON: field names and null stay apart from text."""
@@ -29,16 +31,16 @@ def cross_dedup(train: DataFrame, evaluation: DataFrame, key: str,
                 columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both splits deduplicated, and evaluation without any content of train.
 
-    One aggregate over both splits gives the kept key of each side.
+    One aggregate over both splits gives the kept key of each side; these pairs of keys are written once for both.
     """
     content = columns or [c for c in train.columns if c != key]
 
     def hashes(df: DataFrame, side: int) -> DataFrame:
         return df.select(row_hash(*content).alias("_hash"), F.col(key), F.lit(side).alias("_side"))
 
-    both = hashes(train, 0).unionByName(hashes(evaluation, 1)).groupBy("_hash").agg(
+    both = materialise(hashes(train, 0).unionByName(hashes(evaluation, 1)).groupBy("_hash").agg(
         F.min(F.when(F.col("_side") == 0, F.col(key))).alias("train"),
-        F.min(F.when(F.col("_side") == 1, F.col(key))).alias("evaluation"))
+        F.min(F.when(F.col("_side") == 1, F.col(key))).alias("evaluation")).drop("_hash"), "kept-keys")
     keep_train = both.filter(F.col("train").isNotNull()).select(F.col("train").alias(key))
     keep_eval = both.filter(F.col("train").isNull()).select(F.col("evaluation").alias(key))
     return train.join(keep_train, key, "left_semi"), evaluation.join(keep_eval, key, "left_semi")

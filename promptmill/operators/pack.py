@@ -19,6 +19,8 @@ from promptmill.functions.text import col_of
 from promptmill.functions.tokens import EOS, IGNORED, PAD
 from promptmill.operators import folds
 from promptmill.operators.order import chunk_of
+from promptmill.operators.split import batches
+from promptmill.session import materialise
 
 
 def greedy_blocks(rows: Column, fresh: Column, grow: Callable[[Column, Column], Column],
@@ -270,23 +272,25 @@ def filled_up(a: Column | str, length: Column | int, pad: int, left: bool = Fals
 PADDING = {"input_ids": PAD, "labels": IGNORED, "attention_mask": 0, "position_ids": 0}
 
 
-def pad_batches(df: DataFrame, batch: str, columns: dict[str, int] | None = None, multiple: int | None = None,
-                left: bool = False, common: list[list[str]] | None = None) -> DataFrame:
-    """Every field padded to the longest of its batch, rounded up to ``multiple``.
+def pad_batches(df: DataFrame, key: str, size: int, columns: dict[str, int] | None = None, multiple: int | None = None,
+                left: tuple[str, ...] = (), common: list[list[str]] | None = None) -> DataFrame:
+    """Batches of ``size`` rows in the order of an integer ``key``; every field padded to the longest of its batch.
 
-    Fields in one list of ``common`` share their length, as both sides of a pair do.
-    The longest size per batch is an aggregate, joined back.
+    Lengths are rounded up to ``multiple``; fields in ``left`` are filled up in front.  Fields in one list of ``common``
+    share their length, as both sides of a pair do.  Only keys and lengths are numbered and compared; the arrays
+    are read again and joined once.
     """
     pads = columns or {c: p for c, p in PADDING.items() if c in df.columns}
     groups = common or [[c] for c in pads]
-    longest = []
-    for n, group in enumerate(groups):
-        top = F.max(F.greatest(*[F.size(c) for c in group]) if len(group) > 1 else F.size(group[0]))
-        if multiple:
-            top = (F.ceil(top / multiple) * multiple).cast("int")
-        longest.append(top.alias(f"_n{n}"))
-    sized = df.join(df.groupBy(batch).agg(*longest), batch)
-    return sized.withColumns({c: filled_up(c, F.col(f"_n{n}"), pads[c], left)
+    lengths = [(F.greatest(*[F.size(c) for c in group]) if len(group) > 1 else F.size(group[0])).alias(f"_n{n}")
+               for n, group in enumerate(groups)]
+    small = batches(materialise(df.select(key, *lengths), "lengths"), key, size)
+    inside = Window.partitionBy("batch")
+    for n in range(len(groups)):
+        top = F.max(f"_n{n}").over(inside)
+        small = small.withColumn(f"_n{n}", (F.ceil(top / multiple) * multiple).cast("int") if multiple else top)
+    sized = with_members(small.drop("ordinal"), df, key)
+    return sized.withColumns({c: filled_up(c, F.col(f"_n{n}"), pads[c], c in left)
                               for n, group in enumerate(groups) for c in group}).drop(
         *[f"_n{n}" for n in range(len(groups))])
 

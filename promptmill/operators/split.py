@@ -106,18 +106,18 @@ def dictionary(keys: DataFrame, key: str, out: str = "index", seed: int = 0) ->
     return shuffled_ordinal(keys.select(key).distinct(), seed, key, out=out)
 
 
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
-def encode_keys(df: DataFrame, index: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def encode_keys(df: DataFrame, index: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The index joined back.
 
-    The dictionary is written out and counted; up to ``broadcast_rows`` rows it is
-    broadcast, beyond that both sides are shuffled and AQE splits a hot key.
+    The dictionary is written out and measured; up to ``broadcast_bytes`` of keys and numbers it is broadcast,
+    beyond that both sides are shuffled and AQE splits a hot key.
     """
     written = materialise(index, "dictionary")
-    small = written.count() <= broadcast_rows
-    return df.join(F.broadcast(written) if small else written.hint("merge"), key)
+    size = written.agg(F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 16), F.lit(0))).first()[0]
+    return df.join(F.broadcast(written) if size <= broadcast_bytes else written.hint("merge"), key)
 
 
 def batches(df: DataFrame, key: str, size: int, out: str = "batch") -> DataFrame:

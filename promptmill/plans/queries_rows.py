@@ -344,18 +344,16 @@ def k05(spark, sf):
 _BATCHED = "bt AS (SELECT *, (row_number() OVER (ORDER BY conv_id, part) - 1) // 8 AS batch FROM enc), mx AS (SELECT batch, (max(len(i)) + 63) // 64 * 64 AS m FROM bt GROUP BY batch)"
 
 
-def batched(spark, sf):
-    rows = fx.encoded_conversations(spark, sf).withColumn("record_id", F.col("conv_id") * 1_000_000 + F.col("part"))
-    return split.batches(rows, "record_id", 8)
+def recorded(spark, sf):
+    return fx.encoded_conversations(spark, sf).withColumn("record_id", F.col("conv_id") * 1_000_000 + F.col("part"))
 
 
 @query("k06_pad_batch", f"""WITH {ENC_SQL}, {_BATCHED} SELECT conv_id, part, batch, m AS n, {cat(f"i || {rep(0, 'm - len(i)')}")} AS input_ids, {cat(f"l || {rep(-100, 'm - len(l)')}")} AS labels,
  {cat(f"{rep(0, 'm - len(i)')} || i")} AS left_ids FROM bt JOIN mx USING (batch)""")
 def k06(spark, sf):
-    b = batched(spark, sf)
-    right = pack.pad_batches(b.select("record_id", "conv_id", "part", "batch", "input_ids", "labels"), "batch", multiple=64)
-    left = pack.pad_batches(b.select("record_id", "batch", "input_ids"), "batch", multiple=64, left=True)
-    both = right.join(left.select("record_id", F.col("input_ids").alias("left_ids")), "record_id")
+    rows = recorded(spark, sf).select("record_id", "conv_id", "part", "input_ids", "labels", F.col("input_ids").alias("left_ids"))
+    pads = {"input_ids": tk.PAD, "labels": tk.IGNORED, "left_ids": tk.PAD}
+    both = pack.pad_batches(rows, "record_id", 8, pads, multiple=64, left=("left_ids",), common=[list(pads)])
     return out(both, "conv_id", "part", "batch", columns=("input_ids", "labels", "left_ids"), hashed=False)
 
 
@@ -365,9 +363,9 @@ def k06(spark, sf):
  {cat(f"c || {rep(0, 'm - len(c)')}")} AS chosen, {cat(f"r || {rep(0, 'm - len(r)')}")} AS rejected FROM a JOIN mx USING (batch)""")
 def k07(spark, sf):
     p = fx.pairs(spark, sf).select("pair_id", tk.token_ids("chosen").alias("input_ids_j"), tk.token_ids("rejected").alias("input_ids_k"))
-    b = split.batches(p, "pair_id", 8).withColumns({"chosen": F.col("input_ids_j"), "rejected": F.col("input_ids_k")})
+    b = p.withColumns({"chosen": F.col("input_ids_j"), "rejected": F.col("input_ids_k")})
     pads = {c: tk.PAD for c in ("input_ids_j", "input_ids_k", "chosen", "rejected")}
-    rows = pack.pad_batches(b, "batch", pads, common=[["input_ids_j"], ["input_ids_k"], ["chosen", "rejected"]])
+    rows = pack.pad_batches(b, "pair_id", 8, pads, common=[["input_ids_j"], ["input_ids_k"], ["chosen", "rejected"]])
     return out(rows, "pair_id", "batch", columns=("input_ids_j", "input_ids_k", "chosen", "rejected"), hashed=False)
 
 

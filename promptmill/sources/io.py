@@ -30,21 +30,34 @@ def _reader(spark: SparkSession, schema: StructType | str | None):
     return spark.read.schema(schema) if schema is not None else spark.read
 
 
-def _is_lines(spark: SparkSession, path) -> bool:
-    """Whether a JSON file holds one object per line; looks at its first filled line only."""
-    first = spark.read.text(path).filter(F.length(F.trim("value")) > 0).select("value").first()
-    if first is None:
-        return True
-    try:
-        return isinstance(json.loads(first[0]), dict)
-    except ValueError:
-        return False
+def json_layout(spark: SparkSession, path) -> tuple[list[str], list[str]]:
+    """Files that hold one object per line, and files that are one JSON document.
+
+    Every filled line of every file is looked at: it is an object of its own if it opens and closes with a brace.
+    """
+    line = F.trim("value")
+    whole = ~(F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}")))
+    seen = (spark.read.text(path).select(F.input_file_name().alias("file"), line.alias("value"), whole.alias("whole"))
+            .filter(F.length("value") > 0).groupBy("file").agg(F.max("whole").alias("whole")).collect())
+    return [r.file for r in seen if not r.whole], [r.file for r in seen if r.whole]
 
 
-def read_json(spark: SparkSession, path, schema=None) -> DataFrame:
-    """JSON lines (splittable) or one JSON document per file."""
-    lines = _is_lines(spark, path)
-    return _reader(spark, schema).option("multiLine", str(not lines).lower()).json(path)
+def read_json(spark: SparkSession, path, schema=None, lines: bool | None = None) -> DataFrame:
+    """JSON lines (splittable) or one JSON document per file; a record that is neither is an error.
+
+    ``lines`` says which; else names in .jsonl and .ndjson do, and the files themselves for all others.
+    """
+    def read(files, multi: bool) -> DataFrame:
+        return _reader(spark, schema).option("multiLine", str(multi).lower()).option("mode", "FAILFAST").json(files)
+
+    names = path if isinstance(path, list) else [path]
+    if lines is None and all(n.endswith((".jsonl", ".ndjson")) for n in names):
+        lines = True
+    if lines is not None:
+        return read(path, not lines)
+    of_lines, documents = json_layout(spark, path)
+    parts = [read(files, multi) for files, multi in ((of_lines, False), (documents, True)) if files]
+    return union_all(parts) if parts else read(path, False)
 
 
 def read_jsonl(spark: SparkSession, path, schema) -> DataFrame:
