@@ -151,6 +151,7 @@ def _mistral(user: tuple[str, str], before_answer: str) -> ChatTemplate:
                         alternate=True, refuse_unknown=True)
 
 
+# Marks that several templates share.
 _HEADER = "<|start_header_id|>{role}<|end_header_id|>\n\n"
 _HEADER_GENERATION = "<|start_header_id|>assistant<|end_header_id|>\n\n"
 _IM = ("<|im_start|>{role}\n", "<|im_end|>\n")

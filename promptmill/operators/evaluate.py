@@ -271,14 +271,6 @@ def latency_table(df: DataFrame, by: list[str], value: str, percents=(50, 90, 99
     return basic.join(wide, by)
 
 
-def latency_table_approx(df: DataFrame, by: list[str], value: str, percents=(50, 90, 99), accuracy: int = 10_000) -> DataFrame:
-    """The same table from a sketch, for a quick look."""
-    points = F.percentile_approx(value, [p / 100 for p in percents], accuracy)
-    out = df.groupBy(*by).agg(F.avg(value).alias("average"), F.min(value).alias("lowest"),
-                              F.max(value).alias("highest"), points.alias("_p"))
-    return out.withColumns({f"p{p}": F.col("_p")[i] for i, p in enumerate(percents)}).drop("_p")
-
-
 def throughput(df: DataFrame) -> DataFrame:
     """prefill = batch / seconds; decode = batch x length / seconds, and the latency of one token."""
     seconds = F.col("latency_ms") / 1000

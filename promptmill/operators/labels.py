@@ -412,18 +412,19 @@ def stop_rule(log: DataFrame, request: str = "request_id", pos: str = "pos", tok
               ignore_eos: bool = False) -> DataFrame:
     """Finish reason and cut position per request: length, then EOS, then a stop text.
 
-    A stop text can only end at a token inside the first ``max_new_tokens``, and the
-    running output it is matched against needs no more than the tokens before that,
-    so a group never exceeds ``max_new_tokens`` rows.
+    A stop text can only end at a token inside the first ``max_new_tokens``, so a group never exceeds that many rows.
+    It is matched against the last tokens that hold text, one more than the longest stop text has characters.
     """
     near = log.filter(F.col(pos) < max_new_tokens)
     order = Window.partitionBy(request).orderBy(pos)
-    running = F.array_join(F.collect_list(text).over(order.rowsBetween(Window.unboundedPreceding, 0)), "")
+    filled_so_far = F.sum(F.when(F.length(text) > 0, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    last = Window.partitionBy(request).orderBy("_filled").rangeBetween(-max(map(len, stops), default=0), 0)
+    running = F.array_join(F.collect_list(F.when(F.length(text) > 0, F.col(text))).over(last), "")
     hits_stop = F.lit(False)
     for s in stops:
         # a match at the end, or before one closing newline
         hits_stop = hits_stop | F.endswith(F.col("_out"), F.lit(s)) | F.endswith(F.col("_out"), F.lit(s + "\n"))
-    rows = near.withColumn("_out", running) if stops else near
+    rows = near.withColumn("_filled", filled_so_far).withColumn("_out", running) if stops else near
     is_eos = F.lit(False) if ignore_eos else F.col(token) == eos_id
     reason = (F.when(F.col(pos) >= max_new_tokens - 1, "length").when(is_eos, "eos_token")
               .when(hits_stop, "stop_sequence"))

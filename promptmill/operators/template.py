@@ -47,8 +47,7 @@ CONTEXT_STYLES = {
     "chatml": STYLES["chatml"],
 }
 
-# Fixed value: the system-column family keeps this mark where the style sets none of its own.
-SYSTEM_MARK = "### System:\n{system}\n\n"
+# Fixed value: the one-line system format.
 ORCA_MINI_TURN = "### System:\n{system}\n\n### User:\n{instruction}\n\n### Response:\n"
 
 
@@ -60,6 +59,7 @@ class Prompter:
     style: Style | None = None
 
 
+# The texts that the prompters below share.
 _CHAT_TURNS = Style(STYLES["chat"].turn, STYLES["chat"].bare_turn, "{system}")
 _PAIRED = ("Below is an instruction that describes a task, paired with an input that provides further context. "
            "Write a response that appropriately completes the request.")
@@ -259,6 +259,7 @@ Answer: {answer}
 Evaluation:
 {evaluation}
 """
+# System line and turn of the answer format.
 CREATIVE_ANSWER_SYSTEM = ("Answer the following question in a comprehensive, in-depth, and creative way. "
                           "Additionally your response should be relevant, accurate, and free of any ambiguity.")
 CREATIVE_TURN = "USER: {instruction}\nASSISTANT:"
@@ -316,6 +317,7 @@ def reflection_prompt(style: str = "instruct", with_answer: bool = True) -> Colu
 
 # Input/output formats -------------------------------------------------------------------
 
+# The texts that several formats below share.
 _REVISE = "Revise the provided code to solve the described problem correctly."
 _SUGGEST = ("Provide feedback on the errors in the given code and suggest the correct code to address "
             "the described problem.")

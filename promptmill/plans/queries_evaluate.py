@@ -113,6 +113,20 @@ def j06(spark, sf):
     return ev.snapshot_compare(now, old)
 
 
+@query("j06_details_compare", """WITH e AS (SELECT event_id, event_type, user_id, md5(event_id::VARCHAR) AS h FROM events)
+ SELECT event_id AS response_id, (substr(h, 1, 1) <> '0' AND substr(h, 2, 1) NOT IN ('0', '1') AND substr(h, 3, 1) <> '0')::INT AS matches FROM e""")
+def j06_details(spark, sf):
+    """Responses against a run in which some texts, finish reasons or seeds are others, or missing."""
+    e = table(spark, sf, "events").withColumn("h", F.md5(F.col("event_id").cast("string")))
+    now = e.select(F.col("event_id").alias("response_id"), F.col("event_type").alias("generated_text"), F.lit("length").alias("finish_reason"),
+                   F.length("event_type").alias("generated_tokens"), F.when(F.col("user_id") % 2 == 0, F.col("user_id")).alias("seed"), "h")
+    before = now.filter(hex_digit(F.col("h"), 3) > 0).withColumns({
+        "generated_text": F.when(hex_digit(F.col("h"), 1) == 0, F.lit("other")).otherwise(F.col("generated_text")),
+        "finish_reason": F.when(hex_digit(F.col("h"), 2) == 0, F.lit("eos_token")).otherwise(F.col("finish_reason")),
+        "seed": F.when(hex_digit(F.col("h"), 2) == 1, F.coalesce("seed", F.lit(0)) + 1).otherwise(F.col("seed"))})
+    return ev.details_compare(now.drop("h"), before.drop("h"))
+
+
 # Token counts ---------------------------------------------------------------------------
 
 
