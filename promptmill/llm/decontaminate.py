@@ -5,9 +5,10 @@ a document is queried as passages of 64 words that start every 32, so each segme
 passage whole.  Weights are divided by the segment's score for itself, so the threshold is a share of a full match.
 Retrieval takes every segment whose score for a passage reaches the threshold, with no limit on their number:
 
-* bounds from block maxima (16 segments a block) are added up for all passages of an Arrow batch at once; frequent terms
-  whose weight in no segment exceeds ``SLACK`` together are not looked up but allowed for in the bound;
-* passages with a block that may reach the threshold run block-max WAND over their terms' postings.
+* bounds from block maxima (BLOCK segments a block) are added up for all passages of an Arrow batch at once; the most frequent
+  terms, which together hold at most ``SLACK`` of any segment, are not looked up but allowed for in each block's bound;
+* where a block may reach the threshold, block-max WAND runs over the passage's terms from that block on, to the next block
+  that can not.
 
 Each retrieved item is then verified against the document: five-word shingles of the question (all but the last quarter
 of the words) and of the answer (the last quarter, five words at least) must both be found at 0.8 or more.
@@ -36,9 +37,9 @@ from pyspark.sql import functions as F
 from promptmill.llm.common import arrow_schema, documents, slices, texts
 from promptmill.session import materialise
 
-SEGMENT, BLOCK = 32, 16
+SEGMENT, BLOCK = 32, 4
 K1, B = 1.2, 0.75
-THRESHOLD, SLACK, OVERLAP, SHINGLE = 0.5, 0.15, 0.8, 5
+THRESHOLD, SLACK, OVERLAP, SHINGLE = 0.6, 0.3, 0.8, 5
 SHARD_CHARS = 8_000_000
 _WORD = re.compile(r"\w+")
 
@@ -104,17 +105,22 @@ class Index:
                 break
             held, light[t] = more, True
         self.blocks = -(-len(self.item) // BLOCK)
+        # what the other terms must reach in a block
+        self.enough = THRESHOLD - 1e-9 - (np.maximum.reduceat(held, np.arange(0, held.size, BLOCK)) if held.size else held)
         self.count = np.array([0 if light[t] else len(top) for t, top in enumerate(self.block_most)], np.int64)
         self.first = np.cumsum(self.count) - self.count
         kept = [top for t, top in enumerate(self.block_most) if not light[t]]
         self.block_of = np.array([b for top in kept for b in top], np.int64)
         self.bound_of = np.array([x for top in kept for x in top.values()])
 
-    def passages(self, terms: list[np.ndarray]) -> list[tuple[int, int]]:
-        """(text, half): passages that may reach the threshold; terms are the texts' term numbers, -1 for none."""
+    def passages(self, terms: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
+        """(text, half, first block, block after the last): runs of blocks of passages that may reach the threshold.
+
+        terms are the texts' term numbers, -1 for none.
+        """
         halves = [-(-t.size // SEGMENT) for t in terms]
-        base = np.cumsum([0, *[h + 1 for h in halves]])  # a gap of one keeps texts apart
-        if not base[-1] or not self.block_of.size:
+        base = np.cumsum([1, *[h + 1 for h in halves]])  # a gap of one keeps texts apart
+        if not self.block_of.size or not sum(halves):
             return []
         half = np.concatenate([b + np.arange(t.size) // SEGMENT for b, t in zip(base, terms)])
         term = np.concatenate(terms)
@@ -123,24 +129,38 @@ class Index:
         half, term = key // len(self.term), key % len(self.term)
         count = self.count[term]
         at = np.repeat(self.first[term], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        cell, bound = np.repeat(half, count) * self.blocks + self.block_of[at], self.bound_of[at]
-        cell, place = np.unique(cell, return_inverse=True)
-        bound = np.bincount(place, bound, cell.size)
-        # a passage is a half with the next one
-        follow = np.searchsorted(cell, cell + self.blocks)
-        both = bound + np.where(cell[np.minimum(follow, cell.size - 1)] == cell + self.blocks, bound[np.minimum(follow, cell.size - 1)], 0)
-        may = np.unique(cell[both >= THRESHOLD - SLACK - 1e-9] // self.blocks)
-        before = np.unique(cell[bound >= THRESHOLD - SLACK - 1e-9] // self.blocks) - 1  # the second half alone may do
-        may = np.unique(np.concatenate([may, before]))
-        text = np.searchsorted(base, may, "right") - 1
-        ok = (may >= 0) & (text >= 0) & (text < len(terms))
-        return [(int(t), int(m - base[t])) for t, m in zip(text[ok], may[ok]) if m - base[t] < halves[t]]
-
-    def wand(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """(segment, score) of all segments that reach the threshold, by block-max WAND."""
-        end, found = len(self.item), []
+        cell, place = np.unique(np.repeat(half, count) * self.blocks + self.block_of[at], return_inverse=True)
+        bound = np.bincount(place, self.bound_of[at], cell.size)
+        # a passage is a half with the next one; also one whose first half has no bound in the block
+        both = np.unique(np.concatenate([cell, cell - self.blocks]))
+        total = np.zeros(both.size)
+        for shift in (0, self.blocks):
+            there = np.searchsorted(cell, both + shift)
+            there[there == cell.size] = 0
+            total += np.where(cell[there] == both + shift, bound[there], 0)
+        may = both[total >= self.enough[both % self.blocks]]
+        if not may.size:
+            return []
+        first = np.flatnonzero(np.r_[True, (np.diff(may) != 1) | (may[1:] % self.blocks == 0)])
+        stop = np.r_[first[1:], may.size] - 1
+        out = []
+        for a, b in zip(may[first].tolist(), may[stop].tolist()):
+            text = int(np.searchsorted(base, a // self.blocks, "right")) - 1
+            half = a // self.blocks - int(base[text]) if text >= 0 else -1
+            if 0 <= text < len(terms) and half < halves[text]:
+                out.append((text, half, a % self.blocks, b % self.blocks + 1))
+        return out
+
+    def wand(self, terms: list[int], threshold: float = THRESHOLD, blocks: tuple[int, int] | None = None) -> list[tuple[int, float]]:
+        """(segment, score) of all segments, in a run of blocks, that reach the threshold, by block-max WAND."""
+        first, end = (0, len(self.item)) if blocks is None else (blocks[0] * BLOCK, min(blocks[1] * BLOCK, len(self.item)))
+        found, lists = [], []
         threshold -= 1e-9
-        lists = [[self.where[t][0], 0, t] for t in terms]
+        for t in terms:
+            where = self.where[t]
+            at = bisect_left(where, first)
+            if at < len(where) and where[at] < end:
+                lists.append([where[at], at, t])
         while lists:
             lists.sort()
             total, pivot = 0.0, None
@@ -177,9 +197,9 @@ class Index:
         own = [words(t) for t in batch]
         terms = [np.fromiter(map(self.term.get, w, repeat(-1)), np.int64, len(w)) for w in own]
         best: dict[tuple[int, int], float] = {}
-        for text, half in self.passages(terms):
-            held = np.unique(terms[text][half * SEGMENT:(half + 2) * SEGMENT])
-            for segment, score in self.wand(held[held >= 0].tolist()):
+        for text, half, *blocks in self.passages(terms):
+            held = set(terms[text][half * SEGMENT:(half + 2) * SEGMENT].tolist()) - {-1}
+            for segment, score in self.wand(list(held), THRESHOLD, tuple(blocks)):
                 pair = (text, self.item[segment])
                 best[pair] = max(best.get(pair, 0.0), score)
         out, at, there = [[] for _ in batch], -1, set()

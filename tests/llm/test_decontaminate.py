@@ -47,6 +47,7 @@ def test_against_brute_force(spark, docs, monkeypatch):
         found = d.contaminated(docs(texts), bench).collect()
         assert sorted((r.doc_id, r.item_id, round(r.question_overlap, 6), round(r.answer_overlap, 6)) for r in found) == want
     assert d.contaminated(docs([]).limit(0), bench).count() == 0
+    assert d.contaminated(docs([(1, "the of and to"), (2, "not one of them")]), bench).filter("doc_id = 2").count() == 0
     assert d.contaminated(docs(texts), bench.limit(0)).count() == 0
 
 
