@@ -11,8 +11,8 @@ text sink writes each file as one row, its line separator being the last four by
 run twice do no harm and any store that Spark knows will do.  Positions in the whole are sums over ranges and over a
 range's files, not one sorted pass.
 
-The tokenizer drops white space, so words between ASCII white space are encoded on their own, each once per worker while
-in use; one whole text of each Arrow batch is encoded as well, and where the library's ids differ they are taken.
+The tokenizer drops white space, lower-cases and cuts between letters and signs, so words between ASCII white space are
+encoded on their own, lower-cased and without the signs behind them, each once per worker while in use; one whole text of each Arrow batch is encoded as well, and where the library's ids differ they are taken.
 
 Defined results: null and empty texts are the end id alone; texts are never cut; rows without doc_id come first; equal
 doc_ids are put in the order of their ids' bytes; other columns are not read; an empty table writes nothing and reads as empty.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -39,7 +40,9 @@ from promptmill.session import materialise, scratch_path
 
 FILE_BYTES = 16 << 20
 ROWS_A_RANGE, MOST_RANGES = 10_000, 1 << 16
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
+# letters, then ASCII signs: the tokenizer cuts between them
+_SIGNED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 # Fixed values of zstandard's seekable format: the skippable frames' magic numbers, the flag for checksums, the last bytes.
 INDEX_MAGIC, TABLE_MAGIC, CHECKSUMS, LAST = 0x184D2A51, 0x184D2A5E, 1 << 7, bytes([0xB1, 0xEA, 0x92, 0x8F])
 END_ID = 1
@@ -64,6 +67,23 @@ class Encoder:
     def _encode(self, batch: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(batch, add_special_tokens=False)]
 
+    def _parts(self, word: bytes) -> list[bytes]:
+        """Pieces that the tokenizer encodes on their own: signs behind letters cut off, ASCII letters lower-cased."""
+        if b"<|" in word:  # may hold a special token, which is told by its case
+            return [word]
+        cut = _SIGNED.fullmatch(word.decode())
+        own = [p.encode() for p in cut.groups()] if cut else [word]
+        return [p.lower() if p.isascii() else p for p in own]
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        parts = {w: self._parts(w) for w in fresh}
+        known = self.words
+        new = list({p for own in parts.values() for p in own if p not in known})
+        known.update(zip(new, self._encode([p.decode() for p in new])))
+        for w, own in parts.items():
+            if w not in known:
+                known[w] = b"".join([known[p] for p in own])
+
     def batch(self, batch: list[str]) -> list[bytes]:
         own = [t.encode().split() for t in batch]
         fresh = []
@@ -73,7 +93,7 @@ class Encoder:
                     self.words[w] = old
                 else:
                     fresh.append(w)
-        self.words.update(zip(fresh, self._encode([w.decode() for w in fresh])))
+        self._learn(fresh)
         out = [b"".join(map(self.words.__getitem__, w)) for w in own]
         if batch:
             k = min(range(len(batch)), key=lambda i: (len(batch[i]) < 200, len(batch[i])))
@@ -156,7 +176,7 @@ def write(docs: DataFrame, path: str, model: str | None = None, end_id: int = EN
     out = arrow_schema(schema)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, press = encoder(model, end_id), zstandard.ZstdCompressor(level=3, write_content_size=True)
+        own, press = encoder(model, end_id), zstandard.ZstdCompressor(level=1, write_content_size=True)
         for b in slices(batches, 256):
             ids = own.batch(texts(b.column(1)))
             keys = b.column(0)

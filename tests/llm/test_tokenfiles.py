@@ -19,7 +19,7 @@ def ids(text):
 
 def strings(n):
     r = random.Random(3)
-    parts = [" ", "\n\t", " ", "\x1c", "\x85", "the", "Thntion's", "'s", "É", "é", "ΣΑΣ", "日本", "🙂", "<|endoftext|>", "12", "!?", "a", " ", "​"]
+    parts = [" ", "\n\t", " ", "\x1c", "\x85", "the", "Thntion's", "'s", "É", "é", "ΣΑΣ", "日本", "🙂", "<|endoftext|>", "<|ENDOFTEXT|>", "J\u030c", "H\u0331", "I\u0307", "e", "\u0301", "_", "Aa", "$$$", ".", ",", "12", "!?", "a", " ", "​"]
     return ["".join(r.choices(parts, k=r.randrange(12))) for _ in range(n)]
 
 
