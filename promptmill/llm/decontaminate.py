@@ -1,9 +1,14 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried with every passage of every document.
 
-Words are runs of letters, digits and underscores, lower-cased.  An item is indexed as segments of at most 32 words and
-a document is queried as passages of 64 words that start every 32, so each segment that a document holds lies in one
-passage whole.  Weights are divided by the segment's score for itself, so the threshold is a share of a full match.
-Retrieval takes every segment whose score for a passage reaches the threshold, with no limit on their number:
+Words are runs of letters, digits and underscores, lower-cased.  An item is indexed as segments of its answer, runs of at
+most four five-word shingles (eight words) that share none, and a document is queried as passages of 64 words that start
+every 32.  Weights are divided by the segment's score for itself, so the threshold is a share of a full match.
+Retrieval takes every segment whose score for a passage reaches the threshold, with no limit on their number, and loses
+no item that the verification would keep: if 0.8 of the answer's shingles stand anywhere in a document, then so does 0.8
+of some segment's, which of four or fewer is all; its first and last shingle cover the segment, so one of them holds half of the
+weight or more; and a shingle's words lie in one passage.  Texts that hold no shingle of any answer, by hash codes of
+shingles, are not looked at further.
+
 
 * bounds from block maxima (BLOCK segments a block) are added up for all passages of an Arrow batch at once; the most frequent
   terms, which together hold at most ``SLACK`` of any segment, are not looked up but allowed for in each block's bound;
@@ -37,24 +42,18 @@ from pyspark.sql import functions as F
 from promptmill.llm.common import arrow_schema, documents, slices, texts
 from promptmill.session import materialise
 
-SEGMENT, BLOCK = 32, 4
+HALF, BLOCK, TOGETHER = 32, 4, 4
 K1, B = 1.2, 0.75
-THRESHOLD, SLACK, OVERLAP, SHINGLE = 0.6, 0.3, 0.8, 5
+THRESHOLD, SLACK, OVERLAP, SHINGLE = 0.5, 0.3, 0.8, 5
 SHARD_CHARS = 8_000_000
 _WORD = re.compile(r"\w+")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def segments(own: list[str]) -> list[list[str]]:
-    """The words in as few pieces of at most SEGMENT as hold them, of nearly equal length."""
-    n = -(-len(own) // SEGMENT)
-    cuts = [len(own) * i // n for i in range(n + 1)] if n else [0]
-    return [own[a:b] for a, b in zip(cuts, cuts[1:])]
-
-
 def shingles(own: list[str]) -> set[tuple[str, ...]]:
     return {tuple(own[i:i + SHINGLE]) for i in range(max(1, len(own) - SHINGLE + 1))} if own else set()
 
@@ -66,6 +65,25 @@ def question_answer(own: list[str]) -> tuple[list[str], list[str]]:
     return own[:cut], own[cut:]
 
 
+def segments(own: list[str]) -> list[list[str]]:
+    """The words of the answer in runs of at most TOGETHER shingles; a shingle that repeats counts where it stands first."""
+    own = question_answer(own)[1]
+    seen, runs = set(), []
+    for i in range(max(1, len(own) - SHINGLE + 1) if own else 0):
+        shingle = tuple(own[i:i + SHINGLE])
+        if shingle not in seen:
+            seen.add(shingle)
+            if not runs or runs[-1][1] != i:
+                runs.append([i, i])
+            runs[-1][1] = i + 1
+    out = []
+    for a, b in runs:
+        n = -(-(b - a) // TOGETHER)
+        cuts = [a + (b - a) * i // n for i in range(n + 1)]
+        out += [own[x:y - 1 + SHINGLE] for x, y in zip(cuts, cuts[1:])]
+    return out
+
+
 class Index:
     """BM25 postings of one shard; a segment's weights add up to 1."""
 
@@ -73,6 +91,7 @@ class Index:
         self.parts = [tuple(shingles(p) for p in question_answer(own)) for _, own in items]
         self.sizes = {len(s) for parts in self.parts for p in parts for s in p}  # under five for the shortest items
         self.ids = [i for i, _ in items]
+        self.answers = {s for _, answer in self.parts for s in answer}
         self.item: list[int] = []
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for k, (_, own) in enumerate(items):
@@ -87,6 +106,10 @@ class Index:
                     postings[w].append((len(self.item), x / whole))
                 self.item.append(k)
         self.term = {w: t for t, w in enumerate(postings)}
+        self.codes = {}
+        for n in {len(s) for s in self.answers}:
+            terms = np.array([[self.term[w] for w in s] for s in self.answers if len(s) == n], np.int64)
+            self.codes[n] = np.unique(self._codes(list(terms.T)))
         self.where = [[s for s, _ in p] for p in postings.values()]
         self.weight = [[x for _, x in p] for p in postings.values()]
         self.most = [max(x) for x in self.weight]
@@ -113,16 +136,36 @@ class Index:
         self.block_of = np.array([b for top in kept for b in top], np.int64)
         self.bound_of = np.array([x for top in kept for x in top.values()])
 
+    @staticmethod
+    def _codes(columns: list[np.ndarray]) -> np.ndarray:
+        """Hash codes of shingles, given as their first terms, their second terms and so on."""
+        code = np.zeros(columns[0].size, np.uint64)
+        for c in columns:
+            code = code * _MIX + c.astype(np.uint64)
+        return code
+
+    def near(self, terms: list[np.ndarray]) -> np.ndarray:
+        """Which texts may hold a shingle of an answer; shingles across two texts and equal codes can only add texts."""
+        start = np.cumsum([0, *[t.size for t in terms]])
+        out, term = np.zeros(len(terms), bool), np.concatenate(terms)
+        for n, codes in self.codes.items():
+            if term.size >= n:
+                code = self._codes([term[k:term.size - n + 1 + k] for k in range(n)])
+                at = np.searchsorted(codes, code)
+                at[at == codes.size] = 0
+                out[np.searchsorted(start, np.flatnonzero(codes[at] == code), "right") - 1] = True
+        return out
+
     def passages(self, terms: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
         """(text, half, first block, block after the last): runs of blocks of passages that may reach the threshold.
 
         terms are the texts' term numbers, -1 for none.
         """
-        halves = [-(-t.size // SEGMENT) for t in terms]
+        halves = [-(-t.size // HALF) for t in terms]
         base = np.cumsum([1, *[h + 1 for h in halves]])  # a gap of one keeps texts apart
         if not self.block_of.size or not sum(halves):
             return []
-        half = np.concatenate([b + np.arange(t.size) // SEGMENT for b, t in zip(base, terms)])
+        half = np.concatenate([b + np.arange(t.size) // HALF for b, t in zip(base, terms)])
         term = np.concatenate(terms)
         known = term >= 0
         key = np.unique(half[known] * len(self.term) + term[known])
@@ -196,9 +239,11 @@ class Index:
         """Per text, (item id, score, question overlap, answer overlap) of the items it holds."""
         own = [words(t) for t in batch]
         terms = [np.fromiter(map(self.term.get, w, repeat(-1)), np.int64, len(w)) for w in own]
+        if terms:
+            terms = [t if near else t[:0] for t, near in zip(terms, self.near(terms))]
         best: dict[tuple[int, int], float] = {}
         for text, half, *blocks in self.passages(terms):
-            held = set(terms[text][half * SEGMENT:(half + 2) * SEGMENT].tolist()) - {-1}
+            held = set(terms[text][half * HALF:(half + 2) * HALF].tolist()) - {-1}
             for segment, score in self.wand(list(held), THRESHOLD, tuple(blocks)):
                 pair = (text, self.item[segment])
                 best[pair] = max(best.get(pair, 0.0), score)

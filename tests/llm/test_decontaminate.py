@@ -78,3 +78,24 @@ def test_stage_leaves_clean_documents(spark, sf):
     bad = {r.doc_id for r in d.op10_decontaminate(spark, sf).collect()}
     assert left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.collect()} - bad
+
+
+def test_question_and_answer_apart(spark, docs):
+    r = random.Random(9)
+    common = ["the", "of", "and", "to"] * 5 + [f"word{i}" for i in range(50)]
+    other = [f"other{i}" for i in range(50)]
+    items = [(i, r.choices(common, k=n - k) + [f"rare{i}x{j}" for j in range(k)])
+             for i, (n, k) in enumerate([(10, 0), (10, 5), (12, 0), (12, 5), (20, 0), (20, 5), (32, 8), (32, 0), (60, 15), (200, 50)])]
+    items.append((50, ["a", "b", "c", "d", "e"] * 12))  # its shingles repeat
+    texts = []
+    for i, own in items:
+        parts = d.question_answer(own)
+        for apart in (0, 200):
+            texts.append((len(texts), " ".join([*parts[1], *r.choices(other, k=apart), *parts[0]])))
+        # every shingle of its own, far from the others
+        texts.append((len(texts), " ".join(w for p in parts for s in sorted(d.shingles(p)) for w in [*s, *r.choices(other, k=70)])))
+    items = [(i, " ".join(own)) for i, own in items]
+    want = brute(items, texts)
+    assert {(n, i) for i, _ in items[:10] for n in range(3 * i, 3 * i + 3)} <= {(n, i) for n, i, *_ in want}
+    found = d.contaminated(docs(texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((x.doc_id, x.item_id, round(x.question_overlap, 6), round(x.answer_overlap, 6)) for x in found) == want
