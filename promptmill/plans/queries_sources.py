@@ -71,7 +71,10 @@ def s03(spark, sf):
 @query("s04_named_configs", "SELECT doc_id, source, lang AS config FROM documents")
 def s04(spark, sf):
     d = _docs(spark, sf)
-    return io.read_named(["de", "en", "es", "fr"], lambda n: d.filter(F.col("lang") == n)).select("doc_id", "source", "config")
+    names = sorted((r.lang for r in d.select("lang").distinct().collect()), key=lambda n: (n is not None, n or ""))
+    if not names:
+        return d.select("doc_id", "source", F.col("lang").alias("config"))
+    return io.read_named(names, lambda n: d.filter(F.col("lang").isNull() if n is None else F.col("lang") == n)).select("doc_id", "source", "config")
 
 
 @query("s05_load_by_suffix", "SELECT f AS format, doc_id, md5(text) AS text FROM documents, (SELECT unnest(['json', 'jsonl', 'csv', 'tsv']) AS f)")

@@ -119,9 +119,9 @@ def select_split(df: DataFrame, phase: str, configured: str | None = None, known
     return df.filter(F.col("split") == wanted).drop("split")
 
 
-def read_named(names: list[str], read: Callable[[str], DataFrame]) -> DataFrame:
-    """One scan per named configuration of a source, joined by column name."""
-    return union_all([read(n).withColumn("config", F.lit(n)) for n in names])
+def read_named(names: list[str | None], read: Callable[[str | None], DataFrame]) -> DataFrame:
+    """One scan per named configuration of a source, joined by column name; None is a configuration of its own."""
+    return union_all([read(n).withColumn("config", F.lit(n).cast("string")) for n in names])
 
 
 TEST_CASES = "data array<struct<test_cases:array<struct<input:string,output:string>>>>"

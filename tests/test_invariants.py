@@ -299,3 +299,16 @@ def test_no_cartesian_products(spark, sf):
         if name[0] in "pfdrkjalw" and not name.startswith(("k0", "a04", "a05", "a18")):
             text = fn(spark, sf)._jdf.queryExecution().toString()
             assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_named_configs_come_from_the_data(spark, sf):
+    root = scratch_path(spark, "s04")
+    langs = ["en", "nl", None, "", "en"]
+    rows = [(i, "text", lang, "src", 4) for i, lang in enumerate(langs)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/some/documents.parquet")
+    spark.createDataFrame([], schema).write.parquet(f"{root}/none/documents.parquet")
+    found = QUERIES["s04_named_configs"](spark, f"{root}/some")
+    assert sorted((r.doc_id, r.config) for r in found.collect()) == list(enumerate(langs))
+    empty = QUERIES["s04_named_configs"](spark, f"{root}/none")
+    assert empty.count() == 0 and empty.columns == found.columns
