@@ -15,7 +15,7 @@ ROLE_MAP = {"human": "user", "user": "user", "assistant": "assistant", "gpt": "a
 WEIGHTED_ROLES = {"system": "system", "user": "user", "human": "user", "assistant": "assistant",
                   "gpt": "assistant", "tool": "tool", "ipython": "ipython"}
 LEGACY_ROLES = {"human": "user", "gpt": "assistant"}
-PART_TURNS = 1000
+RANGE_TURNS = 1000
 
 
 def lookup(mapping: dict[str, str], key: Column) -> Column:
@@ -24,17 +24,18 @@ def lookup(mapping: dict[str, str], key: Column) -> Column:
 
 
 def rollup(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-           text: str = "text", part_turns: int = PART_TURNS, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Flat turns to one record with a ``messages`` array.
+           text: str = "text", range_turns: int = RANGE_TURNS, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Flat turns to one record per conversation with a ``messages`` array, however long it is.
 
-    (conv, turn) is the key of the flat table, so a record holds at most
-    ``part_turns`` messages: a longer conversation goes on in record part 1, 2, ...
-    and no group grows with a hot conversation id.
+    (conv, turn) is the key of the flat table.  Turns are sorted in ranges of ``range_turns`` turn numbers, which are
+    spread over the tasks, and a conversation is put together from its sorted ranges.  A record has to fit a row; a table
+    whose conversations do not is rendered turn by turn, by ``operators.threads``.
     """
-    grouped = df.withColumn("part", F.floor(F.col(turn) / part_turns).cast("long")).groupBy(conv, "part")
     item = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("content"), *extra)
-    ordered = grouped.agg(F.sort_array(F.collect_list(item)).alias("messages"))
-    return ordered.withColumn("messages", F.transform("messages", lambda m: m.dropFields("turn")))
+    ranged = df.groupBy(conv, F.floor(F.col(turn) / range_turns).alias("_range")).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    whole = ranged.groupBy(conv).agg(F.sort_array(F.collect_list(F.struct("_range", "_items"))).alias("_ranges"))
+    messages = F.flatten(F.transform("_ranges", lambda r: F.transform(r["_items"], lambda m: m.dropFields("turn"))))
+    return whole.select(conv, messages.alias("messages"))
 
 
 def conversation_thread(messages: Column | str = "messages", drop_system: bool = False,

@@ -56,7 +56,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def encoded_conversations(spark: SparkSession, sf: str) -> DataFrame:
-    """conv_id, part, input_ids, attention_mask, labels of the chat encoding."""
+    """conv_id, input_ids, attention_mask, labels of the chat encoding."""
     return labels.with_encoded(conversations(spark, sf), labels.turn_masked("messages")).drop("messages")
 
 

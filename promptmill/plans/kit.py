@@ -128,8 +128,8 @@ DOCS = ("d AS (SELECT doc_id, lang, source, text, 'Write a ' || source || ' text
         "CASE WHEN lang = 'fr' THEN '' ELSE 'You answer in ' || lang || '.' END AS system, "
         "split_part(text, chr(10), 1) AS head FROM documents)")
 
-CONV = ("c AS (SELECT conv_id, turn // 1000 AS part, list({'role': role, 'content': text} ORDER BY turn) AS m "
-        "FROM conversations GROUP BY conv_id, turn // 1000)")
+CONV = ("c AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS m "
+        "FROM conversations GROUP BY conv_id)")
 
 PAIRS = ("p AS (SELECT u.conv_id * 10000000 + u.turn AS pair_id, u.conv_id, coalesce(s.text, '') AS system, u.text AS prompt, "
          "a.text AS chosen, coalesce(r.text, u.text) AS rejected FROM conversations u "

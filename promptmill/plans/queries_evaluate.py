@@ -459,6 +459,6 @@ def l05(spark, sf):
     return d.select("doc_id", tx.remove_input("text", "head").alias("prediction"), tx.normalise_output(noisy).alias("output"))
 
 
-@query("l06_masked_cleanup", f"WITH {ENC_SQL} SELECT conv_id, part, {cat('list_transform(l, lambda z: CASE z WHEN -100 THEN 0 ELSE z END)')} AS ids FROM enc")
+@query("l06_masked_cleanup", f"WITH {ENC_SQL} SELECT conv_id, {cat('list_transform(l, lambda z: CASE z WHEN -100 THEN 0 ELSE z END)')} AS ids FROM enc")
 def l06(spark, sf):
-    return fx.encoded_conversations(spark, sf).select("conv_id", "part", joined(tx.clear_ignored("labels")).alias("ids"))
+    return fx.encoded_conversations(spark, sf).select("conv_id", joined(tx.clear_ignored("labels")).alias("ids"))

@@ -250,31 +250,31 @@ def _raw_roles(spark, sf):
     return fx.turns(spark, sf).withColumn("role", F.coalesce(chat.lookup(RAW_ROLES, F.col("role")), "role"))
 
 
-@query("p19_conversation_thread", f"""WITH {CONV} SELECT conv_id, part, {_THREAD.format(m='m')} AS thread,
+@query("p19_conversation_thread", f"""WITH {CONV} SELECT conv_id, {_THREAD.format(m='m')} AS thread,
  coalesce({_THREAD.format(m="CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END")}, '') AS without_system FROM c""")
 def p19(spark, sf):
     raw = chat.rollup(_raw_roles(spark, sf))
 
     def text(m):
         return F.array_join(F.transform(m, lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|")
-    return raw.select("conv_id", "part", text(chat.conversation_thread("messages")).alias("thread"),
+    return raw.select("conv_id", text(chat.conversation_thread("messages")).alias("thread"),
                       text(chat.conversation_thread("messages", drop_system=True)).alias("without_system"))
 
 
-@query("p20_legacy_messages", f"WITH {CONV} SELECT conv_id, part, {_THREAD.format(m='m')} AS messages FROM c")
+@query("p20_legacy_messages", f"WITH {CONV} SELECT conv_id, {_THREAD.format(m='m')} AS messages FROM c")
 def p20(spark, sf):
     legacy = chat.rollup(_raw_roles(spark, sf)).withColumn("conversations", F.transform(
         "messages", lambda m: F.struct(m["role"].alias("from"), m["content"].alias("value"))))
     done = legacy.withColumn("messages", chat.legacy_messages("conversations"))
-    return done.select("conv_id", "part", F.array_join(F.transform(
+    return done.select("conv_id", F.array_join(F.transform(
         "messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").alias("messages"))
 
 
-@query("p21_weighted_messages", f"""WITH {CONV} SELECT conv_id, part, array_to_string(list_transform(m, lambda x: x.role || ':' ||
+@query("p21_weighted_messages", f"""WITH {CONV} SELECT conv_id, array_to_string(list_transform(m, lambda x: x.role || ':' ||
  CASE WHEN x.role = 'assistant' THEN 1 ELSE 0 END || ':text:' || x.content), '|') AS messages FROM c""")
 def p21(spark, sf):
     m = chat.rollup(_raw_roles(spark, sf)).withColumn("w", chat.weighted_messages("messages"))
-    return m.select("conv_id", "part", F.array_join(F.transform("w", lambda x: F.concat(
+    return m.select("conv_id", F.array_join(F.transform("w", lambda x: F.concat(
         x["role"], F.lit(":"), x["weight"].cast("string"), F.lit(":"), x["content"][0]["type"], F.lit(":"),
         x["content"][0]["value"])), "|").alias("messages"))
 
@@ -286,7 +286,7 @@ def _segments_text(s):
 _W = "CASE WHEN x.role = 'assistant' THEN 1 ELSE 0 END"
 
 
-@query("p22_weighted_segments", union("c", "conv_id, part", {
+@query("p22_weighted_segments", union("c", "conv_id", {
     "chatml": {"segments": f"""array_to_string(list_transform(m, lambda x: '[0]<|im_start|>' || x.role || chr(10) || '[' || {_W} || ']' ||
  x.content || '[' || {_W} || ']<|im_end|>[0]' || chr(10)), '')"""},
     "llama3": {"segments": f"""'[0]<|begin_of_text|>' || array_to_string(list_transform(m, lambda x: '[0]<|start_header_id|>' || x.role ||
@@ -294,14 +294,14 @@ _W = "CASE WHEN x.role = 'assistant' THEN 1 ELSE 0 END"
     "markup", CONV))
 def p22(spark, sf):
     m = fx.conversations(spark, sf).withColumn("w", chat.weighted_messages("messages"))
-    return variants(m, ["conv_id", "part"], {
+    return variants(m, ["conv_id"], {
         k: {"segments": _segments_text(chat.weighted_segments("w", k))} for k in ("chatml", "llama3")}, "markup")
 
 
-@query("p23_tool_wrapping", f"""WITH c AS (SELECT conv_id, turn // 1000 AS part, list({{'role': role, 'content': text,
+@query("p23_tool_wrapping", f"""WITH c AS (SELECT conv_id, list({{'role': role, 'content': text,
  'kind': CASE WHEN role = 'assistant' AND length(text) % 2 = 0 THEN 'tool_call' WHEN role = 'user' AND length(text) % 2 = 0
- THEN 'tool_response' ELSE 'text' END}} ORDER BY turn) AS m FROM conversations GROUP BY conv_id, turn // 1000)
- SELECT conv_id, part, array_to_string(list_transform(m, lambda x: '[0]<|im_start|>' || x.role || chr(10) ||
+ THEN 'tool_response' ELSE 'text' END}} ORDER BY turn) AS m FROM conversations GROUP BY conv_id)
+ SELECT conv_id, array_to_string(list_transform(m, lambda x: '[0]<|im_start|>' || x.role || chr(10) ||
  CASE WHEN x.kind = 'text' THEN '[' || {_W} || ']' || x.content ELSE '[' || {_W} || ']<' || x.kind || '>' || chr(10) || '[' || {_W} || ']' ||
  x.content || CASE WHEN ends_with(x.content, chr(10)) THEN '' ELSE chr(10) END || '[' || {_W} || ']</' || x.kind || '>' || chr(10) END ||
  '[' || {_W} || ']<|im_end|>[0]' || chr(10)), '') AS segments FROM c""")
@@ -315,7 +315,7 @@ def p23(spark, sf):
         F.array(F.struct(x["kind"].alias("type"), x["content"].alias("value"),
                          (x["role"] == "assistant").cast("int").alias("weight"))).alias("content"),
         (x["role"] == "assistant").cast("int").alias("weight")))
-    return m.select("conv_id", "part", _segments_text(chat.weighted_segments(weighted, "chatml")).alias("segments"))
+    return m.select("conv_id", _segments_text(chat.weighted_segments(weighted, "chatml")).alias("segments"))
 
 
 def template_sql(name: str, gen: bool, m: str = "m") -> str:
@@ -361,40 +361,40 @@ def template_sql(name: str, gen: bool, m: str = "m") -> str:
 P24_CASES = [(n, g) for n in chat.CHAT_TEMPLATES for g in (False, True)]
 
 
-@query("p24_chat_templates", union("c", "conv_id, part", {
+@query("p24_chat_templates", union("c", "conv_id", {
     f"{n}/{int(g)}": {"text": template_sql(n, g)} for n, g in P24_CASES}, "template", CONV))
 def p24(spark, sf):
-    return variants(fx.conversations(spark, sf), ["conv_id", "part"], {
+    return variants(fx.conversations(spark, sf), ["conv_id"], {
         f"{n}/{int(g)}": {"text": chat.render_chat("messages", n, g)} for n, g in P24_CASES}, "template")
 
 
-INST_CTE = (CONV + ", c1 AS (SELECT conv_id, part, m, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS rest FROM c), "
+INST_CTE = (CONV + ", c1 AS (SELECT conv_id, m, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS rest FROM c), "
             "c2 AS (SELECT *, CASE WHEN rest[1].role <> 'user' THEN rest[2:] ELSE rest END AS st FROM c1), "
             "c3 AS (SELECT *, CASE WHEN st[len(st)].role = 'user' THEN st[1:len(st) - 1] ELSE st END AS kept, "
             "len(rest) >= 2 AND len(list_filter(list_transform(st, lambda x, i: (x.role = 'user') <> (i % 2 = 1)), lambda b: b)) = 0 AS ok FROM c2), "
-            "c4 AS (SELECT conv_id, part, ok, flatten(list_transform(kept, lambda x, i: CASE WHEN i = 1 THEN [{'text': '[INST] <<SYS>>' || chr(10) || "
+            "c4 AS (SELECT conv_id, ok, flatten(list_transform(kept, lambda x, i: CASE WHEN i = 1 THEN [{'text': '[INST] <<SYS>>' || chr(10) || "
             f"CASE WHEN m[1].role = 'system' THEN m[1].content ELSE {q(chat.INST_DEFAULT_SYSTEM)} END || chr(10) || '<</SYS>>' || chr(10) || chr(10) || "
             f"{trim('x.content')}, 'trains': false}}] WHEN i % 2 = 1 THEN [{{'text': '[INST] ' || {trim('x.content')} || ' ', 'trains': false}}] "
             f"ELSE [{{'text': '[/INST]', 'trains': false}}, {{'text': ' ' || {trim('x.content')} || ' </s><s>', 'trains': true}}] END)) AS seg FROM c3)")
 
 
-@query("p25_inst_chat", f"""WITH {INST_CTE} SELECT conv_id, part, CASE WHEN ok THEN
+@query("p25_inst_chat", f"""WITH {INST_CTE} SELECT conv_id, CASE WHEN ok THEN
  coalesce(array_to_string(list_transform(seg, lambda s: s.text), ''), '') END AS prompt FROM c4""")
 def p25(spark, sf):
-    return fx.conversations(spark, sf).select("conv_id", "part", chat.inst_prompt("messages").alias("prompt"))
+    return fx.conversations(spark, sf).select("conv_id", chat.inst_prompt("messages").alias("prompt"))
 
 
 PERSONA_ROLE_SQL = "CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'bot' ELSE role END"
-PERSONA_SQL = ("c AS (SELECT conv_id, turn // 1000 AS part, list({'role': " + PERSONA_ROLE_SQL + ", 'text': CASE role WHEN 'system' THEN '<|system|>Persona: ' "
+PERSONA_SQL = ("c AS (SELECT conv_id, list({'role': " + PERSONA_ROLE_SQL + ", 'text': CASE role WHEN 'system' THEN '<|system|>Persona: ' "
                f"WHEN 'user' THEN '<|user|> ' ELSE '<|model|> ' END || {trim('text')}}} ORDER BY turn) AS m "
-               "FROM conversations GROUP BY conv_id, turn // 1000)")
+               "FROM conversations GROUP BY conv_id)")
 
 
-@query("p26_persona_chat", f"WITH {PERSONA_SQL} SELECT conv_id, part, array_to_string(list_transform(m, lambda x: x.role || '=' || x.text), '|') AS segments FROM c")
+@query("p26_persona_chat", f"WITH {PERSONA_SQL} SELECT conv_id, array_to_string(list_transform(m, lambda x: x.role || '=' || x.text), '|') AS segments FROM c")
 def p26(spark, sf):
     t = fx.turns(spark, sf)
     marked = t.withColumn("text", F.when(F.col("role") == "system", F.concat("text", F.lit("\n<START>"))).otherwise(F.col("text")))
-    return chat.rollup(marked).select("conv_id", "part", F.array_join(F.transform(
+    return chat.rollup(marked).select("conv_id", F.array_join(F.transform(
         chat.persona_segments("messages"), lambda s: F.concat(s["role"], F.lit("="), s["text"])), "|").alias("segments"))
 
 
@@ -402,8 +402,8 @@ def p26(spark, sf):
 def p27(spark, sf):
     segments = fx.conversations(spark, sf).withColumn("segments", F.transform("messages", lambda m: F.struct(
         m["content"].alias("text"), (m["role"] == "assistant").alias("label"))))
-    return segments.select("conv_id", F.posexplode("segments").alias("pos", "s"), "part").select(
-        "conv_id", (F.col("part") * chat.PART_TURNS + F.col("pos")).alias("pos"), "s.text", F.col("s.label").cast("int").alias("label"))
+    return segments.select("conv_id", F.posexplode("segments").alias("pos", "s")).select(
+        "conv_id", "pos", "s.text", F.col("s.label").cast("int").alias("label"))
 
 
 def _marked_sql(markup: str, prompt: str = "prompt") -> str:
@@ -528,9 +528,9 @@ def _im(role: str, content: str) -> str:
     return f"'<|im_start|>{role}' || chr(10) || {content} || '<|im_end|>' || chr(10)"
 
 
-@query("p34_odds_ratio_format", f"""WITH {CONV}, t AS (SELECT conv_id, part, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS k,
+@query("p34_odds_ratio_format", f"""WITH {CONV}, t AS (SELECT conv_id, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS k,
  CASE WHEN m[1].role = 'system' THEN m[1].content ELSE '' END AS system FROM c)
- SELECT conv_id, part, CASE WHEN len(k) % 2 = 0 THEN CASE WHEN length(system) > 0 THEN {_im('system', 'system')} ELSE '' END ||
+ SELECT conv_id, CASE WHEN len(k) % 2 = 0 THEN CASE WHEN length(system) > 0 THEN {_im('system', 'system')} ELSE '' END ||
  coalesce(array_to_string(list_transform(k[1:len(k) - 1], lambda x: '<|im_start|>' || x.role || chr(10) || x.content || '<|im_end|>' || chr(10)), ''), '') ||
  '<|im_start|>assistant' || chr(10) END AS prompt,
  CASE WHEN len(k) % 2 = 0 THEN k[len(k)].content || '<|im_end|>' || chr(10) END AS chosen,
@@ -539,12 +539,12 @@ def p34(spark, sf):
     m = fx.conversations(spark, sf)
     leads = F.col("messages")[0]["role"] == "system"
     talk = F.when(leads, chat.tail(F.col("messages"))).otherwise(F.col("messages"))
-    rows = m.select("conv_id", "part", F.when(leads, F.col("messages")[0]["content"]).otherwise("").alias("system"),
+    rows = m.select("conv_id", F.when(leads, F.col("messages")[0]["content"]).otherwise("").alias("system"),
                     talk.alias("chosen"))
     rows = rows.withColumn("rejected", F.concat(
         F.slice("chosen", 1, F.greatest(F.size("chosen") - 1, F.lit(0))),
         F.array(F.struct(F.lit("assistant").alias("role"), F.concat(F.lit("No: "), F.col("chosen")[0]["content"]).alias("content")))))
-    return rows.select("conv_id", "part", *tp.odds_ratio_format(rows))
+    return rows.select("conv_id", *tp.odds_ratio_format(rows))
 
 
 @query("p35_reward_pair", union("p", "pair_id", {m: {

@@ -26,13 +26,13 @@ def f01(spark, sf):
     return rows.filter(filters.length_fits(F.col("n"), 512)).select("doc_id", "n")
 
 
-@query("f02_trainable", f"""WITH {ENC_SQL} SELECT conv_id, part, len(i) AS n FROM enc
+@query("f02_trainable", f"""WITH {ENC_SQL} SELECT conv_id, len(i) AS n FROM enc
  WHERE len(list_filter(l, lambda z: z <> -100)) > 0 AND {digit('md5(conv_id::VARCHAR)', 1)} >= 4""")
 def f02(spark, sf):
     masked = hex_digit(F.md5(F.col("conv_id").cast("string")), 1) < 4
     rows = fx.encoded_conversations(spark, sf).withColumn("labels", F.when(
         masked, F.transform("labels", lambda x: F.lit(tk.IGNORED))).otherwise(F.col("labels")))
-    return rows.filter(filters.has_trainable("labels")).select("conv_id", "part", F.size("input_ids").alias("n"))
+    return rows.filter(filters.has_trainable("labels")).select("conv_id", F.size("input_ids").alias("n"))
 
 
 @query("f03_preference_length", f"""WITH {PAIRS}, a AS (SELECT pair_id, {count('prompt')} AS p, {count('chosen')} AS c, {count('rejected')} AS r FROM p)
@@ -341,20 +341,20 @@ def k05(spark, sf):
     return out(packed(spark, sf), "block", "members", columns=("input_ids", "labels", "position_ids", "attention_mask"))
 
 
-_BATCHED = "bt AS (SELECT *, (row_number() OVER (ORDER BY conv_id, part) - 1) // 8 AS batch FROM enc), mx AS (SELECT batch, (max(len(i)) + 63) // 64 * 64 AS m FROM bt GROUP BY batch)"
+_BATCHED = "bt AS (SELECT *, (row_number() OVER (ORDER BY conv_id) - 1) // 8 AS batch FROM enc), mx AS (SELECT batch, (max(len(i)) + 63) // 64 * 64 AS m FROM bt GROUP BY batch)"
 
 
 def recorded(spark, sf):
-    return fx.encoded_conversations(spark, sf).withColumn("record_id", F.col("conv_id") * 1_000_000 + F.col("part"))
+    return fx.encoded_conversations(spark, sf).withColumn("record_id", F.col("conv_id"))
 
 
-@query("k06_pad_batch", f"""WITH {ENC_SQL}, {_BATCHED} SELECT conv_id, part, batch, m AS n, {cat(f"i || {rep(0, 'm - len(i)')}")} AS input_ids, {cat(f"l || {rep(-100, 'm - len(l)')}")} AS labels,
+@query("k06_pad_batch", f"""WITH {ENC_SQL}, {_BATCHED} SELECT conv_id, batch, m AS n, {cat(f"i || {rep(0, 'm - len(i)')}")} AS input_ids, {cat(f"l || {rep(-100, 'm - len(l)')}")} AS labels,
  {cat(f"{rep(0, 'm - len(i)')} || i")} AS left_ids FROM bt JOIN mx USING (batch)""")
 def k06(spark, sf):
-    rows = recorded(spark, sf).select("record_id", "conv_id", "part", "input_ids", "labels", F.col("input_ids").alias("left_ids"))
+    rows = recorded(spark, sf).select("record_id", "conv_id", "input_ids", "labels", F.col("input_ids").alias("left_ids"))
     pads = {"input_ids": tk.PAD, "labels": tk.IGNORED, "left_ids": tk.PAD}
     both = pack.pad_batches(rows, "record_id", 8, pads, multiple=64, left=("left_ids",), common=[list(pads)])
-    return out(both, "conv_id", "part", "batch", columns=("input_ids", "labels", "left_ids"), hashed=False)
+    return out(both, "conv_id", "batch", columns=("input_ids", "labels", "left_ids"), hashed=False)
 
 
 @query("k07_pad_pair_batch", f"""WITH {PAIRS}, a AS (SELECT pair_id, (row_number() OVER (ORDER BY pair_id) - 1) // 8 AS batch, {ids('chosen')} AS c, {ids('rejected')} AS r FROM p),

@@ -188,11 +188,11 @@ def s12(spark, sf):
 @query("s13_chat_schema", "SELECT conv_id, turn AS pos, role, text AS content FROM conversations")
 def s13(spark, sf):
     """Finds the fields of a legacy chat table and reads the table through them."""
-    legacy = fx.conversations(spark, sf).select("conv_id", "part", F.transform("messages", lambda m: F.struct(
+    legacy = fx.conversations(spark, sf).select("conv_id", F.transform("messages", lambda m: F.struct(
         m["role"].alias("from"), m["content"].alias("value"))).alias("conversations"))
     names = io.discover_chat_schema(legacy.schema)
-    flat = legacy.select("conv_id", "part", F.posexplode(names["field_messages"]).alias("pos", "m"))
-    return flat.select("conv_id", (F.col("part") * chat.PART_TURNS + F.col("pos")).alias("pos"),
+    flat = legacy.select("conv_id", F.posexplode(names["field_messages"]).alias("pos", "m"))
+    return flat.select("conv_id", "pos",
                        F.col("m")[names["message_field_role"]].alias("role"), F.col("m")[names["message_field_content"]].alias("content"))
 
 
@@ -273,36 +273,36 @@ def u01_reward(spark, sf):
     return out(rows, "pair_id", columns=("input_ids_chosen", "input_ids_rejected"))
 
 
-@query("u01_orpo_chat_template", f"""WITH {CONV}, t AS (SELECT conv_id, part, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS k FROM c),
- x AS (SELECT conv_id, part, array_to_string(list_transform(k[1:len(k) - 1], lambda y: '<|im_start|>' || y.role || chr(10) || y.content || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) AS p,
+@query("u01_orpo_chat_template", f"""WITH {CONV}, t AS (SELECT conv_id, CASE WHEN m[1].role = 'system' THEN m[2:] ELSE m END AS k FROM c),
+ x AS (SELECT conv_id, array_to_string(list_transform(k[1:len(k) - 1], lambda y: '<|im_start|>' || y.role || chr(10) || y.content || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) AS p,
  k[len(k)].content || '<|im_end|>' || chr(10) AS c, 'No.<|im_end|>' || chr(10) AS r FROM t WHERE len(k) % 2 = 0 AND len(k) > 0),
- i AS (SELECT conv_id, part, {ids('p')} AS p, {ids('c')} AS c, {ids('r')} AS r FROM x)
- SELECT conv_id, part, len(p || c) AS n, {dig('p || c')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || c')} AS labels, {dig('p || r')} AS rejected_input_ids FROM i""")
+ i AS (SELECT conv_id, {ids('p')} AS p, {ids('c')} AS c, {ids('r')} AS r FROM x)
+ SELECT conv_id, len(p || c) AS n, {dig('p || c')} AS input_ids, {dig(rep(-100, 'len(p)') + ' || c')} AS labels, {dig('p || r')} AS rejected_input_ids FROM i""")
 def u01_orpo(spark, sf):
     m = F.col("messages")
     talk = F.when(m[0]["role"] == "system", chat.tail(m)).otherwise(m)
-    rows = fx.conversations(spark, sf).select("conv_id", "part", talk.alias("chosen")).filter(F.size("chosen") > 0)
+    rows = fx.conversations(spark, sf).select("conv_id", talk.alias("chosen")).filter(F.size("chosen") > 0)
     other = F.array(F.struct(F.lit("assistant").alias("role"), F.lit("No.").alias("content")))
     rows = rows.withColumn("rejected", F.concat(F.slice("chosen", 1, F.size("chosen") - 1), other))
-    done = registry.apply_strategy(rows, "orpo.chat_template", {"keep": ["conv_id", "part"]})
-    return out(done, "conv_id", "part", columns=("input_ids", "labels", "rejected_input_ids"))
+    done = registry.apply_strategy(rows, "orpo.chat_template", {"keep": ["conv_id"]})
+    return out(done, "conv_id", columns=("input_ids", "labels", "rejected_input_ids"))
 
 
 _BROKEN = "CASE WHEN conv_id % 7 = 0 AND turn = 1 THEN 'narrator' ELSE role END"
 
 
-@query("u01_chat_rejects", f"""WITH c AS (SELECT conv_id, turn // 1000 AS part, list({{'role': {_BROKEN}, 'content': text}} ORDER BY turn) AS m FROM conversations GROUP BY conv_id, turn // 1000),
+@query("u01_chat_rejects", f"""WITH c AS (SELECT conv_id, list({{'role': {_BROKEN}, 'content': text}} ORDER BY turn) AS m FROM conversations GROUP BY conv_id),
  k AS (SELECT *, len(list_filter(m, lambda x: x.role = 'narrator')) > 0 AS odd FROM c)
- SELECT conv_id, part, 'chat_template' AS strategy, CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END AS reason,
+ SELECT conv_id, 'chat_template' AS strategy, CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END AS reason,
  CASE WHEN NOT odd THEN list_sum(list_transform(m, lambda x: {count("'<|im_start|>' || x.role || chr(10)")} + {count('x.content')} + 1))::INTEGER END AS n FROM k
- UNION ALL SELECT conv_id, part, 'messages.chat', CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END, CASE WHEN NOT odd THEN
+ UNION ALL SELECT conv_id, 'messages.chat', CASE WHEN odd THEN 'unknown role' ELSE 'accepted' END, CASE WHEN NOT odd THEN
  list_sum(list_transform(m, lambda x: {count("'<|im_start|>' || x.role || chr(10)")} + {count('x.content')} + {count("'<|im_end|>'")}))::INTEGER END FROM k""")
 def u01_rejects(spark, sf):
     turns = fx.turns(spark, sf).withColumn("role", F.when((F.col("conv_id") % 7 == 0) & (F.col("turn") == 1), "narrator").otherwise(F.col("role")))
     rows, parts = chat.rollup(turns), []
     for name in ("chat_template", "messages.chat"):
-        c = {"keep": ["conv_id", "part"]}
-        done = registry.apply_strategy(rows, name, c).select("conv_id", "part", F.lit("accepted").alias("reason"), F.size("input_ids").alias("n"))
+        c = {"keep": ["conv_id"]}
+        done = registry.apply_strategy(rows, name, c).select("conv_id", F.lit("accepted").alias("reason"), F.size("input_ids").alias("n"))
         left = registry.rejected_rows(rows, name, c).withColumn("n", F.lit(None).cast("int"))
         parts.append(done.unionByName(left).withColumn("strategy", F.lit(name)))
     return parts[0].unionByName(parts[1])

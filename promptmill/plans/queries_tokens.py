@@ -85,21 +85,21 @@ def _turns_sql(trains: str, eos: str) -> str:
 
 
 T05_FLAG = "CASE length(text) % 5 WHEN 0 THEN true WHEN 1 THEN false END"
-T05_CTE = ("c AS (SELECT conv_id, turn // 1000 AS part, list({'role': role, 'content': text, 'flag': " + T05_FLAG
-           + "} ORDER BY turn) AS m FROM conversations GROUP BY conv_id, turn // 1000)")
+T05_CTE = ("c AS (SELECT conv_id, list({'role': role, 'content': text, 'flag': " + T05_FLAG
+           + "} ORDER BY turn) AS m FROM conversations GROUP BY conv_id)")
 _T05_TRAINS = "coalesce(x.flag, x.role = 'assistant')"
 T05_EOS = {"all": "true", "turn": _T05_TRAINS, "last": "j = len(m)"}
 
 
 @query("t05_turn_mask", "WITH " + T05_CTE + ", " + ", ".join(
-    f"e_{k} AS (SELECT conv_id, part, {_turns_sql(_T05_TRAINS, e)} FROM c)" for k, e in T05_EOS.items()) + " " + " UNION ALL ".join(
-    f"SELECT conv_id, part, '{k}' AS eos, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM e_{k}" for k in T05_EOS))
+    f"e_{k} AS (SELECT conv_id, {_turns_sql(_T05_TRAINS, e)} FROM c)" for k, e in T05_EOS.items()) + " " + " UNION ALL ".join(
+    f"SELECT conv_id, '{k}' AS eos, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM e_{k}" for k in T05_EOS))
 def t05(spark, sf):
     rule = F.length("text") % 5
     flagged = fx.turns(spark, sf).withColumn("flag", F.when(rule == 0, True).when(rule == 1, False))
     c = chat.rollup(flagged, extra=("flag",))
-    rows = variants(c, ["conv_id", "part"], {k: {"row": lb.turn_masked("messages", train_on_eos=k, training="flag")} for k in T05_EOS}, "eos")
-    return out(rows.select("conv_id", "part", "eos", "row.input_ids", "row.labels"), "conv_id", "part", "eos", hashed=False)
+    rows = variants(c, ["conv_id"], {k: {"row": lb.turn_masked("messages", train_on_eos=k, training="flag")} for k in T05_EOS}, "eos")
+    return out(rows.select("conv_id", "eos", "row.input_ids", "row.labels"), "conv_id", "eos", hashed=False)
 
 
 _PIECES = r"regexp_extract_all(text, '\s+|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]')"
@@ -131,18 +131,18 @@ def t06(spark, sf):
     return out(rows, "conv_id", "turn", hashed=False)
 
 
-_SEG_CTE = CONV + (", s AS (SELECT conv_id, part, flatten(list_transform(m, lambda x: [{'t': '<|im_start|>' || x.role || chr(10), 'w': 0}, "
+_SEG_CTE = CONV + (", s AS (SELECT conv_id, flatten(list_transform(m, lambda x: [{'t': '<|im_start|>' || x.role || chr(10), 'w': 0}, "
                    "{'t': x.content, 'w': (x.role = 'assistant')::INT}, {'t': '<|im_end|>', 'w': (x.role = 'assistant')::INT}, "
                    "{'t': chr(10), 'w': 0}])) AS s FROM c)")
 
 
-@query("t07_weighted_segments", f"""WITH {_SEG_CTE}, a AS (SELECT conv_id, part, flatten(list_transform(s, lambda x: {ids('x.t')})) AS i,
+@query("t07_weighted_segments", f"""WITH {_SEG_CTE}, a AS (SELECT conv_id, flatten(list_transform(s, lambda x: {ids('x.t')})) AS i,
  flatten(list_transform(s, lambda x: CASE WHEN x.w <> 0 THEN {ids('x.t')} ELSE {rep(-100, count('x.t'))} END)) AS l FROM s)
- SELECT conv_id, part, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
+ SELECT conv_id, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
 def t07(spark, sf):
     c = fx.conversations(spark, sf).withColumn("w", chat.weighted_messages("messages"))
     rows = lb.with_encoded(c, lb.weighted_labels(chat.weighted_segments("w", "chatml")))
-    return out(rows, "conv_id", "part", hashed=False)
+    return out(rows, "conv_id", hashed=False)
 
 
 @query("t08_completion_chunks", f"""WITH a AS (SELECT doc_id, {ids('text')} || [2] AS i FROM documents),
@@ -177,47 +177,47 @@ _CODER_TEXT = ("CASE x.role WHEN 'system' THEN x.content WHEN 'user' THEN '### I
                "ELSE '### Response:' || chr(10) || x.content || chr(10) || '<|EOT|>' || chr(10) END")
 
 
-@query("t11_fixed_length_chat", f"""WITH {CONV}, lead AS (SELECT conv_id, part, m, [1] || CASE WHEN len(list_filter(m, lambda x: x.role = 'system')) > 0 THEN [] ELSE
+@query("t11_fixed_length_chat", f"""WITH {CONV}, lead AS (SELECT conv_id, m, [1] || CASE WHEN len(list_filter(m, lambda x: x.role = 'system')) > 0 THEN [] ELSE
  {ids(q(lb.CODER_SYSTEM))} END AS ld FROM c),
- coder AS (SELECT conv_id, part, ld || flatten(list_transform(m, lambda x: {ids(_CODER_TEXT)})) AS i,
+ coder AS (SELECT conv_id, ld || flatten(list_transform(m, lambda x: {ids(_CODER_TEXT)})) AS i,
  {rep(-100, 'len(ld)')} || flatten(list_transform(m, lambda x: CASE WHEN x.role IN ('user', 'system') THEN {rep(-100, count(_CODER_TEXT))} ELSE {ids(_CODER_TEXT)} END)) AS l FROM lead),
- roles AS (SELECT conv_id, part, [1] || flatten(list_transform(m, lambda x: {ids("'<|' || x.role || '|>'")} || {ids(trim('x.content'))} ||
+ roles AS (SELECT conv_id, [1] || flatten(list_transform(m, lambda x: {ids("'<|' || x.role || '|>'")} || {ids(trim('x.content'))} ||
  (CASE WHEN x.role = 'assistant' THEN [2] ELSE [] END))) AS i, [-100] || flatten(list_transform(m, lambda x: {rep(-100, count("'<|' || x.role || '|>'"))} ||
  CASE WHEN x.role = 'assistant' THEN {ids(trim('x.content'))} || [2] ELSE {rep(-100, count(trim('x.content')))} END)) AS l FROM c)
- SELECT conv_id, part, 'coder' AS markup, 512 AS n, {cat(_fit_sql('i', 512, 2, 2))} AS input_ids, {cat(_fit_sql('l', 512, -100, -100))} AS labels FROM coder
- UNION ALL SELECT conv_id, part, 'roles', 512, {cat(_fit_sql('i', 512, 2, 2))}, {cat(_fit_sql('l', 512, -100, 2))} FROM roles""")
+ SELECT conv_id, 'coder' AS markup, 512 AS n, {cat(_fit_sql('i', 512, 2, 2))} AS input_ids, {cat(_fit_sql('l', 512, -100, -100))} AS labels FROM coder
+ UNION ALL SELECT conv_id, 'roles', 512, {cat(_fit_sql('i', 512, 2, 2))}, {cat(_fit_sql('l', 512, -100, 2))} FROM roles""")
 def t11(spark, sf):
-    rows = variants(fx.conversations(spark, sf), ["conv_id", "part"], {
+    rows = variants(fx.conversations(spark, sf), ["conv_id"], {
         "coder": {"row": lb.coder_chat("messages", 512)}, "roles": {"row": lb.role_chat("messages", 512)}}, "markup")
-    return out(rows.select("conv_id", "part", "markup", "row.input_ids", "row.labels"), "conv_id", "part", "markup", hashed=False)
+    return out(rows.select("conv_id", "markup", "row.input_ids", "row.labels"), "conv_id", "markup", hashed=False)
 
 
-@query("t12_inst_mask", f"""WITH {INST_CTE}, a AS (SELECT conv_id, part, [1] || flatten(list_transform(seg, lambda s: {ids('s.text')})) AS i,
+@query("t12_inst_mask", f"""WITH {INST_CTE}, a AS (SELECT conv_id, [1] || flatten(list_transform(seg, lambda s: {ids('s.text')})) AS i,
  [-100] || flatten(list_transform(seg, lambda s: CASE WHEN s.trains THEN {ids('s.text')} ELSE {rep(-100, count('s.text'))} END)) AS l FROM c4 WHERE ok),
- b AS (SELECT conv_id, part, i[1:512] || {rep(0, '512 - len(i)')} AS i, l[1:512] || {rep(-100, '512 - len(l)')} AS l FROM a)
- SELECT conv_id, part, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels, {cat('list_transform(i, lambda z: (z <> 0)::INT)')} AS attention_mask FROM b""")
+ b AS (SELECT conv_id, i[1:512] || {rep(0, '512 - len(i)')} AS i, l[1:512] || {rep(-100, '512 - len(l)')} AS l FROM a)
+ SELECT conv_id, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels, {cat('list_transform(i, lambda z: (z <> 0)::INT)')} AS attention_mask FROM b""")
 def t12(spark, sf):
     c = fx.conversations(spark, sf).withColumn("s", chat.inst_segments("messages")).filter("s is not null")
     rows = lb.with_encoded(c, lb.inst_encoded(F.col("s"), 512))
-    return out(rows, "conv_id", "part", columns=("input_ids", "labels", "attention_mask"), hashed=False)
+    return out(rows, "conv_id", columns=("input_ids", "labels", "attention_mask"), hashed=False)
 
 
-@query("t13_persona_mask", f"""WITH {PERSONA_SQL}, a AS (SELECT conv_id, part, flatten(list_transform(m, lambda x:
+@query("t13_persona_mask", f"""WITH {PERSONA_SQL}, a AS (SELECT conv_id, flatten(list_transform(m, lambda x:
  (CASE WHEN x.role = 'system' THEN [1] ELSE [] END) || {ids('x.text')} || (CASE WHEN x.role = 'bot' THEN [2] ELSE [] END))) AS i,
  flatten(list_transform(m, lambda x: CASE WHEN x.role = 'bot' THEN {rep(-100, 5)} || ({ids('x.text')})[6:] || [2] ELSE
  {rep(-100, count('x.text') + " + (CASE WHEN x.role = 'system' THEN 1 ELSE 0 END)")} END)) AS l FROM c)
- SELECT conv_id, part, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
+ SELECT conv_id, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
 def t13(spark, sf):
     rows = lb.with_encoded(fx.conversations(spark, sf), lb.persona_encoded(chat.persona_segments("messages")))
-    return out(rows, "conv_id", "part", hashed=False)
+    return out(rows, "conv_id", hashed=False)
 
 
-@query("t14_raw_segments", f"""WITH {CONV}, a AS (SELECT conv_id, part, flatten(list_transform(m, lambda x: {ids('x.content')})) AS i,
+@query("t14_raw_segments", f"""WITH {CONV}, a AS (SELECT conv_id, flatten(list_transform(m, lambda x: {ids('x.content')})) AS i,
  flatten(list_transform(m, lambda x: CASE WHEN x.role = 'assistant' THEN {ids('x.content')} ELSE {rep(-100, count('x.content'))} END)) AS l FROM c)
- SELECT conv_id, part, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
+ SELECT conv_id, len(i) AS n, {cat('i')} AS input_ids, {cat('l')} AS labels FROM a""")
 def t14(spark, sf):
     segments = F.transform("messages", lambda m: F.struct(m["content"].alias("text"), (m["role"] == "assistant").alias("label")))
-    return out(lb.with_encoded(fx.conversations(spark, sf), lb.raw_segments(segments)), "conv_id", "part", hashed=False)
+    return out(lb.with_encoded(fx.conversations(spark, sf), lb.raw_segments(segments)), "conv_id", hashed=False)
 
 
 @query("t15_odds_ratio_pair", f"""WITH {PAIRS}, a AS (SELECT pair_id, {ids('prompt')} AS p, {ids('chosen')} AS c, {ids('rejected')} AS r FROM p)
@@ -283,17 +283,17 @@ def t20(spark, sf):
     return done.select("doc_id", "length", "sequence_len", digest("position_ids").alias("position_ids"))
 
 
-ENC_SQL = CONV + f", enc AS (SELECT conv_id, part, {_turns_sql(chr(120) + '.role = ' + q('assistant'), chr(120) + '.role = ' + q('assistant'))} FROM c)"
+ENC_SQL = CONV + f", enc AS (SELECT conv_id, {_turns_sql(chr(120) + '.role = ' + q('assistant'), chr(120) + '.role = ' + q('assistant'))} FROM c)"
 
 
-@query("t21_label_weights", f"""WITH {ENC_SQL}, a AS (SELECT conv_id, part, unnest(l) AS l, unnest(range(len(l))) AS pos FROM enc),
- b AS (SELECT *, sum(CASE WHEN l <> -100 AND (pl IS NULL OR pl = -100) THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, part ORDER BY pos) AS isl
- FROM (SELECT *, lag(l) OVER (PARTITION BY conv_id, part ORDER BY pos) AS pl FROM a)),
- w AS (SELECT conv_id, part, pos, CASE WHEN l <> -100 THEN 1.0::DOUBLE / count(*) FILTER (l <> -100) OVER (PARTITION BY conv_id, part, isl) ELSE 0 END AS w FROM b)
- SELECT conv_id, part, pos, round(w, 6) AS weight FROM w""")
+@query("t21_label_weights", f"""WITH {ENC_SQL}, a AS (SELECT conv_id, unnest(l) AS l, unnest(range(len(l))) AS pos FROM enc),
+ b AS (SELECT *, sum(CASE WHEN l <> -100 AND (pl IS NULL OR pl = -100) THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos) AS isl
+ FROM (SELECT *, lag(l) OVER (PARTITION BY conv_id ORDER BY pos) AS pl FROM a)),
+ w AS (SELECT conv_id, pos, CASE WHEN l <> -100 THEN 1.0::DOUBLE / count(*) FILTER (l <> -100) OVER (PARTITION BY conv_id, isl) ELSE 0 END AS w FROM b)
+ SELECT conv_id, pos, round(w, 6) AS weight FROM w""")
 def t21(spark, sf):
     rows = fx.encoded_conversations(spark, sf).withColumn("w", lb.run_weights("labels"))
-    return rows.select("conv_id", "part", F.posexplode("w").alias("pos", "weight")).withColumn("weight", r6(F.col("weight")))
+    return rows.select("conv_id", F.posexplode("w").alias("pos", "weight")).withColumn("weight", r6(F.col("weight")))
 
 
 @query("t22_label_audit", f"""WITH {ENC_SQL} SELECT conv_id, unnest(range(len(i))) AS pos, unnest(i) AS id, unnest(l) AS label,
@@ -310,11 +310,11 @@ def t22_preference(spark, sf):
     return lb.preference_audit(fx.pairs(spark, sf), "pair_id")
 
 
-@query("t23_prompt_completion_split", f"""WITH {ENC_SQL}, a AS (SELECT conv_id, part, list_transform(list_filter(list_zip(i, l), lambda z: z[2] = -100), lambda z: z[1]) AS p,
- list_filter(l, lambda z: z <> -100) AS o FROM enc) SELECT conv_id, part, len(p) AS n, {cat('p')} AS prompt_ids, {cat('o')} AS completion_ids FROM a""")
+@query("t23_prompt_completion_split", f"""WITH {ENC_SQL}, a AS (SELECT conv_id, list_transform(list_filter(list_zip(i, l), lambda z: z[2] = -100), lambda z: z[1]) AS p,
+ list_filter(l, lambda z: z <> -100) AS o FROM enc) SELECT conv_id, len(p) AS n, {cat('p')} AS prompt_ids, {cat('o')} AS completion_ids FROM a""")
 def t23(spark, sf):
     rows = fx.encoded_conversations(spark, sf)
-    return out(rows.select("conv_id", "part", *lb.split_labelled("input_ids", "labels")), "conv_id", "part",
+    return out(rows.select("conv_id", *lb.split_labelled("input_ids", "labels")), "conv_id",
                columns=("prompt_ids", "completion_ids"), hashed=False)
 
 

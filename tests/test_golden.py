@@ -179,11 +179,14 @@ def test_role_report_finds_a_missing_turn(spark):
     assert chat.role_report(df).first().reason == "missing turn"
 
 
-def test_rollup_cuts_a_long_conversation_into_parts(spark):
-    df = chat_frame(spark, *["user", "assistant"] * 5)
-    parts = sorted((r.part, [m.content for m in r.messages]) for r in chat.rollup(df, part_turns=4).collect())
-    assert [p for p, _ in parts] == [0, 1, 2]
-    assert sum((m for _, m in parts), []) == [f"t{i}" for i in range(10)]
+def test_rollup_keeps_a_conversation_of_any_length_whole(spark):
+    roles = ["system", *["user", "assistant"] * 1250]
+    df = chat_frame(spark, *roles).repartition(7)
+    assert chat.rollup(df, range_turns=4).collect() == chat.rollup(df).collect()
+    row = chat.rollup(df).select("messages", chat.render_chat("messages", "qwen_25").alias("qwen"), chat.inst_prompt("messages").alias("inst")).collect()
+    assert len(row) == 1 and [m.content for m in row[0].messages] == [f"t{i}" for i in range(2501)]
+    assert row[0].qwen.count("<|im_start|>system") == 1 and row[0].qwen.count("<|im_start|>assistant") == 1250
+    assert row[0].inst.count("<<SYS>>") == 1 and row[0].inst.count("[/INST]") == 1250
 
 
 def test_refused_templates_are_null(spark):
