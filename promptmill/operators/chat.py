@@ -219,43 +219,48 @@ def chat_template(name: str) -> ChatTemplate:
     return CHAT_TEMPLATES[name]
 
 
-def render_chat(messages: Column | str, name: str, add_generation_prompt: bool = False,
-                bos: str = "<s>", eos: str = "</s>") -> Column:
-    """A conversation as text in a named template."""
-    t, all_messages = chat_template(name), col_of(messages)
+def turn_text(t: ChatTemplate, role: Column, content: Column, bos: str = "<s>", eos: str = "</s>") -> Column:
+    """A turn between the template's marks for its role."""
     special = {"bos": F.lit(bos), "eos": F.lit(eos)}
-    leads = F.coalesce(all_messages[0]["role"] == "system", F.lit(False))
-    turns = F.when(leads, tail(all_messages)).otherwise(all_messages) if t.system else all_messages
-
-    def piece(m: Column, i: Column) -> Column:
-        content = strip(m["content"]) if t.stripped else m["content"]
-        shown = F.coalesce(lookup(t.rename, m["role"]), m["role"]) if t.rename else m["role"]
-        out = None
-        for role, (before, after) in t.roles.items():
-            around = F.concat(fill(before, special), content, fill(after, special))
-            if role in t.skip_empty:
-                around = F.when(F.length(content) > 0, around).otherwise("")
-            out = (F if out is None else out).when(m["role"] == role, around)
-        if t.any_role is None:
-            return out.otherwise("")
-        before, after = t.any_role
-        rest = F.concat(fill(before, {**special, "role": shown}), content, fill(after, special))
-        return rest if out is None else out.otherwise(rest)
-
-    parts = [fill(t.start, special)]
+    content = strip(content) if t.stripped else content
+    shown = F.coalesce(lookup(t.rename, role), role) if t.rename else role
+    out = None
+    for name, (before, after) in t.roles.items():
+        around = F.concat(fill(before, special), content, fill(after, special))
+        if name in t.skip_empty:
+            around = F.when(F.length(content) > 0, around).otherwise("")
+        out = (F if out is None else out).when(role == name, around)
+    if t.any_role is None:
+        return out.otherwise("")
+    before, after = t.any_role
+    rest = F.concat(fill(before, {**special, "role": shown}), content, fill(after, special))
+    return rest if out is None else out.otherwise(rest)
+
+
+def opening_text(t: ChatTemplate, leads: Column, lead: Column, bos: str = "<s>", eos: str = "</s>") -> Column:
+    """What stands before the turns; ``leads`` says whether a system message ``lead`` comes first."""
+    parts = [fill(t.start, {"bos": F.lit(bos), "eos": F.lit(eos)})]
     if t.system:
-        given = strip(all_messages[0]["content"]) if t.stripped_system else all_messages[0]["content"]
         before, after = (F.lit(s) for s in t.system)
         default = "" if t.default_system is None else F.concat(before, F.lit(t.default_system), after)
-        parts.append(F.when(leads, F.concat(before, given, after)).otherwise(default))
+        parts.append(F.when(leads, F.concat(before, strip(lead) if t.stripped_system else lead, after)).otherwise(default))
     if t.start_without_system:
         parts.append(F.when(leads, "").otherwise(t.start_without_system))
-    parts.append(F.array_join(F.transform(turns, piece), ""))
-    if add_generation_prompt:
-        parts.append(F.lit(t.generation))
-    elif t.end:
-        parts.append(fill(t.end, special))
-    text = F.concat(*parts)
+    return F.concat(*parts)
+
+
+def closing_text(t: ChatTemplate, add_generation_prompt: bool = False, eos: str = "</s>") -> Column:
+    return F.lit(t.generation) if add_generation_prompt else fill(t.end, {"eos": F.lit(eos)})
+
+
+def render_chat(messages: Column | str, name: str, add_generation_prompt: bool = False,
+                bos: str = "<s>", eos: str = "</s>") -> Column:
+    """A conversation as text in a named template."""
+    t, all_messages = chat_template(name), col_of(messages)
+    leads = F.coalesce(all_messages[0]["role"] == "system", F.lit(False))
+    turns = F.when(leads, tail(all_messages)).otherwise(all_messages) if t.system else all_messages
+    shown = F.array_join(F.transform(turns, lambda m: turn_text(t, m["role"], m["content"], bos, eos)), "")
+    text = F.concat(opening_text(t, leads, all_messages[0]["content"], bos, eos), shown, closing_text(t, add_generation_prompt, eos))
 
     refused = F.lit(False)
     if t.alternate:
@@ -301,25 +306,27 @@ def inst_turns(messages: Column | str = "messages") -> Column:
     return F.when((F.size(rest) >= 2) & alternates, kept)
 
 
-def inst_segments(messages: Column | str = "messages") -> Column:
-    """(text, trains) segments; null where the conversation is refused.  The mark before an answer does not train."""
-    m = col_of(messages)
-    system = F.concat(F.lit(INST_SYSTEM[0]),
-                      F.when(m[0]["role"] == "system", m[0]["content"]).otherwise(INST_DEFAULT_SYSTEM),
-                      F.lit(INST_SYSTEM[1]))
+def inst_system(text: Column) -> Column:
+    return F.concat(F.lit(INST_SYSTEM[0]), text, F.lit(INST_SYSTEM[1]))
+
 
+def inst_turn(said: Column, k: Column, system: Column) -> Column:
+    """(text, trains) segments of the k-th turn, a question where k is even.  The mark before an answer does not train."""
     def piece(text: Column, trains: bool) -> Column:
         return F.struct(text.alias("text"), F.lit(trains).alias("trains"))
 
-    def one(x: Column, i: Column) -> Column:
-        said = strip(x["content"])
-        question = F.when(i == 0, F.concat(system, said)).otherwise(
-            F.concat(F.lit(INST_MARKS[0] + " "), said, F.lit(INST_SEPARATORS[0])))
-        answer = F.concat(F.lit(" "), said, F.lit(INST_SEPARATORS[1]))
-        return F.when(i % 2 == 0, F.array(piece(question, False))).otherwise(
-            F.array(piece(F.lit(INST_MARKS[1]), False), piece(answer, True)))
+    question = F.when(k == 0, F.concat(system, said)).otherwise(
+        F.concat(F.lit(INST_MARKS[0] + " "), said, F.lit(INST_SEPARATORS[0])))
+    answer = F.concat(F.lit(" "), said, F.lit(INST_SEPARATORS[1]))
+    return F.when(k % 2 == 0, F.array(piece(question, False))).otherwise(
+        F.array(piece(F.lit(INST_MARKS[1]), False), piece(answer, True)))
+
 
-    return F.flatten(F.transform(inst_turns(m), one))
+def inst_segments(messages: Column | str = "messages") -> Column:
+    """(text, trains) segments; null where the conversation is refused."""
+    m = col_of(messages)
+    system = inst_system(F.when(m[0]["role"] == "system", m[0]["content"]).otherwise(INST_DEFAULT_SYSTEM))
+    return F.flatten(F.transform(inst_turns(m), lambda x, i: inst_turn(strip(x["content"]), i, system)))
 
 
 def inst_prompt(messages: Column | str = "messages") -> Column:

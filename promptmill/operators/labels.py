@@ -80,28 +80,33 @@ def turn_masked(messages: Column | str, before: str = "<|im_start|>{role}\n", ro
     """
     m = col_of(messages)
     count = F.size(m)
-
-    def one(x: Column, i: Column) -> Column:
-        trains = F.lit(train_on_inputs) | x["role"].isin(*roles_to_train)
-        if detail:
-            trains = F.when(x[detail].isNotNull(), F.size(x[detail]) > 0).otherwise(trains)
-        if training:
-            trains = F.coalesce(x[training], trains)
-        eos = {"all": F.lit(True), "turn": trains, "last": i == count - 1}[train_on_eos]
-        end = F.array(F.lit(EOS))
-
-        def turn(mark: Column, body: Column) -> Column:
-            return F.struct(
-                F.concat(mark, body["ids"], end).alias("ids"),
-                F.concat(ignored(F.size(mark)), body["labels"], F.when(eos, end).otherwise(ignored(1))).alias("labels"))
-
-        body = part(token_ids(x["content"]), trains)
-        if detail:
-            spanned = trains & (F.coalesce(F.size(x[detail]), F.lit(0)) > 0)
-            body = F.when(spanned, span_labels(x["content"], x[detail])).otherwise(body)
-        return let(token_ids(fill(before, {"role": x["role"]})), lambda k: let(body, lambda b: turn(k, b)))
-
-    return flat_parts(F.transform(m, one))
+    return flat_parts(F.transform(m, lambda x, i: turn_part(
+        x["role"], x["content"], i == count - 1, before, roles_to_train, train_on_inputs, train_on_eos,
+        x[training] if training else None, x[detail] if detail else None)))
+
+
+def turn_part(role: Column, content: Column, is_last: Column, before: str = "<|im_start|>{role}\n", roles_to_train=("assistant",),
+              train_on_inputs: bool = False, train_on_eos: str = "turn", training: Column | None = None,
+              detail: Column | None = None) -> Column:
+    """(ids, labels) of one turn of such a chat."""
+    trains = F.lit(train_on_inputs) | role.isin(*roles_to_train)
+    if detail is not None:
+        trains = F.when(detail.isNotNull(), F.size(detail) > 0).otherwise(trains)
+    if training is not None:
+        trains = F.coalesce(training, trains)
+    eos = {"all": F.lit(True), "turn": trains, "last": is_last}[train_on_eos]
+    end = F.array(F.lit(EOS))
+
+    def turn(mark: Column, body: Column) -> Column:
+        return F.struct(
+            F.concat(mark, body["ids"], end).alias("ids"),
+            F.concat(ignored(F.size(mark)), body["labels"], F.when(eos, end).otherwise(ignored(1))).alias("labels"))
+
+    body = part(token_ids(content), trains)
+    if detail is not None:
+        spanned = trains & (F.coalesce(F.size(detail), F.lit(0)) > 0)
+        body = F.when(spanned, span_labels(content, detail)).otherwise(body)
+    return let(token_ids(fill(before, {"role": role})), lambda k: let(body, lambda b: turn(k, b)))
 
 
 PIECE_PATTERN = r"\s+|" + tk.WORD_PATTERN

@@ -318,8 +318,8 @@ def p23(spark, sf):
     return m.select("conv_id", _segments_text(chat.weighted_segments(weighted, "chatml")).alias("segments"))
 
 
-def template_sql(name: str, gen: bool, m: str = "m") -> str:
-    """A named chat template over a list of {role, content} in SQL."""
+def template_parts_sql(name: str, gen: bool, m: str = "m") -> dict[str, str]:
+    """A named chat template over a list of {role, content} in SQL: leads, turns, opening, piece of x, closing, refused."""
     t = chat.CHAT_TEMPLATES[name]
     sp = {"bos": "'<s>'", "eos": "'</s>'"}
     leads = f"coalesce({m}[1].role = 'system', false)"
@@ -339,15 +339,13 @@ def template_sql(name: str, gen: bool, m: str = "m") -> str:
         f = {**sp, "role": shown}
         rest = f"{fmt(t.any_role[0], f)} || {content} || {fmt(t.any_role[1], f)}"
     piece = f"CASE {' '.join(whens)} ELSE {rest} END" if whens else rest
-    parts = [fmt(t.start, sp)]
+    opening = [fmt(t.start, sp)]
     if t.system:
         given = trim(f"{m}[1].content") if t.stripped_system else f"{m}[1].content"
         default = "''" if t.default_system is None else q(t.system[0] + t.default_system + t.system[1])
-        parts.append(f"CASE WHEN {leads} THEN {q(t.system[0])} || {given} || {q(t.system[1])} ELSE {default} END")
+        opening.append(f"CASE WHEN {leads} THEN {q(t.system[0])} || {given} || {q(t.system[1])} ELSE {default} END")
     if t.start_without_system:
-        parts.append(f"CASE WHEN {leads} THEN '' ELSE {q(t.start_without_system)} END")
-    parts.append(f"coalesce(array_to_string(list_transform({turns}, lambda x: {piece}), ''), '')")
-    parts.append(q(t.generation) if gen else fmt(t.end, sp))
+        opening.append(f"CASE WHEN {leads} THEN '' ELSE {q(t.start_without_system)} END")
     refused = ["false"]
     if t.alternate:
         refused.append(f"len(list_filter(list_transform({turns}, lambda x, i: (x.role = 'user') <> (i % 2 = 1)), lambda b: b)) > 0")
@@ -355,7 +353,15 @@ def template_sql(name: str, gen: bool, m: str = "m") -> str:
         refused.append(leads)
     if t.refuse_unknown:
         refused.append(f"len(list_filter({turns}, lambda x: x.role NOT IN ({', '.join(q(r) for r in t.roles)}))) > 0")
-    return f"CASE WHEN NOT ({' OR '.join(refused)}) THEN {' || '.join(parts)} END"
+    return {"taken": leads if t.system else "false", "turns": turns, "opening": " || ".join(opening), "piece": piece,
+            "closing": q(t.generation) if gen else fmt(t.end, sp), "refused": " OR ".join(refused)}
+
+
+def template_sql(name: str, gen: bool, m: str = "m") -> str:
+    """The whole text of a conversation in a named chat template."""
+    p = template_parts_sql(name, gen, m)
+    return (f"CASE WHEN NOT ({p['refused']}) THEN {p['opening']} || coalesce(array_to_string(list_transform({p['turns']}, "
+            f"lambda x: {p['piece']}), ''), '') || {p['closing']} END")
 
 
 P24_CASES = [(n, g) for n in chat.CHAT_TEMPLATES for g in (False, True)]
