@@ -44,6 +44,22 @@ def as_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
+Place = tuple[bool, int, int]
+
+
+def place(doc_id: int | None, text_hash: int) -> Place:
+    """Where a row stands in ascending doc_id order: rows without doc_id first, equal ones by a hash of their texts."""
+    return doc_id is not None, doc_id or 0, text_hash
+
+
+def range_starts(rows: DataFrame, rows_a_range: int, most: int) -> list[Place]:
+    """First places, in order, of at most ``most`` ranges of about ``rows_a_range`` rows of (doc_id, hash); none for no rows."""
+    ranges = max(1, min(most, rows.count() // rows_a_range))
+    keys = rows.select(F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), "hash").alias("key"))
+    found = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key")).collect()
+    return sorted(tuple(r.key) for r in found)
+
+
 class Memo(dict):
     """word -> fn(word), computed once while the word is in use and forgotten beyond two generations of ``bound`` words."""
 

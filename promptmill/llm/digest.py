@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptmill.llm.common import arrow_schema, documents, slices, texts
+from promptmill.llm.common import arrow_schema, documents, place, range_starts, slices, texts
 
 BUCKETS, PAD = 256, 4
 # distances from the newest byte of a window of five
@@ -113,19 +113,11 @@ def difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 - (1 - apart / np.maximum(most, 1)) * (1 - steps / (2 * MOST_STEPS))
 
 
-def _starts(rows: DataFrame) -> list[tuple[bool, int, int]]:
-    """First keys of ranges of about ``ROWS_A_RANGE`` rows, in order."""
-    ranges = max(1, min(MOST_RANGES, rows.count() // ROWS_A_RANGE))
-    keys = rows.select(F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), "hash").alias("key"))
-    found = keys.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key")).collect()
-    return sorted(tuple(r.key) for r in found)
-
-
 def neighbours(docs: DataFrame, use, schema: str) -> DataFrame:
     """Rows of ``schema`` that ``use(keys, texts, next texts)`` makes of every document and the one after it, some hundred at a time."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    starts = _starts(rows)
+    starts = range_starts(rows, ROWS_A_RANGE, MOST_RANGES)
     moved = "range int, guest boolean, doc_id long, hash long, copies long, text string"
     out, made = arrow_schema(moved), arrow_schema(schema)
 
@@ -136,10 +128,10 @@ def neighbours(docs: DataFrame, use, schema: str) -> DataFrame:
                 equal[row] = equal.get(row, 0) + 1
             found = []
             for (key, text, h), n in equal.items():
-                place = (key is not None, key or 0, h)
-                r = bisect_right(starts, place) - 1
+                own = place(key, h)
+                r = bisect_right(starts, own) - 1
                 found.append((r, False, key, h, n, text))
-                if starts[r] == place:
+                if starts[r] == own:
                     found.append(((r or len(starts)) - 1, True, key, h, 1, text))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out)], schema=out)
 
@@ -181,9 +173,9 @@ def _compared(keys, own, following):
     changed = [edited(t, f) for t, f in zip(own, following)]
     n = len(own)
     # a document is mostly the one that followed the last, so its digest is made once
-    place = {t: i for i, t in enumerate(dict.fromkeys([*own, *following]))}
-    plain = digests([t.encode() for t in place])
-    mine, after = plain[[place[t] for t in own]], plain[[place[t] for t in following]]
+    at = {t: i for i, t in enumerate(dict.fromkeys([*own, *following]))}
+    plain = digests([t.encode() for t in at])
+    mine, after = plain[[at[t] for t in own]], plain[[at[t] for t in following]]
     other = digests([t.encode() for t in changed])
     return (keys, [len(t) for t in own], [hashlib.sha256(t.encode()).hexdigest() for t in changed], spelt(mine), spelt(other),
             1 - difference(mine, other), 1 - difference(mine, after))

@@ -5,17 +5,18 @@ skippable frame with the file's place in the order and the doc_ids follows, then
 format: compressed size, size and checksum (low 32 bits of XXH64) of each frame.  Any zstandard tool decompresses the
 whole file; ``TokenFile`` reads the table and then only the frames of the documents asked for, and checks them.
 
-Writing: doc_ids are cut into ranges at approximate quantiles (ids alone are read for that), texts are encoded where they
+Writing: the order by doc_id and a hash of the text is cut into ranges (keys alone are shuffled for that), texts are encoded where they
 lie, and the compressed frames are shuffled to their range, sorted and packed into files of about ``FILE_BYTES``.  Spark's
 text sink writes each file as one row, its line separator being the last four bytes of the format, so tasks that are lost or
 run twice do no harm and any store that Spark knows will do.  Positions in the whole are sums over ranges and over a
 range's files, not one sorted pass.
 
 The tokenizer drops white space, lower-cases and cuts between letters and signs, so words between ASCII white space are
-encoded on their own, lower-cased and without the signs behind them, each once per worker while in use; one whole text of each Arrow batch is encoded as well, and where the library's ids differ they are taken.
+encoded on their own, each once per worker while in use.  Signs are cut off behind letters that stay letters in lower case, and ASCII
+words are lower-cased first.  Words over ``LONGEST_KEPT`` bytes are not kept.
 
 Defined results: null and empty texts are the end id alone; texts are never cut; rows without doc_id come first; equal
-doc_ids are put in the order of their ids' bytes; other columns are not read; an empty table writes nothing and reads as empty.
+doc_ids are put in the order of a hash of their texts; other columns are not read; an empty table writes nothing and reads as empty.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ import os
 import re
 import struct
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -35,14 +38,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from promptmill.llm.common import arrow_schema, documents, slices, texts
+from promptmill.llm.common import arrow_schema, documents, place, range_starts, slices, texts
 from promptmill.session import materialise, scratch_path
 
 FILE_BYTES = 16 << 20
 ROWS_A_RANGE, MOST_RANGES = 10_000, 1 << 16
-WORDS_KEPT = 600_000
+WORDS_KEPT, LONGEST_KEPT = 600_000, 64
 # letters, then ASCII signs: the tokenizer cuts between them
-_SIGNED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
+_SIGNED = re.compile(rb"([A-Za-z\x80-\xff]+)([!-/:-@\[-`{-~]+)")
 # Fixed values of zstandard's seekable format: the skippable frames' magic numbers, the flag for checksums, the last bytes.
 INDEX_MAGIC, TABLE_MAGIC, CHECKSUMS, LAST = 0x184D2A51, 0x184D2A5E, 1 << 7, bytes([0xB1, 0xEA, 0x92, 0x8F])
 END_ID = 1
@@ -64,43 +67,46 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
-    def _encode(self, batch: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(batch, add_special_tokens=False)]
+    def _encode(self, batch: list[bytes]) -> list[bytes]:
+        found = self.library.encode_batch_fast([p.decode() for p in batch], add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
-    def _parts(self, word: bytes) -> list[bytes]:
+    def _parts(self, word: bytes) -> tuple[bytes, ...]:
         """Pieces that the tokenizer encodes on their own: signs behind letters cut off, ASCII letters lower-cased."""
         if b"<|" in word:  # may hold a special token, which is told by its case
-            return [word]
-        cut = _SIGNED.fullmatch(word.decode())
-        own = [p.encode() for p in cut.groups()] if cut else [word]
-        return [p.lower() if p.isascii() else p for p in own]
+            return (word,)
+        cut = _SIGNED.fullmatch(word)
+        if word.isascii():
+            return (cut[1].lower(), cut[2]) if cut else (word.lower(),)
+        return cut.groups() if cut and cut[1].decode().lower().isalpha() else (word,)
 
     def _learn(self, fresh: list[bytes]) -> None:
-        parts = {w: self._parts(w) for w in fresh}
         known = self.words
-        new = list({p for own in parts.values() for p in own if p not in known})
-        known.update(zip(new, self._encode([p.decode() for p in new])))
-        for w, own in parts.items():
+        parts = [self._parts(w) for w in fresh]
+        new = list({p for own in parts for p in own}.difference(known))
+        known.update(zip(new, self._encode(new)))
+        for w, own in zip(fresh, parts):
             if w not in known:
-                known[w] = b"".join([known[p] for p in own])
+                known[w] = known[own[0]] + known[own[1]] if len(own) == 2 else known[own[0]]
 
     def batch(self, batch: list[str]) -> list[bytes]:
         own = [t.encode().split() for t in batch]
-        fresh = []
-        for w in set().union(*own):
-            if w not in self.words:
-                if (old := self.before.get(w)) is not None:
-                    self.words[w] = old
-                else:
-                    fresh.append(w)
-        self._learn(fresh)
-        out = [b"".join(map(self.words.__getitem__, w)) for w in own]
-        if batch:
-            k = min(range(len(batch)), key=lambda i: (len(batch[i]) < 200, len(batch[i])))
-            out[k] = self._encode([batch[k]])[0]
-        if len(self.words) > WORDS_KEPT:
-            self.before, self.words = self.words, {}
-        return [x + self.end for x in out]
+        words, fresh = self.words, []
+        for w in set().union(*own).difference(words):
+            if (old := self.before.get(w)) is not None:
+                words[w] = old
+            else:
+                fresh.append(w)
+        if fresh:
+            self._learn(fresh)
+        out = [b"".join([*map(words.__getitem__, w), self.end]) for w in own]
+        for w in fresh:
+            if len(w) > LONGEST_KEPT:
+                for p in {w, *self._parts(w)}:
+                    words.pop(p, None)
+        if len(words) > WORDS_KEPT:
+            self.before, self.words = words, {}
+        return out
 
 
 @cache
@@ -167,45 +173,43 @@ def write(docs: DataFrame, path: str, model: str | None = None, end_id: int = EN
     """Token files of ``docs`` (doc_id, text) in a new folder ``path``."""
     model = model or default_model()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    count = rows.count()
-    ranges = max(1, min(MOST_RANGES, count // ROWS_A_RANGE))
-    at = [i / ranges for i in range(1, ranges)]
-    found = rows.agg(F.percentile_approx("doc_id", at, 20 * ranges).alias("q")).first().q if at else None
-    bounds = np.unique(np.array(found or [], np.int64))
-    schema = "range long, doc_id long, crc long, size long, check long, frame binary"
+    rows = rows.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    starts = range_starts(rows, ROWS_A_RANGE, MOST_RANGES)
+    schema = "range long, doc_id long, hash long, crc long, size long, check long, frame binary"
     out = arrow_schema(schema)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, press = encoder(model, end_id), zstandard.ZstdCompressor(level=1, write_content_size=True)
         for b in slices(batches, 256):
             ids = own.batch(texts(b.column(1)))
-            keys = b.column(0)
-            place = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "right")
-            columns = [pa.array(place), keys, pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+            keys, hashes = b.column(0), b.column(2)
+            ranges = [bisect_right(starts, place(k, h)) - 1 for k, h in zip(keys.to_pylist(), hashes.to_pylist())]
+            columns = [pa.array(ranges, pa.int64()), keys, hashes, pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
                        pa.array([xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in ids], pa.int64()), pa.array([press.compress(x) for x in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, place = [], 0, None
+        held, size, at = [], 0, None
 
         def made() -> pa.RecordBatch:
-            data = pack(held, place).removesuffix(LAST)
+            data = pack(held, at).removesuffix(LAST)
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["file"])
 
         for b in slices(batches, 256):
             for r, key, n, check, frame in zip(*(b.column(b.schema.names.index(c)).to_pylist() for c in ("range", "doc_id", "size", "check", "frame"))):
-                if held and (r != place[0] or size > file_bytes):
+                if held and (r != at[0] or size > file_bytes):
                     yield made()
                     size = 0
                 if not held:
-                    place = (r, place[1] + 1 if place and place[0] == r else 0)
+                    at = (r, at[1] + 1 if at and at[0] == r else 0)
                 held.append((key, frame, n, check))
                 size += len(frame)
         if held:
             yield made()
 
-    dealt = rows.mapInArrow(encode, schema).repartition("range").sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "size", "crc", "frame")
+    dealt = rows.mapInArrow(encode, schema).repartitionById(max(1, len(starts)), F.col("range").cast("int"))
+    dealt = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hash")
     (dealt.mapInArrow(files, "file binary").select(F.col("file").cast("string").alias("value")).write
      .option("lineSep", LAST.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path))
 
