@@ -11,7 +11,8 @@ The trees are trained on ``TRAINING_PAGES`` generated pages (``training_pages``)
 headers, footers, sidebars, notices, adverts, forms and reader comments, since the tables hold no labels for pages.
 
 A unit's character references are decoded, white space becomes one space, units are joined by a line feed.
-Contents of script, style, template, title and the like never are text.
+Contents of script, style, title and textarea never are text, nor are those of svg, noscript, select and the like where the element is
+closed; one that closes itself or is never closed hides nothing.
 
 Defined results: null and blank html give the empty text; markup that breaks off counts as far as it goes, and a "<"
 that opens no tag is text; pages of any length are read whole; repeated rows stay; other columns are not read; an empty table gives an empty
@@ -24,7 +25,7 @@ import html
 import random
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,11 @@ _REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*'|["'])*+)>""")
 _PLAIN_REST = re.compile(r"([^<>]*)>")
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|aria-label|data-[\w-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-UNSEEN = {"script", "style", "template", "title", "noscript", "iframe", "svg", "canvas", "object", "textarea", "select"}
+# raw text up to the end tag, however it looks
+RAW = {"script", "style", "title", "textarea"}
+# elements whose contents are not shown; the first three cannot hold one of their own kind
+UNSEEN = ["noscript", "iframe", "select", "template", "svg", "canvas", "object"]
+_UNSEEN_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})\b.*?(?:</\1\s*>|\Z)|<(/?)({'|'.join(UNSEEN)})\b([^<>]*)>", re.S | re.I)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 # Kinds of nodes by tag; tags in no kind are inline and make no node of their own.
 TAGS = [{"#text"}, {"p", "blockquote", "pre"}, {"h1"}, {"h2", "h3", "h4", "h5", "h6"}, {"ul", "ol", "dl", "menu"}, {"li", "dt", "dd"},
@@ -63,7 +68,11 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td
 _HOLDS = {"ul", "ol", "menu", "dl", "table"}
 
 
-@cache
+@lru_cache(100_000)
+def _short_token_bits(value: str) -> int:
+    return _token_bits(value)
+
+
 def _token_bits(value: str) -> int:
     return sum({1 << GROUP[t.lower()] for t in _TOKEN.findall(value) if t.lower() in GROUP})
 
@@ -71,10 +80,27 @@ def _token_bits(value: str) -> int:
 def _attribute_bits(source: str) -> int:
     bits = 0
     for _, value in _ATTRIBUTE.findall(source):
-        bits |= _token_bits(value) if len(value) < 200 else 0
+        bits |= _short_token_bits(value) if len(value) < 200 else _token_bits(value)
     return bits
 
 
+def hidden_spans(source: str) -> dict[int, int]:
+    """Where each closed unseen element starts and ends."""
+    spans, open_ = {}, {name: [] for name in UNSEEN}
+    for m in _UNSEEN_TAG.finditer(source):
+        name = (m[3] or "").lower()
+        if not name:
+            continue
+        if m[2]:
+            if open_[name]:
+                spans[open_[name].pop()] = m.end()
+        elif not m[4].endswith("/"):
+            if name in UNSEEN[:3]:
+                open_[name].clear()
+            open_[name].append(m.start())
+    return spans
+
+
 class Nodes:
     """The nodes of some pages in order; a parent stands before its children."""
 
@@ -95,7 +121,7 @@ class Nodes:
         stack: list[tuple[str, int]] = [("#root", self._node(-1, 0))]
         opened: dict[str, int] = {}
         run: list[str] = []
-        at, end, linked, rest = 0, len(source), 0, _REST
+        at, end, linked, rest, hidden = 0, len(source), 0, _REST, None
 
         def flush() -> None:
             """Ends the run of inline text."""
@@ -144,9 +170,12 @@ class Nodes:
                     flush()
                 if opened.get(name):
                     close({name})
-            elif name in UNSEEN:
+            elif name in RAW:
                 found = re.compile(rf"</{name}\s*>", re.I).search(source, at)
                 at = found.end() if found else end
+            elif name in UNSEEN:
+                hidden = hidden_spans(source) if hidden is None else hidden
+                at = hidden.get(m.start(), at)
             elif name in VOID:
                 run.append(" ")
                 if name == "hr":

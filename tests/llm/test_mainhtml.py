@@ -24,8 +24,38 @@ def test_parser():
     assert units("") == [] and units("<script>never ends") == []
 
 
+ARTICLE = "".join(f"<p>{w} of a long article that goes on with many words, and says so in sentences of its own.</p>" for w in ("First", "Second", "Third", "Fourth", "Fifth"))
+MENU = "<nav class='menu'><a href='/'>Home</a> <a href='/b'>About</a></nav>"
+
+
+def page(before="", attributes="class='article'"):
+    return f"<html><body>{MENU}<div>{before}</div><article {attributes}>{ARTICLE}</article><footer class='footer'><a href='/c'>Copyright</a></footer></body></html>"
+
+
+def test_unseen_elements_hide_their_contents_alone():
+    assert units("a<svg viewBox='0'/>b<svg><text>no</text></svg>c<svg><svg>no</svg>no</svg>d") == ["abcd"]
+    assert units("a<noscript>b") == ["ab"] and units("a<select><option>no</select>b") == ["ab"]
+    assert units("a<noscript>b<noscript>no</noscript>c") == ["abc"]
+    assert units("a<!-- <noscript> -->b<noscript>no</noscript>c<script>'<object>'</script>d</object>e") == ["abcde"]
+    assert units("a<TEMPLATE>no</Template >b<canvas>c<object>no</object>d") == ["abcd"]
+    want = m.extract([page()], m.trained())[0]
+    assert want.startswith("First of a long") and want.endswith("sentences of its own.") and want.count("\n") == 4
+    for before in ("<svg viewBox='0 0 1 1'/>", "<svg/>", "<noscript>", "<select>", "<object data='x'>", "<iframe>", "<canvas>", "<template>", "<svg>",
+                   "<noscript><img src=x></noscript>", "<select><option>Shown never</select>"):
+        assert m.extract([page(before)], m.trained())[0] == want, before
+
+
+def test_long_attribute_values_count():
+    words = " ".join(f"c{k}" for k in range(500))
+    assert m._attribute_bits(f'class="{words} comments {words}"') == m._attribute_bits("class=comments") != 0
+    want = m.extract([page()], m.trained())[0]
+    comments = f"<div class='{words} comments comment reader' id='comments {words}'>" + ARTICLE.replace("article", "remark") + "</div>"
+    source = page().replace("<footer", comments + "<footer")
+    assert m.extract([source], m.trained())[0] == m.extract([source.replace(words, "")], m.trained())[0] == want
+
+
 def test_odd_pages_take_linear_time():
-    for source in ("<" * 200_000, "<div>" * 10_000 + "x", "<p>" * 50_000, "<li>" * 30_000, '<a b="' * 100_000, '<a b=">' * 30_000 + '"', "<!--" * 50_000, "<b>" * 50_000 + "</b>" * 50_000, "x " * 500_000):
+    for source in ("<noscript" * 50_000, "<noscript>" * 50_000, "<svg>" * 50_000 + "</svg>" * 50_000, "<script" * 50_000, "<" * 200_000, "<div>" * 10_000 + "x", "<p>" * 50_000, "<li>" * 30_000, '<a b="' * 100_000, '<a b=">' * 30_000 + '"', "<!--" * 50_000, "<b>" * 50_000 + "</b>" * 50_000, "x " * 500_000):
         m.extract([source], m.trained())
 
 
