@@ -60,6 +60,14 @@ def range_starts(rows: DataFrame, rows_a_range: int, most: int) -> list[Place]:
     return sorted(tuple(r.key) for r in found)
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, or that with marks in front, so that it is no column of ``taken`` in any case of letters."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 class Memo(dict):
     """word -> fn(word), computed once while the word is in use and forgotten beyond two generations of ``bound`` words."""
 

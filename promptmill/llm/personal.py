@@ -1,13 +1,15 @@
 """Personal data: fixed forms, and identifiers found by bootstrapped lexical contexts.
 
 Fixed forms (e-mail, IP address, card, phone) are found by pattern and check and are the seeds.  A pattern is the one
-word or the two words before a mention, lower-cased, digits masked.  Mentions are the seeds and identifier-like words
-(four letters or digits at least, one a digit) outside of them.  Spark scores the graph of patterns and mentions in rounds:
+word or the two words before a mention, lower-cased, digits masked.  Mentions are the seeds and what looks like an identifier
+outside of them: words of four letters or digits at least, one a digit, and groups of digits with a space between them, as one.  Spark
+scores the graph of patterns and mentions in rounds:
 
 * a pattern's confidence is the score-weighted share of its mentions among all occurrences of its words in all texts;
-* a mention that is no seed scores as its best pattern that at least ``SUPPORT`` accepted mentions support.
+* a mention that is no seed scores as its best pattern that at least ``SUPPORT`` accepted mentions support, rounded down to ``STEPS``.
 
-Patterns with confidence and support at the end add the identifiers they precede, as kind "other".  Patterns with
+Scores only rise and have ``STEPS`` values, so the rounds end at a fixpoint, when a round leaves their sum as it was.  Patterns with
+confidence and support then add the identifiers they precede, as kind "other".  Patterns with
 fewer than SUPPORT different mentions can never count and are left out of the graph; the occurrences of the rest are
 counted behind a bit set of fixed size, so nothing that grows with the corpus is broadcast.
 
@@ -27,11 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptmill.llm.common import Memo, arrow_schema, documents, slices, texts
+from promptmill.llm.common import Memo, arrow_schema, documents, slices, texts, unused
 from promptmill.session import materialise
 
 KINDS = ["email", "ip", "card", "phone", "other"]
-SUPPORT, CONFIDENCE, ROUNDS = 3, 0.5, 3
+SUPPORT, CONFIDENCE, STEPS = 3, 0.5, 64
 FILTER_BITS = 24
 
 # A run of e-mail letters is taken whole, with what follows if that completes an address, so long runs cost linear time.
@@ -41,6 +43,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[0-9]")
+# digits, and signs inside a number
+_GROUP = re.compile(r"[0-9][0-9/.-]*")
 _EDGE = "\"'`()[]{}<>,.;:!?=*"
 
 
@@ -73,8 +77,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def identifiers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans of words, without edge punctuation, that look like an identifier and touch no base span."""
-    found, taken, at = [], sorted((a, b) for _, a, b in base), 0
+    """Spans, without edge punctuation, that look like an identifier and touch no base span; digit groups one space apart are one."""
+    words: list[tuple[int, int, bool]] = []
+    taken, at = sorted((a, b) for _, a, b in base), 0
     for m in re.finditer(r"\S+", text):
         if not _DIGIT.search(m[0]):
             continue
@@ -82,9 +87,14 @@ def identifiers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         end = m.start() + len(m[0].rstrip(_EDGE))
         while at < len(taken) and taken[at][1] <= start:
             at += 1
-        if sum(map(str.isalnum, text[start:end])) >= 4 and not any(a < end and start < b for a, b in taken[at:at + 5]):
-            found.append((start, end))
-    return found
+        if any(a < end and start < b for a, b in taken[at:at + 5]):
+            continue
+        group = _GROUP.fullmatch(text, start, end) is not None
+        if words and group and start == m.start() and words[-1][2] and words[-1][1] + 1 == start and text[start - 1] == " ":
+            words[-1] = (words[-1][0], end, group)
+        else:
+            words.append((start, end, group))
+    return [(start, end) for start, end, _ in words if sum(map(str.isalnum, text[start:end])) >= 4]
 
 
 def _masked(word: str) -> str:
@@ -193,8 +203,8 @@ def occurrences(df: DataFrame, text: str, codes: DataFrame) -> DataFrame:
     return counted.groupBy("code").agg(F.sum("total").alias("total")).join(codes.select("code"), "code", "left_semi")
 
 
-def strong_patterns(df: DataFrame, text: str, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """pattern, code, confidence, support of the patterns that hold at the end of the rounds."""
+def strong_patterns(df: DataFrame, text: str, found: DataFrame) -> DataFrame:
+    """pattern, code, confidence, support of the patterns that hold at the fixpoint."""
     edges = (found.select(F.explode("mentions").alias("m")).groupBy("m.code", "m.instance")
              .agg(F.min("m.pattern").alias("pattern"), F.max("m.seed").alias("seed"), F.count("*").alias("n")))
     edges = materialise(edges, "edges")
@@ -204,14 +214,17 @@ def strong_patterns(df: DataFrame, text: str, found: DataFrame, rounds: int = RO
                         .select("code", "pattern", F.greatest("seen", "total").alias("total")), "patterns")
     edges = materialise(edges.join(codes.select("code"), "code", "left_semi"), "edges")
     seeds = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    scores = seeds
-    for round in range(rounds):
+    scores, reached = seeds, None
+    while True:
         of = edges.join(scores, "instance").groupBy("code").agg(
             F.sum(F.col("score") * F.col("n")).alias("weight"), F.count_if(F.col("score") >= CONFIDENCE).alias("support"))
         rated = materialise(codes.join(of, "code").select("pattern", "code", (F.col("weight") / F.col("total")).alias("confidence"), "support"), "rated")
-        if round < rounds - 1:
-            best = edges.join(rated.filter(F.col("support") >= SUPPORT), "code").groupBy("instance").agg(F.max("confidence").alias("best"))
-            scores = materialise(seeds.join(best, "instance", "left").select("instance", F.greatest("score", "best").alias("score")), "scores")
+        step = F.floor(F.col("confidence") * STEPS) / STEPS
+        best = edges.join(rated.filter(F.col("support") >= SUPPORT), "code").groupBy("instance").agg(F.max(step).alias("best"))
+        scores = materialise(seeds.join(best, "instance", "left").select("instance", F.greatest("score", "best").alias("score")), "scores")
+        before, reached = reached, scores.agg(F.sum("score")).first()[0]
+        if reached == before:
+            break
     return rated.filter((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
 
 
@@ -250,8 +263,9 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 def stage(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """All rows; personal data in the text replaced by its kind, with n_chars of the new text."""
     found = personal_data(docs).filter((F.size("base") > 0) | (F.size("more") > 0))
-    found = found.select(F.col("doc_id").alias("_id"), "digest", "length", F.concat("base", "more").alias("_spans")).dropDuplicates(["_id", "digest", "length"])
-    same = docs.doc_id.eqNullSafe(found._id) & (F.xxhash64(docs.text) == found.digest) & (F.length(docs.text) == found.length)
+    added = unused("_spans", docs.columns)
+    found = found.select(F.col("doc_id").alias("_id"), "digest", "length", F.concat("base", "more").alias(added)).dropDuplicates(["_id", "digest", "length"])
+    same = docs.doc_id.eqNullSafe(found["_id"]) & (F.xxhash64(docs.text) == found["digest"]) & (F.length(docs.text) == found["length"])
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,4 +280,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
             columns[text], columns[n] = pa.array(old, columns[text].type), pa.array(sizes, columns[n].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.join(found, same, "left").select(*[docs[c] for c in names], "_spans").mapInArrow(run, schema)
+    return docs.join(found, same, "left").select(*[docs[c] for c in names], found[added]).mapInArrow(run, schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptmill.llm.common import arrow_schema, as_batch, documents, slices, texts
+from promptmill.llm.common import arrow_schema, as_batch, documents, slices, texts, unused
 from promptmill.session import materialise
 
 # The generator polynomial x^11+x^10+x^6+x^5+x^4+x^2+1 of the [23, 12] Golay code and its radius.
@@ -231,8 +231,13 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component; rows without doc_id, which none can name, stay."""
-    found = near_duplicates(docs)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Keeps the document with the smallest doc_id of each component; rows without doc_id, which none can name, stay.
+
+    Of rows that share the doc_id, the one with the smallest hash of all its columns stays.
+    """
+    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    own, least = unused("_own", docs.columns), unused("_least", docs.columns)
+    hashed = docs.filter("doc_id is not null").withColumn(own, F.xxhash64(*[docs[c] for c in docs.columns]))
+    chosen = hashed.groupBy("doc_id").agg(F.min(own).alias(least)).join(kept, "doc_id", "left_semi")
+    one = hashed.join(chosen, "doc_id").filter(F.col(own) == F.col(least)).dropDuplicates(["doc_id"]).select(docs.columns)
     return one.unionByName(docs.filter("doc_id is null"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 from promptmill.llm import personal as p
 
@@ -57,6 +58,69 @@ def planted():
     return rows
 
 
+def plain_patterns(texts):
+    """Patterns that hold at the fixpoint, by rounds over all mentions in memory: words -> (confidence, support)."""
+    edges, kinds, total = Counter(), {}, Counter()
+    seeds = {}
+    for t in texts:
+        t = t or ""
+        base = p.base_spans(t)
+        for s, e, seed in [(s, e, True) for _, s, e in base] + [(s, e, False) for s, e in p.identifiers(t, base)]:
+            for words, _ in p.contexts(t, s):
+                edges[words, t[s:e].lower()] += 1
+                seeds[t[s:e].lower()] = max(seeds.get(t[s:e].lower(), 0), float(seed))
+        own = [p._masked(w) for w in t.split()]
+        total.update(own[:-1])
+        total.update(" ".join(own[k:k + 2]) for k in range(len(own) - 2))
+    for (words, _), n in edges.items():
+        kinds.setdefault(words, [0, 0])
+        kinds[words][0] += 1
+        kinds[words][1] += n
+    score, before = dict(seeds), None
+    while score != before:
+        before, rated = dict(score), {}
+        for words, (different, seen) in kinds.items():
+            if different >= p.SUPPORT:
+                mine = [(i, n) for (w, i), n in edges.items() if w == words]
+                rated[words] = (sum(before[i] * n for i, n in mine) / max(seen, total[words]), sum(before[i] >= p.CONFIDENCE for i, _ in mine))
+        for (words, i), _ in edges.items():
+            if words in rated and rated[words][1] >= p.SUPPORT:
+                score[i] = max(score[i], int(rated[words][0] * p.STEPS) / p.STEPS)
+    return {w: (round(c, 9), n) for w, (c, n) in rated.items() if n >= p.SUPPORT and c >= p.CONFIDENCE}
+
+
+def chain(hops):
+    """Pattern k is known only by the mentions that pattern k - 1 accepts."""
+    rows = [f"so mail k0 u{i}x@example.org now" for i in range(5)]
+    for k in range(hops):
+        rows += [f"we say k{'abcdefghij'[k]} ID{k}-{n}77 and go" for n in range(4)]
+        rows += [f"then c{'abcdefghij'[k + 1]} k{'abcdefghij'[k + 1]} ID{k}-{n}77 too" for n in range(4)]
+    rows += [f"we say ka u{i}x@example.org and go" for i in range(9)]
+    return rows
+
+
+def test_patterns_equal_the_plain_version(spark, docs):
+    r = random.Random(11)
+    tables = [chain(6), ["call 123 45 6789 now", "call a@b.cd now", "call c@d.ef now", "call e@f.gh now", "call 99 8 then"]]
+    for _ in range(3):
+        words = ["call", "mail", "id", "no", "ref", "x", "y"]
+        things = [f"u{i}@ex.org" for i in range(6)] + [f"A{i}{i}B-{i}" for i in range(12)] + ["1987", "12", "123 45 6789"]
+        tables.append([" ".join(r.choice(words if r.random() < 0.6 else things) for _ in range(r.randrange(2, 14))) for _ in range(120)])
+    for texts in tables:
+        table = docs(list(enumerate(texts)))
+        strong = p.strong_patterns(table, "text", p.materialise(p.mentions(table, "doc_id", "text"), "m"))
+        assert {x.pattern: (round(x.confidence, 9), x.support) for x in strong.collect()} == plain_patterns(texts)
+    found = plain_patterns(chain(6))
+    assert {f"k{c}" for c in "abcdefg"} <= set(found)
+
+
+def test_identifiers_over_digit_groups():
+    def spans(text):
+        return [text[a:b] for a, b in p.identifiers(text, p.base_spans(text))]
+    assert spans("nr 123 45 6789, then 12 or 1 2") == ["123 45 6789"] and spans("in 1987, 2004 (55 55) a12 3456") == ["1987", "2004", "55 55", "3456"]
+    assert spans("12  34 12\n34") == ["34 12"] and spans("1.2.3.4 5678 9 x1y2") == ["5678 9", "x1y2"] and spans("12\t345") == []
+
+
 def test_contexts_find_unseen_identifiers(spark, docs):
     rows = planted() + [(400, None), (401, ""), (None, "mail a@b.cd"), (0, planted()[0][1])]
     found = p.personal_data(docs(rows)).collect()

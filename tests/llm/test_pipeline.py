@@ -1,4 +1,6 @@
 import hashlib
+import pathlib
+import re
 
 import sentencepiece
 from test_decontaminate import brute as benchmark_hits
@@ -35,3 +37,26 @@ def test_stages_keep_the_columns(spark, docs, sf):
         assert stage(spark, table, sf).columns == table.columns, name
         assert stage(spark, table.limit(0), sf).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, table, sf).count() == 4
+
+
+def test_no_column_name_clashes(spark, sf):
+    """documents with a column for every name that a stage or a helper writes in quotes."""
+    folder = pathlib.Path(quality.__file__).parent
+    source = "".join((folder / f"{m}.py").read_text() for m in ("quality", "simhash", "decontaminate", "personal", "pieces", "common"))
+    names = sorted({n.lower() for n in re.findall(r"""["'.]([A-Za-z_]\w*)\b""", source)} | set(re.findall(r"\w+(?= (?:long|int|string|binary|double|boolean)\b)", source)))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    extra = [n for n in names if n not in docs.columns]
+    wide = docs.selectExpr("*", *[f"'mine' as `{n}`" for n in extra])
+    assert len(extra) > 150
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, wide, sf)
+        assert left.columns == wide.columns, name
+        assert sorted(map(str, left.select(docs.columns).collect())) == sorted(map(str, stage(spark, docs, sf).collect())), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, sf).count() == 60
+
+
+def test_one_row_of_a_repeated_id_stays(spark, docs, sf):
+    from promptmill.llm import simhash
+    rows = [(5, "one two three four five six"), (5, "quite another text with other words"), (5, "one two three four five six"), (6, "one two three four five six"), (None, "x y"), (None, "x y")]
+    first = [sorted(map(str, simhash.stage(spark, docs(rows, parts), sf).collect())) for parts in (1, 3, 6)]
+    assert first[0] == first[1] == first[2] and len(first[0]) == 3
