@@ -1,9 +1,12 @@
 """Running budgets over a whole ordered table: exact for any size, with no task that sees more than a chunk.
 
 A row stays in the open block while ``used + cost <= limit`` and then adds ``gain``; otherwise it opens the next block with
-``used = gain``.  What a chunk does depends on its entry state only through the first row that opens a block, so a
+``used = gain``.  Inside a chunk each row has a successor, the row that opens the next block if it opens one: a binary search
+over running sums finds all successors at once, and following them in steps of 1, 2, 4, ... gives the blocks.  What a chunk does
+depends on its entry state only through the first row that opens a block, so a
 chunk is a short table: for each such row, how the chunk is left.  These tables are composed, 1,024 chunks at a time, then
-chained; with the true entry state known, each chunk is folded once.  The chunk size is a tuning value; results do not depend on it.
+chained; with the true entry state known, each chunk is cut once.  The chunk size is a tuning value; results do not depend on it.
+Costs and gains are not negative, and their sum over a chunk times its rows stays below 2^62.
 """
 
 from __future__ import annotations
@@ -27,33 +30,62 @@ START: State = (1 << 62, 0, -1)
 Left = tuple[int, int, list[int], list[State]]
 
 
-def _run(cost: list[int], gain: list[int], limit: int, first: int, known: dict[int, State]) -> State:
-    """How a chunk is left if ``first`` opens a block."""
-    starts, used = [first], gain[first]
-    for j in range(first + 1, len(cost)):
-        if used + cost[j] <= limit:
-            used += gain[j]
-        else:
-            if j in known:
-                used, rows, blocks = known[j]
-                break
-            starts.append(j)
-            used = gain[j]
-    else:
-        rows, blocks = len(cost) - starts[-1], 0
-    for s in reversed(starts):
-        blocks += 1
-        known[s] = (used, rows, blocks)
-    return known[first]
+class Chunk:
+    """The rows of a chunk with their successors; its length stands for none."""
+
+    def __init__(self, cost: np.ndarray, gain: np.ndarray, limit: int):
+        n = len(cost)
+        self.n, self.limit, self.sums = n, limit, np.concatenate([[0], np.cumsum(gain)])
+        before, place = self.sums[:-1], np.arange(1, n + 1)
+        # a row whose cost exceeds the limit opens a block whatever came before: its place decides among equal sums
+        self.scale = n + 2
+        needs = np.where(cost > limit, (limit + before) * self.scale + place, (np.minimum(cost, limit) + before) * self.scale)
+        self.most = np.maximum.accumulate(needs)
+        self.next = np.searchsorted(self.most, (limit + before) * self.scale + place, "right")
+        self.threshold = limit - before - cost
+
+    def first(self, used: int) -> int:
+        """The row that opens a block when the chunk is entered with ``used``."""
+        if used > self.limit:
+            return 0
+        return int(np.searchsorted(self.most, (self.limit - used) * self.scale, "right"))
+
+    def jumps(self) -> list[np.ndarray]:
+        """Successors after 1, 2, 4, ... steps."""
+        out = [np.append(self.next, self.n)]
+        while (out[-1] < self.n).any():
+            out.append(out[-1][out[-1]])
+        return out
+
+    def exits(self, first: np.ndarray) -> list[State]:
+        """How the chunk is left if each of ``first`` opens a block."""
+        blocks, last = np.ones(len(first), np.int64), first.copy()
+        for k, jump in reversed(list(enumerate(self.jumps()))):
+            goes = jump[last] < self.n
+            last = np.where(goes, jump[last], last)
+            blocks += goes.astype(np.int64) << k
+        used = self.sums[-1] - self.sums[last]
+        return list(zip(used.tolist(), (self.n - last).tolist(), blocks.tolist()))
+
+    def places(self, state: State) -> tuple[np.ndarray, np.ndarray]:
+        """The block of each row and its place in it, entered in ``state``."""
+        used, inside, block = state
+        opened, first = np.zeros(self.n + 1, bool), self.first(used)
+        starts = np.array([first])
+        for jump in self.jumps():
+            starts = np.concatenate([starts, jump[starts]])
+        opened[starts] = True
+        opened, at = opened[:-1], np.arange(self.n)
+        begin = np.maximum.accumulate(np.where(opened, at, -inside))
+        return block + np.cumsum(opened), at - begin
 
 
 def summary(cost: np.ndarray, gain: np.ndarray, limit: int) -> Left:
-    threshold = limit - (np.cumsum(gain) - gain) - cost
-    falls = np.flatnonzero(threshold < np.minimum.accumulate(np.r_[np.int64(1) << 61, threshold[:-1]]))
-    below = np.flatnonzero(threshold[falls] < 0)
+    chunk = Chunk(cost, gain, limit)
+    falls = np.flatnonzero(chunk.threshold < np.minimum.accumulate(np.r_[np.int64(1) << 61, chunk.threshold[:-1]]))
+    below = np.flatnonzero(chunk.threshold[falls] < 0)
     falls = falls[:below[0] + 1] if below.size else falls
-    c, g, known = cost.tolist(), gain.tolist(), {}
-    return len(c), int(gain.sum()), threshold[falls].tolist(), [_run(c, g, limit, j, known) for j in falls.tolist()]
+    return len(cost), int(gain.sum()), chunk.threshold[falls].tolist(), chunk.exits(falls)
 
 
 def leave(chunk: Left, state: State) -> State:
@@ -153,15 +185,7 @@ def blocks(df: DataFrame, ordinal: str, cost: Column, gain: Column, limit: Colum
     def place(table: pa.Table) -> pa.Table:
         table, cost, gain, limit = ordered(table)
         used, inside, block = (table.column(f"_{n}")[0].as_py() for n in ("used", "inside", "block"))
-        of, at = [], []
-        for c, g in zip(cost.tolist(), gain.tolist()):
-            if used + c <= limit:
-                used += g
-            else:
-                used, inside, block = g, 0, block + 1
-            of.append(block)
-            at.append(inside)
-            inside += 1
+        of, at = Chunk(cost, gain, limit).places((used, inside, block))
         return table.select(fields).append_column("block", pa.array(of, pa.int64())).append_column("place", pa.array(at, pa.int64()))
 
     schema = ", ".join([f"`{n}` {df.schema[n].dataType.simpleString()}" for n in fields] + ["block long", "place long"])

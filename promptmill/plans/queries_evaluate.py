@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from promptmill.functions import text as tx, tokens as tk
 from promptmill.functions.arrays import indices
-from promptmill.operators import evaluate as ev, pack
+from promptmill.operators import edits, evaluate as ev, pack
 from promptmill.plans import fixtures as fx
 from promptmill.plans.fixtures import TOKEN_LOG_SQL
 from promptmill.plans.kit import (DOCS, PAIRS, cat, count, dig, digest, digit, hex_digit, joined, query, r6, table, trim,
@@ -386,6 +386,34 @@ def a17_chrf(spark, sf):
     return ev.corpus_chrf(rows, "pair_id").select(r6(F.col("chrf")).alias("chrf"))
 
 
+@query("a17_ter")
+def a17_ter(spark, sf):
+    """Edits with shifts of every answer against two references; tests compare with a plain version and with worked examples."""
+    rows = fx.pairs(spark, sf).withColumn("references", F.array("rejected", "prompt"))
+    return edits.edit_rows(rows, "pair_id", "chosen", "references")
+
+
+_WORD_LIST = "list_filter(regexp_split_to_array(lower({c}), '\\s+'), lambda w: w <> '')"
+
+
+@query("a17_ter_bounds", f"""WITH {PAIRS}, w AS (SELECT pair_id, {_WORD_LIST.format(c='chosen')} AS p, {_WORD_LIST.format(c='rejected')} AS r FROM p),
+ u AS (SELECT pair_id, unnest(p) AS t, 1 AS a, 0 AS b FROM w UNION ALL SELECT pair_id, unnest(r), 0, 1 FROM w),
+ c AS (SELECT pair_id, sum(least(a, b)) AS common FROM (SELECT pair_id, t, sum(a) AS a, sum(b) AS b FROM u GROUP BY pair_id, t) GROUP BY pair_id)
+ SELECT pair_id, len(r)::DOUBLE AS words, (greatest(len(p), len(r)) - common)::BIGINT AS least_edits, true AS within FROM w JOIN c USING (pair_id)""")
+def a17_ter_bounds(spark, sf):
+    """Words, the edits that no order of words can save, and whether the edits found lie between those and the longer text."""
+    rows = fx.pairs(spark, sf).withColumn("references", F.array("rejected"))
+    found = edits.edit_rows(rows, "pair_id", "chosen", "references")
+    sides = rows.select("pair_id", F.explode(F.array(*[F.struct(F.lit(int(k == 0)).alias("p"), F.lit(k).alias("r"), F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "").alias("t"))
+                                                       for k, c in enumerate(("chosen", "rejected"))])).alias("s"))
+    tokens = sides.select("pair_id", "s.p", "s.r", F.explode("s.t").alias("t")).groupBy("pair_id", "t").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+    counts = tokens.groupBy("pair_id").agg(F.sum("p").alias("p"), F.sum("r").alias("r"), F.sum(F.least("p", "r")).alias("common"))
+    both = found.join(counts, "pair_id")
+    least = F.greatest("p", "r") - F.col("common")
+    return both.select("pair_id", "words", least.cast("long").alias("least_edits"),
+                       ((F.col("edits") >= least) & (F.col("edits") <= F.greatest("p", "r"))).alias("within"))
+
+
 @query("a18_prediction_table", f"""{_K05}, o AS (SELECT block, place - 1 AS "range", p, o FROM pl JOIN t USING (doc_id) ORDER BY block, place LIMIT 200)
  SELECT block, "range", {dig('p')} AS prompt_ids, {dig('o')} AS completion_ids, {dig('list_transform(o, lambda z: z + 1)')} AS predicted_ids FROM o""")
 def a18(spark, sf):

@@ -53,6 +53,22 @@ def test_folds_compose():
             assert folds.leave(folds.compose(parts), state) == (used, inside, block)
 
 
+def test_chunk_places_equal_a_loop():
+    rnd = random.Random(10)
+    for _ in range(600):
+        limit = rnd.choice([0, 5, 12])
+        cost = [rnd.choice([0, 1, 2, 5, limit, limit + 1, 40]) for _ in range(rnd.randint(1, 30))]
+        gain = [rnd.choice([0, 0, 1, 3, c]) for c in cost]
+        for state in (folds.START, (0, 0, 0), (rnd.randint(0, 15), 4, 2), (limit, 1, 7)):
+            used, inside, block = state
+            want = []
+            for c, g in zip(cost, gain):
+                used, inside, block = (used + g, inside + 1, block) if used + c <= limit else (g, 1, block + 1)
+                want.append((block, inside - 1))
+            of, at = folds.Chunk(np.array(cost), np.array(gain), limit).places(state)
+            assert list(zip(of.tolist(), at.tolist())) == want
+
+
 def test_constant_length_against_loop(spark):
     rnd = random.Random(3)
     rows = [(i, i, rnd.choice([3, 20, 40, 99, 100, 130]), rnd.random() < 0.5) for i in range(200)]
