@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def by_size(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut where the texts of a column reach ``size`` bytes."""
+    import pyarrow.compute as pc
+    for batch in batches:
+        held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def texts(column: pa.Array) -> list[str]:
     """The column's texts; null is the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -11,9 +11,10 @@ text sink writes each file as one row, its line separator being the last four by
 run twice do no harm and any store that Spark knows will do.  Positions in the whole are sums over ranges and over a
 range's files, not one sorted pass.
 
-The tokenizer drops white space, lower-cases and cuts between letters and signs, so words between ASCII white space are
-encoded on their own, each once per worker while in use.  Signs are cut off behind letters that stay letters in lower case, and ASCII
-words are lower-cased first.  Words over ``LONGEST_KEPT`` bytes are not kept.
+The tokenizer drops white space, lower-cases and cuts between letters, digits and signs.  A batch of texts is cut the same way at once, by
+the classes of its bytes, into units that are encoded on their own, each once per worker while in use; ASCII letters are lower-cased
+before.  A word between white space stays whole where that would not hold: if an apostrophe stands before a letter, if it may hold a
+special token, or if letters beyond ASCII are not letters alone, before and after lower-casing.  Units over ``LONGEST_KEPT`` bytes are not kept.
 
 Defined results: null and empty texts are the end id alone; texts are never cut; rows without doc_id come first; equal
 doc_ids are put in the order of a hash of their texts; other columns are not read; an empty table writes nothing and reads as empty.
@@ -38,14 +39,20 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from promptmill.llm.common import arrow_schema, documents, place, range_starts, slices, texts
+from promptmill.llm.common import arrow_schema, by_size, documents, place, range_starts, slices, texts
 from promptmill.session import materialise, scratch_path
 
 FILE_BYTES = 16 << 20
 ROWS_A_RANGE, MOST_RANGES = 10_000, 1 << 16
-WORDS_KEPT, LONGEST_KEPT = 600_000, 64
-# letters, then ASCII signs: the tokenizer cuts between them
-_SIGNED = re.compile(rb"([A-Za-z\x80-\xff]+)([!-/:-@\[-`{-~]+)")
+UNITS_KEPT, LONGEST_KEPT, BYTES_AT_ONCE = 500_000, 64, 4 << 20
+# classes of bytes: white space, letters and all beyond ASCII, digits, signs and the rest
+BLANK, LETTER, DIGIT, SIGN = range(4)
+_CLASS = np.full(256, SIGN, np.uint8)
+_CLASS[list(b" \t\n\r\x0b\x0c")] = BLANK
+_CLASS[[c for c in range(256) if c >= 128 or chr(c).isalpha()]] = LETTER
+_CLASS[list(b"0123456789")] = DIGIT
+_LETTERS = re.compile(rb"[A-Za-z\x80-\xff]+")
+_LOWER = np.array([c + 32 if chr(c).isalpha() and c < 91 else c for c in range(256)], np.uint8)
 # Fixed values of zstandard's seekable format: the skippable frames' magic numbers, the flag for checksums, the last bytes.
 INDEX_MAGIC, TABLE_MAGIC, CHECKSUMS, LAST = 0x184D2A51, 0x184D2A5E, 1 << 7, bytes([0xB1, 0xEA, 0x92, 0x8F])
 END_ID = 1
@@ -64,48 +71,81 @@ class Encoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.end = struct.pack("<I", end_id)
-        self.words: dict[bytes, bytes] = {}
+        self.units: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
-
-    def _encode(self, batch: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([p.decode() for p in batch], add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _parts(self, word: bytes) -> tuple[bytes, ...]:
-        """Pieces that the tokenizer encodes on their own: signs behind letters cut off, ASCII letters lower-cased."""
-        if b"<|" in word:  # may hold a special token, which is told by its case
-            return (word,)
-        cut = _SIGNED.fullmatch(word)
-        if word.isascii():
-            return (cut[1].lower(), cut[2]) if cut else (word.lower(),)
-        return cut.groups() if cut and cut[1].decode().lower().isalpha() else (word,)
+        self.mixed: set[bytes] = set()  # runs beyond ASCII that are not letters alone
+
+    def _cut(self, data: np.ndarray) -> tuple[pa.Array, list[bytes], np.ndarray]:
+        """The units of the bytes, as places in a list of different ones, that list, and where each unit begins."""
+        kind = _CLASS[data]
+        inside = kind != BLANK
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1]
+        begins, word = np.flatnonzero(begin), np.cumsum(begin, dtype=np.int32) - 1
+        whole = np.zeros(len(begins), bool)
+        whole[word[:-1][(data[:-1] == ord("'")) & (kind[1:] == LETTER)]] = True
+        whole[word[:-1][(data[:-1] == ord("<")) & (data[1:] == ord("|"))]] = True
+        edge = kind == DIGIT
+        edge[1:] |= kind[1:] != kind[:-1]
+        plain, place = _LOWER[data], np.cumsum(inside, dtype=np.int32) - 1
+        while True:
+            free = ~whole[word] if len(begins) else inside
+            starts = edge & free
+            starts[begins] = True
+            starts = np.flatnonzero(starts & inside)
+            kept = np.where(free, plain, data)[inside]
+            offsets = np.append(place[starts], len(kept)).astype(np.int32)
+            units = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode()
+            names = units.dictionary.to_numpy(zero_copy_only=False).tolist()
+            for u, ids in zip(names, map(self.units.get, names)):
+                if ids is None and not u.isascii() and _LETTERS.fullmatch(u):
+                    text = u.decode()
+                    if not (text.isalpha() and text.lower().isalpha()):
+                        self.mixed.add(u)
+            odd = self.mixed.intersection(names)
+            if not odd:
+                return units.indices, names, starts
+            known = np.fromiter(map(odd.__contains__, names), bool, len(names))
+            found = np.unique(word[starts[known[units.indices.to_numpy()]]])
+            if whole[found].all():
+                return units.indices, names, starts
+            whole[found] = True
 
     def _learn(self, fresh: list[bytes]) -> None:
-        known = self.words
-        parts = [self._parts(w) for w in fresh]
-        new = list({p for own in parts for p in own}.difference(known))
-        known.update(zip(new, self._encode(new)))
-        for w, own in zip(fresh, parts):
-            if w not in known:
-                known[w] = known[own[0]] + known[own[1]] if len(own) == 2 else known[own[0]]
+        found = self.library.encode_batch_fast([u.decode() for u in fresh], add_special_tokens=False)
+        self.units.update(zip(fresh, [array("I", e.ids).tobytes() for e in found]))
 
     def batch(self, batch: list[str]) -> list[bytes]:
-        own = [t.encode().split() for t in batch]
-        words, fresh = self.words, []
-        for w in set().union(*own).difference(words):
-            if (old := self.before.get(w)) is not None:
-                words[w] = old
-            else:
-                fresh.append(w)
-        if fresh:
-            self._learn(fresh)
-        out = [b"".join([*map(words.__getitem__, w), self.end]) for w in own]
-        for w in fresh:
-            if len(w) > LONGEST_KEPT:
-                for p in {w, *self._parts(w)}:
-                    words.pop(p, None)
-        if len(words) > WORDS_KEPT:
-            self.before, self.words = words, {}
+        """The ids of each text, with the end id, as bytes."""
+        texts = [t.encode() for t in batch]
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        if not len(data):
+            return [self.end for _ in batch]
+        places, names, starts = self._cut(data)
+        units, fresh = self.units, []
+        found = list(map(units.get, names))
+        if None in found:
+            for u, ids in zip(names, found):
+                if ids is None:
+                    if (old := self.before.get(u)) is not None:
+                        units[u] = old
+                    else:
+                        fresh.append(u)
+            if fresh:
+                self._learn(fresh)
+            found = list(map(units.__getitem__, names))
+        ids = pa.array(found, pa.large_binary()).take(places)
+        _, offsets, held = ids.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        ends = np.cumsum([len(t) + 1 for t in texts])  # where the next text begins
+        edges = [0, *offsets[np.searchsorted(starts, ends)].tolist()] if len(ids) else [0] * (len(texts) + 1)
+        view = memoryview(held) if held is not None else b""
+        out = [bytes(view[a:b]) + self.end for a, b in zip(edges, edges[1:])]
+        for u in fresh:
+            if len(u) > LONGEST_KEPT:
+                del units[u]
+        if len(units) > UNITS_KEPT:
+            self.before, self.units, self.mixed = units, {}, set()
         return out
 
 
@@ -180,7 +220,7 @@ def write(docs: DataFrame, path: str, model: str | None = None, end_id: int = EN
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, press = encoder(model, end_id), zstandard.ZstdCompressor(level=1, write_content_size=True)
-        for b in slices(batches, 256):
+        for b in by_size(batches, 1, BYTES_AT_ONCE):
             ids = own.batch(texts(b.column(1)))
             keys, hashes = b.column(0), b.column(2)
             ranges = [bisect_right(starts, place(k, h)) - 1 for k, h in zip(keys.to_pylist(), hashes.to_pylist())]

@@ -32,11 +32,11 @@ def test_word_by_word_equals_the_library():
     own = t.Encoder(t.default_model(), 1)
     batch = strings(4000) + ["", " ", "x" * 3000, "İ!", "İ,", "DİYARBAKİ,", "İİ ... İ. i̇!", "a\x1c! b\x7f? \x00.", "Σ! ΑΣ, ΑΣ", "Ⅷ! ½. x²,", "aÅ!", "\u1e9e!"]
     assert own.batch(batch) == [ids(x) for x in batch]
-    assert not any(len(w) > t.LONGEST_KEPT for w in own.words)
+    assert not any(len(w) > t.LONGEST_KEPT for w in own.units)
 
 
 def test_results_do_not_depend_on_batches(monkeypatch):
-    monkeypatch.setattr(t, "WORDS_KEPT", 30)
+    monkeypatch.setattr(t, "UNITS_KEPT", 30)
     monkeypatch.setattr(t, "LONGEST_KEPT", 4)
     batch = strings(400) + ["DİYARBAKİ, İ!"] * 3
     want = [ids(x) for x in batch]
