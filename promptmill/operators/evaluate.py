@@ -11,6 +11,7 @@ from promptmill.functions.text import col_of, cut_at, first_present, normalise_o
 from promptmill.functions.tokens import IGNORED, token_count, token_texts
 from promptmill.operators.labels import split_labelled
 from promptmill.operators.pack import unpacked
+from promptmill.session import materialise
 
 # Joins ----------------------------------------------------------------------------------
 
@@ -226,37 +227,62 @@ def perplexity(losses: DataFrame, text: str, pos: str = "pos", loss: str = "loss
 # Timing ---------------------------------------------------------------------------------
 
 
+# values a task may rank, and parts a bucket is cut into
+RANKED_VALUES, BUCKET_PARTS = 65_536, 65_536
+
+
 def value_bucket(v: Column) -> Column:
     """A monotone bucket about 0.1% wide over the whole range of doubles."""
-    return F.floor(F.asinh(v) * 1024).cast("long")
+    return F.when(F.isnan(v), 1 << 20).otherwise(F.floor(F.least(F.greatest(F.asinh(v), F.lit(-800.0)), F.lit(800.0)) * 1024)).cast("long")
 
 
-def values_at(df: DataFrame, by: list[str], value: str, wanted: dict[str, Callable[[Column], Column]]) -> DataFrame:
+def values_at(df: DataFrame, by: list[str], value: str, wanted: dict[str, Callable[[Column], Column]],
+              ranked_values: int = RANKED_VALUES) -> DataFrame:
     """Exact order statistics: per group and label the value at a 0-based index that depends on the row count.
 
-    Counting narrow value buckets finds the bucket an index falls in; only that bucket's
-    distinct values are ranked.  Both steps combine before the shuffle and no window
-    sees a whole group.  An index past the end gives NaN.
+    A radix select: counting narrow value buckets finds the bucket an index falls in.  While a bucket that was hit
+    holds more than ``ranked_values`` rows of different values, it is cut into ``BUCKET_PARTS`` equal parts between its lowest
+    and highest value, and those are counted.  Three cuts reach single doubles, whatever the values are.  The distinct
+    values of the last buckets are ranked.  All counting combines before the shuffle.  An index past the end gives NaN.
     """
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).withColumn("_b", value_bucket(F.col("_v")))
-    counts = rows.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).withColumn("_p", value_bucket(F.col("_v")).cast("string"))
+    counted = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    counts = rows.groupBy(*by, "_p").agg(*counted)
     group = Window.partitionBy(*by)
-    below = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumns({"_lo": F.coalesce(F.sum("_n").over(below), F.lit(0)), "_total": F.sum("_n").over(group)})
-    asks = F.array(*[F.struct(F.lit(k).alias("label"), f(F.col("_total")).cast("long").alias("at"))
-                     for k, f in wanted.items()])
-    hits = placed.withColumn("_ask", F.explode(F.filter(asks, lambda a: (a["at"] >= F.col("_lo")) & (
-        a["at"] < F.col("_lo") + F.col("_n"))))).select(
-        *by, "_b", F.col("_ask.label").alias("label"), (F.col("_ask.at") - F.col("_lo")).alias("_at"))
-    near = rows.join(hits.select(*by, "_b").distinct(), [*by, "_b"], "left_semi")
-    distinct = near.groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    under = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.unboundedPreceding, -1
+    lower = F.coalesce(F.sum("_n").over(group.orderBy("_low").rowsBetween(*below)), F.lit(0))
+    placed = counts.withColumns({"_lo": lower, "_total": F.sum("_n").over(group)})
+    asks = F.array(*[F.struct(F.lit(k).alias("label"), f(F.col("_total")).cast("long").alias("at")) for k, f in wanted.items()])
+    inside = F.filter(asks, lambda a: (a["at"] >= F.col("_lo")) & (a["at"] < F.col("_lo") + F.col("_n")))
+    told = [F.col("_ask.label").alias("label"), (F.col("_ask.at") - F.col("_lo")).alias("_at")]
+    # every group has a row without a label, so that labels past the end are known
+    every = F.concat(inside, F.array(F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast("long").alias("at"))))
+    asked = F.when(F.col("_lo") == 0, every).otherwise(inside)
+    hits = materialise(placed.withColumn("_ask", F.explode(asked)).select(*by, "_p", *told, "_n", "_low", "_high"), "ranks")
+    groups, hits = hits.select(*by).distinct(), hits.filter("label is not null")
+    wide = (F.col("_n") > ranked_values) & (F.col("_low") < F.col("_high"))
+    while not hits.filter(wide).isEmpty():
+        cut = hits.select(*by, "_p", "_low", "_high", wide.alias("_wide")).distinct()
+        part = F.when(F.col("_wide"), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * (BUCKET_PARTS - 1))).otherwise(0)
+        rows = rows.join(cut, [*by, "_p"]).select(*by, "_v", F.col("_p").alias("_of"), F.concat("_p", F.lit("/"), part.cast("string")).alias("_p"))
+        counts = rows.groupBy(*by, "_of", "_p").agg(*counted)
+        rows = rows.drop("_of")
+        order = Window.partitionBy(*by, "_of").orderBy("_low").rowsBetween(*below)
+        placed = counts.withColumn("_lo", F.coalesce(F.sum("_n").over(order), F.lit(0)))
+        old = hits.select(*by, F.col("_p").alias("_of"), F.struct("label", F.col("_at").alias("at")).alias("_ask"))
+        near = placed.join(old, [*by, "_of"]).filter((F.col("_ask.at") >= F.col("_lo")) & (F.col("_ask.at") < F.col("_lo") + F.col("_n")))
+        hits = materialise(near.select(*by, "_p", *told, "_n", "_low", "_high"), "ranks")
+    single = hits.filter("_low = _high").select(*by, "label", F.col("_low").alias("value"))
+    several = hits.filter("_low < _high")
+    near = rows.join(several.select(*by, "_p").distinct(), [*by, "_p"], "left_semi")
+    distinct = near.groupBy(*by, "_p", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    under = Window.partitionBy(*by, "_p").orderBy("_v").rowsBetween(*below)
     ranked = distinct.withColumn("_lo", F.coalesce(F.sum("_n").over(under), F.lit(0)))
-    found = ranked.join(hits, [*by, "_b"]).filter(
+    found = ranked.join(several.select(*by, "_p", "label", "_at"), [*by, "_p"]).filter(
         (F.col("_at") >= F.col("_lo")) & (F.col("_at") < F.col("_lo") + F.col("_n")))
-    labels = counts.select(*by).distinct().withColumn("label", F.explode(F.array(*[F.lit(k) for k in wanted])))
-    return labels.join(found.select(*by, "label", F.col("_v").alias("value")), [*by, "label"], "left").withColumn(
-        "value", F.coalesce("value", F.lit(float("nan"))))
+    labels = groups.withColumn("label", F.explode(F.array(*[F.lit(k) for k in wanted])))
+    known = single.unionByName(found.select(*by, "label", F.col("_v").alias("value")))
+    return labels.join(known, [*by, "label"], "left").withColumn("value", F.coalesce("value", F.lit(float("nan"))))
 
 
 def rank_index(percent: float) -> Callable[[Column], Column]:

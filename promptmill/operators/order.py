@@ -87,5 +87,15 @@ def shuffled(df: DataFrame, seed: int | str, *keys: str) -> DataFrame:
     return df.orderBy(shuffle_key(seed, *keys), *keys)
 
 
+def ranked(df: DataFrame, group: str, ordinal_col: str, out: str = "rank", chunk_rows: int = 10_000) -> DataFrame:
+    """Number of each row in its ``group``, from 0 in the order of a dense ``ordinal_col``; a hot group is counted in chunks of the order."""
+    cut = df.withColumn("_c", chunk_of(ordinal_col, chunk_rows))
+    counts = cut.groupBy(group, "_c").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_c")) - F.col("_n")
+    starts = counts.select(group, "_c", before.alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(group, "_c").orderBy(ordinal_col)) - 1
+    return cut.withColumn("_inside", inside).join(starts, [group, "_c"]).withColumn(out, F.col("_start") + F.col("_inside")).drop("_c", "_start", "_inside")
+
+
 def chunk_of(ordinal_col: Column | str, size: int) -> Column:
     return F.floor(col_of(ordinal_col) / F.lit(size)).cast("long")

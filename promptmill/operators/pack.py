@@ -7,10 +7,10 @@ are joined to the result afterwards.  Bins, stream blocks and character buffers
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +18,7 @@ from promptmill.functions.arrays import indices, let
 from promptmill.functions.text import col_of
 from promptmill.functions.tokens import EOS, IGNORED, PAD
 from promptmill.operators import folds
-from promptmill.operators.order import chunk_of
+from promptmill.operators.order import chunk_of, ranked
 from promptmill.operators.split import batches
 from promptmill.session import materialise
 
@@ -223,16 +223,71 @@ def fits_in(lengths: np.ndarray, capacity: int, bins: int) -> bool:
     return bool(lengths.max() <= capacity and first_fit_decreasing(lengths, capacity).max() < bins)
 
 
-def ffd_pack(df: DataFrame, key: str, length: str, capacity: int, chunk_rows: int, ordinal: str = "ordinal") -> DataFrame:
-    """First-fit-decreasing bins per group of ``chunk_rows`` rows; only ids and lengths go through Python."""
-    small = df.select(chunk_of(ordinal, chunk_rows).alias("chunk"), F.col(ordinal).cast("long").alias("ordinal"),
-                      F.col(key).cast("long").alias(key), F.col(length).cast("long").alias(length))
+def ffd_segments(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int]]:
+    """First-fit decreasing over whole length classes: (length, rank, bin, per bin), where a class's items from ``rank`` on fill bins from ``bin`` on.
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("ordinal")
-        return part.assign(bin=first_fit_decreasing(part[length].to_numpy(), capacity))[["chunk", "bin", key, length]]
-
-    return small.groupBy("chunk").applyInPandas(run, f"chunk long, bin long, {key} long, {length} long")
+    Bins next to each other with equal room are one run, so a class is placed run by run, however many items it has.
+    An item leaves less than half of the room it is put into, or less than its own length, so a run is touched about as often as the capacity has bits.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    runs: list[tuple[int, int, int]] = []  # first bin, bins, room
+    bins = 0
+    for length in sorted(counts, reverse=True):
+        left, rank, after = counts[length], 0, []
+
+        def put(first: int, many: int, room: int, each: int) -> None:
+            """As many as fit into ``many`` bins, ``each`` into one."""
+            nonlocal left, rank
+            full = min(many, left // each)
+            rest = left - full * each if full < many else 0
+            for start, n, held in ((first, full, each), (first + full, 1 if rest else 0, rest), (first + full + bool(rest), many - full - bool(rest), 0)):
+                if n:
+                    if held:
+                        out.append((length, rank, start, held))
+                        rank, left = rank + n * held, left - n * held
+                    if after and after[-1][2] == room - held * length and after[-1][0] + after[-1][1] == start:
+                        after[-1] = (after[-1][0], after[-1][1] + n, after[-1][2])
+                    else:
+                        after.append((start, n, room - held * length))
+
+        for first, many, room in runs:
+            if left and length <= room:
+                put(first, many, room, room // length if length else left)
+            else:
+                after.append((first, many, room))
+        if left:
+            each = max(1, capacity // length) if length else left
+            many = -(-left // each)
+            put(bins, many, capacity, each)
+            bins += many
+        runs = after
+    return out
+
+
+def ffd_pack(df: DataFrame, key: str, length: str, capacity: int, ordinal: str = "ordinal") -> DataFrame:
+    """bin, key, length: first-fit-decreasing bins of the whole table; equal lengths in the order of the dense ``ordinal``.
+
+    Lengths are counted, so what the driver places is a row per different length (at most the capacity, where no length exceeds it); each
+    row then finds its bin from its rank among equal lengths.  An item longer than a bin gets one of its own.
+    """
+    small = df.select(F.col(ordinal).cast("long").alias("ordinal"), F.col(key).cast("long").alias(key), F.col(length).cast("long").alias(length))
+    small = materialise(small, "lengths")
+    counts = {r[0]: r[1] for r in small.groupBy(length).count().collect()}
+    segments = sorted(ffd_segments(counts, capacity))
+    sizes, starts, firsts, each = (np.array(c, np.int64) for c in zip(*segments)) if segments else (np.empty(0, np.int64),) * 4
+    begins = np.append(np.flatnonzero(np.diff(sizes, prepend=-1)), len(sizes))
+    known = sizes[begins[:-1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, rank = b.column(1).to_numpy(), b.column(2).to_numpy()
+            base = rank.max(initial=0) + starts.max(initial=0) + 1
+            of = np.searchsorted(known, own)
+            at = np.searchsorted(np.searchsorted(known, sizes) * base + starts, of * base + rank, "right") - 1
+            bins = firsts[at] + (rank - starts[at]) // each[at]
+            yield pa.RecordBatch.from_arrays([pa.array(bins), b.column(0), b.column(1)], names=["bin", key, length])
+
+    return ranked(small, length, "ordinal").select(key, length, F.col("rank").cast("long")).mapInArrow(run, f"bin long, {key} long, {length} long")
 
 
 # Packed rows, padding, unpacking --------------------------------------------------------

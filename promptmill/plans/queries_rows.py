@@ -311,18 +311,14 @@ def k03_chunked(spark, sf):
     return multipacked(spark, sf, 4096, 128).select("block", "doc_id", "n", "place")
 
 
-# rows that one first-fit-decreasing call sorts and places: part of the operation, as its result depends on it
-GROUP_ROWS = 10_000
-
-
-@query("k04_first_fit_decreasing", f"""WITH RECURSIVE {DOCS}, {LEN_SQL}, s AS MATERIALIZED (SELECT o // {GROUP_ROWS} AS chunk, row_number() OVER (PARTITION BY o // {GROUP_ROWS} ORDER BY n DESC, o) AS i, doc_id, n FROM ({_SHUFFLED})),
- f AS (SELECT chunk, i, doc_id, n, 0::BIGINT AS bin, [4096 - n] AS room FROM s WHERE i = 1 UNION ALL
- SELECT chunk, i, doc_id, n, bin, CASE WHEN bin = len(room) THEN room || [4096 - n] ELSE list_concat(room[:bin], [room[bin + 1] - n], room[bin + 2:]) END FROM (
- SELECT s.*, f.room, coalesce(list_position(list_transform(f.room, lambda x: x >= s.n), true) - 1, len(f.room))::BIGINT AS bin FROM f JOIN s ON s.chunk = f.chunk AND s.i = f.i + 1))
- SELECT chunk, bin, doc_id, n FROM f""")
+@query("k04_first_fit_decreasing", f"""WITH RECURSIVE {DOCS}, {LEN_SQL}, s AS MATERIALIZED (SELECT row_number() OVER (ORDER BY n DESC, o) AS i, doc_id, n FROM ({_SHUFFLED})),
+ f AS (SELECT i, doc_id, n, 0::BIGINT AS bin, [4096 - n] AS room FROM s WHERE i = 1 UNION ALL
+ SELECT i, doc_id, n, bin, CASE WHEN bin = len(room) THEN room || [4096 - n] ELSE list_concat(room[:bin], [room[bin + 1] - n], room[bin + 2:]) END FROM (
+ SELECT s.*, f.room, coalesce(list_position(list_transform(f.room, lambda x: x >= s.n), true) - 1, len(f.room))::BIGINT AS bin FROM f JOIN s ON s.i = f.i + 1))
+ SELECT bin, doc_id, n FROM f""")
 def k04(spark, sf):
     rows = materialise(fx.document_lengths(spark, sf).filter(F.col("n").between(2, 2048)).select("doc_id", "n"), "lengths")
-    return pack.ffd_pack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", 4096, GROUP_ROWS)
+    return pack.ffd_pack(order.shuffled_ordinal(rows, 42, "doc_id"), "doc_id", "n", 4096)
 
 
 _K05 = f"""{multipack_sql(2048)}, pl AS (SELECT block, key AS doc_id, row_number() OVER (PARTITION BY block ORDER BY n DESC, i) AS place FROM f),

@@ -1,6 +1,8 @@
 """Properties that hold at any size: order, packing, dedup, hot keys, streams against batch."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -114,11 +116,54 @@ def test_pretrain_blocks_hold_every_token(spark):
 
 def test_ffd_bins_hold_every_id_once(spark, sf):
     out = QUERIES["k04_first_fit_decreasing"](spark, sf)
-    per_bin = out.groupBy("chunk", "bin").agg(F.sum("n").alias("used"))
+    per_bin = out.groupBy("bin").agg(F.sum("n").alias("used"))
     assert per_bin.filter("used > 4096").count() == 0
     assert out.count() == out.select("doc_id").distinct().count()
 
 
+def test_ffd_segments_equal_placing_one_by_one(spark):
+    rnd = random.Random(12)
+    for k in range(400):
+        capacity = rnd.choice([1, 7, 10, 64])
+        lengths = [rnd.choice([0, 1, 2, 3, capacity, capacity + 3, rnd.randint(0, capacity)]) for _ in range(rnd.randint(0, 60))]
+        got = {}
+        for length, rank, first, each in pack.ffd_segments(dict(Counter(lengths)), capacity):
+            got.setdefault(length, []).append((rank, first, each))
+        want = pack.first_fit_decreasing(np.array(lengths, np.int64), capacity).tolist() if lengths else []
+        seen = Counter()
+        for i, n in enumerate(lengths):
+            rank, first, each = max(x for x in got[n] if x[0] <= seen[n])
+            assert first + (seen[n] - rank) // each == want[i], (lengths, capacity, i)
+            seen[n] += 1
+
+
+def test_ffd_pack_of_a_table(spark):
+    rnd = random.Random(13)
+    lengths = [rnd.choice([5, 5, 5, 300, rnd.randint(0, 400), 5000]) for _ in range(5000)]
+    rows = [(7 * i, i, n) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "id long, ordinal long, n int").repartition(5)
+    got = {r.id: r.bin for r in pack.ffd_pack(df, "id", "n", 400).collect()}
+    want = pack.first_fit_decreasing(np.array(lengths), 400).tolist()
+    assert [got[7 * i] for i in range(len(rows))] == want
+    assert pack.ffd_pack(df.limit(0), "id", "n", 400).count() == 0
+
+
+def test_order_statistics_by_radix_select(spark):
+    rnd = random.Random(14)
+    inf = float("inf")
+    groups = {"narrow": [1.0 + rnd.randrange(10 ** 9) * 1e-13 for _ in range(3000)], "equal": [2.5] * 900 + [2.5000001] * 900,
+              "mixed": [rnd.choice([-1e300, 1e300, 0.0, 5e-324, -0.5, 3.0, inf, -inf, 7.25, 7.2500001]) for _ in range(800)], "one": [4.0], "two": [1.0, 9.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(6)
+    asks = {f"p{p}": ev.rank_index(p) for p in (0, 1, 50, 90, 99)} | {"last": lambda n: n - 1, "past": lambda n: n + 0}
+    for ranked_values in (2, 50, 65_536):
+        got = {(r.g, r.label): r.value for r in ev.values_at(df, ["g"], "v", asks, ranked_values).collect()}
+        for g, vs in groups.items():
+            vs = sorted(vs)
+            for label, at in [(f"p{p}", p * len(vs) // 100) for p in (0, 1, 50, 90, 99)] + [("last", len(vs) - 1)]:
+                assert got[g, label] == vs[at], (g, label, ranked_values)
+            assert math.isnan(got[g, "past"])
+
+
 def test_ordinal_is_dense_for_sparse_keys(spark):
     rnd = random.Random(5)
     keys = sorted({rnd.randrange(2 ** 47) for _ in range(500)} | set(range(100)) | {-(2 ** 40), 2 ** 47 - 1})
