@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from promptmill.functions.text import remove_input
 from promptmill.operators.dedup import union_all
+from promptmill.sources import json_arrays
 from promptmill.sources.arrow_files import ArrowFiles
 
 # Substrings of a path that name its format, in order; json is the default.
@@ -43,9 +44,9 @@ def json_layout(spark: SparkSession, path) -> tuple[list[str], list[str]]:
 
 
 def read_json(spark: SparkSession, path, schema=None, lines: bool | None = None) -> DataFrame:
-    """JSON lines (splittable) or one JSON document per file; a record that is neither is an error.
+    """JSON lines, arrays of objects (both read in splits) or one JSON document per file; a record that is neither is an error.
 
-    ``lines`` says which; else names in .jsonl and .ndjson do, and the files themselves for all others.
+    ``lines`` says whether lines or documents; else names in .jsonl and .ndjson do, and the files themselves for all others.
     """
     def read(files, multi: bool) -> DataFrame:
         return _reader(spark, schema).option("multiLine", str(multi).lower()).option("mode", "FAILFAST").json(files)
@@ -55,8 +56,12 @@ def read_json(spark: SparkSession, path, schema=None, lines: bool | None = None)
         lines = True
     if lines is not None:
         return read(path, not lines)
-    of_lines, documents = json_layout(spark, path)
-    parts = [read(files, multi) for files, multi in ((of_lines, False), (documents, True)) if files]
+    arrays, others = json_arrays.array_files(spark, path)
+    of_lines, documents = json_layout(spark, others) if others else ([], [])
+    parts = [json_arrays.read_arrays(spark, arrays, schema)] if arrays and schema is not None else []
+    if arrays and schema is None:
+        of_lines = [*of_lines, json_arrays.as_lines(spark, arrays)]
+    parts += [read(files, multi) for files, multi in ((of_lines, False), (documents, True)) if files]
     return union_all(parts) if parts else read(path, False)
 
 
@@ -170,7 +175,11 @@ def prepared(spark: SparkSession, root: str, config: dict, build: Callable[[], D
 
 
 def json_array_to_lines(spark: SparkSession, source: str, target: str, schema=None) -> None:
-    _reader(spark, schema).option("multiLine", "true").json(source).write.json(target)
+    """Each record of the arrays as a line; with ``schema`` its fields alone, in that order."""
+    if schema is not None:
+        json_arrays.read_arrays(spark, source, schema).write.json(target)
+    else:
+        json_arrays.record_texts(spark, source).select("record").write.text(target)
 
 
 def prediction_rows(df: DataFrame, decoded: str = "decoded", given: str = "input") -> DataFrame:
