@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.functions.json_text import json_string, spaced_json
 from promptmill.functions.text import col_of, fill, rstrip, strip
 
 # Source role names and what they become.
@@ -273,6 +274,94 @@ def render_chat(messages: Column | str, name: str, add_generation_prompt: bool =
     return F.when(~refused, text)
 
 
+# Tools in chats -------------------------------------------------------------------------
+
+# What two templates say around tool lists, calls and responses.
+QWEN_TOOLS = ("\n\n# Tools\n\nYou may call one or more functions to assist with the user query.\n\nYou are provided with function "
+              "signatures within <tools></tools> XML tags:\n<tools>",
+              "\n</tools>\n\nFor each function call, return a json object with function name and arguments within <tool_call></tool_call> "
+              "XML tags:\n<tool_call>\n{\"name\": <function-name>, \"arguments\": <args-json-object>}\n</tool_call><|im_end|>\n")
+QWEN_CALL = ("\n<tool_call>\n{\"name\": \"", "\", \"arguments\": ", "}\n</tool_call>")
+QWEN_RESPONSE = ("\n<tool_response>\n", "\n</tool_response>")
+HEADER_TOOLS = ("Given the following functions, please respond with a JSON for a function call with its proper arguments that best answers the given "
+                "prompt.\n\nRespond in the format {\"name\": function name, \"parameters\": dictionary of argument name and its value}."
+                "Do not use variables.\n\n")
+HEADER_TOOLS_IN_SYSTEM = ("You have access to the following functions. To call a function, please respond with JSON for a function call."
+                          "Respond in the format {\"name\": function name, \"parameters\": dictionary of argument name and its value}."
+                          "Do not use variables.\n\n")
+HEADER_CALL = ("{\"name\": \"", "\", \"parameters\": ", "}")
+HEADER_ENVIRONMENT = "Environment: ipython\n"
+
+
+def _calls(m: Column, marks: tuple[str, str, str]) -> Column:
+    """Tool calls of a message, an array of (name, arguments as JSON text); empty where there are none."""
+    calls = F.coalesce(m["tool_calls"], F.array().cast("array<struct<name:string,arguments:string>>"))
+    return F.transform(calls, lambda c: F.concat(F.lit(marks[0]), c["name"], F.lit(marks[1]), spaced_json(c["arguments"]), F.lit(marks[2])))
+
+
+def render_qwen_tools(messages: Column | str, tools: Column | str, add_generation_prompt: bool = False) -> Column:
+    """The qwen_25 chat with a tool list (an array of JSON texts, null or empty for none), tool calls and responses.
+
+    ``messages`` has role, content and tool_calls.  Responses that follow each other share one turn.
+    """
+    t, m, listed = chat_template("qwen_25"), col_of(messages), F.coalesce(col_of(tools), F.array().cast("array<string>"))
+    leads = F.coalesce(m[0]["role"] == "system", F.lit(False))
+    system = F.when(leads, m[0]["content"]).otherwise(t.default_system)
+    shown = F.array_join(F.transform(listed, lambda x: F.concat(F.lit("\n"), spaced_json(x))), "")
+    opening = F.concat(F.lit(t.system[0]), system, F.when(F.size(listed) > 0, F.concat(F.lit(QWEN_TOOLS[0]), shown, F.lit(QWEN_TOOLS[1])))
+                       .otherwise(t.system[1]))
+
+    def is_tool(i: Column) -> Column:
+        return F.coalesce(F.get(m, i)["role"] == "tool", F.lit(False))
+
+    def piece(x: Column, i: Column) -> Column:
+        start, end = F.concat(F.lit("<|im_start|>"), x["role"]), F.lit("<|im_end|>\n")
+        plain = F.concat(start, F.lit("\n"), x["content"], end)
+        calls = _calls(x, QWEN_CALL)
+        called = F.concat(start, F.when(F.length(x["content"]) > 0, F.concat(F.lit("\n"), x["content"])).otherwise(""), F.array_join(calls, ""), end)
+        response = F.concat(F.when(~is_tool(i - 1), "<|im_start|>user").otherwise(""), F.lit(QWEN_RESPONSE[0]), x["content"],
+                            F.lit(QWEN_RESPONSE[1]), F.when(~is_tool(i + 1), end).otherwise(""))
+        return (F.when((x["role"] == "system") & (i == 0), "").when((x["role"] == "assistant") & (F.size(calls) > 0), called)
+                .when(x["role"].isin("user", "system", "assistant"), plain).when(x["role"] == "tool", response).otherwise(""))
+
+    return F.concat(opening, F.array_join(F.transform(m, piece), ""), F.lit(t.generation if add_generation_prompt else ""))
+
+
+def render_header_tools(messages: Column | str, tools: Column | str, add_generation_prompt: bool = False, in_user_message: bool = True,
+                        bos: str = "<s>") -> Column:
+    """The llama3_2_vision chat with a tool list (null for none, as JSON with four spaces a level), tool calls and responses.
+
+    Tools stand in front of the first message, or in the system message; a response is a JSON string.  Null where a message has several calls, or where no
+    message is there to put the tools in.
+    """
+    t, m = chat_template("llama3_2_vision"), col_of(messages)
+    listed, given = col_of(tools), col_of(tools).isNotNull()
+    leads = F.coalesce(m[0]["role"] == "system", F.lit(False))
+    rest = F.when(leads, tail(m)).otherwise(m)
+    shown = F.array_join(F.transform(listed, lambda x: F.concat(spaced_json(x, 4), F.lit("\n\n"))), "")
+    mark, dates = t.system[0].split("\n\n", 1)
+    opening = F.concat(F.lit(bos + mark + "\n\n"), F.when(given, HEADER_ENVIRONMENT).otherwise(""), F.lit(dates),
+                       F.when(given, F.concat(F.lit(HEADER_TOOLS_IN_SYSTEM), shown)).otherwise("") if not in_user_message else F.lit(""),
+                       F.when(leads, strip(m[0]["content"])).otherwise(""), F.lit(t.system[1]))
+
+    def header(role: Column | str) -> Column:
+        return F.concat(F.lit("<|start_header_id|>"), F.lit(role) if isinstance(role, str) else role, F.lit("<|end_header_id|>\n\n"))
+
+    def piece(x: Column) -> Column:
+        end = F.lit("<|eot_id|>")
+        return (F.when(x["tool_calls"].isNotNull(), F.concat(header("assistant"), F.get(_calls(x, HEADER_CALL), F.lit(0)), end))
+                .when(x["role"].isin("tool", "ipython"), F.concat(header("ipython"), json_string(x["content"]), end))
+                .otherwise(F.concat(header(x["role"]), x["content"], end)))
+
+    first = F.concat(header("user"), F.lit(HEADER_TOOLS), shown, strip(F.get(rest, F.lit(0))["content"]), F.lit("<|eot_id|>"))
+    moved = given if in_user_message else F.lit(False)
+    turns = F.when(moved, tail(rest)).otherwise(rest)
+    text = F.concat(opening, F.when(moved, first).otherwise(""), F.array_join(F.transform(turns, piece), ""),
+                    F.lit(t.generation if add_generation_prompt else ""))
+    refused = F.exists(turns, lambda x: x["tool_calls"].isNotNull() & (F.size(x["tool_calls"]) != 1)) | (moved & (F.size(rest) == 0))
+    return F.when(~refused, text)
+
+
 def answer_text(content: Column | str, name: str, eos: str = "</s>") -> Column:
     """An answer as the template closes it: the answer's text and what follows, right-stripped."""
     t = chat_template(name)

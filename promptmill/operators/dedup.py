@@ -10,20 +10,30 @@ from pyspark.sql import functions as F
 from promptmill.session import materialise
 
 
+def row_text(*columns: str) -> Column:
+    """The row as JSON: field names and null stay apart from text."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
 def row_hash(*columns: str) -> Column:
-    """SHA-256 of the row as JSON: field names and null stay apart from text."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    return F.sha2(row_text(*columns), 256)
 
 
-def dedup(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
+def dedup(df: DataFrame, key: str, columns: list[str] | None = None, hashed: Column | None = None) -> DataFrame:
     """One row per distinct content: the one with the smallest ``key``.
 
-    Only (hash, key) goes through the aggregate, and equal hashes combine before the
-    shuffle, so a content that fills a third of the table costs one row per task.
-    The kept keys then pick whole rows by a semi join on the unique key.
+    (hash, key) goes through the first aggregate, and equal hashes combine before the shuffle, so a content that fills a
+    third of the table costs one row per task.  Rows whose hash is not theirs alone are compared: a second aggregate over those
+    takes the content itself as its key, again combined before the shuffle, so equal copies send one text per
+    task and different rows with an equal hash all stay.  The kept keys then pick whole rows by a semi join on the unique key.
+    ``hashed`` replaces the hash, for tests.
     """
     content = columns or [c for c in df.columns if c != key]
-    kept = df.groupBy(row_hash(*content).alias("_hash")).agg(F.min(key).alias(key)).select(key)
+    own = row_hash(*content) if hashed is None else hashed
+    groups = materialise(df.groupBy(own.alias("_hash")).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("_n")), "row-hashes")
+    shared = df.withColumn("_hash", own).join(groups.filter("_n > 1").select("_hash"), "_hash", "left_semi")
+    compared = shared.groupBy("_hash", row_text(*content).alias("_row")).agg(F.min(key).alias(key))
+    kept = groups.filter("_n = 1").select(key).unionByName(compared.select(key))
     return df.join(kept, key, "left_semi")
 
 

@@ -229,6 +229,16 @@ def test_dedup_of_a_hot_text(spark):
     assert dedup.dedup(kept, "doc_id").count() == kept.count()
 
 
+def test_rows_with_an_equal_hash_are_compared(spark):
+    rows = [(k, f"t{k % 7}" if k % 3 else None, k % 2) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, text string, n int").repartition(5)
+    want = {}
+    for k, text, n in rows:
+        want.setdefault((text, n), k)
+    for hashed in (None, F.lit("one"), F.col("n").cast("string"), F.substring(dedup.row_hash("text", "n"), 1, 1)):
+        assert sorted(tuple(r) for r in dedup.dedup(df, "id", hashed=hashed).collect()) == sorted((k, *c) for c, k in want.items())
+
+
 def test_cross_dedup_removes_all_train_texts(spark):
     d = hot_documents(spark)
     train, evaluation = dedup.cross_dedup(d.filter("doc_id < 1000"), d.filter("doc_id >= 1000"), "doc_id")
