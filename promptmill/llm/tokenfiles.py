@@ -44,7 +44,7 @@ from promptmill.session import materialise, scratch_path
 
 FILE_BYTES = 16 << 20
 ROWS_A_RANGE, MOST_RANGES = 10_000, 1 << 16
-UNITS_KEPT, LONGEST_KEPT, BYTES_AT_ONCE = 500_000, 64, 4 << 20
+UNITS_KEPT, LONGEST_KEPT, BYTES_AT_ONCE = 300_000, 64, 1 << 20
 # classes of bytes: white space, letters and all beyond ASCII, digits, signs and the rest
 BLANK, LETTER, DIGIT, SIGN = range(4)
 _CLASS = np.full(256, SIGN, np.uint8)
