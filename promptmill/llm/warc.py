@@ -11,7 +11,8 @@ reader searches for the next position from which a record can be read whole, goe
 a quarantined gap with the reason.  Revisits keep the length and digest of the full payload in their headers.
 
 Joins carry ids and digests; a payload held by very many pages is one row on the small side, and Spark splits the
-large side.  Files hold at most ``ROWS_A_FILE`` records.
+large side.  Files are cut at about ``FILE_BYTES``.
+A salvage search looks at each stretch once: it goes on from the next mark that is already known.
 
 Defined results: null html is the empty payload; equal payloads under LEAST bytes are all responses; rows that repeat
 the smallest page_id are responses too; a null page_id is never the smallest, and pages that have no other share the
@@ -34,7 +35,9 @@ from promptmill.llm.common import arrow_schema, slices
 from promptmill.session import scratch_path
 
 LEAST = 100
-ROWS_A_FILE = 10_000
+# a header has no longer line and no more fields
+LONGEST_VERSION, LONGEST_LINE, MOST_FIELDS = 16, 1 << 20, 100
+FILE_BYTES = 16 << 20
 # Fixed values of the formats: version line, ends of lines and records, start of a gzip member, an empty member.
 VERSION, LINE, END, MEMBER = b"WARC/1.1", b"\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes([31, 139, 8, 0, 0, 0, 0, 0, 0, 255, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
@@ -59,8 +62,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return VERSION + LINE + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + LINE + block + END
 
 
-def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1) -> None:
-    """Archives of ``pages`` (page_id long, url, html) in a new folder ``path``."""
+def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1, file_bytes: int = FILE_BYTES) -> None:
+    """Archives of ``pages`` (page_id long, url, html), of about ``file_bytes`` or one longer record each, in a new folder ``path``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2("html", 256))
@@ -69,32 +72,71 @@ def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1) -> No
     rows = rows.join(first, "digest", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 256):
+        held, size = [], 0
+        for b in slices(batches, 64):
             digest, page, url, html, first = (b.column(b.schema.names.index(n)).to_pylist() for n in ("digest", "page_id", "url", "html", "first"))
             made = [gzip.compress(record(p, u, h.encode(), d, None if f is None or f == p else f), level, mtime=0)
                     for d, p, u, h, f in zip(digest, page, url, html, first)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["member"])
+            for member in made:
+                if held and size + len(member) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["member"])
+                    held, size = [], 0
+                held.append(member)
+                size += len(member)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["member"])
 
     members = rows.mapInArrow(run, "member binary")
     # a cast of bytes to string keeps the bytes as they are, and the sink writes them so
     (members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", EMPTY_MEMBER.decode("latin-1"))
-     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", ROWS_A_FILE).text(path))
+     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path))
+
+
+class Marks:
+    """Places of marks in the data, asked for from rising places: each stretch is searched once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.known = data, {}
+
+    def next(self, mark: bytes, at: int) -> int:
+        """The first place of ``mark`` at or after ``at``, the end of the data if there is none."""
+        place = self.known.get(mark, -1)
+        if place < at:
+            place = self.data.find(mark, at)
+            place = self.known[mark] = len(self.data) if place < 0 else place
+        return place
+
+
+def _header(data: bytes, start: int) -> tuple[dict[str, str], int]:
+    """Named fields of the record at ``start`` and where its block begins; it ends at the first line that is no field."""
+    at, head = data.find(LINE, start, start + LONGEST_VERSION) + 2, {}
+    lines = 0
+    if at < 2 or not data.startswith(b"WARC/1.", start):
+        raise ValueError("no version line or header")
+    while not data.startswith(LINE, at):
+        end = data.find(LINE, at, at + LONGEST_LINE)
+        name, sign, value = data[at:end].partition(b":") if end >= 0 else (b"", b"", b"")
+        lines += 1
+        if not sign or lines > MOST_FIELDS:
+            raise ValueError("no version line or header" if end < 0 else "bad header")
+        try:
+            head[name.decode().lower()] = value.decode().strip()
+        except UnicodeDecodeError:
+            raise ValueError("bad header") from None
+        at = end + 2
+    return head, at + 2
 
 
 def _parse(data: bytes, start: int = 0) -> tuple[dict, int]:
     """Fields of the record at ``start`` and where it ends; ValueError says which check failed."""
-    cut = data.find(END, start)
-    if not data.startswith(b"WARC/1.", start) or cut < 0:
-        raise ValueError("no version line or header")
-    try:
-        lines = data[start:cut].decode().split("\r\n")
-        head = {k.lower(): v.strip() for k, v in (line.split(":", 1) for line in lines[1:])}
-        size = int(head["content-length"])
-    except (ValueError, KeyError):
-        raise ValueError("bad header") from None
-    block, stop = data[cut + 4:cut + 4 + size], cut + 4 + size
-    if size < 0 or len(block) < size or data[stop:stop + 4] != END:
+    head, begin = _header(data, start)
+    if not head.get("content-length", "").isdecimal():
+        raise ValueError("bad header")
+    size, cut = int(head["content-length"]), begin - 4
+    stop = cut + 4 + size
+    if not data.startswith(END, stop):
         raise ValueError("length does not fit")
+    block = data[cut + 4:stop]
     if head.get("warc-block-digest", "").removeprefix("sha256:") != hashlib.sha256(block).hexdigest():
         raise ValueError("digest does not fit")
     at = block.find(END)
@@ -121,13 +163,15 @@ def _member(data: memoryview, at: int) -> tuple[bytes, int]:
         piece = data[end:end + step]  # few bytes at once: what is left over is copied
         out.append(unpack.decompress(piece))
         end += len(piece)
+        if not unpack.eof and not any(out):
+            raise ValueError("member without content")  # a name without end, say
         step = min(2 * step, 1 << 20)
     return b"".join(out), end - len(unpack.unused_data)
 
 
 def records(data: bytes) -> Iterator[tuple[dict | None, int, int, str]]:
     """(fields, start, end, "") of each good record, (None, start, end, reason) of each quarantined gap, in file order."""
-    at, gap, reason = 0, None, ""
+    at, gap, reason, marks = 0, None, "", Marks(data)
 
     def read(at: int) -> tuple[dict | None, int]:
         if data.startswith(MEMBER, at):
@@ -151,8 +195,7 @@ def records(data: bytes) -> Iterator[tuple[dict | None, int, int, str]]:
         except ValueError as failed:
             if gap is None:
                 gap, reason = at, str(failed)
-            found = [x for x in (data.find(MEMBER, at + 1), data.find(b"WARC/1.", at + 1)) if x >= 0]
-            at = min(found, default=len(data))
+            at = min(marks.next(MEMBER, at + 1), marks.next(b"WARC/1.", at + 1))
             continue
         if gap is not None:
             yield None, gap, at, reason

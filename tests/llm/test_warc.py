@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+import time
 
 from promptmill.llm import warc
 
@@ -94,3 +95,23 @@ def test_gaps_are_logged(spark, tmp_path):
     assert [r.page_id for r in rows if not r.reason] == [0, 2]
     gap = next(r for r in rows if r.reason)
     assert (gap.start, gap.end) == (len(whole[0]), len(whole[0]) + len(whole[1]) - 20)
+
+
+def test_damage_takes_linear_time():
+    good = gzip.compress(warc.record(5, "u", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None), mtime=0)
+    for junk in (b"WARC/1.1\r\n" * 800_000, b"WARC/1." * 400_000, b"WARC/1.1\r\nA: b\r\n" * 200_000, b"A: WARC/1.1\r\n" * 20_000, b"\x1f\x8b\x08" * 300_000,
+                 b"WARC/1.1\r\nContent-Length: 99999999\r\n\r\n" * 60_000):
+        start = time.process_time()
+        found = list(warc.records(junk + good))
+        assert time.process_time() - start < 15
+        assert found[-1][0]["page_id"] == 5 and all(f is None for f, *_ in found[:-1]) and found[0][1:3] == (0, len(junk))
+
+
+def test_files_are_cut_by_bytes(spark, tmp_path):
+    rows = [(k, f"u{k}", str(k) * (3000 if k % 9 else 300_000)) for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(pages, str(tmp_path / "w"), file_bytes=2000)
+    names = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert len(names) > 5
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, str(tmp_path / "w")).filter("record_type = 'response'").collect()}
+    assert all(got[k] == html for k, _, html in rows)
