@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import col_of, fill, filled, template_fields
+from promptmill.functions.yaml_text import yaml_block
 from promptmill.operators.chat import render_chat
 
 
@@ -265,26 +266,9 @@ CREATIVE_ANSWER_SYSTEM = ("Answer the following question in a comprehensive, in-
 CREATIVE_TURN = "USER: {instruction}\nASSISTANT:"
 
 
-def yaml_block(df: DataFrame, field: str, indent: int = 0) -> Column:
-    """A struct column as ``key: value`` lines, keys sorted, nested structs indented."""
-
-    def lines(path: str, schema, depth: int) -> list[Column]:
-        out = []
-        for f in sorted(schema.fields, key=lambda f: f.name):
-            pad, where = "  " * depth, f"{path}.{f.name}"
-            if hasattr(f.dataType, "fields"):
-                out.append(F.lit(f"{pad}{f.name}:\n"))
-                out.extend(lines(where, f.dataType, depth + 1))
-            else:
-                out.append(F.concat(F.lit(f"{pad}{f.name}: "), F.col(where).cast("string"), F.lit("\n")))
-        return out
-
-    return F.concat(*lines(field, df.schema[field].dataType, indent))
-
-
 def map_critique(df: DataFrame, kind: str) -> list[Column]:
     """Answer, critique or revise rows as instruction and output."""
-    evaluation = F.concat(yaml_block(df, "scores"), yaml_block(df, "critiques"))
+    evaluation = F.concat(yaml_block("scores"), yaml_block("critiques"))
     given = {"question": "instruction", "answer": "answer", "evaluation": evaluation}
     source, target = {
         "answer": (F.col("instruction"), F.col("revision")),
