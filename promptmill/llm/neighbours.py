@@ -84,8 +84,9 @@ def _exact(q: np.ndarray, c: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.nda
     for at in range(0, x.size, PAIRS):
         own = slice(at, at + PAIRS)
         a, b = q[x[own]], c[y[own]]
-        for d in range(q.shape[1]):
-            total[own] += a[:, d] * b[:, d]
+        with np.errstate(over="ignore", invalid="ignore"):
+            for d in range(q.shape[1]):
+                total[own] += a[:, d] * b[:, d]
     return total
 
 
@@ -98,13 +99,18 @@ def tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
     step = max(1, TILE // len(c))
     for at in range(0, len(q), step):
         rows = slice(at, at + step)
-        scales = np.outer(qs[rows], cs)
-        near = (qa[rows].astype(holds) @ ca).astype(np.float64) * scales
-        error = ((np.outer(qs[rows], c1) + np.outer(q1[rows], cs)) / 2 + dim / 4 * scales) * ROOM
+        with np.errstate(over="ignore", invalid="ignore"):
+            scales = np.outer(qs[rows], cs)
+            near = (qa[rows].astype(holds) @ ca).astype(np.float64) * scales
+            error = ((np.outer(qs[rows], c1) + np.outer(q1[rows], cs)) / 2 + dim / 4 * scales) * ROOM
+            low, high = near - error, near + error
+        bounded = np.isfinite(low) & np.isfinite(high)
+        if not bounded.all():  # beyond the range of doubles: nothing is known
+            low, high = np.where(bounded, low, -np.inf), np.where(bounded, high, np.inf)
         own = q_ids[rows][:, None] == c_ids[None, :]
-        low = np.where(own, -np.inf, near - error)
+        low = np.where(own, -np.inf, low)
         least = np.partition(low, low.shape[1] - k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(low), -np.inf)
-        x, y = np.nonzero((near + error >= least[:, None]) & ~own)
+        x, y = np.nonzero((high >= least[:, None]) & ~own)
         score = _exact(q[rows], c, x, y)
         order = np.lexsort((c_ids[y], -score, x))
         x, y, score = x[order], y[order], score[order]

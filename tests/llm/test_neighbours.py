@@ -61,3 +61,11 @@ def test_bound_holds():
         near = qa.astype(float) @ ca.astype(float).T * np.outer(qs, cs)
         error = (np.outer(qs, c1) + np.outer(q1, cs)) / 2 + 33 / 4 * np.outer(qs, cs)
         assert (np.abs(q @ c.T - near) <= error * n.ROOM).all()
+
+
+def test_products_beyond_the_range_of_doubles(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(size=6).tolist()) for i in range(200)]
+    rows += [(1000 + i, (r.random(6) * 10.0 ** e).tolist()) for i, e in enumerate((154, 154, 155, 155, 160, 300, 307, -300))]
+    rows += [(2000, (r.random(6) * 1e154).tolist()), (2020, (r.random(6) * 1e155).tolist()), (2040, (r.random(6) * 1e-200).tolist())]
+    assert run(spark, rows) == brute(rows, [x for x in rows if x[0] % 20 == 0], 20)
