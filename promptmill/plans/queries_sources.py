@@ -34,17 +34,18 @@ def _docs(spark, sf):
 # Sources and sinks ----------------------------------------------------------------------
 
 
-@query("s01_file_scan", """SELECT f AS format, doc_id, lang, md5(text) AS text FROM documents, (SELECT unnest(['parquet', 'csv', 'json']) AS f)
+@query("s01_file_scan", """SELECT f AS format, doc_id, lang, md5(text) AS text FROM documents, (SELECT unnest(['parquet', 'csv', 'json', 'arrow']) AS f)
  UNION ALL SELECT 'text', count(*), NULL, NULL FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents)""")
 def s01(spark, sf):
     root, d = scratch_path(spark, "s01"), _docs(spark, sf)
     d.write.parquet(f"{root}/a.parquet")
     d.write.options(**io.CSV_OPTIONS).csv(f"{root}/a.csv")
     d.write.json(f"{root}/a.data")
+    io.write_arrow(d, f"{root}/a.arrow")
     d.select("text").write.text(f"{root}/a.txt")
     parts = [io.read_files(spark, f"{root}/{name}", schema=DOC_SCHEMA).select(
         F.lit(io.detect_format(name)).alias("format"), "doc_id", "lang", F.md5("text").alias("text"))
-        for name in ("a.parquet", "a.csv", "a.data")]
+        for name in ("a.parquet", "a.csv", "a.data", "a.arrow")]
     lines = io.read_files(spark, f"{root}/a.txt").agg(F.count(F.lit(1)).alias("doc_id"))
     return dedup.union_all([*parts, lines.withColumn("format", F.lit("text"))])
 
@@ -71,10 +72,9 @@ def s03(spark, sf):
 @query("s04_named_configs", "SELECT doc_id, source, lang AS config FROM documents")
 def s04(spark, sf):
     d = _docs(spark, sf)
-    names = sorted((r.lang for r in d.select("lang").distinct().collect()), key=lambda n: (n is not None, n or ""))
-    if not names:
-        return d.select("doc_id", "source", F.col("lang").alias("config"))
-    return io.read_named(names, lambda n: d.filter(F.col("lang").isNull() if n is None else F.col("lang") == n)).select("doc_id", "source", "config")
+    root = scratch_path(spark, "s04")
+    d.select("doc_id", "source", F.col("lang").alias("config")).write.partitionBy("config").parquet(root)
+    return io.read_configs(spark, root, "doc_id long, source string, config string")
 
 
 @query("s05_load_by_suffix", "SELECT f AS format, doc_id, md5(text) AS text FROM documents, (SELECT unnest(['json', 'jsonl', 'csv', 'tsv']) AS f)")

@@ -1,11 +1,13 @@
-"""Arrow IPC files as a Spark data source: ``spark.read.format("arrow_files").schema(..).load(path)``."""
+"""Arrow IPC files as a Spark data source: ``spark.read.format("arrow_files").schema(..).load(path)`` and ``df.write.format("arrow_files").save(path)``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 BATCHES_PER_TASK = 64
@@ -72,6 +74,48 @@ class ArrowReader(DataSourceReader):
                 yield reader.get_batch(i).select(names)
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    name: str | None
+
+
+class ArrowWriter(DataSourceArrowWriter):
+    """A file per task, in the folder under a name that readers skip until all tasks are done."""
+
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite, self.job = path, overwrite, uuid.uuid4().hex
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        system, inner = _open(self.path)
+        system.create_dir(inner, recursive=True)
+        name, sink = f"part-{self.job}-{uuid.uuid4().hex}", None
+        for batch in iterator:
+            if sink is None:
+                file = system.open_output_stream(f"{inner}/{name}.unfinished")
+                sink = pa.ipc.new_file(file, batch.schema)
+            sink.write_batch(batch)
+        if sink is None:
+            return Written(None)
+        sink.close()
+        file.close()
+        return Written(name)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        system, inner = _open(self.path)
+        old = _files(self.path) if self.overwrite and any(m and m.name for m in messages) else []
+        for m in messages:
+            if m and m.name:
+                system.move(f"{inner}/{m.name}.unfinished", f"{inner}/{m.name}.arrow")
+        for name in old:
+            system.delete_file(_open(name)[1])
+
+    def abort(self, messages: list[Written | None]) -> None:
+        system, inner = _open(self.path)
+        for m in messages:
+            if m and m.name:
+                system.delete_file(f"{inner}/{m.name}.unfinished")
+
+
 class ArrowFiles(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -90,3 +134,6 @@ class ArrowFiles(DataSource):
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return ArrowReader(schema, self.options["path"])
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return ArrowWriter(self.options["path"], overwrite)

@@ -84,6 +84,12 @@ def read_format(spark: SparkSession, path, fmt: str, schema=None) -> DataFrame:
     return _reader(spark, schema).format(fmt).load(path)
 
 
+def write_arrow(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Arrow files in a folder that all machines mount, one for each task with rows."""
+    df.sparkSession.dataSource.register(ArrowFiles)
+    df.write.format("arrow_files").mode(mode).save(path)
+
+
 def read_files(spark: SparkSession, path: str, ds_type: str | None = None, data_files=None, schema=None) -> DataFrame:
     """A file or folder in a detected format; ``data_files`` names files below or instead of the path.
 
@@ -124,6 +130,15 @@ def select_split(df: DataFrame, phase: str, configured: str | None = None, known
     return df.filter(F.col("split") == wanted).drop("split")
 
 
+def read_configs(spark: SparkSession, root: str, schema: StructType | str, names: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
+    """All named configurations of a source in one scan: folders ``config=<name>`` below ``root``; ``names`` picks some before files are read.
+
+    ``schema`` has the column ``config``, a string, so that a name like 01 stays as it is.
+    """
+    found = read_format(spark, root, fmt, schema)
+    return found if names is None else found.filter(F.col("config").isin(*names))
+
+
 def read_named(names: list[str | None], read: Callable[[str | None], DataFrame]) -> DataFrame:
     """One scan per named configuration of a source, joined by column name; None is a configuration of its own."""
     return union_all([read(n).withColumn("config", F.lit(n).cast("string")) for n in names])
