@@ -11,7 +11,7 @@ reader searches for the next position from which a record can be read whole, goe
 a quarantined gap with the reason.  Revisits keep the length and digest of the full payload in their headers.
 
 Joins carry ids and digests; a payload held by very many pages is one row on the small side, and Spark splits the
-large side.  Files are cut at about ``FILE_BYTES``.
+large side.  Files are cut by bytes (``ROW_BYTES``).
 A salvage search looks at each stretch once: it goes on from the next mark that is already known.
 
 Defined results: null html is the empty payload; equal payloads under LEAST bytes are all responses; rows that repeat
@@ -37,7 +37,8 @@ from promptmill.session import scratch_path
 LEAST = 100
 # a header has no longer line and no more fields
 LONGEST_VERSION, LONGEST_LINE, MOST_FIELDS = 16, 1 << 20, 100
-FILE_BYTES = 16 << 20
+# members are joined to rows of about ROW_BYTES, and a file holds at most ROWS_A_FILE of them
+ROW_BYTES, ROWS_A_FILE = 256 << 10, 64
 # Fixed values of the formats: version line, ends of lines and records, start of a gzip member, an empty member.
 VERSION, LINE, END, MEMBER = b"WARC/1.1", b"\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes([31, 139, 8, 0, 0, 0, 0, 0, 0, 255, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
@@ -62,8 +63,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return VERSION + LINE + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + LINE + block + END
 
 
-def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1, file_bytes: int = FILE_BYTES) -> None:
-    """Archives of ``pages`` (page_id long, url, html), of about ``file_bytes`` or one longer record each, in a new folder ``path``."""
+def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1, row_bytes: int = ROW_BYTES, rows_a_file: int = ROWS_A_FILE) -> None:
+    """Archives of ``pages`` (page_id long, url, html), of about ``row_bytes * rows_a_file`` each if no record is longer, in a new folder ``path``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2("html", 256))
@@ -78,7 +79,7 @@ def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1, file_
             made = [gzip.compress(record(p, u, h.encode(), d, None if f is None or f == p else f), level, mtime=0)
                     for d, p, u, h, f in zip(digest, page, url, html, first)]
             for member in made:
-                if held and size + len(member) > file_bytes:
+                if held and size + len(member) > row_bytes:
                     yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["member"])
                     held, size = [], 0
                 held.append(member)
@@ -89,7 +90,7 @@ def write(pages: DataFrame, path: str, least: int = LEAST, level: int = 1, file_
     members = rows.mapInArrow(run, "member binary")
     # a cast of bytes to string keeps the bytes as they are, and the sink writes them so
     (members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", EMPTY_MEMBER.decode("latin-1"))
-     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path))
+     .option("encoding", "ISO-8859-1").option("maxRecordsPerFile", rows_a_file).text(path))
 
 
 class Marks:

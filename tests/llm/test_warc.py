@@ -110,7 +110,7 @@ def test_damage_takes_linear_time():
 def test_files_are_cut_by_bytes(spark, tmp_path):
     rows = [(k, f"u{k}", str(k) * (3000 if k % 9 else 300_000)) for k in range(60)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
-    warc.write(pages, str(tmp_path / "w"), file_bytes=2000)
+    warc.write(pages, str(tmp_path / "w"), row_bytes=2000, rows_a_file=4)
     names = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
     assert len(names) > 5
     got = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, str(tmp_path / "w")).filter("record_type = 'response'").collect()}
