@@ -358,8 +358,10 @@ def test_plans_prune_columns_and_push_filters(spark, sf):
     shard = plan(QUERIES["r02_shard"](spark, sf))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in shard
     assert "Exchange" not in shard.split("== Physical Plan ==")[1]
-    named = plan(QUERIES["s04_named_configs"](spark, sf))
-    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in named and "text:string" not in named.split("== Physical Plan ==")[1]
+    root = scratch_path(spark, "configs")
+    fx.documents(spark, sf).select("doc_id", "source", F.col("lang").alias("config")).write.partitionBy("config").parquet(root)
+    named = plan(io.read_configs(spark, root, "doc_id long, source string, config string", ["de"]).select("doc_id"))
+    assert "PartitionFilters: [config#" in named and "ReadSchema: struct<doc_id:bigint>" in named
     top = plan(QUERIES["t27_top_tokens"](spark, sf))
     assert "WindowGroupLimit" in top
     assert "BroadcastNestedLoopJoin" not in plan(QUERIES["p38_judge_prompt"](spark, sf))
