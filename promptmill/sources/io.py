@@ -223,10 +223,15 @@ def write_metric_summary(metrics: DataFrame, path: str) -> None:
         "emptyValue", "").csv(path)
 
 
-def text_stream(spark: SparkSession, folder: str, schema, name_filter: str = "*", files_per_trigger: int = 16) -> DataFrame:
-    """A folder of parquet files as a stream."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .option("pathGlobFilter", name_filter).parquet(folder))
+def text_stream(spark: SparkSession, folder: str, schema, name_filter: str = "*", files_per_trigger: int | None = 16) -> DataFrame:
+    """Parquet files of a folder, or folders of such files in it, as a stream; without ``files_per_trigger`` all there are make one micro-batch.
+
+    The filter is part of the path: as ``pathGlobFilter`` it would have to fit the names of the files inside a folder as well.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{folder.rstrip('/')}/{name_filter}")
 
 
 # Names looked for, in order; the first hit wins.

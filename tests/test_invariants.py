@@ -339,6 +339,21 @@ def test_stream_blocks_agree_with_batch(spark, sf):
     assert live == batch
 
 
+def test_streams_read_tables_of_many_files(spark):
+    root = scratch_path(spark, "folders")
+    rows = [(i, f"text {i} " * 30 * (i % 7), "en", "src") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(20, "doc_id").write.parquet(f"{root}/many/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{root}/one/documents.parquet")
+    for name in ("st01_stream_pretrain", "st02_stream_packed_pretrain", "s12_text_stream"):
+        many, one = (sorted(map(tuple, QUERIES[name](spark, f"{root}/{k}").collect())) for k in ("many", "one"))
+        assert many == one and one, name
+    events = spark.range(40).selectExpr("id as event_id", "timestamp_seconds(id * 60) as ts", "id % 2 as user_id", "'view' as event_type",
+                                        "if(id % 20 < 12, 50d, 1d) as value", "'{}' as props")
+    events.repartition(3, "event_id").write.parquet(f"{root}/events/events.parquet")
+    assert QUERIES["st03_stream_watchdog"](spark, f"{root}/events").count() > 0
+
+
 def test_stream_budget_batches_keep_every_request(spark, sf):
     root = scratch_path(spark, "events")
     requests = fx.events(spark, sf).select(F.col("event_id").alias("request_id"), F.col("user_id").alias("queue"),
