@@ -88,6 +88,29 @@ def test_worked_examples(hypothesis, reference, edits, shifts):
     assert ed.shifted_edits(hypothesis.split(), reference.split()) == (edits, shifts)
 
 
+def test_texts_together_and_over_64_words():
+    r = random.Random(6)
+    pairs = []
+    for k in range(12):
+        b = [r.choice("abcdefghijklmnopqrst"[:r.choice([6, 20])]) for _ in range(r.choice([0, 3, 63, 64, 65, 130]))]
+        cut = r.randrange(len(b) + 1)
+        a = [w for w in b[cut:] + b[:cut] if r.random() < 0.9] + ["z"] * (k % 3)
+        pairs.append((a, b))
+    for a, b in pairs:
+        if a and b:
+            table = ed.distance_table(np.array([ord(x) for x in a]), np.array([ord(x) for x in b]))
+            assert table[-1, -1] == plain_distance(a, b) and table[len(a) // 2, -1] == plain_distance(a[:len(a) // 2], b)
+    one = [ed.shifted_edits(a, b) for a, b in pairs]
+    assert one == ed.shifted_edits_of(pairs) == ed.shifted_edits_of(pairs, cells=5_000)
+    a, b = (f"{x} ".split() * 33 for x in ("p q", "q p"))
+    assert ed.shifted_edits(a, b) == (2, 0)
+
+
+def test_tasks_follow_rows(spark):
+    rows = spark.range(64).selectExpr("id", "'a b c' as prediction", "array('c a b') as references").coalesce(1)
+    assert ed.edit_rows(rows, "id", "prediction", "references").rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_table(spark):
     rows = [(1, "A b  c\n", ["a b c", "x"]), (2, None, ["one two"]), (3, "d e a b c", ["a b c d e", "q q q q q q q q q"]), (4, "x", []), (5, "", [""]), (6, "x y", [None])]
     df = spark.createDataFrame(rows, "id long, prediction string, references array<string>").repartition(4)
