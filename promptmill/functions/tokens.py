@@ -22,6 +22,7 @@ FIRST_WORD_ID = 16
 IGNORED = -100
 WORD_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
 INT_ARRAY = "array<int>"
+UNIT = 500_000  # characters a plugged-in tokenizer gets at a time, a tuning value
 
 
 def no_ids() -> Column:
@@ -90,13 +91,18 @@ def keep_last(text: Column | str, k: int) -> tuple[Column, Column]:
 def plug_in(load: Callable[[], Callable[[list[str]], list[list[int]]]]) -> Callable[[Column], Column]:
     """A tokenizer of the user's as a column function.
 
-    ``load`` runs once per Python worker and returns a batch encoder.
+    ``load`` runs once per Python worker and returns a batch encoder.  It gets a
+    run of texts of about ``UNIT`` characters at a time, so the ids held as Python
+    numbers do not grow with the length of the texts in a batch.
     """
 
     @F.pandas_udf(INT_ARRAY)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = load()
         for texts in batches:
-            yield pd.Series(encoder(texts.fillna("").tolist()), index=texts.index)
+            texts = texts.fillna("")
+            unit = texts.str.len().cumsum() // UNIT
+            for _, part in texts.groupby(unit.to_numpy()):
+                yield pd.Series(encoder(part.tolist()), index=part.index)
 
     return run

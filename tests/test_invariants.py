@@ -339,6 +339,15 @@ def test_stream_blocks_agree_with_batch(spark, sf):
     assert live == batch
 
 
+def test_plugged_in_tokenizer_gets_bounded_runs_of_texts(spark):
+    def load():
+        return lambda texts: [[len(t), sum(map(len, texts))] for t in texts]
+    rows = spark.range(900).selectExpr("id", "if(id % 9 = 0, null, repeat('x', 1000 + int(id))) as text").coalesce(1)
+    found = rows.select("id", F.coalesce(F.length("text"), F.lit(0)).alias("n"), tk.plug_in(load)(F.col("text")).alias("ids")).collect()
+    assert len(found) == 900 and all(r.ids[0] == r.n for r in found)
+    assert max(r.ids[1] for r in found) < tk.UNIT + 2000
+
+
 def test_streams_read_tables_of_many_files(spark):
     root = scratch_path(spark, "folders")
     rows = [(i, f"text {i} " * 30 * (i % 7), "en", "src") for i in range(60)]
