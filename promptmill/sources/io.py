@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -130,6 +130,16 @@ def select_split(df: DataFrame, phase: str, configured: str | None = None, known
     return df.filter(F.col("split") == wanted).drop("split")
 
 
+def folder_name(config: Column) -> Column:
+    """A name for a partition folder, which cannot be empty: the empty name is _, and names of underscores alone get one more."""
+    return F.when(config.rlike("^_*$"), F.concat(config, F.lit("_"))).otherwise(config)
+
+
+def config_of(folder: Column) -> Column:
+    """The name that ``folder_name`` was given."""
+    return F.when(folder.rlike("^_+$"), F.regexp_replace(folder, "^_", "")).otherwise(folder)
+
+
 def read_configs(spark: SparkSession, root: str, schema: StructType | str, names: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """All named configurations of a source in one scan: folders ``config=<name>`` below ``root``; ``names`` picks some before files are read.
 
