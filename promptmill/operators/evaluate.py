@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptmill.functions.text import col_of, cut_at, first_present, normalise_output
 from promptmill.functions.tokens import IGNORED, token_count, token_texts
+from promptmill.operators.dedup import union_all
 from promptmill.operators.labels import split_labelled
 from promptmill.operators.pack import unpacked
-from promptmill.session import materialise
+from promptmill.session import by_rows, materialise
 
 # Joins ----------------------------------------------------------------------------------
 
@@ -391,11 +396,11 @@ def characters(text: Column | str) -> Column:
     return F.filter(F.split(F.regexp_replace(col_of(text), r"\s", ""), ""), lambda c: c != "")
 
 
-def _gram_sums(df: DataFrame, key: str, prediction: Column, reference: Column, order: int) -> DataFrame:
-    """Per order: n-grams of all predictions and references, and matches, clipped text by text."""
-    sides = df.select(F.col(key).alias("_key"), F.explode(F.array(
-        F.struct(F.lit(1).alias("p"), F.lit(0).alias("r"), prediction.alias("t")),
-        F.struct(F.lit(0).alias("p"), F.lit(1).alias("r"), reference.alias("t")))).alias("s")).select("_key", "s.*")
+def _gram_sums_of_keys(rows: DataFrame, order: int) -> DataFrame:
+    """As ``_gram_sums``, for keys of several rows: their n-grams meet in a shuffle."""
+    sides = rows.select("_key", F.explode(F.array(
+        F.struct(F.lit(1).alias("p"), F.lit(0).alias("r"), F.col("_p").alias("t")),
+        F.struct(F.lit(0).alias("p"), F.lit(1).alias("r"), F.col("_r").alias("t")))).alias("s")).select("_key", "s.*")
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(order)), lambda n: F.when(F.size("t") >= n, F.transform(
         F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.struct(n.alias("n"), F.array_join(F.slice("t", i, n), "\u0001").alias("g"))))
         .otherwise(F.array().cast("array<struct<n:int,g:string>>"))))
@@ -403,6 +408,49 @@ def _gram_sums(df: DataFrame, key: str, prediction: Column, reference: Column, o
     return counts.groupBy(F.col("x.n").alias("n")).agg(F.sum("p").alias("p"), F.sum("r").alias("r"), F.sum(F.least("p", "r")).alias("hit"))
 
 
+def _gram_sums_of_rows(rows: DataFrame, order: int) -> DataFrame:
+    """As ``_gram_sums``, for keys of one row, a few texts at a time: an n-gram is the number of the one before it in its row and a word."""
+
+    def count(texts: list[pa.ListArray]) -> list[tuple[int, int, int, int]]:
+        sizes = np.concatenate([pc.list_value_length(t).fill_null(0).to_numpy(zero_copy_only=False) for t in texts]).astype(np.int64)
+        words = pa.concat_arrays([t.flatten() for t in texts])
+        codes, known = pd.factorize(words.dictionary_encode().indices.to_numpy(zero_copy_only=False))
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))  # words from here to the end of the text
+        at, grams = np.arange(len(codes)), np.repeat(np.tile(np.arange(len(texts[0])), 2), sizes)
+        predicted = at < sizes[:len(texts[0])].sum()
+        sums = []
+        for n in range(1, order + 1):
+            inside = left[at] >= n
+            at, grams = at[inside], grams[inside]
+            if not len(at):
+                break
+            grams, _ = pd.factorize(grams * len(known) + codes[at + n - 1])
+            p, r = (np.bincount(grams[side], minlength=grams.max() + 1) for side in (predicted[at], ~predicted[at]))
+            sums.append((n, int(p.sum()), int(r.sum()), int(np.minimum(p, r).sum())))
+        return sums
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 128):
+                part = b.slice(at, 128)
+                found = count([part.column(0), part.column(1)])
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate([pa.int32(), *[pa.int64()] * 3])],
+                                                 names=["n", "p", "r", "hit"])
+
+    return rows.select("_p", "_r").mapInArrow(run, "n int, p long, r long, hit long")
+
+
+def _gram_sums(df: DataFrame, key: str, prediction: Column, reference: Column, order: int) -> DataFrame:
+    """Per order: n-grams of all predictions and references, and matches, clipped text by text (rows of one key count as one text)."""
+    often = df.groupBy(F.col(key).alias("_often")).count().filter("count > 1").select("_often", F.lit(True).alias("_several"))
+    marked = df.join(often, df[key].eqNullSafe(often["_often"]), "left")
+    several = F.col("_several").isNotNull()
+    texts = [F.col(key).alias("_key"), prediction.alias("_p"), reference.alias("_r")]
+    parts = [_gram_sums_of_rows(by_rows(marked.filter(~several)).select(*texts), order),
+             _gram_sums_of_keys(marked.filter(several).select(*texts), order)]
+    return union_all(parts).groupBy("n").agg(*[F.sum(c).alias(c) for c in ("p", "r", "hit")])
+
+
 def corpus_bleu(df: DataFrame, key: str, prediction: str = "prediction", reference: str = "reference") -> DataFrame:
     """BLEU of a whole table with one reference a row (key unique): 13a words, four orders, exponential smoothing of orders without a match."""
     sums = _gram_sums(df, key, bleu_words(prediction), bleu_words(reference), BLEU_ORDER)

@@ -339,6 +339,29 @@ def test_stream_blocks_agree_with_batch(spark, sf):
     assert live == batch
 
 
+def test_gram_sums_of_rows_and_of_repeated_keys(spark):
+    rnd = random.Random(8)
+
+    def some():
+        return rnd.choice([None, "", " a", "ab", "".join(rnd.choices("abc é🙂", k=rnd.randrange(40)))])
+    rows = [(k if k % 5 else None if k % 2 else 3, some(), some()) for k in range(300)]
+    want = Counter()
+    texts = {}
+    for key, p, r in rows:
+        for side, text in enumerate((p, r)):
+            t = "".join((text or "").split())
+            texts.setdefault(key, (Counter(), Counter()))[side].update((n, t[i:i + n]) for n in range(1, 7) for i in range(len(t) - n + 1))
+    for p, r in texts.values():
+        for side, c in (("p", p), ("r", r), ("hit", p & r)):
+            for (n, _), k in c.items():
+                want[n, side] += k
+    df = spark.createDataFrame(rows, "id long, p string, r string").repartition(3)
+    sums = ev._gram_sums(df, "id", ev.characters("p"), ev.characters("r"), 6)
+    assert {(r.n, c): r[c] for r in sums.collect() for c in ("p", "r", "hit") if r[c]} == want
+    # the n-grams of keys of one row stay in their task
+    assert "MapInArrow" in sums._jdf.queryExecution().toString()
+
+
 def test_plugged_in_tokenizer_gets_bounded_runs_of_texts(spark):
     def load():
         return lambda texts: [[len(t), sum(map(len, texts))] for t in texts]
